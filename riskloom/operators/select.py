@@ -79,14 +79,16 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     is one matrix product, tasks keep one row per pair, and Spark adds them up.
     """
     pairs = list(combinations(columns, 2))
+    if len(pairs) > CHUNK:
+        return corr_by_products(df, columns)
     wide = df.select(*[as_number(df, c).alias(c) for c in columns])
-    if len(pairs) <= CHUNK:
-        cells = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("corr")) for a, b in pairs]
-        return wide.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    return _corr_by_products(wide, list(columns))
+    cells = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("corr")) for a, b in pairs]
+    return wide.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-def _corr_by_products(wide: DataFrame, columns: list[str]) -> DataFrame:
+def corr_by_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same for hundreds of columns: one pass for the means, one for the products."""
+    wide = df.select(*[as_number(df, c).alias(c) for c in columns])
     means = wide.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
     shift = np.array([means[c] for c in columns])  # correlation does not move with it, rounding does
     first, second = np.triu_indices(len(columns), 1)

@@ -16,15 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import chi_square
 from riskloom.operators.cut import cut_columns
 from riskloom.operators.hist import histogram, long_numeric
-from riskloom.operators.prefix import TASK_ROWS, Ranked, locate, quantiles, rank_histogram
+from riskloom.operators.prefix import TASK_ROWS, locate, quantiles, rank_histogram
 from riskloom.operators.woe import _quality, bin_counts, bin_quality, describe_bins, woe_by_bin, woe_table
-from riskloom.roles import FILL_VALUE, require_binary_target
+from riskloom.roles import FILL_VALUE
 from riskloom.session import materialize
 
 SPECIAL_WIDTH = 0.001
@@ -69,16 +69,20 @@ def fit_bins(
     if method not in METHODS:
         raise ValueError(f"unknown binning method {method!r}, use one of {sorted(METHODS)}")
     rules = rules or BinRules()
-    require_binary_target(df, target)
-    hist, _ = materialize(histogram(long_numeric(df, features, [target]), target), "bin-histogram")
-    present = {r["feature"] for r in hist.where(F.col("value").isNotNull()).select("feature").distinct().collect()}
-    empty = [f for f in features if f not in present]
+    seen = Observation()  # the target check rides on the histogram pass
+    t = F.col(target)
+    checked = df.select(*features, target).observe(seen, F.count_if(t.isNull() | ~t.isin(0, 1)).alias("wrong"))
+    hist, rows = materialize(histogram(long_numeric(checked, features, [target]), target), "bin-histogram")
+    if seen.get["wrong"]:
+        raise ValueError(f"{seen.get['wrong']} rows have a {target} outside 0/1")
+    present = hist.groupBy("feature").agg(F.count("value").alias("values")).collect()  # one per feature
+    empty = sorted(set(features) - {r["feature"] for r in present if r["values"]})
     if empty:
         raise ValueError(f"features without any value: {empty}")
     usable = hist.where(F.col("value").isNotNull())
     if rules.special:
         usable = usable.where(~F.col("value").isin(*rules.special))
-    candidates = METHODS[method](usable, rules)
+    candidates = METHODS[method](usable, rules, rows)
     edges = choose_edges(hist, candidates, features, rules)
     return Binning(edges, woe_table(histogram_bins(hist, edges)))
 
@@ -176,7 +180,7 @@ def _choose(hist: DataFrame, plans: DataFrame, features: Sequence[str], rules: B
 # --- equal frequency --------------------------------------------------------------------------
 
 
-def equal_frequency(usable: DataFrame, rules: BinRules) -> DataFrame:
+def equal_frequency(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     """Exact quantiles for every bin number at once; ties collapse, the minimum is dropped."""
     ladder = {n: [i / n for i in range(n)] for n in range(2, rules.n_bins + 1)}
     if rules.quantile_list:
@@ -185,7 +189,7 @@ def equal_frequency(usable: DataFrame, rules: BinRules) -> DataFrame:
     if not ladder:
         ladder = {1: [0.0]}
     wanted = sorted({p for probs in ladder.values() for p in probs})
-    found = quantiles(rank_histogram(usable, ["feature"], task_rows=rules.task_rows), wanted)
+    found = quantiles(rank_histogram(usable, ["feature"], task_rows=rules.task_rows, stored_rows=rows), wanted)
     steps = F.explode(
         F.array(*[F.struct(F.lit(n).alias("n_bins"), F.lit(p).alias("prob")) for n, ps in ladder.items() for p in ps])
     )
@@ -201,7 +205,7 @@ def equal_frequency(usable: DataFrame, rules: BinRules) -> DataFrame:
 # --- decision tree ----------------------------------------------------------------------------
 
 
-def decision_tree(usable: DataFrame, rules: BinRules) -> DataFrame:
+def decision_tree(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     """Best-first Gini tree with at most n leaves, exact over all distinct values.
 
     Running counts make the two sides of any cut a subtraction, so one level of all
@@ -210,12 +214,9 @@ def decision_tree(usable: DataFrame, rules: BinRules) -> DataFrame:
     grown once for all bin numbers.
     """
     spark = usable.sparkSession
-    ranked = rank_histogram(usable, ["feature"], task_rows=rules.task_rows)
-    rows, _ = materialize(
-        ranked.rows.select("feature", "value", "n", "bad", "n_before", "bad_before", "next_value", "n_total", "bad_total"),
-        "ranked",
-    )
-    totals = Ranked(rows, ("feature",)).totals().collect()  # one per feature
+    ranked = rank_histogram(usable, ["feature"], task_rows=rules.task_rows, stored_rows=rows)
+    runs, _ = materialize(ranked.rows.select("feature", "value", "n", "bad", "n_before", "bad_before", "next_value"), "ranked")
+    totals = ranked.totals().collect()  # one per feature
     leaf = {r["feature"]: max(1, math.ceil((rules.min_share or 0) * r["n_total"])) for r in totals}
     nodes = {
         (r["feature"], 1): (0, 0, r["n_total"], r["bad_total"]) for r in totals
@@ -232,7 +233,7 @@ def decision_tree(usable: DataFrame, rules: BinRules) -> DataFrame:
         if not open_nodes:
             break
         level = []
-        for r in _best_cuts(spark, rows, open_nodes).collect():  # one per open node
+        for r in _best_cuts(spark, runs, open_nodes).collect():  # one per open node
             key = (r["node_feature"], r["node"])
             n0, bad0, n1, bad1 = nodes[key]
             n, bad = n1 - n0, bad1 - bad0
@@ -306,7 +307,7 @@ KMEANS_ROUNDS = 100
 KMEANS_TOLERANCE = 1e-4
 
 
-def k_means(usable: DataFrame, rules: BinRules) -> DataFrame:
+def k_means(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     """One-dimensional k-means for every feature and cluster number together.
 
     Start: equal-frequency centres, so the result does not depend on partitioning.
@@ -321,7 +322,7 @@ def k_means(usable: DataFrame, rules: BinRules) -> DataFrame:
     top = max(rules.n_bins, 2)
     starts = {n: [(2 * i + 1) / (2 * n) for i in range(n)] for n in range(2, top + 1)}
     at: dict[tuple[str, float], float] = {}
-    ranked = rank_histogram(usable, ["feature"], task_rows=rules.task_rows)
+    ranked = rank_histogram(usable, ["feature"], task_rows=rules.task_rows, stored_rows=rows)
     for r in quantiles(ranked, sorted({p for ps in starts.values() for p in ps})).collect():
         at[r["feature"], r["prob"]] = r["quantile"]
     centres = {
@@ -431,7 +432,7 @@ def _pair_chi(n: np.ndarray, bad: np.ndarray) -> np.ndarray:
     return np.where(flat, 0.0, spread / safe + spread / (1 - safe))
 
 
-def chi_merge(usable: DataFrame, rules: BinRules) -> DataFrame:
+def chi_merge(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     """Merge the least different neighbours; one group holds at most 101 points."""
     least = rules.min_share or 0.0
     top = max(rules.n_bins, 2)

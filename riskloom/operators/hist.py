@@ -18,6 +18,13 @@ def as_number(df: DataFrame, name: str) -> Column:
     return col.cast("double")
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """Column with NaN turned into null, type unchanged."""
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.nanvl(F.col(name), F.lit(None).cast(df.schema[name].dataType))
+    return F.col(name)
+
+
 def long_numeric(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value double): only the needed columns are read."""
     wide = df.select(*keep, *[as_number(df, c).alias(c) for c in features])
@@ -26,7 +33,7 @@ def long_numeric(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (
 
 def long_text(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., feature, value string)."""
-    wide = df.select(*keep, *[F.col(c).cast("string").alias(c) for c in features])
+    wide = df.select(*keep, *[known(df, c).cast("string").alias(c) for c in features])
     return wide.unpivot(list(keep), list(features), "feature", "value")
 
 

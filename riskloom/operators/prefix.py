@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.session import materialize
 
@@ -31,11 +32,12 @@ class Ranked:
 
     rows: DataFrame
     by: tuple[str, ...]
+    hist: DataFrame
 
     def totals(self) -> DataFrame:
-        return self.rows.groupBy(*self.by).agg(
-            F.max("n_total").alias("n_total"),
-            F.max("bad_total").alias("bad_total"),
+        return self.hist.groupBy(*self.by).agg(
+            F.sum("n").alias("n_total"),
+            F.sum("bad").alias("bad_total"),
             F.min("value").alias("min_value"),
             F.max("value").alias("max_value"),
             F.count(F.lit(1)).alias("n_values"),
@@ -63,31 +65,57 @@ def _splitters(hist: DataFrame, by: Sequence[str], task_rows: int) -> tuple[Data
     if not top["groups"] or top["top"] <= task_rows:
         return None, 1
     buckets = min(-(-top["top"] // task_rows), MAX_BUCKETS, max(2, MAX_SPLITTERS // top["groups"]))
+    if isinstance(hist.schema["value"].dataType, T.StringType):
+        edges = _text_splitters(hist, by, buckets, top["top"])
+    else:
+        edges = _number_splitters(hist, by, buckets)
+    # Few groups: send the splitters to every task. Very many: let Spark choose the join by size.
+    return (F.broadcast(edges) if top["groups"] * buckets <= MAX_SPLITTERS else edges), buckets
+
+
+def _number_splitters(hist: DataFrame, by: Sequence[str], buckets: int) -> DataFrame:
     probs = [i / buckets for i in range(1, buckets)]
-    edges = hist.groupBy(*by).agg(
+    return hist.groupBy(*by).agg(
         F.array_sort(
             F.array_distinct(
                 F.percentile_approx("value", F.array(*map(F.lit, probs)), F.lit(max(10000, 4 * buckets)))
             )
         ).alias("edges")
     )
-    return edges, buckets
+
+
+def _text_splitters(hist: DataFrame, by: Sequence[str], buckets: int, top: int) -> DataFrame:
+    """Splitters from a hash sample of the distinct texts. They only steer balance: the
+    ranks are exact for any splitters."""
+    wanted = 32 * buckets
+    every = max(1, top // wanted)
+    sample = hist.where(F.pmod(F.xxhash64("value"), F.lit(every)) == 0)
+    listed = sample.groupBy(*by).agg(F.array_sort(F.collect_list("value")).alias("s"))
+    at = [F.floor(F.size("s") * F.lit(i / buckets)).cast("int") for i in range(1, buckets)]
+    return listed.select(*by, F.array_distinct(F.filter(F.array(*[F.get("s", a) for a in at]), lambda e: e.isNotNull())).alias("edges"))
 
 
 def rank_histogram(
-    hist: DataFrame, by: Sequence[str], bounded: bool = False, task_rows: int = TASK_ROWS
+    hist: DataFrame,
+    by: Sequence[str],
+    bounded: bool = False,
+    task_rows: int = TASK_ROWS,
+    stored_rows: int | None = None,
 ) -> Ranked:
     """Running counts over ``value`` within ``by`` for a histogram (by..., value, n, bad).
 
     ``bounded`` states that the value domain itself is small (integer scores, bin
     numbers); otherwise the histogram is stored once, counted, and bucketed if any
-    group is larger than one task should hold.
+    group is larger than one task should hold. ``stored_rows`` says that it is stored
+    already, with an upper bound of its rows.
     """
     by = list(by)
     hist = hist.where(F.col("value").isNotNull() & (F.col("n") > 0))
     edges = None
     if not bounded:
-        hist, rows = materialize(hist, "histogram")
+        rows = stored_rows
+        if rows is None:
+            hist, rows = materialize(hist, "histogram")
         if rows > task_rows:
             edges, buckets = _splitters(hist, by, task_rows)
     whole = Window.partitionBy(*by)
@@ -102,9 +130,10 @@ def rank_histogram(
             F.sum("n").over(whole).alias("n_total"),
             F.sum("bad").over(whole).alias("bad_total"),
         )
-        return Ranked(rows_df, tuple(by))
+        return Ranked(rows_df, tuple(by), hist)
 
-    hist = locate(hist.join(F.broadcast(edges), by), "edges", "value", "bucket", buckets).drop("edges")
+    stored = hist
+    hist = locate(hist.join(edges, by), "edges", "value", "bucket", buckets).drop("edges")
     # Per (group, bucket): at most groups x buckets rows, so these windows stay small.
     along = whole.orderBy("bucket")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
@@ -147,7 +176,7 @@ def rank_histogram(
             "bad_total",
         )
     )
-    return Ranked(rows_df, tuple(by))
+    return Ranked(rows_df, tuple(by), stored)
 
 
 def quantiles(ranked: Ranked, probs: Sequence[float]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.scoring import percent_text
-from riskloom.operators.hist import histogram, long_numeric, long_text
+from riskloom.operators.hist import histogram, known, long_numeric, long_text
 from riskloom.operators.prefix import TASK_ROWS, quantiles, rank_histogram
 from riskloom.session import materialize
 
@@ -29,7 +29,7 @@ def split_kinds(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[
 
 def blank_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, blanks, blank_text, blank_share): one scan, one row per task and column shuffled."""
-    flags = df.select(*[F.col(c).isNull().cast("bigint").alias(c) for c in columns]).unpivot(
+    flags = df.select(*[known(df, c).isNull().cast("bigint").alias(c) for c in columns]).unpivot(
         [], list(columns), "feature", "blank"
     )
     return flags.groupBy("feature").agg(F.sum("blank").alias("blanks"), F.avg("blank").alias("blank_share")).select(
@@ -48,20 +48,25 @@ def value_shape(hist: DataFrame) -> DataFrame:
     )
 
 
-def describe_numbers(hist: DataFrame, probs: Sequence[float] = PERCENTILES, task_rows: int = TASK_ROWS) -> DataFrame:
+def describe_numbers(
+    hist: DataFrame,
+    probs: Sequence[float] = PERCENTILES,
+    task_rows: int = TASK_ROWS,
+    stored_rows: int | None = None,
+) -> DataFrame:
     """(feature, count, mean, std, min, max, quantiles array) from a numeric histogram, exact."""
-    known = hist.where(F.col("value").isNotNull()).select("feature", "value", "n")
+    there = hist.where(F.col("value").isNotNull()).select("feature", "value", "n")
     n, x = F.col("n").cast("double"), F.col("value")
-    first = known.groupBy("feature").agg(
+    first = there.groupBy("feature").agg(
         F.sum("n").alias("count"), (F.sum(n * x) / F.sum(n)).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max")
     )
     off = x - F.col("mean")
     second = (
-        known.join(F.broadcast(first.select("feature", "mean", "count")), "feature")  # one row per feature
+        there.join(F.broadcast(first.select("feature", "mean", "count")), "feature")  # one row per feature
         .groupBy("feature")
         .agg(F.sqrt(F.try_divide(F.sum(n * off * off), F.max("count").cast("double") - 1)).alias("std"))
     )
-    ranked = rank_histogram(known.withColumn("bad", F.lit(0).cast("bigint")), ["feature"], task_rows=task_rows)
+    ranked = rank_histogram(there.withColumn("bad", F.lit(0).cast("bigint")), ["feature"], task_rows=task_rows, stored_rows=stored_rows)
     cuts = quantiles(ranked, probs).groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("prob", "quantile"))), lambda s: s["quantile"]).alias("quantiles")
     )
@@ -70,6 +75,26 @@ def describe_numbers(hist: DataFrame, probs: Sequence[float] = PERCENTILES, task
     )
 
 
+def describe_numbers_approx(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = PERCENTILES, accuracy: int = 10000
+) -> DataFrame:
+    """The same statistics with sketched quantiles and distinct counts.
+
+    One scan that shuffles one sketch per task and column: the choice for very wide or very
+    continuous tables where exact percentiles are not worth a shuffle of all distinct values.
+    """
+    long = long_numeric(df, columns)
+    return long.groupBy("feature").agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+        F.percentile_approx("value", F.array(*[F.lit(float(p)) for p in probs]), F.lit(accuracy)).alias("quantiles"),
+        F.approx_count_distinct("value").alias("unique"),
+    )
+
+
 def frequent_values(hist: DataFrame, top: int = TOP) -> DataFrame:
     """(feature, kind 'top'|'bottom', place, text): most and least frequent non-null values.
 
@@ -78,11 +103,11 @@ def frequent_values(hist: DataFrame, top: int = TOP) -> DataFrame:
     column sends a handful of rows per task, not all its values.
     """
     totals = hist.groupBy("feature").agg(F.sum("n").alias("size"))
-    known = hist.where(F.col("value").isNotNull())
+    there = hist.where(F.col("value").isNotNull())
     best = Window.partitionBy("feature").orderBy(F.desc("n"), F.asc("value"))
     worst = Window.partitionBy("feature").orderBy(F.asc("n"), F.desc("value"))
     parts = [
-        known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).withColumn("kind", F.lit(kind))
+        there.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).withColumn("kind", F.lit(kind))
         for kind, order in (("top", best), ("bottom", worst))
     ]
     return (
@@ -109,8 +134,8 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, task_rows: int
     kinds = F.create_map(*[F.lit(x) for c in columns for x in (c, df.schema[c].dataType.simpleString())])
     reports = []
     if numeric:
-        hist, _ = materialize(histogram(long_numeric(df, numeric)), "profile-numeric")
-        stats = describe_numbers(hist, task_rows=task_rows)
+        hist, rows = materialize(histogram(long_numeric(df, numeric)), "profile-numeric")
+        stats = describe_numbers(hist, task_rows=task_rows, stored_rows=rows)
         values = ["mean", "std", "min", *[F.get("quantiles", F.lit(i)) for i in range(len(PERCENTILES))], "max"]
         details = [
             _number_text(F.col(v) if isinstance(v, str) else v).alias(name) for v, name in zip(values, DETAIL_NAMES)
@@ -157,9 +182,9 @@ def target_by_group(df: DataFrame, group: str, target: str) -> DataFrame:
 
 def describe_scores(df: DataFrame, columns: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
     """(feature, count, mean, std, min, q25, q50, q75, max, coverage) of probability and score columns."""
-    hist, _ = materialize(histogram(long_numeric(df, columns)), "score-describe")
+    hist, stored = materialize(histogram(long_numeric(df, columns)), "score-describe")
     rows = hist.groupBy("feature").agg(F.sum("n").alias("rows"))
-    stats = describe_numbers(hist, (0.25, 0.5, 0.75), task_rows)
+    stats = describe_numbers(hist, (0.25, 0.5, 0.75), task_rows, stored)
     return rows.join(stats, "feature", "left").select(
         "feature",
         F.coalesce("count", F.lit(0)).alias("count"),

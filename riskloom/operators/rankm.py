@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.hist import as_number, histogram, long_numeric
@@ -112,16 +112,15 @@ def metric_report(metrics: DataFrame, split: str, labels: dict, splits: Sequence
     )
 
 
-def running_shares(df: DataFrame, score: str, target: str) -> DataFrame:
-    """(score, n, bad, cum_bad_share, cum_good_share, gap) over distinct integer scores, descending."""
-    hist = histogram(df.select(F.col(score).alias("value"), target).na.drop(), target, [])
-    down = Window.orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # One window over distinct scores: the integer scale bounds it to 1,201 rows.
-    cum = hist.select(
+def running_shares(df: DataFrame, score: str, target: str, bounded: bool = False) -> DataFrame:
+    """(score, n, bad, cum_bad_share, cum_good_share, gap) over distinct scores, from the highest down."""
+    rows = ranked_score(df, score, target, (), bounded).rows
+    good_all, good_before = F.col("n_total") - F.col("bad_total"), F.col("n_before") - F.col("bad_before")
+    cum = rows.select(
         F.col("value").alias(score),
         "n",
         "bad",
-        (F.sum("bad").over(down) / F.sum("bad").over(Window.partitionBy())).alias("cum_bad_share"),
-        (F.sum(F.col("n") - F.col("bad")).over(down) / F.sum(F.col("n") - F.col("bad")).over(Window.partitionBy())).alias("cum_good_share"),
+        F.try_divide(F.col("bad_total") - F.col("bad_before"), "bad_total").alias("cum_bad_share"),
+        F.try_divide(good_all - good_before, good_all).alias("cum_good_share"),
     )
     return cum.withColumn("gap", F.abs(F.col("cum_bad_share") - F.col("cum_good_share")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.hist import as_number
+from riskloom.operators.hist import as_number, known
 
 # Expressions per aggregate: beyond this the generated code gets too long.
 CHUNK = 500
@@ -26,7 +26,7 @@ def _chunks(items: list, size: int = CHUNK):
 
 def missing_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, missing_rate): one aggregate scan."""
-    flags = df.select(*[F.col(c).isNull().cast("int").alias(c) for c in columns])
+    flags = df.select(*[known(df, c).isNull().cast("int").alias(c) for c in columns])
     return flags.unpivot([], list(columns), "feature", "gap").groupBy("feature").agg(F.avg("gap").alias("missing_rate"))
 
 
@@ -108,6 +108,8 @@ def corr_by_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         yield out
 
     schema = "pair int, " + ", ".join(f"{m} double" for m in MOMENTS)
+    # Each task sends one row per pair, so a few long tasks beat one per file block.
+    wide = wide.coalesce(df.sparkSession.sparkContext.defaultParallelism)
     total = wide.mapInPandas(products, schema).groupBy("pair").agg(*[F.sum(m).alias(m) for m in MOMENTS])
     n, x, y, xx, yy, xy = (F.col(m) for m in MOMENTS)
     corr = F.try_divide(n * xy - x * y, F.sqrt((n * xx - x * x) * (n * yy - y * y)))

@@ -15,6 +15,9 @@ from riskloom.roles import FILL_VALUE
 
 # Key of the entry for unseen categories inside our tables; JSON files call it 'other'.
 UNSEEN = "__other__"
+# Entry names of dictionaries made elsewhere and of the top-N variant.
+OTHER = "other"
+MISSING = "miss"
 # Largest dictionary compiled into an expression; larger ones are joined.
 INLINE_ENTRIES = 1000
 
@@ -162,12 +165,12 @@ def top_category_woe_table(df: DataFrame, features: Sequence[str], target: str,
     The rank filter is pushed below the shuffle as a per-task limit, so only
     ``top`` rows per feature and task are exchanged.
     """
-    counts = histogram(long_text(df, features, [target]).fillna("miss", subset=["value"]), target)
+    counts = histogram(long_text(df, features, [target]).fillna(MISSING, subset=["value"]), target)
     order = Window.partitionBy("feature").orderBy(F.desc("n"), "value")
     best = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)
     merged = (
         counts.join(F.broadcast(best.select("feature", "value", F.lit(True).alias("kept"))), ["feature", "value"], "left")
-        .groupBy("feature", F.when(F.col("kept"), F.col("value")).otherwise(F.lit("other")).alias("value"))
+        .groupBy("feature", F.when(F.col("kept"), F.col("value")).otherwise(F.lit(OTHER)).alias("value"))
         .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     )
     return with_category_woe(merged).select("feature", "key", "woe")
@@ -189,8 +192,8 @@ def _lookup(value: Column, entries: Mapping[str, float], unseen: float | None) -
 def encode_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """Replace categories by their value from a driver-sized dictionary.
 
-    An unseen category takes the entry for unseen ones if there is one, else null;
-    null stays null. Pure expressions; larger dictionaries go through
+    An unseen category takes the entry for unseen ones (ours, or 'other' in dictionaries
+    made elsewhere) if there is one, else null; null stays null. Pure expressions; larger dictionaries go through
     :func:`encode_with_table`.
     """
     size = sum(len(m) for m in mapping.values())
@@ -199,10 +202,16 @@ def encode_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]])
     out = {}
     for feature, entries in mapping.items():
         known = {k: v for k, v in entries.items() if k != UNSEEN and v is not None}
-        out[feature] = _lookup(F.col(feature).cast("string"), known, entries.get(UNSEEN))
+        out[feature] = _lookup(F.col(feature).cast("string"), known, entries.get(UNSEEN, entries.get(OTHER)))
     return df.withColumns(out)
 
 
+def encode_top_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """Apply side of the top-N variant: missing reads 'miss', the rest 'other'."""
+    texts = df.withColumns({f: F.coalesce(F.col(f).cast("string"), F.lit(MISSING)) for f in mapping})
+    return encode_categories(texts, mapping)
+
+
 def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str]) -> DataFrame:
     """Replace categories through (feature, key, woe) kept as a table, one left join per feature.
 
@@ -210,7 +219,9 @@ def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str])
     sort-merges a large one, splitting skewed keys at run time.
     """
     order = df.columns
-    unseen = {r["feature"]: r["woe"] for r in table.where(F.col("key") == UNSEEN).collect()}  # one per feature
+    unseen: dict[str, float] = {}
+    for r in table.where(F.col("key").isin(UNSEEN, OTHER)).orderBy(F.col("key") == UNSEEN).collect():  # two per feature
+        unseen[r["feature"]] = r["woe"]
     for feature in features:
         part = table.where((F.col("feature") == feature) & (F.col("key") != UNSEEN)).select(
             F.col("key").alias("k__"), F.col("woe").alias("w__")

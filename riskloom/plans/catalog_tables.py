@@ -272,7 +272,7 @@ def split_label_join(spark, sf):
 
 
 # Fitted on part of the segments and applied to all, so that unseen categories occur.
-LOOKUP_SQL = f"""{WITH}, tr AS (SELECT * FROM lw WHERE c_nat < 'M'), {CATEGORY_SQL.format(src='tr')}
+LOOKUP_SQL = f"""{WITH}, tr AS (SELECT * FROM lw WHERE c_nat < 'NATION_2'), {CATEGORY_SQL.format(src='tr')}
 SELECT apply_no, {R("CASE WHEN c_nat IS NOT NULL THEN coalesce(a.woe, 0) END", 'c_nat')},
   {R("CASE WHEN c_seg IS NOT NULL THEN coalesce(b.woe, 0) END", 'c_seg')}
 FROM lw LEFT JOIN cw a ON a.feature = 'c_nat' AND a.key = c_nat LEFT JOIN cw b ON b.feature = 'c_seg' AND b.key = c_seg"""
@@ -281,14 +281,14 @@ FROM lw LEFT JOIN cw a ON a.feature = 'c_nat' AND a.key = c_nat LEFT JOIN cw b O
 @query("category_lookup", LOOKUP_SQL)
 def category_lookup(spark, sf):
     wide = loan_wide(spark, sf)
-    fitted = woe.category_woe_table(wide.where(F.col("c_nat") < "M"), ["c_nat", "c_seg"], "target")
+    fitted = woe.category_woe_table(wide.where(F.col("c_nat") < "NATION_2"), ["c_nat", "c_seg"], "target")
     return rounded(woe.encode_categories(wide.select("apply_no", "c_nat", "c_seg"), woe.woe_by_category(fitted)))
 
 
 @query("category_lookup_join", LOOKUP_SQL)
 def category_lookup_join(spark, sf):
     wide = loan_wide(spark, sf)
-    fitted = woe.category_woe_table(wide.where(F.col("c_nat") < "M"), ["c_nat", "c_seg"], "target")
+    fitted = woe.category_woe_table(wide.where(F.col("c_nat") < "NATION_2"), ["c_nat", "c_seg"], "target")
     return rounded(woe.encode_with_table(wide.select("apply_no", "c_nat", "c_seg"), fitted, ["c_nat", "c_seg"]))
 
 
@@ -317,12 +317,12 @@ def label_codes(spark, sf):
     return encode.fit_labels(loan_wide(spark, sf), ["c_prio", "c_nat"])
 
 
-@query("label_apply", f"""{WITH}, tr AS (SELECT * FROM lw WHERE c_nat < 'M'), {LABEL_SQL.format(src='tr')}
+@query("label_apply", f"""{WITH}, tr AS (SELECT * FROM lw WHERE c_nat < 'NATION_2'), {LABEL_SQL.format(src='tr')}
 SELECT apply_no, CAST(coalesce(a.code, -1) AS INTEGER) AS c_prio, CAST(coalesce(b.code, -1) AS INTEGER) AS c_nat FROM lw
 LEFT JOIN lk a ON a.feature = 'c_prio' AND a.key = c_prio LEFT JOIN lk b ON b.feature = 'c_nat' AND b.key = c_nat""")
 def label_apply(spark, sf):
     wide = loan_wide(spark, sf).select("apply_no", "c_prio", "c_nat")
-    labels = encode.fit_labels(wide.where(F.col("c_nat") < "M"), ["c_prio", "c_nat"])
+    labels = encode.fit_labels(wide.where(F.col("c_nat") < "NATION_2"), ["c_prio", "c_nat"])
     return encode.apply_labels(wide, labels, ["c_prio", "c_nat"])
 
 

@@ -15,7 +15,7 @@ from riskloom.operators.profile import describe_scores, profile
 from riskloom.operators.psi import score_psi, score_psi_detail
 from riskloom.operators.rankm import metric_report, metrics_by_split, score_metrics
 from riskloom.operators.select import dense_columns, drop_correlated, pairwise_corr, top_features, triage
-from riskloom.operators.split import split_job, split_views
+from riskloom.operators.split import split_job, split_views, stratified_split
 from riskloom.operators.woe import category_woe_table, encode_bins, encode_categories, woe_by_category
 from riskloom.plans.model import (
     FittedTrees,
@@ -118,16 +118,11 @@ def train(raw: DataFrame, roles: Roles, plan: TrainingPlan, folder: str | None =
     table = audit.watch(raw.drop(*plan.drop), "read")
     features = roles.features(table)
     table = audit.watch(drop_empty_rows(table, features), "without empty rows")
-    table, _ = materialize(table, "wide")  # read, joins and filters happen once
+    table, _ = materialize(table, "wide")  # read, joins and filters happen once, then columnar scans
     reports["profile"] = profile(table, [*features, roles.target])
-
     if roles.split not in table.columns:
-        sample, split_reports = split_job(
-            table.select(roles.key, roles.target, roles.time), roles.key, roles.target, roles.time, [F.col(roles.time)], plan.test_size
-        )
+        table, split_reports = label_rows(table, roles, plan.test_size)
         reports.update(split_reports)
-        table = with_split(table, sample, roles.key, roles.split)
-    table, _ = materialize(table, "split")
     train_rows = table.where(F.col(roles.split) == "train")
     reports["train_profile"] = profile(train_rows, [*features, roles.target])
 
@@ -179,6 +174,25 @@ def train(raw: DataFrame, roles: Roles, plan: TrainingPlan, folder: str | None =
     return result
 
 
+def label_rows(table: DataFrame, roles: Roles, test_size: float) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Attach train/test labels from the deduplicated sample.
+
+    With unique keys and clean targets the label is an expression on the wide table;
+    only otherwise is the wide table joined to the sample.
+    """
+    narrow = table.select(roles.key, roles.target, roles.time)
+    sample, reports = split_job(narrow, roles.key, roles.target, roles.time, [F.col(roles.time)], test_size)
+    target = F.col(roles.target)
+    per_key = narrow.groupBy(roles.key).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(target.isNull() | ~target.isin(0, 1)).alias("wrong")
+    )
+    worst = per_key.agg(F.max("n").alias("n"), F.sum("wrong").alias("wrong")).first()
+    if worst["n"] == 1 and not worst["wrong"]:
+        return stratified_split(table, roles.key, roles.target, test_size, roles.split), reports
+    labels = sample.withColumnRenamed("type", roles.split)
+    return materialize(with_split(table, labels, roles.key, roles.split), "labelled")[0], reports
+
+
 def save_training(spark: SparkSession, result: TrainingResult, woe: DataFrame | None, roles: Roles, plan: TrainingPlan, folder: str) -> None:
     batched = result.scored.withColumn("client_batch", F.lit(plan.batch))
     write_scores(batched, roles.key, "p", "client_batch", f"{folder}/score")

@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.binning import Binning, edge_table
 from riskloom.operators.cut import interval_label
-from riskloom.operators.woe import UNSEEN, woe_by_bin
+from riskloom.operators.woe import OTHER, UNSEEN, woe_by_bin
 
-# File names and the key of the unseen entry in JSON files.
+# File names.
 CATEGORY_FILE = "category_var_value_woe.json"
 BIN_WOE_FILE = "continuous_var_bin_woe_dict.json"
 BIN_EDGE_FILE = "continuous_bins_dict.json"
-OTHER = "other"
 
 
 def write_json(spark: SparkSession, value: object, path: str) -> None:

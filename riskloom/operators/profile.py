@@ -124,7 +124,7 @@ def frequent_values(hist: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def _number_text(c: Column) -> Column:
-    return F.format_string("%.6f", F.round(c, 6))
+    return F.when(c.isNotNull(), F.format_string("%.6f", F.round(c, 6)))
 
 
 def profile(df: DataFrame, columns: Sequence[str] | None = None, task_rows: int = TASK_ROWS) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import chi_square
 from riskloom.operators.cut import cut_columns
-from riskloom.operators.hist import histogram, long_numeric
+from riskloom.operators.hist import numeric_histogram
 from riskloom.operators.prefix import TASK_ROWS, locate, quantiles, rank_histogram
 from riskloom.operators.woe import _quality, bin_counts, bin_quality, describe_bins, woe_by_bin, woe_table
 from riskloom.roles import FILL_VALUE
@@ -72,7 +72,7 @@ def fit_bins(
     seen = Observation()  # the target check rides on the histogram pass
     t = F.col(target)
     checked = df.select(*features, target).observe(seen, F.count_if(t.isNull() | ~t.isin(0, 1)).alias("wrong"))
-    hist, rows = materialize(histogram(long_numeric(checked, features, [target]), target), "bin-histogram")
+    hist, rows = materialize(numeric_histogram(checked, features, target), "bin-histogram")
     if seen.get["wrong"]:
         raise ValueError(f"{seen.get['wrong']} rows have a {target} outside 0/1")
     present = hist.groupBy("feature").agg(F.count("value").alias("values")).collect()  # one per feature
@@ -129,52 +129,53 @@ def histogram_bins(hist: DataFrame, edges: Mapping[str, Sequence[float]]) -> Dat
 def choose_edges(
     hist: DataFrame, candidates: DataFrame, features: Sequence[str], rules: BinRules
 ) -> dict[str, list[float]]:
-    """The largest bin number per feature whose bins pass (or that has at most two)."""
-    floor = F.array(*[F.lit(x) for x in rules.floor]).cast("array<double>")
-    above = F.filter("splits", lambda s: s > F.lit(rules.floor[0])) if rules.floor else F.col("splits")
-    plans = candidates.select("feature", "n_bins", F.concat(floor, above).alias("cuts")).persist()
-    try:
-        return _choose(hist, plans, features, rules)
-    finally:
-        plans.unpersist()
-
-
-def _choose(hist: DataFrame, plans: DataFrame, features: Sequence[str], rules: BinRules) -> dict[str, list[float]]:
-    if rules.monotonic:
-        # Cells: the histogram cut at the union of all proposed edges, under 60 rows per feature.
-        union = plans.groupBy("feature").agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("cuts")))).alias("atoms")
-        )
-        width = union.agg(F.max(F.size("atoms"))).first()[0] or 1
-        known = hist.where(F.col("value").isNotNull())
-        cells = (
-            locate(known.join(F.broadcast(union), "feature"), "atoms", "value", "atom", width)
-            .groupBy("feature", "atom")
-            .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.first("atoms").alias("atoms"))
-            .withColumn("start", F.get("atoms", F.col("atom") - 1))
-        )
-        slots = plans.select(
-            "feature", "n_bins", "cuts", F.explode(F.sequence(F.lit(0), F.size("cuts"))).alias("bin_id")
-        )
-        own = F.col("s.bin_id") == F.size(F.filter("s.cuts", lambda c: c <= F.col("c.start")))
-        full = (
-            slots.alias("s")
-            .join(cells.alias("c"), (F.col("s.feature") == F.col("c.feature")) & own, "left")
-            .groupBy("s.feature", "s.n_bins", "s.bin_id")
-            .agg(F.sum("c.n").alias("n"), F.sum("c.bad").alias("bad"))
-        )
-        if rules.special:
-            full = full.where(F.col("bin_id") > 0)
-        judged = _quality(full.withColumnRenamed("n_bins", "wanted"), ["feature", "wanted"], rules.min_share)
-        passing = judged.groupBy("feature").agg(
-            F.coalesce(F.max(F.when(F.col("ok") | (F.col("n_bins") <= 2), F.col("wanted"))), F.min("wanted")).alias("n_bins")
-        )
+    """The largest bin number per feature whose bins pass (or that has at most two).
+
+    The proposals are parameters (features x bin numbers, ten cuts each), so they pass
+    through the driver; the counts behind every judgement come from one pass over the histogram.
+    """
+    plans = {
+        (r["feature"], r["n_bins"]): [*rules.floor, *(s for s in r["splits"] if not rules.floor or s > rules.floor[0])]
+        for r in candidates.collect()
+    }
+    if rules.monotonic and plans:
+        passing = _passing(hist, plans, rules)
     else:
-        passing = plans.groupBy("feature").agg(F.max("n_bins").alias("n_bins"))
-    rows = plans.join(passing, ["feature", "n_bins"]).select("feature", "cuts").collect()  # one per feature
-    chosen = {r["feature"]: [-math.inf, *r["cuts"], math.inf] for r in rows}
-    bare = [-math.inf, *rules.floor, math.inf]  # only special values present
-    return {f: chosen.get(f, bare) for f in features}
+        passing = {f: max(n for g, n in plans if g == f) for f in {f for f, _ in plans}}
+    bare = list(rules.floor)  # only special values present
+    return {f: [-math.inf, *(plans[f, passing[f]] if f in passing else bare), math.inf] for f in features}
+
+
+def _passing(hist: DataFrame, plans: dict[tuple[str, int], list[float]], rules: BinRules) -> dict[str, int]:
+    spark = hist.sparkSession
+    # Cells: the histogram cut at the union of all proposed edges, under 60 per feature.
+    union: dict[str, set[float]] = {}
+    for (feature, _), cuts in plans.items():
+        union.setdefault(feature, set()).update(cuts)
+    atoms = spark.createDataFrame([(f, sorted(u)) for f, u in union.items()], "feature string, atoms array<double>")
+    known = hist.where(F.col("value").isNotNull()).join(F.broadcast(atoms), "feature")
+    cells = (
+        locate(known, "atoms", "value", "atom", max(len(u) for u in union.values()))
+        .groupBy("feature", "atom")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    )
+    # Where each proposed bin takes its cells: a cell belongs to the bin its lower edge falls in.
+    slots = []
+    for (feature, wanted), cuts in plans.items():
+        starts = [-math.inf, *sorted(union[feature])]
+        owner = np.searchsorted(cuts, starts, side="right")
+        slots += [(feature, wanted, int(b), i) for i, b in enumerate(owner)]
+    table = spark.createDataFrame(slots, "feature string, wanted int, bin_id int, atom int")
+    full = (
+        table.join(cells, ["feature", "atom"], "left")
+        .groupBy("feature", "wanted", "bin_id")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    )
+    if rules.special:
+        full = full.where(F.col("bin_id") > 0)
+    judged = _quality(full, ["feature", "wanted"], rules.min_share)
+    best = F.expr("coalesce(max(IF(ok OR n_bins <= 2, wanted, NULL)), min(wanted))").alias("wanted")
+    return {r["feature"]: r["wanted"] for r in judged.groupBy("feature").agg(best).collect()}  # one per feature
 
 
 # --- equal frequency --------------------------------------------------------------------------
@@ -222,18 +223,19 @@ def decision_tree(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
         (r["feature"], 1): (0, 0, r["n_total"], r["bad_total"]) for r in totals
     }
     cuts: dict[tuple[str, int], tuple[float, float]] = {}
+    looked_at: set[tuple[str, int]] = set()
+    orders: dict[str, list[float]] = {}
     level = list(nodes)
-    for _ in range(rules.n_bins - 1):
+    while level:
         open_nodes = []
         for key in level:
+            looked_at.add(key)
             n0, bad0, n1, bad1 = nodes[key]
             n, bad = n1 - n0, bad1 - bad0
             if n >= 2 * leaf[key[0]] and 0 < bad < n:
                 open_nodes.append((key[0], key[1], n0, bad0, n1, bad1, leaf[key[0]]))
-        if not open_nodes:
-            break
         level = []
-        for r in _best_cuts(spark, runs, open_nodes).collect():  # one per open node
+        for r in _best_cuts(spark, runs, open_nodes).collect() if open_nodes else []:  # one per open node
             key = (r["node_feature"], r["node"])
             n0, bad0, n1, bad1 = nodes[key]
             n, bad = n1 - n0, bad1 - bad0
@@ -244,9 +246,13 @@ def decision_tree(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
             nodes[left] = (n0, bad0, middle_n, middle_bad)
             nodes[right] = (middle_n, middle_bad, n1, bad1)
             level += [left, right]
+        for feature in leaf.keys() - orders.keys():
+            order, settled = _best_first(cuts, looked_at, feature, max(rules.n_bins, 2) - 1)
+            if settled:
+                orders[feature] = order
+        level = [key for key in level if key[0] not in orders]
     proposals = []
-    for feature in leaf:
-        order = _best_first(cuts, feature, rules.n_bins - 1)
+    for feature, order in orders.items():
         proposals += [(feature, n, sorted(order[: n - 1])) for n in range(max(rules.n_bins, 2), 1, -1)]
     return spark.createDataFrame(proposals, CANDIDATE_SCHEMA)
 
@@ -255,50 +261,53 @@ def _best_cuts(spark: SparkSession, rows: DataFrame, open_nodes: list[tuple]) ->
     nodes = spark.createDataFrame(
         open_nodes, "node_feature string, node bigint, n0 bigint, bad0 bigint, n1 bigint, bad1 bigint, leaf bigint"
     )
-    n_left = F.col("n_before") + F.col("n") - F.col("n0")
-    bad_left = F.col("bad_before") + F.col("bad") - F.col("bad0")
-    n_right = F.col("n1") - F.col("n0") - n_left
-    inside = (F.col("n_before") >= F.col("n0")) & (n_left >= F.col("leaf")) & (n_right >= F.col("leaf"))
-    sides = rows.join(F.broadcast(nodes), (F.col("feature") == F.col("node_feature")) & inside).select(
-        "node_feature",
-        "node",
-        "value",
-        "next_value",
-        n_left.alias("n_left"),
-        bad_left.alias("bad_left"),
-        n_right.alias("n_right"),
-        (F.col("bad1") - F.col("bad0") - bad_left).alias("bad_right"),
-    )
-
-    def purity(n: str, bad: str):
-        b, g = F.col(bad).cast("double"), (F.col(n) - F.col(bad)).cast("double")
-        return (b * b + g * g) / F.col(n)
-
-    middle = (F.col("value") + F.col("next_value")) / 2
-    cut = F.when(middle > F.col("value"), middle).otherwise(F.col("next_value"))
-    best = F.max(
-        F.struct(
-            (purity("n_left", "bad_left") + purity("n_right", "bad_right")).alias("score"),
-            (-F.col("value")).alias("lowest_first"),
-            cut.alias("cut"),
-            "n_left",
-            "bad_left",
+    sides = (
+        rows.join(F.broadcast(nodes), F.expr("feature = node_feature AND n_before >= n0 AND n_before + n < n1"))
+        .selectExpr(
+            "node_feature",
+            "node",
+            "leaf",
+            "-value AS lowest_first",
+            "IF((value + next_value) / 2 > value, (value + next_value) / 2, next_value) AS cut",
+            "n_before + n - n0 AS n_left",
+            "bad_before + bad - bad0 AS bad_left",
+            "n1 - n_before - n AS n_right",
+            "bad1 - bad_before - bad AS bad_right",
         )
+        .where("n_left >= leaf AND n_right >= leaf")
     )
-    return sides.groupBy("node_feature", "node").agg(best.alias("best"))
 
+    def purity(n: str, bad: str) -> str:
+        return f"(CAST({bad} AS DOUBLE) * {bad} + CAST({n} - {bad} AS DOUBLE) * ({n} - {bad})) / {n}"
 
-def _best_first(cuts: dict[tuple[str, int], tuple[float, float]], feature: str, splits: int) -> list[float]:
-    """Cut points in the order a best-first tree takes them."""
+    score = f"{purity('n_left', 'bad_left')} + {purity('n_right', 'bad_right')}"
+    best = f"max(named_struct('score', {score}, 'lowest_first', lowest_first, 'cut', cut, 'n_left', n_left, 'bad_left', bad_left))"
+    return sides.groupBy("node_feature", "node").agg(F.expr(best).alias("best"))
+
+
+def _best_first(
+    cuts: dict[tuple[str, int], tuple[float, float]], looked_at: set[tuple[str, int]], feature: str, splits: int
+) -> tuple[list[float], bool]:
+    """Cut points in the order a best-first tree takes them, and whether that order is settled.
+
+    It is not while a node that could be next has yet to be looked at.
+    """
     order: list[float] = []
-    heap = [(-cuts[feature, 1][0], 1)] if (feature, 1) in cuts else []
-    while heap and len(order) < splits:
+    heap: list[tuple[float, int]] = []
+    fresh = [1]
+    while True:
+        if any((feature, node) not in looked_at for node in fresh):
+            return order, False
+        for node in fresh:
+            if (feature, node) in cuts:
+                heapq.heappush(heap, (-cuts[feature, node][0], node))
+        if not heap:
+            return order, True
         _, node = heapq.heappop(heap)
         order.append(cuts[feature, node][1])
-        for child in (2 * node, 2 * node + 1):
-            if (feature, child) in cuts:
-                heapq.heappush(heap, (-cuts[feature, child][0], child))
-    return order
+        if len(order) == splits:
+            return order, True
+        fresh = [2 * node, 2 * node + 1]
 
 
 # --- k-means ----------------------------------------------------------------------------------

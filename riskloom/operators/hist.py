@@ -25,22 +25,67 @@ def known(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def long_numeric(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., feature, value double): only the needed columns are read."""
-    wide = df.select(*keep, *[as_number(df, c).alias(c) for c in features])
-    return wide.unpivot(list(keep), list(features), "feature", "value")
+def long_numeric(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, value double)."""
+    return df.select(*[as_number(df, c).alias(c) for c in features]).unpivot([], list(features), "feature", "value")
 
 
-def long_text(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep..., feature, value string)."""
-    wide = df.select(*keep, *[known(df, c).cast("string").alias(c) for c in features])
-    return wide.unpivot(list(keep), list(features), "feature", "value")
+def long_text(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(feature, value string)."""
+    return df.select(*[known(df, c).cast("string").alias(c) for c in features]).unpivot([], list(features), "feature", "value")
 
 
-def histogram(long: DataFrame, target: str | None = None, by: Sequence[str] = ("feature",)) -> DataFrame:
-    """(by..., value, n[, bad]) with map-side combine, so a hot value costs one row per task."""
-    if target is None:
-        return long.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
-    return long.groupBy(*by, "value").agg(
+def names_of(features: Sequence[str], number: Column) -> Column:
+    return F.get(F.array(*map(F.lit, features)), number)
+
+
+def _long(df: DataFrame, values: Sequence[Column], target: str | None) -> DataFrame:
+    """(feature int, value[, target]): features travel as numbers, not as long names."""
+    keep = [] if target is None else [F.col(target).alias("target__")]
+    numbered = df.select(*keep, *[v.alias(str(i)) for i, v in enumerate(values)])
+    ids = ["target__"] if keep else []
+    long = numbered.unpivot(ids, [str(i) for i in range(len(values))], "feature", "value")
+    return long.withColumn("feature", F.col("feature").cast("int"))
+
+
+def _counted(long: DataFrame, features: Sequence[str], has_target: bool) -> DataFrame:
+    grouped = long.groupBy("feature", "value")
+    if has_target:
+        bad = F.coalesce(F.sum(F.col("target__").cast("bigint")), F.lit(0)).alias("bad")
+        counts = grouped.agg(F.count("target__").alias("n"), bad)
+    else:
+        counts = grouped.agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("feature", names_of(features, F.col("feature")))
+
+
+def numeric_histogram(
+    df: DataFrame, features: Sequence[str], target: str | None = None, fill: float | None = None
+) -> DataFrame:
+    """(feature, value double, n[, bad]) of all features: one scan of the needed columns, one shuffle.
+
+    Counts are combined in each task first, so a hot value costs one row per task. Gaps are a
+    null value, or ``fill``.
+    """
+    values = [as_number(df, c) if fill is None else F.coalesce(as_number(df, c), F.lit(fill)) for c in features]
+    return _counted(_long(df, values, target), features, target is not None)
+
+
+def text_histogram(
+    df: DataFrame, features: Sequence[str], target: str | None = None, fill: str | None = None
+) -> DataFrame:
+    """(feature, value string, n[, bad]); the same for values as text."""
+    texts = [known(df, c).cast("string") for c in features]
+    values = texts if fill is None else [F.coalesce(t, F.lit(fill)) for t in texts]
+    return _counted(_long(df, values, target), features, target is not None)
+
+
+def number_counts(df: DataFrame, numbers: dict[str, Column], target: str) -> DataFrame:
+    """(feature, value int, n, bad) of integer expressions such as bin numbers."""
+    return _counted(_long(df, list(numbers.values()), target), list(numbers), True)
+
+
+def histogram(frame: DataFrame, target: str, by: Sequence[str]) -> DataFrame:
+    """(by..., value, n, bad) of a frame that already has a value column."""
+    return frame.groupBy(*by, "value").agg(
         F.count(target).alias("n"), F.coalesce(F.sum(F.col(target).cast("bigint")), F.lit(0)).alias("bad")
     )

@@ -53,8 +53,8 @@ def locate(df: DataFrame, edges: str, value: str, out: str, size: int) -> DataFr
     df = df.withColumn(out, F.lit(0))
     step = 1 << max(size, 1).bit_length() - 1
     while step:
-        probe = F.get(edges, F.col(out) + F.lit(step - 1))
-        df = df.withColumn(out, F.when(probe <= F.col(value), F.col(out) + step).otherwise(F.col(out)))
+        found = f"CASE WHEN get({edges}, {out} + {step - 1}) <= {value} THEN {out} + {step} ELSE {out} END"
+        df = df.withColumn(out, F.expr(found))
         step >>= 1
     return df
 

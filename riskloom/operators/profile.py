@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.scoring import percent_text
-from riskloom.operators.hist import histogram, known, long_numeric, long_text
+from riskloom.operators.hist import known, long_numeric, numeric_histogram, text_histogram
 from riskloom.operators.prefix import TASK_ROWS, quantiles, rank_histogram
 from riskloom.session import materialize
 
@@ -134,7 +134,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, task_rows: int
     kinds = F.create_map(*[F.lit(x) for c in columns for x in (c, df.schema[c].dataType.simpleString())])
     reports = []
     if numeric:
-        hist, rows = materialize(histogram(long_numeric(df, numeric)), "profile-numeric")
+        hist, rows = materialize(numeric_histogram(df, numeric), "profile-numeric")
         stats = describe_numbers(hist, task_rows=task_rows, stored_rows=rows)
         values = ["mean", "std", "min", *[F.get("quantiles", F.lit(i)) for i in range(len(PERCENTILES))], "max"]
         details = [
@@ -142,7 +142,7 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, task_rows: int
         ]
         reports.append(value_shape(hist).join(stats, "feature", "left").select("feature", "size", "missing_q", "unique", "value_max_percent", *details))
     if discrete:
-        hist, _ = materialize(histogram(long_text(df, discrete)), "profile-discrete")
+        hist, _ = materialize(text_histogram(df, discrete), "profile-discrete")
         slots = frequent_values(hist).withColumn("slot", F.concat("kind", F.col("place").cast("string")))
         wide = slots.groupBy("feature").agg(
             *[F.max(F.when(F.col("slot") == s, F.col("text"))).alias(name) for s, name in zip(DISCRETE_NAMES, DETAIL_NAMES)]
@@ -182,7 +182,7 @@ def target_by_group(df: DataFrame, group: str, target: str) -> DataFrame:
 
 def describe_scores(df: DataFrame, columns: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
     """(feature, count, mean, std, min, q25, q50, q75, max, coverage) of probability and score columns."""
-    hist, stored = materialize(histogram(long_numeric(df, columns)), "score-describe")
+    hist, stored = materialize(numeric_histogram(df, columns), "score-describe")
     rows = hist.groupBy("feature").agg(F.sum("n").alias("rows"))
     stats = describe_numbers(hist, (0.25, 0.5, 0.75), task_rows, stored)
     return rows.join(stats, "feature", "left").select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import psi_term, to_score
 from riskloom.operators.cut import bin_number, interval_label
-from riskloom.operators.hist import as_number, long_text
+from riskloom.operators.hist import as_number, text_histogram
 
 # Thirteen score bins of width 50; a score of 950 or more has no bin.
 SCORE_EDGES = tuple(range(300, 951, 50))
@@ -19,14 +19,13 @@ SUBTOTAL = "[sum]"
 def psi_detail(current: DataFrame, base: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, value, current_share, base_share); null counts as a value.
 
-    One conditional aggregate over both frames: a single shuffle for all columns,
-    combined map-side, so a dominating value costs one row per task.
+    One aggregate over both frames: a single shuffle for all columns, combined map-side,
+    so a dominating value costs one row per task.
     """
-    side = long_text(current, features).withColumn("is_base", F.lit(0)).unionByName(
-        long_text(base, features).withColumn("is_base", F.lit(1))
-    )
-    counts = side.groupBy("feature", "value").agg(
-        F.count_if(F.col("is_base") == 0).alias("current_n"), F.count_if(F.col("is_base") == 1).alias("base_n")
+    # The base rows carry a 1 as target: its sum counts them, the rest are current rows.
+    sides = current.select(*features, F.lit(0).alias("is_base")).unionByName(base.select(*features, F.lit(1).alias("is_base")))
+    counts = text_histogram(sides, features, "is_base").select(
+        "feature", "value", (F.col("n") - F.col("bad")).alias("current_n"), F.col("bad").alias("base_n")
     )
     totals = counts.groupBy("feature").agg(
         F.sum("current_n").alias("current_all"), F.sum("base_n").alias("base_all")

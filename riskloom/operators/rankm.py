@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.hist import as_number, histogram, long_numeric
+from riskloom.operators.hist import as_number, histogram, numeric_histogram
 from riskloom.operators.prefix import TASK_ROWS, Ranked, rank_histogram
 from riskloom.roles import FILL_VALUE
 
@@ -92,8 +92,8 @@ def feature_metrics(
     df: DataFrame, features: Sequence[str], target: str, fill: float = FILL_VALUE, task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """(feature, auc, ks, n, bad) with each raw feature as the score: one job for all features."""
-    long = long_numeric(df, features, [target]).fillna(fill, subset=["value"])
-    return auc_ks(rank_histogram(histogram(long, target), ["feature"], task_rows=task_rows))
+    hist = numeric_histogram(df, features, target, fill)
+    return auc_ks(rank_histogram(hist, ["feature"], task_rows=task_rows))
 
 
 def metric_report(metrics: DataFrame, split: str, labels: dict, splits: Sequence[str] = ("test", "train")) -> DataFrame:

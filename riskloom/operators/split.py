@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,29 +37,23 @@ def split_points(df: DataFrame, key: str, target: str, test_size: float, seed: i
     """
     h = hash_order(key, seed)
     hashed = df.select(F.col(target).alias("cls"), h.alias("h"), F.substring(h, 1, BUCKET_DIGITS).alias("bucket"))
-    along = Window.partitionBy("cls").orderBy("bucket")
-    counts = hashed.groupBy("cls", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    edge = (
-        counts.select(
-            "cls",
-            "bucket",
-            "n",
-            (F.sum("n").over(along) - F.col("n")).alias("before"),
-            F.ceil(F.sum("n").over(Window.partitionBy("cls")) * test_size).alias("quota"),
-        )
-        .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
-        .select("cls", "bucket", (F.col("quota") - F.col("before")).alias("left"))
-        .collect()  # one row per class
-    )
+    counts = hashed.groupBy("cls", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # classes x 4096 at most
+    total: dict[int, int] = {}
+    for r in counts:
+        total[r["cls"]] = total.get(r["cls"], 0) + r["n"]
+    edge: dict[int, tuple[str, int]] = {}  # class: bucket in which the quota runs out, rows taken from it
+    left = {cls: math.ceil(n * test_size) for cls, n in total.items()}
+    for r in sorted(counts, key=lambda r: r["bucket"]):
+        if 0 < left[r["cls"]] <= r["n"]:
+            edge[r["cls"]] = (r["bucket"], left[r["cls"]])
+        left[r["cls"]] -= r["n"]
     if not edge:
         return {}
-    cut = None
-    for r in edge:
-        here = (F.col("cls") == r["cls"]) & (F.col("bucket") == r["bucket"])
-        cut = here if cut is None else cut | here
-    left = {r["cls"]: r["left"] for r in edge}
+    cut = F.lit(False)
+    for cls, (bucket, _) in edge.items():
+        cut = cut | ((F.col("cls") == cls) & (F.col("bucket") == bucket))
     place = F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("h"))
-    wanted = F.create_map(*[F.lit(x) for c, n in left.items() for x in (c, n)])
+    wanted = F.create_map(*[F.lit(x) for c, (_, n) in edge.items() for x in (c, n)])
     rows = (
         hashed.where(cut)
         .withColumn("place", place)
@@ -97,12 +92,17 @@ def time_split(df: DataFrame, time: str, train_until: str, test_until: str, spli
 def split_job(
     df: DataFrame, key: str, target: str, time: str, order: Sequence[str | Column], test_size: float = 0.25
 ) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Deduplicate, keep 0/1 targets, add the month, split; with bad rates by month and split."""
-    sample = keep_first(df, [key], order).where(F.col(target).isin(0, 1))
+    """Deduplicate, keep 0/1 targets, add the month, split.
+
+    Reports: rows per target value before the filter (anything besides 0 and 1 shows
+    there), bad rates by month and by split.
+    """
+    unique = keep_first(df, [key], order)
+    sample = unique.where(F.col(target).isin(0, 1))
     sample = sample.withColumn("apply_month", F.substring(F.col(time).cast("string"), 1, 7))
     labelled = stratified_split(sample, key, target, test_size)
     reports = {
-        "classes": labelled.groupBy(target).agg(F.count(F.lit(1)).alias("n")),
+        "classes": unique.groupBy(target).agg(F.count(F.lit(1)).alias("n")),
         "by_month": target_by_group(labelled, "apply_month", target),
         "by_split": target_by_group(labelled, "type", target),
     }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import bin_woe, category_woe
 from riskloom.operators.cut import bin_number, check_edges, interval_label
-from riskloom.operators.hist import as_number, histogram, long_numeric, long_text
+from riskloom.operators.hist import as_number, number_counts, numeric_histogram, text_histogram
 from riskloom.roles import FILL_VALUE
 
 # Key of the entry for unseen categories inside our tables; JSON files call it 'other'.
@@ -28,9 +28,7 @@ def bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], target: str)
     Values are cut while still wide, so the shuffle carries bins, not rows.
     A missing value forms its own bin with null bin_id.
     """
-    features = list(edges)
-    wide = df.select(target, *[bin_number(as_number(df, c), edges[c]).alias(c) for c in features])
-    counts = histogram(wide.unpivot([target], features, "feature", "value"), target)
+    counts = number_counts(df, {c: bin_number(as_number(df, c), e) for c, e in edges.items()}, target)
     return describe_bins(counts.withColumnRenamed("value", "bin_id"), edges)
 
 
@@ -59,7 +57,7 @@ def describe_bins(counts: DataFrame, edges: Mapping[str, Sequence[float]]) -> Da
 
 def value_counts_as_bins(df: DataFrame, features: Sequence[str], target: str, fill: float = FILL_VALUE) -> DataFrame:
     """Each distinct number as its own bin, missing filled: the table of an unbinned feature."""
-    counts = histogram(long_numeric(df, features, [target]).fillna(fill, subset=["value"]), target)
+    counts = numeric_histogram(df, features, target, fill)
     return counts.select("feature", F.col("value").alias("lo"), "n", "bad")
 
 
@@ -129,8 +127,7 @@ def _quality(full: DataFrame, by: Sequence[str], min_share: float | None) -> Dat
 
 def category_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """(feature, value, n, bad) of non-null categories, all features in one pass."""
-    long = long_text(df, features, [target])
-    return histogram(long.where(F.col("value").isNotNull()), target)
+    return text_histogram(df, features, target).where(F.col("value").isNotNull())
 
 
 def with_category_woe(counts: DataFrame) -> DataFrame:
@@ -165,7 +162,7 @@ def top_category_woe_table(df: DataFrame, features: Sequence[str], target: str,
     The rank filter is pushed below the shuffle as a per-task limit, so only
     ``top`` rows per feature and task are exchanged.
     """
-    counts = histogram(long_text(df, features, [target]).fillna(MISSING, subset=["value"]), target)
+    counts = text_histogram(df, features, target, MISSING)
     order = Window.partitionBy("feature").orderBy(F.desc("n"), "value")
     best = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top)
     merged = (

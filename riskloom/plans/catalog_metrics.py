@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import to_score
 from riskloom.operators import binning, profile, psi, rankm, select, woe
-from riskloom.operators.hist import histogram, long_numeric, long_text
+from riskloom.operators.hist import numeric_histogram, text_histogram
 from riskloom.plans.catalog_tables import BIN_SQL, EDGES, WITH, WITH_SPLIT, woe_columns
 from riskloom.plans.fixtures import DOC_SQL, doc_quality, loan_wide, with_time_split
 from riskloom.plans.jobs import model_statistics
@@ -198,7 +198,7 @@ cp AS (SELECT key, count(*) AS n, sum(target) AS bad FROM k GROUP BY key)"""
 
 @query("equal_width_points", f"{WITH}, {POINT_SQL} SELECT 'f_bal' AS feature, round(key, 6) AS key, {N('n', 'n')}, {N('bad', 'bad')} FROM cp")
 def equal_width_points(spark, sf):
-    usable = histogram(long_numeric(loan_wide(spark, sf), ["f_bal"], ["target"]), "target").where(F.col("value").isNotNull())
+    usable = numeric_histogram(loan_wide(spark, sf), ["f_bal"], "target").where(F.col("value").isNotNull())
     return binning.chi_points(usable).select("feature", F.round("key", 6).alias("key"), "n", "bad")
 
 
@@ -209,7 +209,7 @@ SELECT 'f_nation' AS feature, CAST(key AS DOUBLE) AS key, {R('''CASE WHEN r IN (
   (bad - n * r) ** 2 / (n * r) + (b2 - n2 * r) ** 2 / (n2 * r) + ((n - bad) - n * (1 - r)) ** 2 / (n * (1 - r)) +
   ((n2 - b2) - n2 * (1 - r)) ** 2 / (n2 * (1 - r)) END''', 'chi')} FROM r""")
 def adjacent_chi_square(spark, sf):
-    usable = histogram(long_numeric(loan_wide(spark, sf), ["f_nation"], ["target"]), "target")
+    usable = numeric_histogram(loan_wide(spark, sf), ["f_nation"], "target")
     return rounded(binning.adjacent_chi(binning.chi_points(usable)).select("feature", "key", "chi"))
 
 
@@ -362,7 +362,7 @@ def score_psi(spark, sf):
 SELECT feature, {N('count(t)', '"count"')}, {R('avg(t)', 'mean')}, {R('stddev_samp(t)', 'std', 5)}, {R('min(t)', 'min')}, {R('max(t)', 'max')},
   {', '.join(R(f'quantile_cont(t, {p})', f'q{int(p * 100)}') for p in profile.PERCENTILES)} FROM d GROUP BY feature""")
 def numeric_describe(spark, sf):
-    stats = profile.describe_numbers(histogram(long_numeric(loan_wide(spark, sf), NUMBERS)))
+    stats = profile.describe_numbers(numeric_histogram(loan_wide(spark, sf), NUMBERS))
     cuts = [F.get("quantiles", F.lit(i)).alias(f"q{int(p * 100)}") for i, p in enumerate(profile.PERCENTILES)]
     out = rounded(stats.select("feature", "count", "mean", "std", "min", "max", *cuts))
     return out.withColumn("std", F.round("std", 5) + F.lit(0.0))
@@ -379,7 +379,7 @@ fx AS (SELECT feature, 'top' AS kind, CAST(t AS INTEGER) AS place, v || ':' || p
 
 @query("frequent_values", f"{WITH}, {FREQ_SQL} SELECT * FROM fx")
 def frequent_values(spark, sf):
-    return profile.frequent_values(histogram(long_text(loan_wide(spark, sf), ["c_seg", "c_nat", "c_prio"])))
+    return profile.frequent_values(text_histogram(loan_wide(spark, sf), ["c_seg", "c_nat", "c_prio"]))
 
 
 @query("value_shape", f"""{WITH}, d AS (SELECT 'f_price' AS feature, CAST(f_price AS VARCHAR) AS v FROM lw UNION ALL SELECT 'f_nation', CAST(f_nation AS VARCHAR) FROM lw
@@ -387,7 +387,7 @@ UNION ALL SELECT 'f_sparse', CAST(f_sparse AS VARCHAR) FROM lw UNION ALL SELECT
 SELECT feature, {N('sum(n)', 'size')}, {R('coalesce(sum(n) FILTER (WHERE v IS NULL), 0) / CAST(sum(n) AS DOUBLE)', 'missing_q')},
   {N('count(v)', '"unique"')}, {R('max(n) / CAST(sum(n) AS DOUBLE)', 'value_max_percent')} FROM k GROUP BY feature""")
 def value_shape(spark, sf):
-    return rounded(profile.value_shape(histogram(long_text(loan_wide(spark, sf), ["f_price", "f_nation", "f_sparse", "c_seg"]))))
+    return rounded(profile.value_shape(text_histogram(loan_wide(spark, sf), ["f_price", "f_nation", "f_sparse", "c_seg"])))
 
 
 @query("blank_counts", f"""{WITH}, d AS (SELECT 'f_price' AS feature, f_price IS NULL AS b FROM lw UNION ALL SELECT 'c_seg', c_seg IS NULL FROM lw UNION ALL SELECT 'f_nation', f_nation IS NULL FROM lw)

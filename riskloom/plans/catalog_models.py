@@ -15,6 +15,7 @@ from riskloom.plans.jobs import TrainingPlan, score_batch, train
 from riskloom.plans.registry import N, R, edges_sql, query, rounded, score_sql
 from riskloom.roles import Roles
 from riskloom.session import materialize, scratch_path
+from riskloom.sources.params import categories_to_json
 from riskloom.sources.treedump import dump_lines, parse_dump, read_dump, score_dump, write_dump
 from riskloom.streaming.scoring import read_arrivals, write_scored
 
@@ -106,27 +107,29 @@ def parameter_search(spark, sf):
 ROLES = Roles(ignore=("p", "month"))
 
 
-def _trained(spark, sf):
-    folder = scratch_path(spark, "training")
-    wide = loan_wide(spark, sf)
+@query("training_job")
+def training_job(spark, sf):
     plan = TrainingPlan(
         "lhp09p23", "lhp09p23", drop=("p", "month"), sweep=model.TreeParams(3, 3, min_child_weight=10), sweep_rates=(0.5, 1.0),
         init_points=2, iterations=2, ranges=SMALL_RANGES, top=4,
     )
-    return train(wide, ROLES, plan, folder), folder
-
-
-@query("training_job")
-def training_job(spark, sf):
-    result, _ = _trained(spark, sf)
-    return rounded(result.reports["report"])
+    return rounded(train(loan_wide(spark, sf), ROLES, plan, scratch_path(spark, "training")).reports["report"])
 
 
 @query("scoring_job")
 def scoring_job(spark, sf):
-    result, folder = _trained(spark, sf)
-    keys = result.scored.where(F.col("type") == "test").select("apply_no")
-    return rounded(score_batch(spark, loan_wide(spark, sf).drop("p"), folder, ROLES, keys).select("apply_no", "target", "p", "score"))
+    """Parameters saved from a fit on train, then applied to the held-out keys."""
+    folder = scratch_path(spark, "scoring")
+    wide = loan_wide(spark, sf).drop("p")
+    ready = stratified_split(wide, "apply_no", "target")
+    train_rows, test_rows = _parts(ready)
+    woe = category_woe_table(train_rows, ["c_prio", "c_seg"], "target")
+    categories_to_json(woe, folder)
+    features = [*FEATURES, "c_prio", "c_seg"]
+    coded = encode_categories(ready, woe_by_category(woe)).select("apply_no", "target", "type", *features)
+    _small_fit(coded, features).save(f"{folder}/trees")
+    keys = test_rows.select("apply_no")
+    return rounded(score_batch(spark, wide, folder, ROLES, keys).select("apply_no", "target", "p", "score"))
 
 
 # --- streaming: the same apply functions on a stream ------------------------------------------

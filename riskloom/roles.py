@@ -1,11 +1,10 @@
-"""Column roles of an application table and the checks made before a fit."""
+"""Column roles of an application table."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILL_VALUE = -999999.0
@@ -31,11 +30,3 @@ def numeric_columns(df: DataFrame, columns: list[str] | None = None) -> list[str
     return [
         f.name for f in df.schema.fields if f.name in wanted and isinstance(f.dataType, T.NumericType)
     ]
-
-
-def require_binary_target(df: DataFrame, target: str) -> None:
-    """Raise unless every target value is 0 or 1 (null counts as a violation)."""
-    col = F.col(target)
-    wrong = df.agg(F.count_if(col.isNull() | ~col.isin(0, 1)).alias("wrong")).first()["wrong"]
-    if wrong:
-        raise ValueError(f"{wrong} rows have a {target} outside 0/1")

@@ -18,6 +18,8 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call sites are not recorded for every column expression: building plans gets much cheaper.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -44,7 +46,22 @@ def workspace(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{workspace(spark)}/riskloom/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{workspace(spark)}/riskloom/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession, folder: str | None = None) -> bool:
+    """Delete the intermediate tables of this application, once its results are written elsewhere."""
+    own = _own_folder(spark)
+    target = folder or own
+    if not target.startswith(own):
+        raise ValueError(f"{target} is not an intermediate table of this application")
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> tuple[DataFrame, int]:

@@ -178,6 +178,18 @@ def test_chi_merge_against_brute_force(frame, pdf):
         assert made.edges[f] == pytest.approx(pick(x, y, ladder.__getitem__))
 
 
+def test_chi_merge_with_left_labels(frame, pdf):
+    """The compatible variant keeps the left point of a merged pair, as a plain list merge shows."""
+    rules = B.BinRules(monotonic=False, n_bins=4, reference_labels=True)
+    x, _ = values(pdf, "a")
+    x = x[x != SV]
+    size = (x.max() - x.min()) / 100
+    points = [x.min() + i * size for i in range(1, 101)]
+    left = B.fit_bins(frame, ["a"], "target", "chi", rules).edges["a"]
+    right = B.fit_bins(frame, ["a"], "target", "chi", B.BinRules(monotonic=False, n_bins=4)).edges["a"]
+    assert len(left) == len(right) and left[2] == pytest.approx(points[0]) and left != right
+
+
 @pytest.mark.parametrize("method", sorted(B.METHODS))
 def test_summary_covers_all_rows(frame, method):
     made = B.fit_bins(frame, ["a", "b", "c"], "target", method)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators import prefix, profile, split
 from riskloom.operators.cut import INF, cut_columns
-from riskloom.operators.hist import histogram, long_numeric, long_text
+from riskloom.operators.hist import numeric_histogram, text_histogram
 from riskloom.operators.rankm import auc_ks
 from riskloom.operators.woe import bin_counts, encode_categories
 from riskloom.plans.fixtures import loan_wide, table
@@ -44,12 +44,12 @@ def test_filters_reach_the_scan(spark, sf):
 def test_rank_limits_run_before_the_shuffle(spark, sf):
     first = split.keep_first(table(spark, sf, "lineitem"), ["l_orderkey"], ["l_linenumber", "l_partkey"])
     assert plan(first).count("WindowGroupLimit") == 2
-    top = profile.frequent_values(histogram(long_text(loan_wide(spark, sf), ["c_nat"])))
+    top = profile.frequent_values(text_histogram(loan_wide(spark, sf), ["c_nat"]))
     assert plan(top).count("WindowGroupLimit") == 4
 
 
 def test_row_level_windows_are_never_one_task(spark, sf):
-    hist = histogram(long_numeric(loan_wide(spark, sf), ["f_price"], ["target"]), "target")
+    hist = numeric_histogram(loan_wide(spark, sf), ["f_price"], "target")
     text = plan(auc_ks(prefix.rank_histogram(hist, ["feature"], task_rows=50)))
     assert "SinglePartition" not in text
     windows = re.findall(r"Window \[.*?\], \[(.*?)\]", text)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.hist import histogram, long_numeric
+from riskloom.operators.hist import histogram, numeric_histogram
 from riskloom.operators.prefix import locate, quantiles, rank_histogram
 from riskloom.operators.rankm import auc_ks, feature_metrics, metrics_by_split, require_two_classes, running_shares, score_metrics
 
@@ -44,7 +44,7 @@ def test_locate_counts_edges_at_or_below(spark):
 @pytest.mark.parametrize("task_rows", [10**6, 40, 3])
 def test_running_counts_do_not_depend_on_buckets(frame, task_rows):
     pdf = frame.toPandas()
-    ranked = rank_histogram(histogram(long_numeric(frame, ["a", "b"], ["target"]), "target"), ["feature"], task_rows=task_rows)
+    ranked = rank_histogram(numeric_histogram(frame, ["a", "b"], "target"), ["feature"], task_rows=task_rows)
     got = ranked.rows.toPandas()
     for f in ("a", "b"):
         part = got[got.feature == f].sort_values("value").reset_index(drop=True)
@@ -69,7 +69,7 @@ def test_ranks_of_text(spark, task_rows):
 def test_quantiles_are_exact(frame, task_rows):
     probs = [0.0, 0.01, 0.1, 0.5, 0.75, 0.99, 1.0]
     x = np.array([r["a"] for r in frame.select("a").collect()])
-    hist = histogram(long_numeric(frame, ["a"], ["target"]), "target")
+    hist = numeric_histogram(frame, ["a"], "target")
     got = {r["prob"]: r["quantile"] for r in quantiles(rank_histogram(hist, ["feature"], task_rows=task_rows), probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(np.quantile(x, p), abs=1e-12)
@@ -118,5 +118,5 @@ def test_running_shares_end_at_one(frame):
 
 def test_missing_scores_are_left_out(spark):
     df = spark.createDataFrame([(0.1, 0), (0.9, 1), (None, 1), (float("nan"), 0)], "p double, target int")
-    row = auc_ks(rank_histogram(histogram(df.select(F.lit("x").alias("feature"), F.nanvl("p", F.lit(None).cast("double")).alias("value"), "target"), "target"), ["feature"])).first()
+    row = auc_ks(rank_histogram(histogram(df.select(F.lit("x").alias("feature"), F.nanvl("p", F.lit(None).cast("double")).alias("value"), "target"), "target", ["feature"]), ["feature"])).first()
     assert (row["auc"], row["n"]) == (1.0, 2)

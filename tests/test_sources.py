@@ -21,6 +21,11 @@ def test_workspace_comes_from_the_session(spark):
     df, rows = session.materialize(spark.range(10), "test")
     assert rows == 10 and df.count() == 10
     assert session.workspace(spark).removeprefix("file:") in df.inputFiles()[0]
+    folder = session.scratch_path(spark, "drop-me")
+    df.write.parquet(folder)
+    assert session.clear_scratch(spark, folder) and not session.clear_scratch(spark, folder)
+    with pytest.raises(ValueError):
+        session.clear_scratch(spark, session.workspace(spark))
 
 
 def test_csv_round_trip_with_schema(spark, folder):

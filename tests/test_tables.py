@@ -180,6 +180,7 @@ def test_split_job_cleans_the_sample(spark, sample):
     )
     labelled, reports = split.split_job(dirty, "apply_no", "target", "apply_time", ["apply_time"])
     assert labelled.count() == 5000 and {r["apply_month"] for r in labelled.select("apply_month").distinct().collect()} == {"2019-08"}
+    assert {r["target"]: r["n"] for r in reports["classes"].collect()} == {0: 4285, 1: 715, 2: 1, None: 1}
     rates = {r["type"]: r["mean"] for r in reports["by_split"].collect()}
     assert rates["train"] == pytest.approx(rates["test"], abs=1e-3)
 

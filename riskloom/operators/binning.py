@@ -24,7 +24,7 @@ from riskloom.operators.cut import cut_columns
 from riskloom.operators.hist import numeric_histogram
 from riskloom.operators.prefix import TASK_ROWS, locate, quantiles, rank_histogram
 from riskloom.operators.woe import _quality, bin_counts, bin_quality, describe_bins, woe_by_bin, woe_table
-from riskloom.roles import FILL_VALUE
+from riskloom.roles import FILL_VALUE, numeric_columns
 from riskloom.session import materialize
 
 SPECIAL_WIDTH = 0.001
@@ -63,9 +63,10 @@ class Binning:
 
 
 def fit_bins(
-    df: DataFrame, features: Sequence[str], target: str, method: str = "dt", rules: BinRules | None = None
+    df: DataFrame, features: Sequence[str] | None, target: str, method: str = "dt", rules: BinRules | None = None
 ) -> Binning:
-    """Fit edges by 'equal_freq', 'dt', 'kmeans' or 'chi'."""
+    """Fit edges by 'equal_freq', 'dt', 'kmeans' or 'chi'; without a list, of all numeric columns but the target."""
+    features = list(features or [c for c in numeric_columns(df) if c != target])
     if method not in METHODS:
         raise ValueError(f"unknown binning method {method!r}, use one of {sorted(METHODS)}")
     rules = rules or BinRules()

@@ -133,7 +133,8 @@ def rank_histogram(
         return Ranked(rows_df, tuple(by), hist)
 
     stored = hist
-    hist = locate(hist.join(edges, by), "edges", "value", "bucket", buckets).drop("edges")
+    # A group without splitters (too small to be sampled) stays in one bucket.
+    hist = locate(hist.join(edges, by, "left"), "edges", "value", "bucket", buckets).drop("edges")
     # Per (group, bucket): at most groups x buckets rows, so these windows stay small.
     along = whole.orderBy("bucket")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)

@@ -110,7 +110,7 @@ ROLES = Roles(ignore=("p", "month"))
 @query("training_job")
 def training_job(spark, sf):
     plan = TrainingPlan(
-        "lhp09p23", "lhp09p23", drop=("p", "month"), sweep=model.TreeParams(3, 3, min_child_weight=10), sweep_rates=(0.5, 1.0),
+        "demo", "demo", drop=("p", "month"), sweep=model.TreeParams(3, 3, min_child_weight=10), sweep_rates=(0.5, 1.0),
         init_points=2, iterations=2, ranges=SMALL_RANGES, top=4,
     )
     return rounded(train(loan_wide(spark, sf), ROLES, plan, scratch_path(spark, "training")).reports["report"])

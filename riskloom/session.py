@@ -20,6 +20,9 @@ def build_session(app: str = "riskloom", master: str | None = None, **conf: str)
         .config("spark.ui.enabled", "false")
         # Call sites are not recorded for every column expression: building plans gets much cheaper.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        # The JVM never compiles methods above 8,000 bytes. Expressions over hundreds of columns or
+        # trees exceed that when a whole stage is one method; this lets Spark split them instead.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

@@ -204,7 +204,8 @@ def test_summary_covers_all_rows(frame, method):
 def test_odd_features(spark, method):
     rows = [(1.0, SV, float(i % 2), i % 2) for i in range(100)]
     df = spark.createDataFrame(rows, "single double, special double, two double, target int")
-    made = B.fit_bins(df, ["single", "special", "two"], "target", method)
+    made = B.fit_bins(df, [], "target", method)
+    assert list(made.edges) == ["single", "special", "two"]
     assert made.edges["single"] == [-math.inf, SV + 0.001, math.inf]
     assert made.edges["special"] == [-math.inf, SV + 0.001, math.inf]
     assert len(made.edges["two"]) == 4 and 0 < made.edges["two"][2] <= 1

@@ -30,7 +30,7 @@ def parts(wide):
 def trained(spark, wide):
     folder = scratch_path(spark, "test-training")
     plan = TrainingPlan(
-        "lhp09p23", "lhp09p23", drop=("p", "month"), sweep=SMALL, sweep_rates=(0.5, 1.0), init_points=2, iterations=1,
+        "demo", "demo", drop=("p", "month"), sweep=SMALL, sweep_rates=(0.5, 1.0), init_points=2, iterations=1,
         ranges=RANGES, top=3, bin_method="equal_freq",
     )
     return train(wide, ROLES, plan, folder), folder

@@ -61,8 +61,11 @@ def test_running_counts_do_not_depend_on_buckets(frame, task_rows):
 def test_ranks_of_text(spark, task_rows):
     words = [f"customer#{i:05d}" for i in range(400)] + ["a", "é", "zz"]
     df = spark.createDataFrame([("t", w, 1, 0) for w in words], "feature string, value string, n bigint, bad bigint")
-    got = rank_histogram(df, ["feature"], task_rows=task_rows).rows.select("value", "n_before").collect()
-    assert {r["value"]: r["n_before"] for r in got} == {w: i for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
+    few = [("u", w, 1, 0) for w in ("q", "p")]  # next to a large group, likely without any splitter
+    df = df.union(spark.createDataFrame(few, df.schema))
+    got = rank_histogram(df, ["feature"], task_rows=task_rows).rows.select("feature", "value", "n_before").collect()
+    want = {("t", w): i for i, w in enumerate(sorted(words, key=lambda w: w.encode()))}
+    assert {(r["feature"], r["value"]): r["n_before"] for r in got} == {**want, ("u", "p"): 0, ("u", "q"): 1}
 
 
 @pytest.mark.parametrize("task_rows", [10**6, 25])

@@ -136,6 +136,12 @@ def corr_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def filled_corr(df: DataFrame, columns: Sequence[str], fill: float = CORR_FILL) -> pd.DataFrame:
     """Absolute Pearson matrix after filling gaps: one pass, columns x columns on the driver."""
     wide = df.select(*[F.coalesce(as_number(df, c), F.lit(fill)).alias(c) for c in columns])
+    if len(columns) * (len(columns) - 1) // 2 <= CHUNK:
+        square = pd.DataFrame(np.eye(len(columns)), index=list(columns), columns=list(columns))
+        for r in pairwise_corr(wide, columns).collect() if len(columns) > 1 else []:
+            r_abs = np.nan if r["corr"] is None else abs(r["corr"])
+            square.loc[r["f1"], r["f2"]] = square.loc[r["f2"], r["f1"]] = r_abs
+        return square
     vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(wide).select("v")
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     return pd.DataFrame(np.abs(matrix), index=list(columns), columns=list(columns))

@@ -181,7 +181,7 @@ def label_rows(table: DataFrame, roles: Roles, test_size: float) -> tuple[DataFr
     only otherwise is the wide table joined to the sample.
     """
     narrow = table.select(roles.key, roles.target, roles.time)
-    sample, reports = split_job(narrow, roles.key, roles.target, roles.time, [F.col(roles.time)], test_size)
+    sample, reports = split_job(narrow, roles.key, roles.target, roles.time, [roles.time, roles.target], test_size)
     target = F.col(roles.target)
     per_key = narrow.groupBy(roles.key).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(target.isNull() | ~target.isin(0, 1)).alias("wrong")

@@ -235,10 +235,13 @@ def test_pairwise_correlation(wide, how):
         assert r["corr"] == pytest.approx(want.loc[r["f1"], r["f2"]], abs=1e-9)
 
 
-def test_filled_correlation(wide):
+def test_filled_correlation(wide, monkeypatch):
     pdf, df = wide
     want = pdf.fillna(-999).corr().abs()
     assert np.allclose(select.filled_corr(df, list("abcdef")).to_numpy(), want.to_numpy(), atol=1e-9)
+    assert select.filled_corr(df, ["a"]).to_numpy().tolist() == [[1.0]]
+    monkeypatch.setattr(select, "CHUNK", 3)  # many columns
+    assert np.allclose(select.filled_corr(df, list("abcdef")).to_numpy(), want.to_numpy(), atol=1e-9)
 
 
 def test_pruning(wide):

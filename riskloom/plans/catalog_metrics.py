@@ -178,6 +178,23 @@ def bins_decision_tree(spark, sf):
     return _fitted(spark, sf, "dt")
 
 
+@query("tree_best_cut", f"""{WITH}, l AS (SELECT 'f_price' AS feature, f_price AS v, target FROM lw UNION ALL SELECT 'f_bal', f_bal, target FROM lw
+UNION ALL SELECT 'f_nation', CAST(f_nation AS DOUBLE), target FROM lw),
+hh AS (SELECT feature, v, count(*) AS n, sum(target) AS bad FROM l WHERE v IS NOT NULL GROUP BY 1, 2),
+cu AS (SELECT feature, v, CAST(sum(n) OVER w AS DOUBLE) AS nl, CAST(sum(bad) OVER w AS DOUBLE) AS bl,
+  CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS nt, CAST(sum(bad) OVER (PARTITION BY feature) AS DOUBLE) AS bt
+  FROM hh WINDOW w AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING)),
+nx AS (SELECT *, lead(v) OVER (PARTITION BY feature ORDER BY v) AS nxt, nt - nl AS nr, bt - bl AS br FROM cu),
+gi AS (SELECT feature, (v + nxt) / 2 AS cut, v, (bl * bl + (nl - bl) * (nl - bl)) / nl + (br * br + (nr - br) * (nr - br)) / nr AS g
+  FROM nx WHERE nl >= ceil(0.05 * nt) AND nr >= ceil(0.05 * nt))
+SELECT feature, {R('cut', 'cut')} FROM gi QUALIFY row_number() OVER (PARTITION BY feature ORDER BY g DESC, v) = 1""")
+def tree_best_cut(spark, sf):
+    """The root cut of each feature's tree: the Gini search over every distinct value."""
+    made = binning.fit_bins(loan_wide(spark, sf), NUMBERS, "target", "dt", binning.BinRules(n_bins=2))
+    rows = [(f, edges[2]) for f, edges in made.edges.items()]
+    return rounded(spark.createDataFrame(rows, "feature string, cut double"))
+
+
 @query("bins_k_means")
 def bins_k_means(spark, sf):
     return _fitted(spark, sf, "kmeans")

@@ -302,8 +302,8 @@ SELECT feature, {N('count(t)', '"count"')}, {R('avg(t)', 'mean')}, {R('stddev_sa
 
 @query("score_describe", DESC_SQL)
 def score_describe(spark, sf):
-    out = rounded(profile.describe_scores(_scored(spark, sf), ["p", "score", "f_bal"]))
-    return out.withColumn("std", F.round("std", 5) + F.lit(0.0))
+    out = profile.describe_scores(_scored(spark, sf), ["p", "score", "f_bal"])
+    return rounded(out.withColumn("std", F.round("std", 5)))
 
 
 # --- stability --------------------------------------------------------------------------------
@@ -381,8 +381,8 @@ SELECT feature, {N('count(t)', '"count"')}, {R('avg(t)', 'mean')}, {R('stddev_sa
 def numeric_describe(spark, sf):
     stats = profile.describe_numbers(numeric_histogram(loan_wide(spark, sf), NUMBERS))
     cuts = [F.get("quantiles", F.lit(i)).alias(f"q{int(p * 100)}") for i, p in enumerate(profile.PERCENTILES)]
-    out = rounded(stats.select("feature", "count", "mean", "std", "min", "max", *cuts))
-    return out.withColumn("std", F.round("std", 5) + F.lit(0.0))
+    out = stats.select("feature", "count", "mean", "std", "min", "max", *cuts)
+    return rounded(out.withColumn("std", F.round("std", 5)))
 
 
 FREQ_SQL = """

@@ -38,6 +38,7 @@ FOOTER = "<QQQQII8s"
 BLOCK_IDS = 4096
 SHARD_IDS = 1 << 25
 READ_IDS = 1 << 20
+READ_TASKS = 20_000
 MANIFEST = "part int, number int, path string, n_ids bigint, n_docs bigint"
 
 
@@ -152,7 +153,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, bits: int,
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], MANIFEST_NAMES)
 
     for batch in batches:
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", 12 << 20):
             if shard is None:
                 shard = ShardWriter(f"{folder}/{part:06d}-{number:04d}-{uuid.uuid4().hex}.tok", bits)
             shard.add(rows.column("id"), *with_end(*tok.encode(rows.column("text")), end))
@@ -217,15 +218,18 @@ def write_packed(df: DataFrame, path: str, end: int = 1, id_col: str = "doc_id",
     return running_start(ordered, "place", "n_ids", "start", width=1024 * 100_000).drop("place")
 
 
+def _dealt(manifest: DataFrame) -> DataFrame:
+    """Shards to read, a few per task at most; they are few and Spark would put them all into one."""
+    return manifest.select("path", "start").repartition(max(1, min(READ_TASKS, manifest.count())), "path")
+
+
 def read_packed(manifest: DataFrame) -> DataFrame:
     """(doc_id, start, ids array<int>) of every document in the shards; start counts all ids before it."""
-    rows = manifest.select("path", "start").repartition("path")
-    return rows.mapInArrow(_read, "doc_id bigint, start bigint, ids array<int>")
+    return _dealt(manifest).mapInArrow(_read, "doc_id bigint, start bigint, ids array<int>")
 
 
 def packed_checksums(manifest: DataFrame) -> DataFrame:
     """Per document start, n_tokens and crc32, from the files."""
-    rows = manifest.select("path", "start").repartition("path")
-    return rows.mapInArrow(
+    return _dealt(manifest).mapInArrow(
         lambda batches: _checksums(_read(batches)), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )

@@ -29,13 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, flat_lists, int32_lists, slices
-from riskloom.llm.tokens import with_end, word_bpe
+from riskloom.llm.common import broadcast_if_small, slices
+from riskloom.llm.tokens import id_bytes, with_end, word_bpe
 from riskloom.session import materialize
 
 CAPACITY = 2048
 DENSE = 64
-PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, k int, part int, nth bigint, ids array<int>"
+PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, k int, part int, nth bigint, ids binary"
 PACKED = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
@@ -63,9 +63,10 @@ def cuts(capacity: int) -> list[list[tuple[int, int]]]:
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: int) -> Iterator[pa.RecordBatch]:
     tok, plan, part = word_bpe(path), cuts(capacity), TaskContext.get().partitionId()
+    width = id_bytes(tok.vocabulary())
     counts: dict[int, int] = defaultdict(int)
     for batch in batches:
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", 12 << 20):
             ids, offsets = with_end(*tok.encode(rows.column("text")), end)
             owner, start, length, kind, nth = [], [], [], [], []
             for i, n in enumerate(np.diff(offsets).tolist()):
@@ -87,7 +88,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: int)
                     pa.array(kind, pa.int32()),
                     pa.array([part] * len(owner), pa.int32()),
                     pa.array(nth, pa.int64()),
-                    int32_lists(ids, np.concatenate([[0], np.cumsum(length, dtype=np.int64)])),
+                    binary(ids.astype(f"<u{width}"), np.concatenate([[0], np.cumsum(length, dtype=np.int64)])),
                 ],
                 ["doc_id", "start", "length", "doc_tokens", "k", "part", "nth", "ids"],
             )
@@ -98,6 +99,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
 
+    ``ids`` is binary: unsigned little-endian numbers of 2 bytes if they hold the vocabulary, else 4 (``unpack_ids``).
     ``path``: a ``tokenizers`` file found on every executor.
     """
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
@@ -123,10 +125,11 @@ def pack(
     full = placed.where("g < whole").withColumns({"sequence_id": F.expr("first + g div k"), "slot": F.expr("g % k")})
     filled = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     full = full.withColumn("offset", F.coalesce(F.sum("length").over(filled), F.lit(0)))
-    return full.select(PACKED).unionByName(_leftovers(placed.where("g >= whole"), base, capacity))
+    width = id_bytes(word_bpe(path).vocabulary())
+    return full.select(PACKED).unionByName(_leftovers(placed.where("g >= whole"), base, capacity, width))
 
 
-def _leftovers(rest: DataFrame, base: int, capacity: int) -> DataFrame:
+def _leftovers(rest: DataFrame, base: int, capacity: int, width: int) -> DataFrame:
     """Fewer than k pieces of each class k, end to end. Their number is bounded by the classes alone."""
     line = Window.orderBy("k", "g").rowsBetween(Window.unboundedPreceding, -1)
     laid = rest.withColumn("at", F.coalesce(F.sum("length").over(line), F.lit(0)))
@@ -141,15 +144,25 @@ def _leftovers(rest: DataFrame, base: int, capacity: int) -> DataFrame:
         "doc_tokens",
         (F.col("s") + base).alias("sequence_id"),
         F.expr(f"a - s * {capacity}").alias("offset"),
-        F.expr("slice(ids, cast(a - at + 1 AS int), cast(b - a AS int))").alias("ids"),
+        F.expr(f"substring(ids, cast((a - at) * {width} + 1 AS int), cast((b - a) * {width} AS int))").alias("ids"),
     )
 
 
+def binary(values: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
+    """Each part of a flat array as bytes; the parts follow one another."""
+    places = (offsets * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def unpack_ids(data: bytes, length: int) -> np.ndarray:
+    """The ids of a piece of ``length`` ids."""
+    return np.frombuffer(data, f"<u{len(data) // max(length, 1) or 2}").astype("<u4")
+
+
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values, offsets = flat_lists(batch.column("ids"))
-        view = memoryview(values.astype("<u4")).cast("B")
-        crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:])]
+        pieces = zip(batch.column("ids"), batch.column("length").to_pylist())
+        crc = [zlib.crc32(unpack_ids(x.as_buffer(), n)) for x, n in pieces]
         keep = [batch.column(c) for c in PACKED[:-1]]
         yield pa.RecordBatch.from_arrays([*keep, pa.array(crc, pa.int64())], [*PACKED[:-1], "ids_crc32"])
 

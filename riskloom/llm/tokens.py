@@ -17,7 +17,10 @@ import pyarrow.compute as pc
 from riskloom.llm.words import split_words
 
 _TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-_PLAIN = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+# Letters of Latin-1: single code points in normal form, lower-cased one by one.
+_LETTERS = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+"
+_SIMPLE = "^" + _LETTERS + r"[!-&(-/:-@\[-`{-~]*$"
+_JOINED = 2000
 # Between a letter or digit and a space or line feed no match of the split pattern goes on.
 _SAFE_CUT = re.compile(r"(?<=[^\W_])(?=[ \n])")
 
@@ -26,20 +29,44 @@ class WordBpe:
     """Ids by a ``tokenizers`` file.
 
     A vocabulary that drops white space encodes each word on its own, so each distinct word
-    is encoded once and remembered (up to ``remember`` words); other vocabularies encode whole
+    is encoded once and remembered (up to ``remember`` of them); other vocabularies encode whole
     texts. Strings of special tokens count as ordinary text.
+
+    Most words are Latin letters with punctuation after them. Letters are one piece that the normaliser
+    only lower-cases, punctuation after them is another, so the two are looked up apart, and new runs of letters go through the
+    library many at a time, in its byte alphabet and without the normaliser; the token that ends a
+    word tells them apart again. All other words take the library's whole way one by one.
     """
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.remember = remember
-        self.known: dict[str, list[int]] = {}
         self.by_word = self._ids([" ab\n\tab  "])[0] == self._ids(["ab"])[0] * 2
         self.lower = self._ids(["AbZ"]) == self._ids(["abz"])
+        self.bare = Tokenizer.from_file(path)
+        self.bare.encode_special_tokens = True
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        shown = {32, *range(33, 127), *range(161, 173), *range(174, 256)}
+        self.alphabet = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown or b == 32) if b != 32}
+        self._forget()
+        tests = ["the", "unquestionable", "\u00c9a", "gr\u00f6\u00dfe", "\u00f1u", "xqzj", "\u00e0"]
+        self.direct = self.by_word and self.lower and np.array_equal(self._letters(tests)[1], np.concatenate(self._ids(tests)))
+        if self.direct:
+            marked = self._ids([f"a{_TAIL} b"])[0]
+            self.direct = marked == self._ids(["a"])[0] + self._ids([_TAIL])[0] + self._ids(["b"])[0]
+
+    def _forget(self) -> None:
+        """Words and their ids as columns; the first is the empty word."""
+        self.words = pa.array([""], pa.string())
+        self.sizes, self.flat = np.zeros(1, np.int64), np.empty(0, np.uint32)
 
     def vocabulary(self) -> int:
         return self.tok.get_vocab_size(with_added_tokens=True)
@@ -47,43 +74,62 @@ class WordBpe:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
-        """Punctuation at a word's end is a token run of its own, so word and tail are looked up apart."""
-        cut: dict[str, tuple[str, str]] = {}
-        new: dict[str, None] = {}
-        for w in words:
-            body = w.rstrip(_TAIL)
-            if body and body[-1] in _PLAIN and len(body) < len(w):
-                cut[w] = body, w[len(body) :]
-                new.update((x, None) for x in cut[w] if x not in self.known)
-            else:
-                new[w] = None
-        self.known.update(zip(new, self._ids(list(new))))
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in cut.items())
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self._ids(words)
+        return np.fromiter(map(len, lists), np.int64, len(lists)), np.fromiter(chain.from_iterable(lists), np.uint32)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per word, all ids) of runs of letters."""
+        joined = [" ".join(words[i : i + _JOINED]).lower() for i in range(0, len(words), _JOINED)]
+        mapped = [t if t.isascii() else t.encode().decode("latin-1").translate(self.alphabet) for t in joined]
+        ids = [e.ids for e in self.bare.encode_batch_fast(mapped, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+        return np.diff(np.flatnonzero(self.ends[flat]) + 1, prepend=0), flat
+
+    def _rows(self, words: pa.Array, letters: bool) -> np.ndarray:
+        """Places of words in the columns; new ones are encoded and added."""
+        coded = words.dictionary_encode()
+        new = coded.dictionary.filter(pc.is_null(pc.index_in(coded.dictionary, value_set=self.words)))
+        if len(new):
+            sizes, flat = (self._letters if letters else self._whole)(new.to_pylist())
+            if len(sizes) != len(new):
+                raise ValueError("a word did not end with one token")
+            self.words = pa.concat_arrays([self.words, new])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, flat])
+        return pc.index_in(coded.dictionary, value_set=self.words).to_numpy(zero_copy_only=False)[coded.indices.to_numpy()]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, each text's offsets); null is empty."""
         texts = pc.fill_null(texts, "")
         if not self.by_word:
-            lists = self._ids(texts.to_pylist())
-            ids = np.fromiter(chain.from_iterable(lists), np.uint32)
-            return ids, np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
+            sizes, flat = self._whole(texts.to_pylist())
+            return flat, np.concatenate([[0], np.cumsum(sizes)])
         words, offsets = split_words(pc.ascii_lower(texts) if self.lower else texts)
-        coded = words.dictionary_encode()
-        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        missing = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(missing) > self.remember:
-            self.known, missing = {}, distinct
-        self._learn(missing)
-        lists = [self.known[w] for w in distinct]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(chain.from_iterable(lists), np.uint32)
-        if not len(codes):
+        if not len(words):
             return np.empty(0, np.uint32), offsets
-        each = sizes[codes]
-        ends = np.cumsum(each)
-        place = np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - each), each) + np.arange(ends[-1])
-        return flat[place], np.concatenate([[0], ends])[offsets]
+        if len(self.words) > self.remember:
+            self._forget()
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary
+        simple = pc.match_substring_regex(distinct, _SIMPLE) if self.direct else pa.array(np.zeros(len(distinct), bool))
+        flags = simple.to_numpy(zero_copy_only=False)
+        parts = np.zeros((len(distinct), 2), np.int64)  # letters or whole word, and the tail
+        parts[~flags, 0] = self._rows(distinct.filter(pc.invert(simple)), False)
+        if flags.any():
+            own = distinct.filter(simple)
+            parts[flags, 0] = self._rows(pc.utf8_rtrim(own, _TAIL), True)
+            parts[flags, 1] = self._rows(pc.replace_substring_regex(own, "^" + _LETTERS, ""), False)
+        flat, _ = _gather(self.flat, self.sizes, parts.ravel())
+        return _gather(flat, self.sizes[parts].sum(axis=1), coded.indices.to_numpy(), offsets)
+
+
+def _gather(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray, offsets: np.ndarray | None = None):
+    """The parts of a flat array at ``rows`` in a row, and where the groups of rows begin."""
+    each = sizes[rows]
+    ends = np.concatenate([[0], np.cumsum(each)])
+    place = np.repeat((np.cumsum(sizes) - sizes)[rows] - ends[:-1], each) + np.arange(ends[-1])
+    return flat[place], ends if offsets is None else ends[offsets]
 
 
 def per_worker(name: str, make: Callable):
@@ -128,3 +174,8 @@ def safe_parts(text: str, size: int) -> list[str]:
         parts.append(text[start : found.start()])
         start = found.start()
     return [*parts, text[start:]]
+
+
+def id_bytes(vocabulary: int) -> int:
+    """Bytes of an id in a binary column: 2 where they hold the vocabulary, else 4."""
+    return 2 if vocabulary <= 1 << 16 else 4

@@ -11,10 +11,11 @@ that fit into their sketch this is certain; for larger ones ``needed`` is set so
 pair falls short with a probability below 1e-9. The union of two sketches estimates their similarity
 and filters by the same bound; exact similarity on the full sets decides every link.
 
-A list is never spread into all its pairs. First each class of a list is compared with the list's first class only.
-Verified links are joined to components. Lists that then still hold several components are sorted by size and
-component and compared block by block inside tasks, where pairs of one component, and blocks too far apart in size,
-are skipped. Pairs that remain are verified like the others. So no pair that shares a list goes unseen and no list is cut.
+A list is cut by set size first, since sizes limit similarity. A long list is never spread into all its
+pairs. First each class of a list is compared with the list's first class only. Verified links are
+joined to components. Lists that then still hold several components are compared block by block inside tasks, where pairs of
+one component are skipped (lists of up to SMALL classes give these pairs directly). Pairs that remain are verified
+like the others. So no pair that shares a list goes unseen and nothing is capped.
 
 Null, empty and white-space texts have the empty set and link with nothing. Rows with the same id are separate
 rows; a component is named after the smallest id in it.
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, flat_lists, slices
+from riskloom.llm.common import broadcast_if_small, flat_lists, release, slices
 from riskloom.llm.graph import components
 from riskloom.llm.words import mix, shingle_sets
 from riskloom.session import materialize
@@ -39,6 +40,8 @@ from riskloom.session import materialize
 SKETCH = 64
 LOST = 1e-9
 BLOCK = 64
+# Lists of up to this many classes give pairs directly, three and a half for each class at most.
+SMALL = 8
 
 
 def needed_overlap(size: int, percent: int) -> int:
@@ -77,11 +80,15 @@ def _sketch(batches: Iterator[pa.RecordBatch], words: int, sketch: int) -> Itera
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Full sets by class; a class met again in the same task is left out."""
+    seen: set[int] = set()
     for batch in batches:
         for rows in slices(batch, "text"):
+            fresh = [not (i in seen or seen.add(i)) for i in rows.column("id").to_pylist()]
+            rows = rows.filter(pa.array(fresh, pa.bool_()))
             sets, offsets = shingle_sets(rows.column("text"), words)
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(sets.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([rows.column("cls"), lists], ["cls", "full"])
+            yield pa.RecordBatch.from_arrays([rows.column("id"), lists], ["id", "full"])
 
 
 def _score(a: np.ndarray, b: np.ndarray, na: int, nb: int, percent: int, sketch: int, least: int) -> int:
@@ -102,7 +109,7 @@ def _filter(batches: Iterator[pa.RecordBatch], percent: int, sketch: int) -> Ite
     least = needed_overlap(sketch, percent)
     for batch in batches:
         (sa, oa), (sb, ob) = flat_lists(batch.column("sa")), flat_lists(batch.column("sb"))
-        sa, sb = sa.view(np.uint64), sb.view(np.uint64)
+        sa, sb = sa.view(np.uint32), sb.view(np.uint32)
         na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
         score = np.zeros(batch.num_rows, np.int32)
         for i in range(batch.num_rows):
@@ -130,28 +137,32 @@ def _blocks(batches: Iterator[pa.RecordBatch], percent: int, sketch: int) -> Ite
     """Compare two blocks of one list: all pairs of different components, the sketches as one 0/1 product."""
     least = needed_overlap(sketch, percent)
     for batch in batches:
-        for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
-            sides = [[np.array(m["sketch"], np.int64).view(np.uint64) for m in side] for side in (left, right)]
-            values = np.unique(np.concatenate(sides[0] + sides[1]))
-            marks = [np.zeros((len(s), len(values)), np.float32) for s in sides]
-            for m, s in zip(marks, sides):
-                for i, x in enumerate(s):
-                    m[i, np.searchsorted(values, x)] = 1
+        out = []
+        for row in range(batch.num_rows):
+            sides = []
+            for side in ("left", "right"):
+                members = batch.column(side)[row].values
+                flat, offsets = flat_lists(members.field("short"))
+                columns = (members.field(c).to_numpy() for c in ("id", "n", "component"))
+                sides.append((*columns, flat.view(np.uint32), offsets))
+            (ia, na, ca, sa, oa), (ib, nb, cb, sb, ob) = sides
+            values = np.unique(np.concatenate([sa, sb]))
+            marks = []
+            for s, o in ((sa, oa), (sb, ob)):
+                m = np.zeros((len(o) - 1, len(values)), np.float32)
+                m[np.repeat(np.arange(len(o) - 1), np.diff(o)), np.searchsorted(values, s)] = 1
+                marks.append(m)
             shared = marks[0] @ marks[1].T
-            na, nb = (np.array([m["n"] for m in side]) for side in (left, right))
-            floor = np.minimum(least, -(-np.maximum.outer(na, nb) * percent // 100))
-            close = 100 * np.minimum.outer(na, nb) >= percent * np.maximum.outer(na, nb)
-            out = []
-            for i, j in np.argwhere((shared >= floor) & close):
-                a, b = left[i], right[j]
-                if a["component"] == b["component"]:
-                    continue
-                score = _score(sides[0][i], sides[1][j], a["n"], b["n"], percent, sketch, least)
+            high, low = np.maximum.outer(na, nb), np.minimum.outer(na, nb)
+            floor = np.minimum(least, -(-high * percent // 100))
+            near = (shared >= floor) & (100 * low >= percent * high) & (ca[:, None] != cb)
+            for i, j in np.argwhere(near):
+                score = _score(sa[oa[i] : oa[i + 1]], sb[ob[j] : ob[j + 1]], na[i], nb[j], percent, sketch, least)
                 if score:
-                    out.append((*sorted((a["cls"], b["cls"])), score))
-            columns = list(zip(*out)) or [[], [], []]
-            kinds = (pa.binary(), pa.binary(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["a", "b", "score"])
+                    out.append((*sorted((int(ia[i]), int(ib[j]))), score))
+        columns = list(zip(*set(out))) or [[], [], []]
+        kinds = (pa.int64(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["a", "b", "score"])
 
 
 class NearDuplicates:
@@ -169,19 +180,28 @@ class NearDuplicates:
         )
 
     def _classes(self) -> DataFrame:
-        """One row per distinct set, with one text to read it from."""
+        """One numbered row per distinct set, with one text to read it from.
+
+        ``short`` has the upper halves of the retained hashes, enough to estimate from.
+        """
         rows = self.sketches.where("cls IS NOT NULL")
         one = F.min(F.struct("doc_id", "text_hash", "n_shingles", "sketch")).alias("one")
         picked = rows.groupBy("cls").agg(one)
-        return picked.selectExpr(
-            "cls", "one.doc_id AS doc_id", "one.text_hash AS text_hash", "one.n_shingles AS n", "one.sketch AS sketch"
+        return picked.select(
+            F.monotonically_increasing_id().alias("id"), "cls",
+            F.expr("one.doc_id AS doc_id"), F.expr("one.text_hash AS text_hash"), F.expr("cast(one.n_shingles AS int) AS n"),
+            F.expr("one.sketch AS sketch"), F.expr("transform(one.sketch, x -> cast(shiftright(x, 32) AS int)) AS short"),
         )
 
     def _lists(self, classes: DataFrame) -> DataFrame:
-        """(value, cls, n): each class under the rarest of its retained hashes, lists of one left out."""
-        held = classes.select("cls", "n", F.explode("sketch").alias("value"))
+        """(value, size, id, n): each class under the rarest of its retained hashes; lists of one are left out.
+
+        A list is cut by size: a class goes into its own step of sizes and the one above, so that any two classes whose
+        sizes allow a link share a step.
+        """
+        held = classes.select("id", "n", F.explode("sketch").alias("value"))
         shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-        mine = held.join(shared, "value").groupBy("cls", "n").agg(
+        mine = held.join(shared, "value").groupBy("id", "n").agg(
             F.array_sort(F.collect_list(F.struct("df", "value"))).alias("rare")
         )
         size = f"least(n, {self.sketch})"
@@ -192,117 +212,131 @@ class NearDuplicates:
         )
         # Hashes that no other class retains come first; what remains of the prefix is taken from the shared ones.
         left = F.expr(f"greatest(0, cast({size} - ({least}) + 1 - ({size} - size(rare)) AS int))")
-        return mine.withColumn("left", left).select(
-            "cls", "n", F.explode(F.expr("slice(rare, 1, left)")).alias("r")
-        ).select(F.col("r.value").alias("value"), "cls", "n")
+        # A step is a little wider than the largest ratio of linked sizes.
+        step = F.expr(f"cast(floor(ln(n) / {math.log(100 / self.percent + 1e-9)!r}) AS int)")
+        rows = mine.withColumns({"left": left, "step": step})
+        rows = rows.select("id", "n", F.explode(F.expr("slice(rare, 1, left)")).alias("r"), "step")
+        rows = rows.select(
+            F.col("r.value").alias("value"), F.explode(F.array("step", F.col("step") + 1)).alias("size"), "id", "n"
+        )
+        many = rows.groupBy("value", "size").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value", "size")
+        return rows.join(many, ["value", "size"])
 
     def _candidates(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Distinct pairs (a, b, na, nb) that the estimate lets through, with a score."""
-        a = classes.select(F.col("cls").alias("a"), F.col("sketch").alias("sa"))
-        b = classes.select(F.col("cls").alias("b"), F.col("sketch").alias("sb"))
+        """The pairs (a, b, na, nb) that the estimate lets through, with a score."""
+        a = classes.select(F.col("id").alias("a"), F.col("short").alias("sa"))
+        b = classes.select(F.col("id").alias("b"), F.col("short").alias("sb"))
         wide = pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "sa", "sb")
         return wide.mapInArrow(
-            partial(_filter, percent=self.percent, sketch=self.sketch), "a binary, b binary, score int"
+            partial(_filter, percent=self.percent, sketch=self.sketch), "a bigint, b bigint, score int"
         )
 
     def _verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs whose full sets are alike enough; only the texts of classes in pairs are read again."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        wanted, n = materialize(ends.join(classes.select("cls", "doc_id", "text_hash"), "cls"), "wanted")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted, n = materialize(ends.join(classes.select("id", "doc_id", "text_hash"), "id"), "wanted")
         match = self.docs.doc_id.eqNullSafe(wanted.doc_id) & self.docs.text_hash.eqNullSafe(wanted.text_hash)
-        texts = self.docs.join(broadcast_if_small(wanted, n), match).select("cls", "text")
-        full = texts.mapInArrow(partial(_sets, words=self.words), "cls binary, full array<bigint>")
-        full, _ = materialize(full.dropDuplicates(["cls"]), "sets")
-        a = full.select(F.col("cls").alias("a"), F.col("full").alias("sa"))
-        b = full.select(F.col("cls").alias("b"), F.col("full").alias("sb"))
-        return pairs.select("a", "b").join(b, "b").join(a, "a").mapInArrow(
-            partial(_verify, percent=self.percent), "a binary, b binary"
+        texts = self.docs.join(broadcast_if_small(wanted, n), match).select("id", "text")
+        full, m = materialize(texts.mapInArrow(partial(_sets, words=self.words), "id bigint, full array<bigint>"), "sets")
+        if m > n:  # rows that repeat id and text
+            full, _ = materialize(full.dropDuplicates(["id"]), "sets")
+        a = full.select(F.col("id").alias("a"), F.col("full").alias("sa"))
+        b = full.select(F.col("id").alias("b"), F.col("full").alias("sb"))
+        found = pairs.select("a", "b").join(b, "b").join(a, "a").mapInArrow(
+            partial(_verify, percent=self.percent), "a bigint, b bigint"
         )
+        return materialize(found, "links")[0]
 
     def _close(self, n: str, m: str) -> str:
         return f"100 * least({n}, {m}) >= {self.percent} * greatest({n}, {m})"
 
-    def components(self) -> DataFrame:
+    def _pairs(self, lists: DataFrame, label: DataFrame | None) -> DataFrame:
+        """Distinct pairs (a, b, na, nb) of a list's first class with each of its others, and, once there are
+        components, of any two classes of different components in a list of at most SMALL."""
+        if label is None:
+            head = lists.groupBy("value", "size").agg(F.min("id").alias("a"))
+            first = lists.join(head, ["value", "size"])
+            named = first.where("id = a").select("value", "size", "a", F.col("n").alias("na"))
+            pairs = lists.join(named, ["value", "size"]).select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
+        else:
+            other = lists.select("value", "size", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
+            pairs = lists.withColumnsRenamed({"id": "a", "n": "na"}).join(other, ["value", "size"]).where("component <> cb")
+            pairs = pairs.select("a", "b", "na", "nb")
+        return pairs.where("a < b").where(self._close("na", "nb")).distinct()
+
+    def components(self, classes: DataFrame) -> DataFrame:
         """(id, component) of every class with a link."""
-        classes, _ = materialize(self._classes(), "classes")
+        spark = classes.sparkSession
         lists, n = materialize(self._lists(classes), "lists")
-        links = classes.sparkSession.createDataFrame([], "a binary, b binary")
-        if not n:
-            return components(links)
-        head = lists.groupBy("value").agg(F.min(F.struct("cls", "n")).alias("h"), F.count(F.lit(1)).alias("size"))
-        star = (
-            lists.join(head.where("size > 1"), "value")
-            .selectExpr("h.cls AS a", "cls AS b", "h.n AS na", "n AS nb")
-            .where("a <> b").where(self._close("na", "nb")).distinct()
-        )
-        found, n = materialize(self._candidates(star, classes), "candidates")
+        release(spark)
+        links = spark.createDataFrame([], "a bigint, b bigint")
+        label = spark.createDataFrame([], "id bigint, component bigint")
+        found = spark.createDataFrame([], "a bigint, b bigint, score int")
+        if n:
+            found, n = materialize(self._candidates(self._pairs(lists, None), classes), "candidates")
+            release(spark)
         if n:
             # One verification joins most copies to their group: each class with its best partner.
-            best = found.groupBy("b").agg(F.max_by("a", F.struct("score", "a")).alias("a")).select("a", "b")
-            links, _ = materialize(self._verified(best, classes), "links")
+            best, _ = materialize(_best(found), "best")
+            links = self._verified(best, classes)
             label = components(links)
-            others = _apart(found, label).join(best, ["a", "b"], "left_anti")
-            more, m = materialize(others, "others")
+            release(spark)
+            more, m = materialize(_apart(found, label).join(best, ["a", "b"], "left_anti"), "others")
             if m:
-                links = links.unionByName(materialize(self._verified(more, classes), "links")[0])
+                links = links.unionByName(self._verified(more, classes))
                 label = components(links)
-        else:
-            label = components(links)
-        rest, n = materialize(self._between(lists, label, classes), "between")
-        if n:
-            tried = found.select("a", "b")
-            rest, n = materialize(rest.groupBy("a", "b").agg(F.max("score").alias("score")).join(tried, ["a", "b"], "left_anti"), "rest")
+                release(spark)
+        rest, n = materialize(self._between(lists, label, classes).groupBy("a", "b").agg(F.max("score").alias("score")), "between")
+        rest = rest.join(found.select("a", "b"), ["a", "b"], "left_anti")
+        release(spark)
         if n:
-            links = links.unionByName(materialize(self._verified(rest, classes), "links")[0])
+            best, _ = materialize(_best(rest), "best")
+            links = links.unionByName(self._verified(best, classes))
             label = components(links)
+            more, m = materialize(_apart(rest, label).join(best, ["a", "b"], "left_anti"), "others")
+            if m:
+                label = components(links.unionByName(self._verified(more, classes)))
         return label
 
     def _between(self, lists: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
-        """Candidates between different components of one list, found block by block.
+        """Candidates between different components of one list.
 
-        The classes of a list go into steps of size; in a step a component of BLOCK classes or more has blocks of its own,
+        Small lists give their pairs at once. In a long list a component of BLOCK classes or more has blocks of its own and
         the smaller ones share blocks. Block numbers are dealt by hash, so no task sees a whole list. Two blocks are
-        compared unless they hold one component only or no sizes that could link.
+        compared unless they hold one component only.
         """
-        named = lists.join(label.withColumnRenamed("id", "cls"), "cls", "left").withColumn(
-            "component", F.coalesce("component", "cls")
-        )
-        open_lists = named.groupBy("value").agg(
-            F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("size > 2 AND lo <> hi").select("value")
-        rows = named.join(open_lists, "value")
-        rows = rows.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / math.log(1.05)))
-        rows, n = materialize(_dealt(rows), "members")
-        if not n:
-            return classes.sparkSession.createDataFrame([], "a binary, b binary, score int")
-        member = rows.join(classes.select("cls", "sketch"), "cls")
-        blocks = member.groupBy("value", "step", "block").agg(
-            F.collect_list(F.struct("cls", "n", "component", "sketch")).alias("side"),
+        named = lists.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        open_lists = named.groupBy("value", "size").agg(
+            F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
+        ).where("c > 2 AND lo <> hi").select("value", "size", "c")
+        rows, _ = materialize(named.join(open_lists, ["value", "size"]), "open")
+        small = self._candidates(self._pairs(rows.where(f"c <= {SMALL}").drop("c"), label), classes)
+        member = _dealt(rows.where(f"c > {SMALL}")).join(classes.select("id", "short"), "id")
+        blocks = member.groupBy("value", "size", "block").agg(
+            F.collect_list(F.struct("id", "n", "component", "short")).alias("side"),
             F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.min("n").alias("least"), F.max("n").alias("most"),
         )
         blocks, _ = materialize(blocks, "blocks")
-        one, two = (blocks.select("value", *[F.col(c).alias(f"{c}{i}") for c in ("step", "block", "side", "lo", "hi", "least", "most")]) for i in "12")
-        pairs = one.join(two, "value").where(
-            "(step1 < step2 OR (step1 = step2 AND block1 <= block2)) "
-            "AND NOT (lo1 = hi1 AND lo2 = hi2 AND lo1 = lo2) "
-            f"AND 100 * most1 >= {self.percent} * least2 AND 100 * most2 >= {self.percent} * least1"
+        one, two = (
+            blocks.select("value", "size", *[F.col(c).alias(f"{c}{i}") for c in ("block", "side", "lo", "hi")]) for i in "12"
         )
-        return pairs.select(F.col("side1").alias("left"), F.col("side2").alias("right")).mapInArrow(
-            partial(_blocks, percent=self.percent, sketch=self.sketch), "a binary, b binary, score int"
+        pairs = one.join(two, ["value", "size"]).where("block1 <= block2 AND NOT (lo1 = hi1 AND lo2 = hi2 AND lo1 = lo2)")
+        large = pairs.select(F.col("side1").alias("left"), F.col("side2").alias("right")).mapInArrow(
+            partial(_blocks, percent=self.percent, sketch=self.sketch), "a bigint, b bigint, score int"
         )
+        return small.unionByName(large)
 
     def rows(self) -> DataFrame:
         """Every row's doc_id, text_hash, n_shingles, component_id and kept.
 
         ``component_id`` is the smallest id of the component, null if it has none; rows without shingles are their own.
         """
-        label, _ = materialize(self.components(), "label")
+        classes, _ = materialize(self._classes(), "classes")
+        release(classes.sparkSession)
+        label = self.components(classes)
+        named = classes.select("id", "cls").join(label, "id", "left").select("cls", F.coalesce("component", "id").alias("component"))
         narrow = self.sketches.select("doc_id", "text_hash", "n_shingles", "cls")
-        named = (
-            narrow.join(label.withColumnRenamed("id", "cls"), "cls", "left")
-            .withColumn("component", F.coalesce("component", "cls"))
-        )
+        named, _ = materialize(narrow.join(named, "cls", "left"), "named")
         smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
         out = named.join(smallest, "component", "left")
         name = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
@@ -311,6 +345,12 @@ class NearDuplicates:
         )
 
 
+def _best(pairs: DataFrame) -> DataFrame:
+    """Of each class's pairs (as b) the one with the highest score."""
+    top = pairs.groupBy("b").agg(F.max("score").alias("score"))
+    return pairs.join(top, ["b", "score"]).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+
+
 def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     a = label.select(F.col("id").alias("a"), F.col("component").alias("ca"))
@@ -320,13 +360,13 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """A block of about BLOCK classes for the rows of each (value, step)."""
-    held = rows.groupBy("value", "step", "component").agg(F.count(F.lit(1)).alias("held"))
-    small = held.where(f"held < {BLOCK}").groupBy("value", "step").agg(F.sum("held").alias("small"))
-    sized = rows.join(held, ["value", "step", "component"]).join(small, ["value", "step"], "left")
-    own = F.expr(f"struct(component AS of, pmod(xxhash64(cls), ceil(held / {BLOCK})) AS nth)")
-    shared = F.expr(f"struct(cast('' AS binary) AS of, pmod(xxhash64(component), ceil(small / {BLOCK})) AS nth)")
-    return sized.withColumn("block", F.when(F.col("held") >= BLOCK, own).otherwise(shared)).drop("held", "small")
+    """A block of about BLOCK classes for the rows of each list."""
+    held = rows.groupBy("value", "size", "component").agg(F.count(F.lit(1)).alias("held"))
+    small = held.where(f"held < {BLOCK}").groupBy("value", "size").agg(F.sum("held").alias("small"))
+    sized = rows.join(held, ["value", "size", "component"]).join(small, ["value", "size"], "left")
+    own = F.expr(f"struct(component AS of, pmod(xxhash64(id), ceil(held / {BLOCK})) AS nth)")
+    shared = F.expr(f"struct(cast(-1 AS bigint) AS of, pmod(xxhash64(component), ceil(small / {BLOCK})) AS nth)")
+    return sized.withColumn("block", F.when(F.col("held") >= BLOCK, own).otherwise(shared)).drop("held", "small", "c")
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, sketch: int = SKETCH) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,3 +74,13 @@ def hash_share(hashed: Column, share: float) -> Column:
     """Whether a 64-bit hash is among the largest ``share`` of all its values."""
     least = min(2**63 - 1, max(-(2**63), 2**63 - int(share * 2**64)))
     return hashed >= F.lit(least)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished phases.
+
+    They go when the driver's JVM has collected the plans that made them; between the phases of a long job
+    nothing else would make it do so.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -11,11 +11,12 @@ that fit into their sketch this is certain; for larger ones ``needed`` is set so
 pair falls short with a probability below 1e-9. The union of two sketches estimates their similarity
 and filters by the same bound; exact similarity on the full sets decides every link.
 
-A list is cut by set size first, since sizes limit similarity. A long list is never spread into all its
-pairs. First each class of a list is compared with the list's first class only. Verified links are
-joined to components. Lists that then still hold several components are compared block by block inside tasks, where pairs of
-one component are skipped (lists of up to SMALL classes give these pairs directly). Pairs that remain are verified
-like the others. So no pair that shares a list goes unseen and nothing is capped.
+A list is cut by set size first, since sizes limit similarity. A list is never spread into all its pairs.
+First each class of a list is compared with the list's first class only; classes that the estimate holds together
+are a family. Lists that hold several families are compared block by block inside tasks, which report only pairs that join two
+families. Then every pair of classes that share a list and pass the estimate is inside one family, and each family
+is compared once, on full sets, again block by block and without pairs of one component (after each class has been verified
+against its best partner). Tasks report links that join two components, no others. So nothing is capped and no pair goes unseen.
 
 Null, empty and white-space texts have the empty set and link with nothing. Rows with the same id are separate
 rows; a component is named after the smallest id in it.
@@ -40,8 +41,7 @@ from riskloom.session import materialize
 SKETCH = 64
 LOST = 1e-9
 BLOCK = 64
-# Lists of up to this many classes give pairs directly, three and a half for each class at most.
-SMALL = 8
+STRIPE = 16
 
 
 def needed_overlap(size: int, percent: int) -> int:
@@ -133,36 +133,65 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], percent: int, sketch: int) -> Iterator[pa.RecordBatch]:
-    """Compare two blocks of one list: all pairs of different components, the sketches as one 0/1 product."""
-    least = needed_overlap(sketch, percent)
+def _side(members: pa.StructArray) -> tuple[np.ndarray, ...]:
+    """id, set size, group, flat hashes, offsets of a block's members."""
+    flat, offsets = flat_lists(members.field("hashes"))
+    return (*(members.field(c).to_numpy() for c in ("id", "n", "component")), flat, offsets)
+
+
+def _shared(sa: np.ndarray, oa: np.ndarray, sb: np.ndarray, ob: np.ndarray) -> np.ndarray:
+    """Common hashes of any two sets of two blocks: a product of 0/1 marks of those that occur more than once."""
+    values, counts = np.unique(np.concatenate([sa, sb]), return_counts=True)
+    values = values[counts > 1]
+    marks = []
+    for s, o in ((sa, oa), (sb, ob)):
+        at = np.minimum(np.searchsorted(values, s), max(len(values) - 1, 0))
+        known = values[at] == s if len(values) else np.zeros(len(s), bool)
+        m = np.zeros((len(o) - 1, len(values)), np.float32)
+        m[np.repeat(np.arange(len(o) - 1), np.diff(o))[known], at[known]] = 1
+        marks.append(m)
+    return marks[0] @ marks[1].T
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], percent: int, sketch: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs that join different components of two blocks (left, right), as few as do.
+
+    With ``sketch`` the hashes are sketches and a pair is one that the estimate lets through; without, they are
+    the full sets and a pair is a link.
+    """
+    least = needed_overlap(sketch, percent) if sketch else 0
     for batch in batches:
         out = []
         for row in range(batch.num_rows):
-            sides = []
-            for side in ("left", "right"):
-                members = batch.column(side)[row].values
-                flat, offsets = flat_lists(members.field("short"))
-                columns = (members.field(c).to_numpy() for c in ("id", "n", "component"))
-                sides.append((*columns, flat.view(np.uint32), offsets))
-            (ia, na, ca, sa, oa), (ib, nb, cb, sb, ob) = sides
-            values = np.unique(np.concatenate([sa, sb]))
-            marks = []
-            for s, o in ((sa, oa), (sb, ob)):
-                m = np.zeros((len(o) - 1, len(values)), np.float32)
-                m[np.repeat(np.arange(len(o) - 1), np.diff(o)), np.searchsorted(values, s)] = 1
-                marks.append(m)
-            shared = marks[0] @ marks[1].T
-            high, low = np.maximum.outer(na, nb), np.minimum.outer(na, nb)
-            floor = np.minimum(least, -(-high * percent // 100))
-            near = (shared >= floor) & (100 * low >= percent * high) & (ca[:, None] != cb)
+            (ia, na, ca, sa, oa), (ib, nb, cb, sb, ob) = (_side(batch.column(s)[row].values) for s in ("left", "right"))
+            if sketch:
+                sa, sb = sa.view(np.uint32), sb.view(np.uint32)
+            shared = _shared(sa, oa, sb, ob)
+            total = np.add.outer(na, nb)
+            if sketch:
+                high = np.maximum.outer(na, nb)
+                floor = np.where(high <= sketch, -(-percent * (total - shared) // 100), np.minimum(least, -(-high * percent // 100)))
+                near = (shared >= floor) & (100 * np.minimum.outer(na, nb) >= percent * high)
+            else:
+                near = 100 * shared >= percent * (total - shared)
+            near &= ca[:, None] != cb
+            root: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while root.get(x, x) != x:
+                    x = root[x]
+                return x
+
             for i, j in np.argwhere(near):
-                score = _score(sa[oa[i] : oa[i + 1]], sb[ob[j] : ob[j + 1]], na[i], nb[j], percent, sketch, least)
-                if score:
-                    out.append((*sorted((int(ia[i]), int(ib[j]))), score))
-        columns = list(zip(*set(out))) or [[], [], []]
-        kinds = (pa.int64(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["a", "b", "score"])
+                x, y = find(int(ca[i])), find(int(cb[j]))
+                if x == y:
+                    continue
+                if sketch and not _score(sa[oa[i] : oa[i + 1]], sb[ob[j] : ob[j + 1]], na[i], nb[j], percent, sketch, least):
+                    continue
+                root[max(x, y)] = min(x, y)
+                out.append(sorted((int(ia[i]), int(ib[j]))))
+        columns = list(zip(*out)) or [[], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
 
 class NearDuplicates:
@@ -231,15 +260,18 @@ class NearDuplicates:
             partial(_filter, percent=self.percent, sketch=self.sketch), "a bigint, b bigint, score int"
         )
 
-    def _verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs whose full sets are alike enough; only the texts of classes in pairs are read again."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    def _full(self, ends: DataFrame, classes: DataFrame) -> DataFrame:
+        """(id, full): the sets of some classes, from their texts."""
         wanted, n = materialize(ends.join(classes.select("id", "doc_id", "text_hash"), "id"), "wanted")
         match = self.docs.doc_id.eqNullSafe(wanted.doc_id) & self.docs.text_hash.eqNullSafe(wanted.text_hash)
         texts = self.docs.join(broadcast_if_small(wanted, n), match).select("id", "text")
         full, m = materialize(texts.mapInArrow(partial(_sets, words=self.words), "id bigint, full array<bigint>"), "sets")
         if m > n:  # rows that repeat id and text
             full, _ = materialize(full.dropDuplicates(["id"]), "sets")
+        return full
+
+    def _verified(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
+        """The pairs whose full sets are alike enough."""
         a = full.select(F.col("id").alias("a"), F.col("full").alias("sa"))
         b = full.select(F.col("id").alias("b"), F.col("full").alias("sb"))
         found = pairs.select("a", "b").join(b, "b").join(a, "a").mapInArrow(
@@ -250,18 +282,11 @@ class NearDuplicates:
     def _close(self, n: str, m: str) -> str:
         return f"100 * least({n}, {m}) >= {self.percent} * greatest({n}, {m})"
 
-    def _pairs(self, lists: DataFrame, label: DataFrame | None) -> DataFrame:
-        """Distinct pairs (a, b, na, nb) of a list's first class with each of its others, and, once there are
-        components, of any two classes of different components in a list of at most SMALL."""
-        if label is None:
-            head = lists.groupBy("value", "size").agg(F.min("id").alias("a"))
-            first = lists.join(head, ["value", "size"])
-            named = first.where("id = a").select("value", "size", "a", F.col("n").alias("na"))
-            pairs = lists.join(named, ["value", "size"]).select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
-        else:
-            other = lists.select("value", "size", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-            pairs = lists.withColumnsRenamed({"id": "a", "n": "na"}).join(other, ["value", "size"]).where("component <> cb")
-            pairs = pairs.select("a", "b", "na", "nb")
+    def _star(self, lists: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b, na, nb) of a list's first class with each of its others."""
+        head = lists.groupBy("value", "size").agg(F.min("id").alias("a"))
+        named = lists.join(head, ["value", "size"]).where("id = a").select("value", "size", "a", F.col("n").alias("na"))
+        pairs = lists.join(named, ["value", "size"]).select("a", F.col("id").alias("b"), "na", F.col("n").alias("nb"))
         return pairs.where("a < b").where(self._close("na", "nb")).distinct()
 
     def components(self, classes: DataFrame) -> DataFrame:
@@ -269,62 +294,46 @@ class NearDuplicates:
         spark = classes.sparkSession
         lists, n = materialize(self._lists(classes), "lists")
         release(spark)
-        links = spark.createDataFrame([], "a bigint, b bigint")
-        label = spark.createDataFrame([], "id bigint, component bigint")
-        found = spark.createDataFrame([], "a bigint, b bigint, score int")
-        if n:
-            found, n = materialize(self._candidates(self._pairs(lists, None), classes), "candidates")
-            release(spark)
-        if n:
-            # One verification joins most copies to their group: each class with its best partner.
-            best, _ = materialize(_best(found), "best")
-            links = self._verified(best, classes)
-            label = components(links)
-            release(spark)
-            more, m = materialize(_apart(found, label).join(best, ["a", "b"], "left_anti"), "others")
-            if m:
-                links = links.unionByName(self._verified(more, classes))
-                label = components(links)
-                release(spark)
-        rest, n = materialize(self._between(lists, label, classes).groupBy("a", "b").agg(F.max("score").alias("score")), "between")
-        rest = rest.join(found.select("a", "b"), ["a", "b"], "left_anti")
+        if not n:
+            return spark.createDataFrame([], "id bigint, component bigint")
+        found, _ = materialize(self._candidates(self._star(lists), classes), "candidates")
         release(spark)
+        family = components(found)
+        across, n = materialize(self._across(lists, family, classes), "across")
         if n:
-            best, _ = materialize(_best(rest), "best")
-            links = links.unionByName(self._verified(best, classes))
-            label = components(links)
-            more, m = materialize(_apart(rest, label).join(best, ["a", "b"], "left_anti"), "others")
-            if m:
-                label = components(links.unionByName(self._verified(more, classes)))
-        return label
-
-    def _between(self, lists: DataFrame, label: DataFrame, classes: DataFrame) -> DataFrame:
-        """Candidates between different components of one list.
-
-        Small lists give their pairs at once. In a long list a component of BLOCK classes or more has blocks of its own and
-        the smaller ones share blocks. Block numbers are dealt by hash, so no task sees a whole list. Two blocks are
-        compared unless they hold one component only.
-        """
-        named = lists.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        open_lists = named.groupBy("value", "size").agg(
+            family = components(found.select("a", "b").unionByName(across))
+        release(spark)
+        full = self._full(family.select("id"), classes)
+        # One verification joins most copies to their family: each class with its best partner.
+        links = self._verified(_best(found), full)
+        inside, n = materialize(self._inside(family, components(links), full), "inside")
+        release(spark)
+        return components(links.unionByName(inside))
+
+    def _across(self, lists: DataFrame, family: DataFrame, classes: DataFrame) -> DataFrame:
+        """Pairs that the estimate lets through and that join families, for lists that hold several."""
+        named = lists.join(family, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        mixed = named.groupBy("value", "size").agg(
             F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
         ).where("c > 2 AND lo <> hi").select("value", "size", "c")
-        rows, _ = materialize(named.join(open_lists, ["value", "size"]), "open")
-        small = self._candidates(self._pairs(rows.where(f"c <= {SMALL}").drop("c"), label), classes)
-        member = _dealt(rows.where(f"c > {SMALL}")).join(classes.select("id", "short"), "id")
-        blocks = member.groupBy("value", "size", "block").agg(
-            F.collect_list(F.struct("id", "n", "component", "short")).alias("side"),
-            F.min("component").alias("lo"), F.max("component").alias("hi"),
+        rows, _ = materialize(named.join(mixed, ["value", "size"]), "mixed")
+        rows = rows.join(classes.select("id", F.col("short").alias("hashes")), "id")
+        found = _block_pairs(rows, ["value", "size"]).mapInArrow(
+            partial(_block_links, percent=self.percent, sketch=self.sketch), "a bigint, b bigint"
         )
-        blocks, _ = materialize(blocks, "blocks")
-        one, two = (
-            blocks.select("value", "size", *[F.col(c).alias(f"{c}{i}") for c in ("block", "side", "lo", "hi")]) for i in "12"
-        )
-        pairs = one.join(two, ["value", "size"]).where("block1 <= block2 AND NOT (lo1 = hi1 AND lo2 = hi2 AND lo1 = lo2)")
-        large = pairs.select(F.col("side1").alias("left"), F.col("side2").alias("right")).mapInArrow(
-            partial(_blocks, percent=self.percent, sketch=self.sketch), "a bigint, b bigint, score int"
+        return found.distinct()
+
+    def _inside(self, family: DataFrame, label: DataFrame, full: DataFrame) -> DataFrame:
+        """Links that join different components of one family, by the full sets."""
+        named = family.withColumnRenamed("component", "family").join(label, "id", "left")
+        named = named.withColumn("component", F.coalesce("component", "id"))
+        mixed = named.groupBy("family").agg(
+            F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
+        ).where("c > 2 AND lo <> hi").select("family", "c")
+        rows = named.join(mixed, "family").join(full.select("id", F.size("full").alias("n"), F.col("full").alias("hashes")), "id")
+        return _block_pairs(rows, ["family"]).mapInArrow(
+            partial(_block_links, percent=self.percent, sketch=None), "a bigint, b bigint"
         )
-        return small.unionByName(large)
 
     def rows(self) -> DataFrame:
         """Every row's doc_id, text_hash, n_shingles, component_id and kept.
@@ -351,22 +360,35 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.join(top, ["b", "score"]).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
 
 
-def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs whose ends are in different components."""
-    a = label.select(F.col("id").alias("a"), F.col("component").alias("ca"))
-    b = label.select(F.col("id").alias("b"), F.col("component").alias("cb"))
-    named = pairs.join(a, "a", "left").join(b, "b", "left")
-    return named.where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b", "score")
+def _block_pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """(left, right): all pairs of blocks of each group, so that every two members of different components meet once.
 
-
-def _dealt(rows: DataFrame) -> DataFrame:
-    """A block of about BLOCK classes for the rows of each list."""
-    held = rows.groupBy("value", "size", "component").agg(F.count(F.lit(1)).alias("held"))
-    small = held.where(f"held < {BLOCK}").groupBy("value", "size").agg(F.sum("held").alias("small"))
-    sized = rows.join(held, ["value", "size", "component"]).join(small, ["value", "size"], "left")
+    ``rows``: keys, c (rows of the group), id, n, component, hashes. A group of up to BLOCK rows is one block. In a larger one a
+    component of BLOCK rows or more has blocks of its own and the smaller ones share blocks; numbers are dealt by hash, so
+    no task sees a whole group. Blocks of one component only are not paired. The blocks of a group meet in stripes
+    of STRIPE left blocks each, a key of their own.
+    """
+    side = F.collect_list(F.struct("id", "n", "component", "hashes"))
+    one = rows.where(f"c <= {BLOCK}").groupBy(*keys).agg(side.alias("left")).select("left", F.col("left").alias("right"))
+    large = rows.where(f"c > {BLOCK}")
+    held = large.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("held"))
+    small = held.where(f"held < {BLOCK}").groupBy(*keys).agg(F.sum("held").alias("small"))
+    sized = large.join(held, [*keys, "component"]).join(small, keys, "left")
     own = F.expr(f"struct(component AS of, pmod(xxhash64(id), ceil(held / {BLOCK})) AS nth)")
     shared = F.expr(f"struct(cast(-1 AS bigint) AS of, pmod(xxhash64(component), ceil(small / {BLOCK})) AS nth)")
-    return sized.withColumn("block", F.when(F.col("held") >= BLOCK, own).otherwise(shared)).drop("held", "small", "c")
+    dealt = sized.withColumn("block", F.when(F.col("held") >= BLOCK, own).otherwise(shared))
+    blocks, _ = materialize(
+        dealt.groupBy(*keys, "block").agg(
+            side.alias("side"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("c").alias("c")
+        ),
+        "blocks",
+    )
+    stripes = f"cast(ceil(c / {BLOCK * STRIPE}.0) AS int)"
+    left, right = (blocks.select(*keys, "c", *[F.col(x).alias(f"{x}{i}") for x in ("block", "side", "lo", "hi")]) for i in (1, 2))
+    left = left.withColumn("stripe", F.expr(f"cast(pmod(xxhash64(block1), {stripes}) AS int)")).drop("c")
+    right = right.withColumn("stripe", F.explode(F.expr(f"sequence(0, {stripes} - 1)"))).drop("c")
+    met = left.join(right, [*keys, "stripe"]).where("block1 <= block2 AND NOT (lo1 = hi1 AND lo2 = hi2 AND lo1 = lo2)")
+    return one.unionByName(met.select(F.col("side1").alias("left"), F.col("side2").alias("right")))
 
 
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, sketch: int = SKETCH) -> DataFrame:

@@ -8,7 +8,7 @@ Inverted lists of the retained hashes give the candidates. Two sets as alike as
 threshold asks share at least ``needed`` retained hashes, so it is enough to list a class under the
 rarest SKETCH - needed + 1 of its hashes (rarest first by the number of classes that retain them). For sets
 that fit into their sketch this is certain; for larger ones ``needed`` is set so that a linked
-pair falls short with a probability below 1e-9. The union of two sketches estimates their similarity
+pair falls short with a probability below 1e-8. The union of two sketches estimates their similarity
 and filters by the same bound; exact similarity on the full sets decides every link.
 
 A list is cut by set size first, since sizes limit similarity. A list is never spread into all its pairs.
@@ -33,29 +33,32 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, flat_lists, release, slices
+from riskloom.llm.common import broadcast_if_small, flat_lists, forget, release, slices
 from riskloom.llm.graph import components
 from riskloom.llm.words import mix, shingle_sets
 from riskloom.session import materialize
 
 SKETCH = 64
-LOST = 1e-9
+LOST = 1e-8
 BLOCK = 64
 STRIPE = 16
+# The upper halves of the retained hashes, enough to estimate from.
+SHORT = "transform(sketch, x -> cast(shiftright(x, 32) AS int))"
 
 
 def needed_overlap(size: int, percent: int) -> int:
-    """Fewest shared retained hashes that a linked pair has, but for a probability below LOST (Chernoff bound)."""
-    p = percent / 100
-
-    def chance(t: int) -> float:
-        q = t / size
-        kl = q * math.log(q / p) + (0 if q == 1 else (1 - q) * math.log((1 - q) / (1 - p)))
-        return math.exp(-size * kl)
+    """Fewest shared retained hashes that a linked pair has, but for a probability below LOST.
 
+    Each of the ``size`` smallest hashes of the union is a shared one with the pair's similarity.
+    """
+    p = percent / 100
     if percent >= 100:
         return size
-    return max([1, *(t for t in range(1, int(size * p)) if chance(t) < LOST)])
+    below, t = (1 - p) ** size, 0
+    while below < LOST and t < size:
+        t += 1
+        below += math.comb(size, t) * p**t * (1 - p) ** (size - t)
+    return max(1, t)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], words: int, sketch: int) -> Iterator[pa.RecordBatch]:
@@ -209,42 +212,40 @@ class NearDuplicates:
         )
 
     def _classes(self) -> DataFrame:
-        """One numbered row per distinct set, with one text to read it from.
-
-        ``short`` has the upper halves of the retained hashes, enough to estimate from.
-        """
+        """One numbered row per distinct set, with one text to read it from."""
         rows = self.sketches.where("cls IS NOT NULL")
         one = F.min(F.struct("doc_id", "text_hash", "n_shingles", "sketch")).alias("one")
         picked = rows.groupBy("cls").agg(one)
-        return picked.select(
-            F.monotonically_increasing_id().alias("id"), "cls",
-            F.expr("one.doc_id AS doc_id"), F.expr("one.text_hash AS text_hash"), F.expr("cast(one.n_shingles AS int) AS n"),
-            F.expr("one.sketch AS sketch"), F.expr("transform(one.sketch, x -> cast(shiftright(x, 32) AS int)) AS short"),
+        return picked.selectExpr(
+            "monotonically_increasing_id() AS id", "cls", "one.doc_id AS doc_id", "one.text_hash AS text_hash",
+            "cast(one.n_shingles AS int) AS n", "one.sketch AS sketch",
+        )
+
+    def _least(self) -> str:
+        """SQL: the fewest retained hashes that a set of n shares with a linked partner."""
+        exact = f"cast(ceil(n * {self.percent} / 100.0) AS int)"
+        return (
+            f"CASE WHEN n * 100 <= {self.sketch * self.percent} THEN {exact} "
+            f"ELSE least({exact}, {needed_overlap(self.sketch, self.percent)}) END"
         )
 
     def _lists(self, classes: DataFrame) -> DataFrame:
         """(value, size, id, n): each class under the rarest of its retained hashes; lists of one are left out.
 
-        A list is cut by size: a class goes into its own step of sizes and the one above, so that any two classes whose
-        sizes allow a link share a step.
+        A class that shares too few of its hashes with any others cannot have a partner. A list is cut by size: a class goes
+        into its own step of sizes and the one above, so that any two classes whose sizes allow a link share a step.
         """
-        held = classes.select("id", "n", F.explode("sketch").alias("value"))
-        shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-        mine = held.join(shared, "value").groupBy("id", "n").agg(
+        held = classes.select("id", F.explode("sketch").alias("value"))
+        shared = held.groupBy("value").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+        mine = held.join(shared, "value").groupBy("id").agg(
             F.array_sort(F.collect_list(F.struct("df", "value"))).alias("rare")
         )
-        size = f"least(n, {self.sketch})"
-        exact = f"cast(ceil(n * {self.percent} / 100.0) AS int)"
-        least = (
-            f"CASE WHEN n * 100 <= {self.sketch * self.percent} THEN {exact} "
-            f"ELSE least({exact}, {needed_overlap(self.sketch, self.percent)}) END"
-        )
-        # Hashes that no other class retains come first; what remains of the prefix is taken from the shared ones.
-        left = F.expr(f"greatest(0, cast({size} - ({least}) + 1 - ({size} - size(rare)) AS int))")
+        # Hashes that no other class retains would come first; what remains of the prefix is taken from the shared ones.
+        mine = mine.join(classes.select("id", "n", F.expr(self._least()).alias("least")), "id").where("size(rare) >= least")
+        mine = mine.withColumn("first", F.expr("size(rare) - least + 1"))
         # A step is a little wider than the largest ratio of linked sizes.
         step = F.expr(f"cast(floor(ln(n) / {math.log(100 / self.percent + 1e-9)!r}) AS int)")
-        rows = mine.withColumns({"left": left, "step": step})
-        rows = rows.select("id", "n", F.explode(F.expr("slice(rare, 1, left)")).alias("r"), "step")
+        rows = mine.select("id", "n", F.explode(F.expr("slice(rare, 1, first)")).alias("r"), step.alias("step"))
         rows = rows.select(
             F.col("r.value").alias("value"), F.explode(F.array("step", F.col("step") + 1)).alias("size"), "id", "n"
         )
@@ -253,8 +254,8 @@ class NearDuplicates:
 
     def _candidates(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs (a, b, na, nb) that the estimate lets through, with a score."""
-        a = classes.select(F.col("id").alias("a"), F.col("short").alias("sa"))
-        b = classes.select(F.col("id").alias("b"), F.col("short").alias("sb"))
+        a = classes.select(F.col("id").alias("a"), F.expr(SHORT).alias("sa"))
+        b = classes.select(F.col("id").alias("b"), F.expr(SHORT).alias("sb"))
         wide = pairs.join(b, "b").join(a, "a").select("a", "b", "na", "nb", "sa", "sb")
         return wide.mapInArrow(
             partial(_filter, percent=self.percent, sketch=self.sketch), "a bigint, b bigint, score int"
@@ -317,7 +318,7 @@ class NearDuplicates:
             F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
         ).where("c > 2 AND lo <> hi").select("value", "size", "c")
         rows, _ = materialize(named.join(mixed, ["value", "size"]), "mixed")
-        rows = rows.join(classes.select("id", F.col("short").alias("hashes")), "id")
+        rows = rows.join(classes.select("id", F.expr(SHORT).alias("hashes")), "id")
         found = _block_pairs(rows, ["value", "size"]).mapInArrow(
             partial(_block_links, percent=self.percent, sketch=self.sketch), "a bigint, b bigint"
         )
@@ -341,10 +342,11 @@ class NearDuplicates:
         ``component_id`` is the smallest id of the component, null if it has none; rows without shingles are their own.
         """
         classes, _ = materialize(self._classes(), "classes")
+        narrow, _ = materialize(self.sketches.select("doc_id", "text_hash", "n_shingles", "cls"), "rows")
+        forget(self.sketches)
         release(classes.sparkSession)
         label = self.components(classes)
         named = classes.select("id", "cls").join(label, "id", "left").select("cls", F.coalesce("component", "id").alias("component"))
-        narrow = self.sketches.select("doc_id", "text_hash", "n_shingles", "cls")
         named, _ = materialize(narrow.join(named, "cls", "left"), "named")
         smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
         out = named.join(smallest, "component", "left")

@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import clear_scratch, scratch_path
+
 # Bytes of text handled at once inside a task.
 SLICE_BYTES = 8 << 20
 # Rows of a keyed table of a few dozen bytes each that may be broadcast; larger ones are joined by shuffle.
@@ -84,3 +86,10 @@ def release(spark: SparkSession) -> None:
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+def forget(stored: DataFrame) -> None:
+    """Delete a stored intermediate table that nothing will read again."""
+    own = scratch_path(stored.sparkSession, "x").rpartition("/")[0]
+    for folder in {name.split("/")[-2] for name in stored.inputFiles()}:
+        clear_scratch(stored.sparkSession, f"{own}/{folder}")

@@ -236,7 +236,9 @@ class NearDuplicates:
         into its own step of sizes and the one above, so that any two classes whose sizes allow a link share a step.
         """
         held = classes.select("id", F.explode("sketch").alias("value"))
-        shared = held.groupBy("value").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+        # Stored, so that the join has plain exchanges on both sides and a hot hash is split as skewed.
+        shared, _ = materialize(held.groupBy("value").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1"), "shared")
+        release(classes.sparkSession)
         mine = held.join(shared, "value").groupBy("id").agg(
             F.array_sort(F.collect_list(F.struct("df", "value"))).alias("rare")
         )
@@ -249,7 +251,11 @@ class NearDuplicates:
         rows = rows.select(
             F.col("r.value").alias("value"), F.explode(F.array("step", F.col("step") + 1)).alias("size"), "id", "n"
         )
-        many = rows.groupBy("value", "size").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value", "size")
+        rows, _ = materialize(rows, "postings")
+        release(classes.sparkSession)
+        many, _ = materialize(
+            rows.groupBy("value", "size").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value", "size"), "many"
+        )
         return rows.join(many, ["value", "size"])
 
     def _candidates(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:

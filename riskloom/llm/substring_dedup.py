@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, slices
+from riskloom.llm.common import broadcast_if_small, release, slices
 from riskloom.session import materialize
 
 MIN_SENTENCES = 2
@@ -135,12 +135,14 @@ def repeated_runs(df: DataFrame) -> DataFrame:
     """(doc_id, text_hash, at): every run, by its first sentence, that occurs earlier in the table."""
     rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     counted = rows.select("text").mapInArrow(partial(_runs, count_only=True), "h1 bigint")
-    shared, n = materialize(counted.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "shared")
+    shared, _ = materialize(counted.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"), "shared")
     kinds = "h1 bigint, h2 bigint, doc_id bigint, text_hash bigint, at int"
     runs = rows.mapInArrow(partial(_runs, count_only=False), kinds)
-    runs, _ = materialize(runs.join(broadcast_if_small(shared, n), "h1"), "runs")
+    # Repeats grow with the table, so both sides are always shuffled, and a hot run is split as skewed.
+    runs, _ = materialize(runs.join(shared, "h1"), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "at")
-    first = runs.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    first, _ = materialize(runs.groupBy("h1", "h2").agg(F.min(place).alias("first")), "first")
+    release(df.sparkSession)
     again = runs.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     return again.select("doc_id", "text_hash", "at")
 

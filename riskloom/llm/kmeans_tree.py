@@ -34,10 +34,10 @@ from riskloom.session import materialize
 
 FIT_ROWS = 20_000
 LEAF_SAMPLE = 16
-LEAF_ROWS = 256
+LEAF_ROWS = 1024
 BRANCH = 8
 CALIBRATION = 256
-SLICE = 512
+SLICE = 2048
 SPARE = 32
 
 

@@ -14,12 +14,12 @@ P_CEIL = 0.999
 
 
 def to_score(p: Column | str) -> Column:
-    """Probability of the bad class to an integer score that rises with it; null stays null."""
+    """Probability of the bad class to an integer score that rises with it; null and NaN give null."""
     p = F.col(p) if isinstance(p, str) else p
     clipped = F.least(F.greatest(p, F.lit(P_FLOOR)), F.lit(P_CEIL))
     points = F.bround(SCORE_OFFSET - SCORE_FACTOR * F.ln(clipped / (1 - clipped)), 0)
     bounded = F.least(F.greatest(points, F.lit(0.0)), F.lit(float(SCORE_TOP)))
-    return F.when(p.isNotNull(), (F.lit(SCORE_TOP) - bounded).cast("int"))
+    return F.when(p.isNotNull() & ~F.isnan(p.cast("double")), (F.lit(SCORE_TOP) - bounded).cast("int"))
 
 
 def psi_term(x: Column, y: Column) -> Column:

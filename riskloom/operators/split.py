@@ -51,13 +51,15 @@ def split_points(df: DataFrame, key: str, target: str, test_size: float, seed: i
         return {}
     cut = F.lit(False)
     for cls, (bucket, _) in edge.items():
-        cut = cut | ((F.col("cls") == cls) & (F.col("bucket") == bucket))
+        cut = cut | (F.col("cls").eqNullSafe(cls) & (F.col("bucket") == bucket))
     place = F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("h"))
-    wanted = F.create_map(*[F.lit(x) for c, (_, n) in edge.items() for x in (c, n)])
+    wanted = F.lit(None).cast("int")
+    for cls, (_, n) in edge.items():
+        wanted = F.when(F.col("cls").eqNullSafe(cls), n).otherwise(wanted)
     rows = (
         hashed.where(cut)
         .withColumn("place", place)
-        .where(F.col("place") == F.element_at(wanted, F.col("cls")))
+        .where(F.col("place") == wanted)
         .select("cls", "h")
         .collect()  # one row per class
     )
@@ -69,6 +71,8 @@ def stratified_split(
 ) -> DataFrame:
     """Add train/test with ceil(test_size x n) test rows in each class; keys must be unique.
 
+    Rows without a target are a class of their own.
+
     After the two cut hashes are known the label is a plain expression: the wide table
     is not shuffled, and rows of a later batch can be labelled the same way.
     """
@@ -76,7 +80,7 @@ def stratified_split(
     h = hash_order(key, seed)
     label = F.lit("train")
     for cls, last in points.items():
-        label = F.when((F.col(target) == cls) & (h <= last), F.lit("test")).otherwise(label)
+        label = F.when(F.col(target).eqNullSafe(cls) & (h <= last), F.lit("test")).otherwise(label)
     return df.withColumn(split, label)
 
 
@@ -124,7 +128,7 @@ def split_views(df: DataFrame, split: str = "type") -> dict[str, DataFrame | Non
 def stratified_folds(df: DataFrame, key: str, target: str, k: int, fold: str = "fold", seed: int = SEED) -> DataFrame:
     """Add a fold number 0..k-1, balanced to one row within each class.
 
-    Rows are ranked inside (class, hash bucket) and shifted by the bucket's offset, so no
+    Rows without a target are a class of their own. Rows are ranked inside (class, hash bucket) and shifted by the bucket's offset, so no
     window holds a whole class.
     """
     h = hash_order(key, seed)
@@ -133,12 +137,12 @@ def stratified_folds(df: DataFrame, key: str, target: str, k: int, fold: str = "
     offsets = (
         hashed.groupBy(target, "bucket__")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(target, "bucket__", (F.sum("n").over(along) - F.col("n")).alias("before__"))
+        .select(F.col(target).alias("t__"), F.col("bucket__").alias("b__"), (F.sum("n").over(along) - F.col("n")).alias("before__"))
     )
     place = F.row_number().over(Window.partitionBy(target, "bucket__").orderBy("h__"))
     return (
         hashed.withColumn("place__", place)
-        .join(F.broadcast(offsets), [target, "bucket__"])  # at most classes x 4096 rows
+        .join(F.broadcast(offsets), F.col(target).eqNullSafe(F.col("t__")) & (F.col("bucket__") == F.col("b__")))  # at most classes x 4096 rows
         .withColumn(fold, F.pmod(F.col("before__") + F.col("place__") - 1, F.lit(k)).cast("int"))
         .select(*df.columns, fold)
     )

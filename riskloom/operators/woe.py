@@ -203,6 +203,21 @@ def encode_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]])
     return df.withColumns(out)
 
 
+def encode_dictionary(df: DataFrame, table: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Replace categories through a stored (feature, key, woe) of any size.
+
+    Small dictionaries become expressions, the others stay a table and are joined; only the number of entries
+    per feature and the small ones reach the driver.
+    """
+    counted = table.where(F.col("feature").isin(list(features))).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["feature"]: r["n"] for r in counted.collect()}
+    small = [f for f in features if 0 < sizes.get(f, 0) <= INLINE_ENTRIES]
+    large = [f for f in features if sizes.get(f, 0) > INLINE_ENTRIES]
+    if small:
+        df = encode_categories(df, woe_by_category(table.where(F.col("feature").isin(small))))
+    return encode_with_table(df, table, large) if large else df
+
+
 def encode_top_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """Apply side of the top-N variant: missing reads 'miss', the rest 'other'."""
     texts = df.withColumns({f: F.coalesce(F.col(f).cast("string"), F.lit(MISSING)) for f in mapping})

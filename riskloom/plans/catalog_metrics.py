@@ -288,9 +288,9 @@ def running_shares(spark, sf):
 @query("metric_report", f"{WITH_SPLIT}, {SCORED_SQL}, {auc_sql('sc', 'type', 'score', 'm')} "
        "SELECT 'demo' AS project_name, 'demo' AS client_batch, 'p' AS feature, "
        + ", ".join(R(f"max(CASE WHEN g = '{s}' THEN {x} END)", f"{s}_{x}") for x in ("auc", "ks") for s in ("test", "train"))
-       + ", 4 AS feature_cnt, 286 AS n_estimators FROM m")
+       + ", 7 AS feature_cnt, 40 AS n_estimators FROM m")
 def metric_report(spark, sf):
-    reports = model_statistics(with_time_split(loan_wide(spark, sf)), "p", Roles(), "demo", "demo", 4, 286)
+    reports = model_statistics(with_time_split(loan_wide(spark, sf)), "p", Roles(), "demo", "demo", 7, 40)
     return rounded(reports["report"])
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from secrets import token_hex
+
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import joined_text, to_score
@@ -142,15 +144,15 @@ SECRET_SETTING = "spark.riskloom.delivery.key"
 @query("delivery_sample", f"{WITH} SELECT apply_no, month, concat_ws(',', apply_no, month, target) AS plain, "
        "CAST(2 * 16 * ceil(length(concat_ws(',', apply_no, month, target)) / 16.0) AS INTEGER) AS sealed_size FROM lw")
 def delivery_sample(spark, sf):
-    secret = spark.conf.get(SECRET_SETTING, "only-for-checks")
-    sent = tables.delivery_sample(loan_wide(spark, sf), "apply_no", "month", "target", secret)
+    secret = spark.conf.get(SECRET_SETTING, None) or token_hex(8)  # any secret makes the round trip
+    sent = tables.delivery_sample(loan_wide(spark, sf), "apply_no", "month", "target", secret, legacy=True)
     return sent.select("apply_no", "month", unseal_cbc(F.col("merge"), secret).alias("plain"), F.length("merge").alias("sealed_size"))
 
 
-@query("delivery_features", f"{WITH} SELECT apply_no, f_price, c_seg, '2019-08-15' AS apply_time FROM lw")
+@query("delivery_features", f"{WITH} SELECT apply_no, f_price, c_seg, '2024-01-31' AS apply_time FROM lw")
 def delivery_features(spark, sf):
     wide = loan_wide(spark, sf).select("apply_no", "apply_time", "target", "f_price", "c_seg", "c_nat")
-    return tables.delivery_features(wide, "target", "apply_time", "2019-08-15", ["c_nat"]).select(
+    return tables.delivery_features(wide, "target", "apply_time", "2024-01-31", ["c_nat"]).select(
         "apply_no", "f_price", "c_seg", "apply_time"
     )
 
@@ -158,13 +160,13 @@ def delivery_features(spark, sf):
 # --- columns and filters ----------------------------------------------------------------------
 
 
-@query("columns_chosen", f"{WITH} SELECT f_bal, f_nation, c_prio, 'p23' AS batch, apply_no FROM lw")
+@query("columns_chosen", f"{WITH} SELECT f_bal, f_nation, c_prio, 'batch-a' AS batch, apply_no FROM lw")
 def columns_chosen(spark, sf):
     wide = loan_wide(spark, sf).drop("f_price", "f_price2", "f_sparse", "c_seg", "c_nat", "p")
     from riskloom.roles import Roles
 
     chosen = Roles(ignore=("month",)).features(wide)
-    return cols.key_last(wide.select("apply_no", *chosen).withColumn("batch", F.lit("p23")), "apply_no")
+    return cols.key_last(wide.select("apply_no", *chosen).withColumn("batch", F.lit("batch-a")), "apply_no")
 
 
 @query("rows_with_any_feature", f"{WITH} SELECT apply_no, f_price, f_sparse FROM lw WHERE f_price IS NOT NULL OR f_sparse IS NOT NULL")

@@ -16,7 +16,7 @@ from riskloom.operators.psi import score_psi, score_psi_detail
 from riskloom.operators.rankm import metric_report, metrics_by_split, score_metrics
 from riskloom.operators.select import dense_columns, drop_correlated, pairwise_corr, top_features, triage
 from riskloom.operators.split import split_job, split_views, stratified_split
-from riskloom.operators.woe import category_woe_table, encode_bins, encode_categories, woe_by_category
+from riskloom.operators.woe import category_woe_table, encode_bins, encode_dictionary
 from riskloom.plans.model import (
     FittedTrees,
     TreeParams,
@@ -29,7 +29,7 @@ from riskloom.plans.model import (
 )
 from riskloom.roles import FILL_VALUE, Roles
 from riskloom.session import materialize
-from riskloom.sources.params import bins_from_json, bins_to_json, categories_from_json, categories_to_json
+from riskloom.sources.params import bins_from_json, bins_to_json, read_categories, read_settings, write_categories, write_settings
 from riskloom.sources.tables import sample_rows, write_keys, write_report, write_scores
 from riskloom.sources.treedump import dump_lines, write_dump
 
@@ -98,16 +98,17 @@ class TrainingPlan:
 class TrainingResult:
     fit: FittedTrees
     features: list[str]
-    categories: dict[str, dict[str, float]]
+    categories: list[str]
     binning: Binning | None
     reports: dict[str, DataFrame]
     scored: DataFrame
     audit: list[tuple[int, str, int, int]]
 
 
-def prepare(df: DataFrame, categories: Mapping, binning_edges: Mapping | None, bin_woe: Mapping | None, numeric: Sequence[str], fill: float) -> DataFrame:
+def prepare(df: DataFrame, dictionary: DataFrame | None, categories: Sequence[str], binning_edges: Mapping | None, bin_woe: Mapping | None, numeric: Sequence[str], fill: float) -> DataFrame:
     """The row-wise part shared by training and scoring: fill, encode categories, encode bins."""
-    out = encode_categories(fill_numeric(df, numeric, fill), categories)
+    out = fill_numeric(df, numeric, fill)
+    out = encode_dictionary(out, dictionary, categories) if dictionary is not None else out
     return encode_bins(out, binning_edges, bin_woe) if binning_edges else out
 
 
@@ -129,13 +130,13 @@ def train(raw: DataFrame, roles: Roles, plan: TrainingPlan, folder: str | None =
     features = dense_columns(train_rows, features, plan.missing_limit)
     numeric, text, dates = triage(train_rows, features)
     features = [c for c in features if c not in dates]
-    woe = category_woe_table(train_rows, text, roles.target) if text else None
-    categories = woe_by_category(woe) if woe is not None else {}
+    woe = materialize(category_woe_table(train_rows, text, roles.target), "categories")[0] if text else None
+    categories = list(text)
     binning = None
     if plan.bin_method:
         filled = fill_numeric(train_rows, numeric, plan.fill)
         binning = fit_bins(filled, numeric, roles.target, plan.bin_method, plan.bin_rules)
-    ready = prepare(table, categories, binning.edges if binning else None, binning.woe() if binning else None, numeric, plan.fill)
+    ready = prepare(table, woe, categories, binning.edges if binning else None, binning.woe() if binning else None, numeric, plan.fill)
     ready, _ = materialize(ready.select(roles.key, roles.time, roles.target, roles.split, *features), "ready")
     views = split_views(ready, roles.split)
     train_rows, test_rows = views["train"], views["test"]
@@ -200,7 +201,8 @@ def save_training(spark: SparkSession, result: TrainingResult, woe: DataFrame |
     result.fit.save(f"{folder}/trees")
     write_dump(spark, dump_lines(node_table(spark, result.fit), result.features), f"{folder}/trees.txt")
     if woe is not None:
-        categories_to_json(woe, folder)
+        write_categories(woe, folder)
+    write_settings(spark, {"categories": woe is not None, "bins": bool(result.binning)}, folder)
     if result.binning:
         bins_to_json(spark, result.binning, folder)
     write_report(sample_rows(result.scored, result.features, roles.key), f"{folder}/sample", "csv")
@@ -214,10 +216,11 @@ def score_batch(
     folder: str,
     roles: Roles,
     keys: DataFrame | None = None,
-    use_bins: bool = False,
+    use_bins: bool | None = None,
 ) -> DataFrame:
     """Score new rows with saved parameters: key filter, encodings, probability, integer score.
 
+    How rows are encoded is read from the folder. ``use_bins`` is for folders written elsewhere, without settings.
     No aggregate is involved, so a stream can go through it as well.
     """
     rows = held_out(df, keys, roles.key) if keys is not None else df
@@ -226,12 +229,16 @@ def score_batch(
     return fit.predict(rows, "p").withColumn("score", to_score("p"))
 
 
-def apply_encodings(spark: SparkSession, df: DataFrame, folder: str, use_bins: bool, fill: float) -> DataFrame:
-    table = categories_from_json(spark, folder)
-    categories = {f: m for f, m in woe_by_category(table).items() if f in df.columns}
+def apply_encodings(spark: SparkSession, df: DataFrame, folder: str, use_bins: bool | None, fill: float) -> DataFrame:
+    settings = read_settings(spark, folder) or {"categories": True, "bins": bool(use_bins)}
+    use_bins = settings["bins"]
+    table = read_categories(spark, folder) if settings["categories"] else None
+    # One row per feature.
+    names = [r["feature"] for r in table.select("feature").distinct().collect()] if table is not None else []
+    categories = sorted(f for f in names if f in df.columns)
     edges, bin_woe = bins_from_json(spark, folder) if use_bins else (None, None)
     numeric = [c for c in df.columns if edges and c in edges]
-    return prepare(df, categories, edges, bin_woe, numeric, fill)
+    return prepare(df, table, categories, edges, bin_woe, numeric, fill)
 
 
 def score_report(scored: DataFrame, roles: Roles) -> dict[str, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def workspace(spark: SparkSession) -> str:
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running this job")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
     return context.getCheckpointDir().rstrip("/")

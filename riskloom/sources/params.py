@@ -6,15 +6,18 @@ import json
 import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.binning import Binning, edge_table
 from riskloom.operators.cut import interval_label
-from riskloom.operators.woe import OTHER, UNSEEN, woe_by_bin
+from riskloom.operators.woe import INLINE_ENTRIES, OTHER, UNSEEN, woe_by_bin
 
 # File names.
 CATEGORY_FILE = "category_var_value_woe.json"
+CATEGORY_TABLE = "categories"
+SETTINGS_FILE = "settings.json"
 BIN_WOE_FILE = "continuous_var_bin_woe_dict.json"
 BIN_EDGE_FILE = "continuous_bins_dict.json"
 
@@ -39,6 +42,34 @@ def categories_to_json(table: DataFrame, folder: str) -> None:
     write_json(table.sparkSession, out, f"{folder}/{CATEGORY_FILE}")
 
 
+def write_categories(table: DataFrame, folder: str) -> None:
+    """The stored dictionary as a table; as JSON, too, while each feature's entries would fit into an expression."""
+    table.select("feature", "key", "woe").write.mode("overwrite").parquet(f"{folder}/{CATEGORY_TABLE}")
+    largest = table.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    if largest is not None and largest <= INLINE_ENTRIES:
+        categories_to_json(table, folder)
+
+
+def read_categories(spark: SparkSession, folder: str) -> DataFrame:
+    """(feature, key, woe) from the table, or from the JSON of a folder made elsewhere."""
+    try:
+        return spark.read.parquet(f"{folder}/{CATEGORY_TABLE}")
+    except AnalysisException:
+        return categories_from_json(spark, folder)
+
+
+def write_settings(spark: SparkSession, settings: dict, folder: str) -> None:
+    write_json(spark, settings, f"{folder}/{SETTINGS_FILE}")
+
+
+def read_settings(spark: SparkSession, folder: str) -> dict | None:
+    """How the model's rows are encoded; None for folders that do not say."""
+    try:
+        return read_json(spark, f"{folder}/{SETTINGS_FILE}")
+    except AnalysisException:
+        return None
+
+
 def categories_from_json(spark: SparkSession, folder: str) -> DataFrame:
     """{feature: {category: woe}} as (feature, key, woe), parsed by Spark."""
     text = spark.read.text(f"{folder}/{CATEGORY_FILE}", wholetext=True)

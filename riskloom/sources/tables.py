@@ -57,8 +57,8 @@ def sample_rows(df: DataFrame, features: Sequence[str], key: str, n: int = 100)
     return key_last(df.select(key, *features), key).orderBy(key).limit(n)
 
 
-def delivery_sample(df: DataFrame, key: str, time: str, target: str, secret: str, legacy: bool = True) -> DataFrame:
-    """(key, time, merge): 'key,time,target' encrypted; ``legacy`` keeps the older CBC text format."""
+def delivery_sample(df: DataFrame, key: str, time: str, target: str, secret: str, legacy: bool = False) -> DataFrame:
+    """(key, time, merge): 'key,time,target' encrypted with GCM; ``legacy`` gives the older CBC text format."""
     text = joined_text(key, time, target)
     return df.select(key, time, (seal_cbc if legacy else seal)(text, secret).alias("merge"))
 

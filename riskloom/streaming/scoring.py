@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from riskloom.session import scratch_path
-
 
 def read_arrivals(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -22,8 +20,11 @@ def read_arrivals(spark: SparkSession, path: str, schema: StructType, files_per_
 
 
 def write_scored(scored: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append to Parquet, processing what is there and stopping; files and offsets commit together."""
-    checkpoint = checkpoint or scratch_path(scored.sparkSession, "stream-state")
+    """Append to Parquet, processing what is there and stopping; files and offsets commit together.
+
+    The state lies beside the output unless given, so a later run goes on where this one ended.
+    """
+    checkpoint = checkpoint or f"{path.rstrip('/')}-state"
     return (
         scored.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

@@ -86,7 +86,7 @@ def test_training_reports(trained):
 def test_scoring_reproduces_training_scores(spark, wide, trained):
     result, folder = trained
     keys = result.scored.where("type = 'test'").select("apply_no")
-    scored = score_batch(spark, wide.drop("p"), folder, ROLES, keys, use_bins=True)
+    scored = score_batch(spark, wide.drop("p"), folder, ROLES, keys)
     assert scored.count() == keys.count()
     both = scored.join(result.scored.select("apply_no", F.col("p").alias("q")), "apply_no")
     assert both.agg(F.max(F.abs(F.col("p") - F.col("q")))).first()[0] < 1e-12
@@ -109,8 +109,8 @@ def test_stream_scores_like_a_batch(spark, wide, trained):
     arrivals, out = scratch_path(spark, "arrivals"), scratch_path(spark, "scored")
     wide.drop("p").repartition(5).write.parquet(arrivals)
     stream = read_arrivals(spark, arrivals, spark.read.parquet(arrivals).schema, files_per_batch=2)
-    write_scored(score_batch(spark, stream, folder, ROLES, use_bins=True).select("apply_no", "p", "score"), out).awaitTermination()
-    batch = score_batch(spark, wide.drop("p"), folder, ROLES, use_bins=True).select("apply_no", "p", "score")
+    write_scored(score_batch(spark, stream, folder, ROLES).select("apply_no", "p", "score"), out).awaitTermination()
+    batch = score_batch(spark, wide.drop("p"), folder, ROLES).select("apply_no", "p", "score")
     got = spark.read.parquet(out)
     assert got.count() == batch.count() and got.exceptAll(batch).count() == 0
 
@@ -131,3 +131,30 @@ def test_statistics_use_lower_case_labels(wide):
     row = reports["report"].first()
     assert row["train_auc"] is not None and row["test_ks"] is not None
     assert reports["by_month"].count() == wide.select("month").distinct().count()
+
+
+def test_large_dictionaries_and_null_targets(spark):
+    from riskloom.operators.split import stratified_folds, stratified_split
+    from riskloom.operators.woe import INLINE_ENTRIES, encode_dictionary
+
+    n = INLINE_ENTRIES + 50
+    table = spark.range(n).selectExpr("'c' AS feature", "cast(id AS string) AS key", "id * 0.5D AS woe")
+    table = table.unionByName(spark.sql("SELECT 'd' AS feature, 'x' AS key, 2.0D AS woe"))
+    rows = spark.createDataFrame([("7", "x"), (str(n - 1), "y"), ("none", None)], "c string, d string")
+    got = [tuple(r) for r in encode_dictionary(rows, table, ["c", "d"]).orderBy("c").collect()]
+    assert set(got) == {(3.5, 2.0), ((n - 1) * 0.5, None), (None, None)}
+
+    df = spark.range(100).selectExpr("id", "CASE WHEN id % 10 = 0 THEN NULL ELSE cast(id % 3 = 0 AS int) END AS t")
+    folds = stratified_folds(df, "id", "t", 5).groupBy("t", "fold").count().collect()
+    assert sum(r["count"] for r in folds) == 100
+    assert stratified_split(df, "id", "t", 0.3).where("type = 'test' AND t IS NULL").count() == 3
+
+
+def test_second_stream_run_goes_on(spark, tmp_path):
+    from riskloom.streaming.scoring import read_arrivals, write_scored
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for first in (0, 10):
+        spark.range(first, first + 10).write.mode("append").parquet(src)
+        write_scored(read_arrivals(spark, src, spark.range(1).schema), out).awaitTermination()
+    assert spark.read.parquet(out).count() == 20

@@ -122,7 +122,7 @@ def test_large_ensembles_are_walked_with_the_same_result(spark, monkeypatch):
 
 def test_delivery(spark):
     df = spark.createDataFrame([("d1", "2019-11-15", 1, 0.5), ("d2", "2019-11-16", 0, 0.7)], "device_id string, apply_time string, target int, x double")
-    sent = tables.delivery_sample(df, "device_id", "apply_time", "target", "secret")
+    sent = tables.delivery_sample(df, "device_id", "apply_time", "target", "secret", legacy=True)
     assert sent.columns == ["device_id", "apply_time", "merge"] and {len(r["merge"]) for r in sent.collect()} == {32}
     features = tables.delivery_features(df, "target", "apply_time", "2019-08-15")
     assert features.columns == ["device_id", "apply_time", "x"] and features.select("apply_time").distinct().count() == 1

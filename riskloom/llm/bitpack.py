@@ -153,7 +153,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, bits: int,
         return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], MANIFEST_NAMES)
 
     for batch in batches:
-        for rows in slices(batch, "text", 12 << 20):
+        for rows in slices(batch, "text", 6 << 20):
             if shard is None:
                 shard = ShardWriter(f"{folder}/{part:06d}-{number:04d}-{uuid.uuid4().hex}.tok", bits)
             shard.add(rows.column("id"), *with_end(*tok.encode(rows.column("text")), end))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.session import clear_scratch, scratch_path
 
 # Bytes of text handled at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # Rows of a keyed table of a few dozen bytes each that may be broadcast; larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
 

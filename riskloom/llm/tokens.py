@@ -38,7 +38,7 @@ class WordBpe:
     word tells them apart again. All other words take the library's whole way one by one.
     """
 
-    def __init__(self, path: str, remember: int = 700_000):
+    def __init__(self, path: str, remember: int = 300_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 

@@ -20,7 +20,8 @@ QUALITY_LEAST = 0.3
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out what the classifier rejects. It learns from the labelled rows of ``docs``."""
     model = nbsvm.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return nbsvm.score(docs, model).where(F.col("score") >= QUALITY_LEAST).select(docs.columns)
+    scored = nbsvm.score(docs, model, out="_score")
+    return scored.where(F.col("_score") >= QUALITY_LEAST).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

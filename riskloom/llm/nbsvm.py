@@ -197,18 +197,17 @@ def fit(df: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, cost: float
     return Model(w[:BUCKETS] * ratio, ratio, float(w[BUCKETS]), slope, offset)
 
 
-def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], model: Model, out: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "text"):
             score = pa.array(model.scores(*features(rows.column("text"))))
-            keep = [c for c in rows.schema.names]
-            yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in keep], score], [*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*rows.columns, score], [*rows.schema.names, out])
 
 
-def score(df: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``df`` (it must hold ``text`` and no ``score``) with ``score`` from 0 to 1. The model has a fixed size."""
+def score(df: DataFrame, model: Model, out: str = "score") -> DataFrame:
+    """The rows of ``df`` (it must hold ``text`` and no column ``out``) with a score from 0 to 1. The model has a fixed size."""
     kinds = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    return df.mapInArrow(partial(_scored, model=model), f"{kinds}, score double")
+    return df.mapInArrow(partial(_scored, model=model, out=out), f"{kinds}, `{out}` double")
 
 
 def held_out() -> Column:

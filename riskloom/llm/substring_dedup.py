@@ -102,7 +102,7 @@ def _removed(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
     for batch in batches:
         for rows in slices(batch, "text", 4 << 20):
             texts, counts, spans = [], [], []
-            for text, at in zip(rows.column("text").to_pylist(), rows.column("at").to_pylist()):
+            for text, at in zip(rows.column("text").to_pylist(), rows.column("_at").to_pylist()):
                 if not at:
                     texts.append(text)
                     counts.append(0)
@@ -150,11 +150,11 @@ def repeated_runs(df: DataFrame) -> DataFrame:
 def remove_repeats(df: DataFrame) -> DataFrame:
     """The rows of ``df`` (it must hold doc_id and text) with repeated passages removed from ``text``.
 
-    Adds ``n_removed`` (sentences) and ``removed`` (spans of code points in the text before).
+    Adds ``n_removed`` (sentences) and ``removed`` (spans of code points in the text before); columns of these names give way.
     """
     gone = repeated_runs(df).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    gone, n = materialize(gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "at"), "repeats")
-    kept = [c for c in df.columns if c not in ("n_removed", "removed", "at", "_doc", "_hash")]
+    gone, n = materialize(gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("at").alias("_at")), "repeats")
+    kept = [c for c in df.columns if c not in ("n_removed", "removed")]
     rows = df.select(kept)
     match = rows.doc_id.cast("bigint").eqNullSafe(gone["_doc"]) & F.xxhash64(rows.text).eqNullSafe(gone["_hash"])
     joined = rows.join(broadcast_if_small(gone, n, 200_000), match, "left").drop("_doc", "_hash")

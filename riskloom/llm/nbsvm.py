@@ -32,6 +32,8 @@ SHAPE_BUCKETS = 1 << 14
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 FIT_ROWS = 8_000
 SHAPE_RUN = 3
+# Rows of each class that the held-back fifth needs; with fewer, margins are calibrated on all sampled rows.
+LEAST_HELD = 5
 REPEATED = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -192,6 +194,8 @@ def fit(df: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, cost: float
     back = np.arange(len(y)) % 5 == 0
     own = [i for i in range(len(y)) if not back[i]]
     w = dual_descent([index[i] for i in own], [values[i] for i in own], y[own], BUCKETS + 1, cost)
+    if min((y[back] > 0).sum(), (y[back] < 0).sum()) < LEAST_HELD:
+        back = np.ones(len(y), bool)
     margin = np.array([float(w[index[i]] @ values[i]) for i in np.flatnonzero(back)])
     slope, offset = _sigmoid(margin, y[back]) if len(margin) else (1.0, 0.0)
     return Model(w[:BUCKETS] * ratio, ratio, float(w[BUCKETS]), slope, offset)

@@ -39,7 +39,7 @@ def turns():
 def folder(spark, request, tmp_path_factory):
     out = str(tmp_path_factory.mktemp(request.param))
     full = request.param == "rows"
-    labels = [(i, i % 2, 0) for i in range(20)] + [(None, 1, 0), (4, None, 0)]
+    labels = [(i, int(i != 9), 0) for i in range(20)] + [(None, 1, 0), (4, None, 0)]
     tables = {
         "documents": (documents(), DOCS), "embeddings": (vectors(), VECTORS), "conversations": (turns(), TURNS),
         "labels": (labels, "doc_id long, quality int, toxic int"),

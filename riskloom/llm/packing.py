@@ -66,7 +66,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, end: int, capacity: int)
     width = id_bytes(tok.vocabulary())
     counts: dict[int, int] = defaultdict(int)
     for batch in batches:
-        for rows in slices(batch, "text", 6 << 20):
+        for rows in slices(batch, "text", 3 << 20):
             ids, offsets = with_end(*tok.encode(rows.column("text")), end)
             owner, start, length, kind, nth = [], [], [], [], []
             for i, n in enumerate(np.diff(offsets).tolist()):

@@ -318,14 +318,19 @@ class NearDuplicates:
         return components(links.unionByName(inside))
 
     def _across(self, lists: DataFrame, family: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs that the estimate lets through and that join families, for lists that hold several."""
-        named = lists.join(family, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        """Pairs that the estimate lets through and that join families, for lists that hold several.
+
+        Of lists with the same members, told by 128 bits over their ids, one is compared.
+        """
+        named = lists.join(family, "id", "left").select("value", "size", "id", F.coalesce("component", "id").alias("component"))
         mixed = named.groupBy("value", "size").agg(
-            F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("c > 2 AND lo <> hi").select("value", "size", "c")
+            F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+            F.bit_xor(F.xxhash64("id")).alias("m1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("m2"),
+        ).where("c > 2 AND lo <> hi")
+        mixed = mixed.groupBy("c", "m1", "m2").agg(F.min(F.struct("value", "size")).alias("one")).select("one.*", "c")
         rows, _ = materialize(named.join(mixed, ["value", "size"]), "mixed")
-        rows = rows.join(classes.select("id", F.expr(SHORT).alias("hashes")), "id")
-        found = _block_pairs(rows, ["value", "size"]).mapInArrow(
+        sets = classes.select("id", "n", F.expr(SHORT).alias("hashes"))
+        found = _block_pairs(rows, sets, ["value", "size"]).mapInArrow(
             partial(_block_links, percent=self.percent, sketch=self.sketch), "a bigint, b bigint"
         )
         return found.distinct()
@@ -337,8 +342,8 @@ class NearDuplicates:
         mixed = named.groupBy("family").agg(
             F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
         ).where("c > 2 AND lo <> hi").select("family", "c")
-        rows = named.join(mixed, "family").join(full.select("id", F.size("full").alias("n"), F.col("full").alias("hashes")), "id")
-        return _block_pairs(rows, ["family"]).mapInArrow(
+        sets = full.select("id", F.size("full").alias("n"), F.col("full").alias("hashes"))
+        return _block_pairs(named.join(mixed, "family"), sets, ["family"]).mapInArrow(
             partial(_block_links, percent=self.percent, sketch=None), "a bigint, b bigint"
         )
 
@@ -368,16 +373,17 @@ def _best(pairs: DataFrame) -> DataFrame:
     return pairs.join(top, ["b", "score"]).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
 
 
-def _block_pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
+def _block_pairs(rows: DataFrame, sets: DataFrame, keys: list[str]) -> DataFrame:
     """(left, right): all pairs of blocks of each group, so that every two members of different components meet once.
 
-    ``rows``: keys, c (rows of the group), id, n, component, hashes. A group of up to BLOCK rows is one block. In a larger one a
+    ``rows``: keys, c (rows of the group), id, component. ``sets``: id, n, hashes; they join once the rows have their
+    blocks. A group of up to BLOCK rows is one block. In a larger one a
     component of BLOCK rows or more has blocks of its own and the smaller ones share blocks; numbers are dealt by hash, so
     no task sees a whole group. Blocks of one component only are not paired. The blocks of a group meet in stripes
     of STRIPE left blocks each, a key of their own.
     """
     side = F.collect_list(F.struct("id", "n", "component", "hashes"))
-    one = rows.where(f"c <= {BLOCK}").groupBy(*keys).agg(side.alias("left")).select("left", F.col("left").alias("right"))
+    one = rows.where(f"c <= {BLOCK}").join(sets, "id").groupBy(*keys).agg(side.alias("left")).select("left", F.col("left").alias("right"))
     large = rows.where(f"c > {BLOCK}")
     held = large.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("held"))
     small = held.where(f"held < {BLOCK}").groupBy(*keys).agg(F.sum("held").alias("small"))
@@ -386,7 +392,7 @@ def _block_pairs(rows: DataFrame, keys: list[str]) -> DataFrame:
     shared = F.expr(f"struct(cast(-1 AS bigint) AS of, pmod(xxhash64(component), ceil(small / {BLOCK})) AS nth)")
     dealt = sized.withColumn("block", F.when(F.col("held") >= BLOCK, own).otherwise(shared))
     blocks, _ = materialize(
-        dealt.groupBy(*keys, "block").agg(
+        dealt.join(sets, "id").groupBy(*keys, "block").agg(
             side.alias("side"), F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("c").alias("c")
         ),
         "blocks",

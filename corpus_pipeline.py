@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import bottomk, nbsvm, packing, secrets, substring_dedup
-from riskloom.llm.common import table
+from riskloom.llm.common import forget, release, table
 from riskloom.session import materialize
 
 QUALITY_LEAST = 0.3
@@ -26,8 +26,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest id; of rows that repeat it, one."""
-    found, n = materialize(bottomk.near_duplicates(docs).where("NOT kept").select(
+    marked = bottomk.near_duplicates(docs)
+    found, n = materialize(marked.where("NOT kept").select(
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "dropped")
+    forget(marked)
     match = docs.doc_id.cast("bigint").eqNullSafe(found["_doc"]) & F.xxhash64(docs.text).eqNullSafe(found["_hash"])
     left = docs.join(found, match, "left_anti")
     return left
@@ -47,6 +49,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 2048 ids."""
+    release(spark)
     return packing.with_checksums(packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 

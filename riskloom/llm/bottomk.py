@@ -252,6 +252,7 @@ class NearDuplicates:
             F.col("r.value").alias("value"), F.explode(F.array("step", F.col("step") + 1)).alias("size"), "id", "n"
         )
         rows, _ = materialize(rows, "postings")
+        forget(shared)
         release(classes.sparkSession)
         many, _ = materialize(
             rows.groupBy("value", "size").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("value", "size"), "many"
@@ -273,8 +274,11 @@ class NearDuplicates:
         match = self.docs.doc_id.eqNullSafe(wanted.doc_id) & self.docs.text_hash.eqNullSafe(wanted.text_hash)
         texts = self.docs.join(broadcast_if_small(wanted, n), match).select("id", "text")
         full, m = materialize(texts.mapInArrow(partial(_sets, words=self.words), "id bigint, full array<bigint>"), "sets")
+        forget(wanted)
         if m > n:  # rows that repeat id and text
-            full, _ = materialize(full.dropDuplicates(["id"]), "sets")
+            every = full
+            full, _ = materialize(every.dropDuplicates(["id"]), "sets")
+            forget(every)
         return full
 
     def _verified(self, pairs: DataFrame, full: DataFrame) -> DataFrame:
@@ -299,21 +303,30 @@ class NearDuplicates:
     def components(self, classes: DataFrame) -> DataFrame:
         """(id, component) of every class with a link."""
         spark = classes.sparkSession
-        lists, n = materialize(self._lists(classes), "lists")
+        listed = self._lists(classes)
+        lists, n = materialize(listed, "lists")
+        forget(listed)
         release(spark)
         if not n:
             return spark.createDataFrame([], "id bigint, component bigint")
         found, _ = materialize(self._candidates(self._star(lists), classes), "candidates")
         release(spark)
         family = components(found)
-        across, n = materialize(self._across(lists, family, classes), "across")
+        pairs = self._across(lists, family, classes)
+        across, n = materialize(pairs, "across")
+        forget(pairs, classes)
+        forget(lists)
         if n:
             family = components(found.select("a", "b").unionByName(across))
         release(spark)
         full = self._full(family.select("id"), classes)
         # One verification joins most copies to their family: each class with its best partner.
         links = self._verified(_best(found), full)
-        inside, n = materialize(self._inside(family, components(links), full), "inside")
+        forget(found)
+        pairs = self._inside(family, components(links), full)
+        inside, n = materialize(pairs, "inside")
+        forget(pairs)
+        forget(full)
         release(spark)
         return components(links.unionByName(inside))
 
@@ -358,7 +371,9 @@ class NearDuplicates:
         release(classes.sparkSession)
         label = self.components(classes)
         named = classes.select("id", "cls").join(label, "id", "left").select("cls", F.coalesce("component", "id").alias("component"))
-        named, _ = materialize(narrow.join(named, "cls", "left"), "named")
+        joined = narrow.join(named, "cls", "left")
+        named, _ = materialize(joined, "named")
+        forget(joined)
         smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
         out = named.join(smallest, "component", "left")
         name = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))

@@ -98,8 +98,14 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def forget(stored: DataFrame) -> None:
-    """Delete a stored intermediate table that nothing will read again."""
-    own = scratch_path(stored.sparkSession, "x").rpartition("/")[0]
-    for folder in {name.split("/")[-2] for name in stored.inputFiles()}:
-        clear_scratch(stored.sparkSession, f"{own}/{folder}")
+def forget(made: DataFrame, *kept: DataFrame) -> None:
+    """Delete the stored intermediate tables that ``made`` reads, but for those that ``kept`` read. Nothing may read them again."""
+    own = scratch_path(made.sparkSession, "x").rpartition("/")[0]
+
+    def folders(df: DataFrame) -> set[str]:
+        return {name.rpartition("/")[0] for name in df.inputFiles()}
+
+    for folder in folders(made).difference(*map(folders, kept)):
+        name = folder.rpartition("/")[2]
+        if folder.endswith(f"{own.rpartition('/')[2]}/{name}"):
+            clear_scratch(made.sparkSession, f"{own}/{name}")

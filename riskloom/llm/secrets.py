@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small
+from riskloom.llm.common import broadcast_if_small, forget
 from riskloom.session import materialize
 
 # The base patterns. Matches of access and hex that are too short cannot contain or end in a longer one.
@@ -127,8 +127,10 @@ def report(df: DataFrame) -> DataFrame:
 
 def redact(df: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The rows of ``df`` (it must hold doc_id and text) with every reported span replaced, overlapping ones as one."""
-    found = scan(df).where(F.size("found") > 0).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "found")
+    scanned = scan(df)
+    found = scanned.where(F.size("found") > 0).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "found")
     found, n = materialize(found.dropDuplicates(["_doc", "_hash"]).withColumnRenamed("found", "_found"), "spans")
+    forget(scanned)
     match = df.doc_id.eqNullSafe(found["_doc"]) & F.xxhash64(df.text).eqNullSafe(found["_hash"])
     joined = df.join(broadcast_if_small(found, n, 100_000), match, "left")
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, release, slices
+from riskloom.llm.common import broadcast_if_small, forget, release, slices
 from riskloom.session import materialize
 
 MIN_SENTENCES = 2
@@ -140,6 +140,7 @@ def repeated_runs(df: DataFrame) -> DataFrame:
     runs = rows.mapInArrow(partial(_runs, count_only=False), kinds)
     # Repeats grow with the table, so both sides are always shuffled, and a hot run is split as skewed.
     runs, _ = materialize(runs.join(shared, "h1"), "runs")
+    forget(shared)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "at")
     first, _ = materialize(runs.groupBy("h1", "h2").agg(F.min(place).alias("first")), "first")
     release(df.sparkSession)
@@ -152,8 +153,11 @@ def remove_repeats(df: DataFrame) -> DataFrame:
 
     Adds ``n_removed`` (sentences) and ``removed`` (spans of code points in the text before); columns of these names give way.
     """
-    gone = repeated_runs(df).groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("at"))
+    again = repeated_runs(df)
+    gone = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("at"))
     gone, n = materialize(gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("at").alias("_at")), "repeats")
+    forget(again)
+    release(df.sparkSession)
     kept = [c for c in df.columns if c not in ("n_removed", "removed")]
     rows = df.select(kept)
     match = rows.doc_id.cast("bigint").eqNullSafe(gone["_doc"]) & F.xxhash64(rows.text).eqNullSafe(gone["_hash"])

@@ -354,7 +354,7 @@ class NearDuplicates:
         named = named.withColumn("component", F.coalesce("component", "id"))
         mixed = named.groupBy("family").agg(
             F.count(F.lit(1)).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
-        ).where("c > 2 AND lo <> hi").select("family", "c")
+        ).where("lo <> hi").select("family", "c")
         sets = full.select("id", F.size("full").alias("n"), F.col("full").alias("hashes"))
         return _block_pairs(named.join(mixed, "family"), sets, ["family"]).mapInArrow(
             partial(_block_links, percent=self.percent, sketch=None), "a bigint, b bigint"

@@ -1,14 +1,14 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by projection passes.
 
-In each pass every vector gets a key: the signs of KEY_BITS fresh random projections, concatenated. The rows are ordered by
-(label, key), dealt by range, and each is compared with its WINDOW followers. A comparison counts differing
-signs of a separate sketch of SKETCH_BITS projections; pairs that could reach the threshold (missed
-with a probability below 1e-9) are gathered over all passes and verified by cosine in double precision on the original vectors.
-Verified pairs are joined to components.
+In each pass every vector gets a key: the signs of a few fresh random projections. All vectors of a label that share a key are
+compared, however many they are, by the differing signs of a separate sketch of SKETCH_BITS
+projections; pairs that could reach the threshold (missed with a probability below 1e-9) join two vectors to a family. Inside each
+family all vectors are compared by cosine in double precision on the original vectors, block against block; that gives the
+links, their number for every row, and the components.
 
-The number of passes follows the number of vectors, so that a pair right at the threshold is missed by
-all passes with a probability below LOST. A window holds few neighbours of a large group; that costs links,
-not connectedness, so links are counted afterwards over each whole component, block against block inside tasks.
+The number of passes follows the number of signs, so that a pair right at the threshold never shares a key with a
+probability below LOST, whatever the other vectors are. Keys shared by many (a dense label) are cut into parts of PART rows, and
+every two parts meet in a task of their own. Work grows with the pairs that share a key or a family, so in a dense group with its square.
 
 Equal vectors of one label are one class from the start and never compared. Vectors that are null, zero or hold null or
 non-finite components, and rows without a label, link with nothing. Vectors of different lengths never link. Rows with
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import flat_lists
+from riskloom.llm.common import broadcast_if_small, flat_lists
 from riskloom.llm.graph import components
 from riskloom.session import materialize
 
@@ -35,16 +35,25 @@ WINDOW = 8
 KEY_BITS = 62
 SKETCH_BITS = 256
 LOST = 1e-6
+PART = 1024
 BLOCK = 256
+STRIPE = 16
+KEY = ["pass", "dim", "label", "key"]
+TILE = [*KEY, "one", "two"]
+
+
+def key_bits(n: int, window: int = WINDOW) -> int:
+    """Signs that single out ``window`` of n evenly spread vectors."""
+    return min(KEY_BITS, max(1, math.ceil(math.log2(max(2.0, n / window)))))
 
 
 def passes_for(n: int, threshold: float, window: int = WINDOW, lost: float = LOST) -> int:
-    """Passes after which a pair at the threshold is still unmet with probability ``lost``.
+    """Passes after which a pair at the threshold has shared no key with probability ``lost``.
 
-    Two vectors stand within a window if their keys agree on as many signs as it takes to single out ``window`` of n.
+    In a pass the two meet if all signs of their keys agree. This does not depend on other vectors, since all that share a key are compared.
     """
     differ = math.acos(threshold) / math.pi
-    meet = (1 - differ) ** max(1.0, math.log2(max(2.0, n / window)))
+    meet = (1 - differ) ** key_bits(n, window)
     return max(8, math.ceil(math.log(lost) / math.log(1 - meet)))
 
 
@@ -79,74 +88,114 @@ def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.binary())], ["vec_id", "label", "vec", "cls"])
 
 
-def _keys(batches: Iterator[pa.RecordBatch], passes: int) -> Iterator[pa.RecordBatch]:
-    weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
+def _keys(batches: Iterator[pa.RecordBatch], passes: int, bits: int, sketched: bool) -> Iterator[pa.RecordBatch]:
+    weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
     for batch in batches:
         values, offsets = flat_lists(batch.column("vec"))
         dims = np.diff(offsets)
         for dim in np.unique(dims):
             rows = np.flatnonzero(dims == dim)
             vectors = values[(offsets[rows][:, None] + np.arange(dim))].astype(np.float64)
-            signs = np.packbits(vectors @ _planes(0, SKETCH_BITS, dim) > 0, axis=1)
-            sketch = pa.array([r.tobytes() for r in signs], pa.binary())
             cls, label = (batch.column(c).take(pa.array(rows)) for c in ("cls", "label"))
+            rest = [cls]
+            if sketched:
+                signs = np.packbits(vectors @ _planes(0, SKETCH_BITS, dim) > 0, axis=1)
+                rest.append(pa.array([r.tobytes() for r in signs], pa.binary()))
             for p in range(1, passes + 1):
-                key = (vectors @ _planes(p, KEY_BITS, dim) > 0) @ weights
+                key = (vectors @ _planes(p, bits, dim) > 0) @ weights
                 n = len(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, p, np.int32)), pa.array(np.full(n, dim, np.int32)), label, pa.array(key), cls, sketch],
-                    ["pass", "dim", "label", "key", "cls", "sketch"],
+                    [pa.array(np.full(n, p, np.int32)), pa.array(np.full(n, dim, np.int32)), label, pa.array(key), *rest],
+                    [*KEY, "cls", "sketch"][: 4 + len(rest)],
                 )
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch], window: int, far: int) -> Iterator[pa.RecordBatch]:
-    """Pairs within the window that may be linked; the last rows of a batch are carried into the next."""
-    held, fresh = None, 0
+def _tiles(classes: DataFrame, passes: int, bits: int) -> DataFrame:
+    """(key, one, two, side, cls, sketch): rows to be compared. One part: all with all; two parts: side 0 with side 1."""
+    kinds = "pass int, dim int, label bigint, key bigint, cls binary"
+    rows = classes.select("cls", "label", "vec")
+    # The planes are the same in both scans, so the counted keys are the ones dealt.
+    counted = rows.mapInArrow(partial(_keys, passes=passes, bits=bits, sketched=False), kinds)
+    large, n = materialize(
+        counted.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(f"n > {PART}").select(
+            *KEY, F.expr(f"cast(ceil(n / {PART}) AS int)").alias("parts")), "large"
+    )
+    keys = rows.mapInArrow(partial(_keys, passes=passes, bits=bits, sketched=True), f"{kinds}, sketch binary")
+    if not n:
+        return keys.selectExpr(*KEY, "0 AS one", "0 AS two", "0 AS side", "cls", "sketch")
+    dealt = keys.join(broadcast_if_small(large, n), KEY, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("part", F.expr("cast(pmod(xxhash64(cls), parts) AS int)"))
+    met = dealt.withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    return met.selectExpr(
+        *KEY, "least(part, other) AS one", "greatest(part, other) AS two", "cast(part > other AS int) AS side", "cls", "sketch"
+    )
+
+
+def _near(batches: Iterator[pa.RecordBatch], far: int) -> Iterator[pa.RecordBatch]:
+    """As few pairs as join all rows of a tile that may be linked. Batches are sorted by tile and side; an unfinished tile is held back."""
+    held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        table = pa.concat_tables([pa.Table.from_batches([b]) for b in (held, batch) if b is not None]).combine_chunks()
-        batch, fresh = table.to_batches()[0], held.num_rows if held is not None else 0
-        groups = [batch.column(c).to_numpy() for c in ("pass", "dim", "label")]
-        bits = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-        left, right = [], []
-        for d in range(1, min(window, batch.num_rows - 1) + 1):
-            to = np.arange(max(d, fresh), batch.num_rows)
-            of = to - d
-            for g in groups:
-                near = g[of] == g[to]
-                of, to = of[near], to[near]
-            near = np.bitwise_count(bits[of] ^ bits[to]).sum(axis=1) <= far
-            left.append(of[near])
-            right.append(to[near])
-        if left:
-            cls = batch.column("cls")
-            a, b = (cls.take(pa.array(np.concatenate(x))) for x in (left, right))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
-        held = batch.slice(max(0, batch.num_rows - window))
-
-
-def _cosines(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    return values[offsets[rows][:, None] + np.arange(offsets[rows[0] + 1] - offsets[rows[0]])].astype(np.float64)
-
-
-def _linked(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        (va, oa), (vb, ob) = flat_lists(batch.column("va")), flat_lists(batch.column("vb"))
-        dims, keep = np.diff(oa), np.zeros(batch.num_rows, bool)
-        for dim in np.unique(dims):
-            rows = np.flatnonzero(dims == dim)
-            a, b = _cosines(va, oa, rows), _cosines(vb, ob, rows)
-            cos = (a * b).sum(axis=1) / np.sqrt((a * a).sum(axis=1) * (b * b).sum(axis=1))
-            keep[rows] = cos >= threshold
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
+        rows = pa.concat_tables([pa.Table.from_batches([b]) for b in (held, batch) if b is not None]).combine_chunks().to_batches()[0]
+        begins = _begins(rows)
+        cut = int(begins[-1])
+        held = rows.slice(cut)
+        if cut:
+            yield _joined(rows.slice(0, cut), begins[:-1], far)
+    if held is not None:
+        yield _joined(held, np.zeros(1, np.int64), far)
+
+
+def _begins(rows: pa.RecordBatch) -> np.ndarray:
+    """First row of each tile."""
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for c in TILE:
+        x = rows.column(c).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def _joined(rows: pa.RecordBatch, begins: np.ndarray, far: int) -> pa.RecordBatch:
+    n = rows.num_rows
+    end = np.repeat(np.append(begins[1:], n), np.diff(np.append(begins, n)))
+    side, two = rows.column("side").to_numpy(), rows.column("one").to_numpy() != rows.column("two").to_numpy()
+    bits = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint64).reshape(n, -1)
+    root = np.arange(n)
+    left, right = [], []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    of, d = np.arange(n), 0
+    while len(of):
+        d += 1
+        of = of[of + d < end[of]]
+        open_ = of[(root[of] != root[of + d]) & ~(two[of] & (side[of] == side[of + d]))]
+        joined = False
+        for i in open_[np.bitwise_count(bits[open_] ^ bits[open_ + d]).sum(axis=1) <= far].tolist():
+            x, y = find(i), find(i + d)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                left.append(i)
+                right.append(i + d)
+                joined = True
+        while joined:
+            top = root[root]
+            joined = bool((top != root).any())
+            root = top
+    cls = rows.column("cls")
+    return pa.RecordBatch.from_arrays([cls.take(pa.array(x, pa.int64())) for x in (left, right)], ["a", "b"])
 
 
 def _count(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Rows linked to each class of two blocks of a component."""
+    """Of two blocks of a family: rows linked to each class (cls, links), and as few links (cls, other) as join all linked ones."""
     for batch in batches:
         same = batch.column("same").to_pylist()
-        names, counts = [], []
+        names, counts, ends = [], [], []
         for i, equal in enumerate(same):
             sides = []
             for side in ("one", "two"):
@@ -164,7 +213,31 @@ def _count(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.R
             if not equal:
                 names += sides[1][0]
                 counts += (near.T @ sides[0][1]).tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(counts, pa.int64())], ["cls", "links"])
+            ends += _spanning(near, sides[0][0], sides[1][0])
+        a, b = ([e[k] for e in ends] for k in (0, 1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(names + a, pa.binary()), pa.array(counts + [None] * len(a), pa.int64()), pa.array([None] * len(names) + b, pa.binary())],
+            ["cls", "links", "other"],
+        )
+
+
+def _spanning(near: np.ndarray, left: list[bytes], right: list[bytes]) -> list[tuple[bytes, bytes]]:
+    """Links that join all rows of ``near`` that are linked, found from row to row."""
+    out = []
+    new_row, new_column = np.ones(near.shape[0], bool), np.ones(near.shape[1], bool)
+    for start in np.flatnonzero(near.any(axis=1)):
+        todo = [int(start)] if new_row[start] else []
+        new_row[start] = False
+        while todo:
+            i = todo.pop()
+            for j in np.flatnonzero(near[i] & new_column):
+                new_column[j] = False
+                out.append((left[i], right[j]))
+                for k in np.flatnonzero(near[:, j] & new_row):
+                    new_row[k] = False
+                    out.append((left[k], right[j]))
+                    todo.append(int(k))
+    return out
 
 
 def near_vectors(
@@ -186,19 +259,12 @@ def near_vectors(
         ),
         "classes",
     )
-    keys = classes.select("cls", "label", "vec").mapInArrow(
-        partial(_keys, passes=passes_for(n, threshold, window)),
-        "pass int, dim int, label bigint, key bigint, cls binary, sketch binary",
+    tiles = _tiles(classes, passes_for(n, threshold, window), key_bits(n, window))
+    met = tiles.repartition(*TILE).sortWithinPartitions(*TILE, "side").mapInArrow(
+        partial(_near, far=far_signs(threshold)), "a binary, b binary"
     )
-    order = ["pass", "dim", "label", "key", "cls"]
-    ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order)
-    met = ranged.mapInArrow(partial(_neighbours, window=window, far=far_signs(threshold)), "a binary, b binary")
-    pairs, _ = materialize(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    a = classes.select(F.col("cls").alias("a"), F.col("vec").alias("va"))
-    b = classes.select(F.col("cls").alias("b"), F.col("vec").alias("vb"))
-    links = pairs.join(b, "b").join(a, "a").mapInArrow(partial(_linked, threshold=threshold), "a binary, b binary")
+    links, counts = _links(classes, components(met), threshold)
     label = components(links)
-    counts = _links(classes, label, threshold)
     known = (
         classes.select("cls", "n", "smallest")
         .join(counts, "cls", "left").join(label.withColumnRenamed("id", "cls"), "cls", "left")
@@ -216,15 +282,23 @@ def near_vectors(
     return found.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(classes: DataFrame, label: DataFrame, threshold: float) -> DataFrame:
-    """(cls, links): rows of other classes linked directly, over each whole component."""
-    member = classes.join(label.withColumnRenamed("id", "cls"), "cls")
-    size = label.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+def _links(classes: DataFrame, family: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(a, b): links that join all linked classes of each family; (cls, links): rows of other classes linked directly."""
+    member = classes.join(family.withColumnRenamed("id", "cls"), "cls")
+    size = family.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     dealt = member.join(size, "component").withColumn("block", F.expr(f"pmod(xxhash64(cls), ceil(size / {BLOCK}))"))
     blocks, _ = materialize(
-        dealt.groupBy("component", "block").agg(F.collect_list(F.struct("cls", "n", "vec")).alias("side")), "blocks"
+        dealt.groupBy("component", "block").agg(F.collect_list(F.struct("cls", "n", "vec")).alias("side"), F.first("size").alias("size")),
+        "blocks",
+    )
+    # The blocks of a family meet in stripes, a key of their own.
+    stripes = f"cast(ceil(size / {BLOCK * STRIPE}) AS int)"
+    one, two = (
+        blocks.select("component", "size", F.col("block").alias(f"b{i}"), F.col("side").alias(s)) for i, s in ((1, "one"), (2, "two"))
     )
-    one, two = (blocks.select("component", F.col("block").alias(f"b{i}"), F.col("side").alias(s)) for i, s in ((1, "one"), (2, "two")))
-    both = one.join(two, "component").where("b1 <= b2").select((F.col("b1") == F.col("b2")).alias("same"), "one", "two")
-    counted = both.mapInArrow(partial(_count, threshold=threshold), "cls binary, links bigint")
-    return counted.groupBy("cls").agg(F.sum("links").alias("links"))
+    one = one.withColumn("stripe", F.expr(f"cast(pmod(xxhash64(b1), {stripes}) AS int)")).drop("size")
+    two = two.withColumn("stripe", F.explode(F.expr(f"sequence(0, {stripes} - 1)"))).drop("size")
+    both = one.join(two, ["component", "stripe"]).where("b1 <= b2").select((F.col("b1") == F.col("b2")).alias("same"), "one", "two")
+    found, _ = materialize(both.mapInArrow(partial(_count, threshold=threshold), "cls binary, links bigint, other binary"), "links")
+    links = found.where("other IS NOT NULL").select(F.col("cls").alias("a"), F.col("other").alias("b"))
+    return links, found.where("other IS NULL").groupBy("cls").agg(F.sum("links").alias("links"))

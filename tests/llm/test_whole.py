@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 from test_contracts import groups, shingles, similar_pairs
 
-from riskloom.llm import bottomk
+from riskloom.llm import bottomk, projection_passes
 
 
 def test_pairs_whose_lists_have_another_first_class(spark):
@@ -22,3 +23,26 @@ def test_pairs_whose_lists_have_another_first_class(spark):
     names = groups(len(texts), similar_pairs([shingles(t, 2) for t in texts]))
     assert [got[i] for i in range(len(texts))] == names
     assert sum(i != x for i, x in enumerate(names)) > 150
+
+
+def test_dense_label(spark):
+    """One label whose vectors are all at a cosine of about 0.95, with pairs above the threshold among them."""
+    rng = np.random.default_rng(3)
+
+    def around(base, cosine):
+        turn = rng.standard_normal(base.shape)
+        turn -= (turn * base).sum(axis=1)[:, None] * base
+        turn /= np.sqrt((turn * turn).sum(axis=1))[:, None]
+        return cosine * base + np.sqrt(1 - cosine**2) * turn
+
+    middle = rng.standard_normal((1, 64))
+    middle /= np.sqrt((middle * middle).sum())
+    v = around(np.repeat(middle, 1500, axis=0), np.sqrt(0.95))
+    v = np.concatenate([v, around(v[:600], 0.983)])
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in projection_passes.near_vectors(df).collect()}
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    near = v @ v.T >= 0.98
+    np.fill_diagonal(near, False)
+    assert [got[i]["n_links"] for i in range(len(v))] == near.sum(axis=1).tolist()
+    assert [got[i]["component_id"] for i in range(len(v))] == groups(len(v), np.argwhere(near).tolist())

@@ -1,7 +1,9 @@
 """Repeated passages, found as runs of consecutive sentences.
 
 A sentence ends at ``.``, ``!`` or ``?`` before white space, or at a line feed; one of more than LONG words is cut after
-every LONG words. From every sentence a run goes on until it has at least MIN_SENTENCES sentences
+every word whose hash is the smallest of some NEAR consecutive words (all of equal ones). So the words
+themselves choose the cuts: at most NEAR words apart, and the same in every copy but for NEAR - 1 words at its edges. A passage of
+4 * NEAR + MIN_WORDS - 3 words (49) inside long sentences therefore shares a run with each of its copies. From every sentence a run goes on until it has at least MIN_SENTENCES sentences
 and MIN_WORDS words. Runs are hashed (128 bits over lower-cased words) and joined over the whole table. The first place of a run (smallest doc_id,
 null last, then text hash, then position) keeps it; in all other places every sentence that the run covers is removed.
 Removing keeps the rest of the text as it is.
@@ -31,8 +33,9 @@ from riskloom.session import materialize
 MIN_SENTENCES = 2
 MIN_WORDS = 24
 LONG = 16
+NEAR = 7
 _END = re.compile(r"[.!?]+\s+|\n\s*")
-_STRETCH = re.compile(r"\s*(?:\S+\s+){%d}" % LONG)
+_WORD = re.compile(r"\s*\S+\s*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -43,17 +46,30 @@ def sentences(text: str) -> list[str]:
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         part = text[start:end]
         if len(part) > 2 * LONG and len(part.split()) > LONG:
+            words = _WORD.findall(part)
             at = 0
-            for m in _STRETCH.finditer(part):
-                out.append(part[at : m.end()])
-                at = m.end()
-            part = part[at:]
+            for cut in _cuts(words):
+                out.append("".join(words[at:cut]))
+                at = cut
+            part = "".join(words[at:])
         if part:
             out.append(part)
         start = end
     return out
 
 
+def _cuts(words: list[str]) -> list[int]:
+    """After how many words a sentence of more than NEAR words is cut."""
+    own = np.array([xxhash.xxh32_intdigest(w) for w in "".join(words).lower().split()], np.int64)
+    least = own[: len(own) - NEAR + 1]
+    for i in range(1, NEAR):
+        least = np.minimum(least, own[i : i + len(least)])
+    chosen = np.zeros(len(own), bool)
+    for i in range(NEAR):
+        chosen[i : i + len(least)] |= own[i : i + len(least)] == least
+    return (np.flatnonzero(chosen) + 1).tolist()
+
+
 def run_ends(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For the sentences of several texts (``starts``: their first ones, and the end) each run's last sentence, or -1."""
     upto = np.cumsum(words)

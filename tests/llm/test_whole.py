@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pytest
 from test_contracts import groups, shingles, similar_pairs
 
-from riskloom.llm import bottomk, projection_passes
+from riskloom.llm import bottomk, projection_passes, substring_dedup
 
 
 def test_pairs_whose_lists_have_another_first_class(spark):
@@ -46,3 +47,31 @@ def test_dense_label(spark):
     np.fill_diagonal(near, False)
     assert [got[i]["n_links"] for i in range(len(v))] == near.sum(axis=1).tolist()
     assert [got[i]["component_id"] for i in range(len(v))] == groups(len(v), np.argwhere(near).tolist())
+
+
+@pytest.mark.parametrize("size", [50, 60, 200])
+def test_passages_without_punctuation_at_every_phase(spark, size):
+    """A passage behind lead-ins of 0 to 40 other words, all of them in one sentence, and followed by other words."""
+    rng = random.Random(size)
+
+    def words(n, kind):
+        return [f"{kind}{rng.randrange(10**6)}" for _ in range(n)]
+
+    passage = words(size, "p")
+    texts = [" ".join([*words(30, "a"), *passage, *words(30, "b")])]
+    texts += [" ".join([*words(lead, "a"), *passage, *words(9, "b")]) for lead in range(41)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(df).collect()}
+    assert got[0] == texts[0]
+    for i in range(1, len(texts)):
+        left = got[i].split()
+        assert sum(w in passage for w in left) < 50, i
+        assert [w for w in left if w[0] != "p"] == [w for w in texts[i].split() if w[0] != "p"]
+
+
+def test_sentences_make_up_the_text():
+    rng = random.Random(1)
+    for n in range(300):
+        text = "".join(rng.choice(["ha ", "Word ", "\u00a0x\t", "end. ", "\n", " \u0130 ", "y", "  "]) for _ in range(n))
+        parts = substring_dedup.sentences(text)
+        assert "".join(parts) == text and all(parts)

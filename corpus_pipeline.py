@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import bottomk, nbsvm, packing, secrets, substring_dedup
-from riskloom.llm.common import forget, release, table
+from riskloom.llm.common import broadcast_if_small, forget, release, table
 from riskloom.session import materialize
 
 QUALITY_LEAST = 0.3
@@ -25,14 +25,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id; of rows that repeat it, one."""
-    marked = bottomk.near_duplicates(docs)
-    found, n = materialize(marked.where("NOT kept").select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct(), "dropped")
+    """One row of each group of near copies stays: the smallest by id (null last), text hash, then all columns.
+
+    Rows without words are no copies of each other and stay.
+    """
+    marked = bottomk.NearDuplicates(docs, words=5, percent=80).rows()
+    keys = marked.groupBy("doc_id", "text_hash").agg(
+        F.count(F.lit(1)).alias("n"), F.min("chosen").alias("chosen"), F.max("n_shingles").alias("n_shingles")
+    )
+    keys = keys.where("NOT chosen OR n > 1 AND n_shingles > 0").select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "chosen"
+    )
+    found, _ = materialize(keys, "dropped")
     forget(marked)
-    match = docs.doc_id.cast("bigint").eqNullSafe(found["_doc"]) & F.xxhash64(docs.text).eqNullSafe(found["_hash"])
-    left = docs.join(found, match, "left_anti")
-    return left
+    again, n = materialize(found.where("chosen").drop("chosen"), "repeated")
+    match = [docs.doc_id.cast("bigint").eqNullSafe(x["_doc"]) & F.xxhash64(docs.text).eqNullSafe(x["_hash"]) for x in (found, again)]
+    left = docs.join(found, match[0], "left_anti")
+    if not n:
+        return left
+    # Of rows that repeat id and text one, taken map-side first.
+    rows = docs.join(broadcast_if_small(again, n), match[1]).groupBy("_doc", "_hash")
+    return left.unionByName(rows.agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

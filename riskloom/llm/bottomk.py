@@ -361,9 +361,10 @@ class NearDuplicates:
         )
 
     def rows(self) -> DataFrame:
-        """Every row's doc_id, text_hash, n_shingles, component_id and kept.
+        """Every row's doc_id, text_hash, n_shingles, component_id, kept and chosen.
 
         ``component_id`` is the smallest id of the component, null if it has none; rows without shingles are their own.
+        ``chosen`` holds for one (doc_id, text_hash) of each component, the smallest with null ids last, in all rows that repeat it.
         """
         classes, _ = materialize(self._classes(), "classes")
         narrow, _ = materialize(self.sketches.select("doc_id", "text_hash", "n_shingles", "cls"), "rows")
@@ -374,11 +375,13 @@ class NearDuplicates:
         joined = narrow.join(named, "cls", "left")
         named, _ = materialize(joined, "named")
         forget(joined)
-        smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("smallest"))
-        out = named.join(smallest, "component", "left")
-        name = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
-        return out.select("doc_id", "text_hash", "n_shingles", name.alias("component_id")).withColumn(
-            "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
+        place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+        first = named.where("component IS NOT NULL").groupBy("component").agg(F.min(place).alias("first"))
+        out = named.join(first, "component", "left")
+        name = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
+        chosen = F.col("cls").isNull() | place.eqNullSafe(F.col("first"))
+        return out.select("doc_id", "text_hash", "n_shingles", name.alias("component_id"), chosen.alias("chosen")).select(
+            "doc_id", "text_hash", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "chosen"
         )
 
 
@@ -425,4 +428,4 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, sketch: in
 
     Two texts link when 100 * shared shingles >= percent * shingles of both together.
     """
-    return NearDuplicates(df, words, percent, sketch).rows()
+    return NearDuplicates(df, words, percent, sketch).rows().drop("chosen")

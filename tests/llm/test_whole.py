@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from test_contracts import groups, shingles, similar_pairs
 
+import corpus_pipeline
 from riskloom.llm import bottomk, projection_passes, substring_dedup
 
 
@@ -75,3 +76,19 @@ def test_sentences_make_up_the_text():
         text = "".join(rng.choice(["ha ", "Word ", "\u00a0x\t", "end. ", "\n", " \u0130 ", "y", "  "]) for _ in range(n))
         parts = substring_dedup.sentences(text)
         assert "".join(parts) == text and all(parts)
+
+
+def test_one_row_of_each_group_of_copies(spark):
+    """Repeated rows, null ids, one id with two linked texts, a hot id; rows without words stay."""
+    base = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"}
+    rows = [(1, base["a"], 0), (1, base["a"], 0), (1, base["a"], 1), (2, base["a"], 0)]
+    rows += [(None, base["b"], 0), (None, base["b"], 0), (None, base["b"] + " x", 0)]
+    rows += [(3, base["c"], 0), (3, base["c"] + " x", 0)]
+    rows += [(4, base["d"], i) for i in range(50)]
+    rows += [(5, base["e"], 0), (5, base["f"], 0), (None, base["f"], 0)]
+    rows += [(6, "", 0), (6, "", 0), (None, None, 0), (7, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    left = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    kept = sorted(((r["doc_id"] or 0, r["text"][0], r["row"]) for r in left if r["text"]))
+    assert kept == [(0, "b", 0), (1, "a", 0), (3, "c", 0), (4, "d", 0), (5, "e", 0), (5, "f", 0)]
+    assert sorted((r["doc_id"] or 0, r["text"] is None) for r in left if not r["text"]) == [(0, True), (6, False), (6, False), (7, True)]

@@ -7,13 +7,13 @@ first, and hands out leaves in that order.
 
 How many leaves to visit is calibrated: the true neighbours of CALIBRATION queries are found by brute force over all
 vectors, and visits are widened until leaves visited so far hold ``recall`` of them. Each query also goes on
-until its leaves hold enough vectors for a full answer.
+until its leaves hold enough vectors of other ids for a full answer.
 
 Leaves and their queries are cut into slices and every pair of slices is one small task group, so neither a hot leaf
 nor a leaf asked by many is one task. Candidates are scored in double precision on the original vectors.
 
-Vectors that are null, zero, hold null or non-finite components or have another length than the first of the
-sample take no part. A query never finds rows of its own id. If rows repeat an id, its query is asked once (least vector).
+Vectors that are null, zero or hold null or non-finite components take no part. Vectors of each length have a tree of their own, so a
+query finds those of its length. A query never finds rows of its own id. If rows repeat an id, its query is asked once (least vector).
 """
 
 from __future__ import annotations
@@ -165,15 +165,17 @@ def _truth(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["q", "vec_id", "leaf", "score"])
 
 
-def _visits(batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, sizes: np.ndarray, enough: int) -> Iterator[pa.RecordBatch]:
+def _visits(batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, sizes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         who, leaf = [], []
+        # Rows of its own id do not count towards a full answer.
+        enough = k + np.maximum(SPARE, batch.column("own").to_numpy())
         for i, q in enumerate(unit(_matrix(batch.column("vec")))):
             held = 0
             for n, x in enumerate(tree.best_first(q)):
-                if n >= visits and held >= enough:
+                if n >= visits and held >= enough[i]:
                     break
                 held += sizes[x]
                 who.append(i)
@@ -201,24 +203,18 @@ def _search(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in out], schema=kinds)
 
 
-class TreeIndex:
-    """Index of all usable rows of a table of (id, vector)."""
+class LengthIndex:
+    """Index of rows (vec_id, vec) whose vectors all have one length."""
 
-    def __init__(self, df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", fit_rows: int = FIT_ROWS, seed: int = 0):
-        self.spark = df.sparkSession
-        rows = df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
-        rows = rows.where("vec_id IS NOT NULL").where(vector_ok("vec"))
-        n = rows.count()
+    def __init__(self, rows: DataFrame, n: int, fit_rows: int, seed: int):
+        self.spark = rows.sparkSession
         sample = rows.where(hash_share(F.xxhash64("vec_id", "vec"), fit_rows / max(n, 1))).select("vec").toArrow().column("vec").combine_chunks()
-        _, offsets = flat_lists(sample)
-        self.dim = int(offsets[1]) if len(offsets) > 1 else 0
-        if not self.dim:
-            self.tree, self.rows, self.sizes = None, None, {}
-            return
-        matrix = np.array([x for x in sample.to_pylist() if len(x) == self.dim])
+        if not len(sample):  # a short table whose rows all hash low
+            sample = rows.select("vec").limit(1).toArrow().column("vec").combine_chunks()
+        matrix = _matrix(sample)
         leaf_rows = max(LEAF_SAMPLE, round(LEAF_ROWS * len(matrix) / n))
         self.tree = fit_tree(unit(matrix), leaf_rows, seed=seed)
-        kept = rows.where(F.size("vec") == self.dim).withColumn("n", F.monotonically_increasing_id())
+        kept = rows.withColumn("n", F.monotonically_increasing_id())
         self.rows, self.n_rows = materialize(
             kept.mapInArrow(partial(_assigned, tree=self.tree), "vec_id bigint, vec array<double>, n bigint, leaf int"), "index"
         )
@@ -244,18 +240,16 @@ class TreeIndex:
                 return visits
         return self.tree.n_leaves
 
-    def search(self, queries: DataFrame, k: int = 5, recall: float = 0.97) -> DataFrame:
-        """query_id, rank, vec_id, score of the k nearest found for each row (vec_id, vec) of ``queries``."""
-        schema = "query_id bigint, rank int, vec_id bigint, score double"
-        if self.tree is None:
-            return self.spark.createDataFrame([], schema)
-        asked = queries.where(F.size("vec") == self.dim).groupBy("vec_id").agg(F.min("vec").alias("vec"))
-        asked, _ = materialize(asked, "queries")
+    def search(self, asked: DataFrame, k: int, recall: float) -> DataFrame:
+        """query_id, vec_id, score: the k nearest of each slice for each row (vec_id, vec) of ``asked``, whose ids differ."""
+        schema = "query_id bigint, vec_id bigint, score double"
+        own = self.rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
+        asked, _ = materialize(asked.join(own, "vec_id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "queries")
         visits = self.calibrate(asked, k, recall)
         sizes = np.array([self.sizes.get(i, 0) for i in range(self.tree.n_leaves)])
         visited, _ = materialize(
             asked.mapInArrow(
-                partial(_visits, tree=self.tree, visits=visits, sizes=sizes, enough=k + SPARE),
+                partial(_visits, tree=self.tree, visits=visits, sizes=sizes, k=k),
                 "query_id bigint, query array<double>, leaf int",
             ),
             "visits",
@@ -273,11 +267,28 @@ class TreeIndex:
             {"vs": F.expr("pmod(xxhash64(n), sv)"), "qs": F.explode(F.expr("sequence(0, sq - 1)"))}
         )
         keys = ["leaf", "vs", "qs"]
-        found = (
+        return (
             left.select(*keys, "query_id", "query").groupBy(*keys)
             .cogroup(right.select(*keys, "vec_id", "vec").groupBy(*keys))
-            .applyInArrow(lambda q, v: _search(q, v, k), "query_id bigint, vec_id bigint, score double")
+            .applyInArrow(lambda q, v: _search(q, v, k), schema)
         )
+
+
+class TreeIndex:
+    """Index of all usable rows of a table of (id, vector), each length on its own."""
+
+    def __init__(self, df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", fit_rows: int = FIT_ROWS, seed: int = 0):
+        self.spark = df.sparkSession
+        rows = usable(df, id_col, vec_col)
+        lengths = rows.groupBy(F.size("vec").alias("dim")).count().collect()
+        self.parts = {r["dim"]: LengthIndex(rows.where(F.size("vec") == r["dim"]), r["count"], fit_rows, seed) for r in lengths}
+
+    def search(self, queries: DataFrame, k: int = 5, recall: float = 0.97) -> DataFrame:
+        """query_id, rank, vec_id, score of the k nearest found for each row (vec_id, vec) of ``queries``."""
+        asked, _ = materialize(queries.groupBy("vec_id").agg(F.min("vec").alias("vec")), "asked")
+        found = self.spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
+        for dim, part in sorted(self.parts.items()):
+            found = found.unionByName(part.search(asked.where(F.size("vec") == dim), k, recall))
         first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select(
             "query_id", "rank", "vec_id", "score"

@@ -7,7 +7,7 @@ import pytest
 from test_contracts import groups, shingles, similar_pairs
 
 import corpus_pipeline
-from riskloom.llm import bottomk, projection_passes, substring_dedup
+from riskloom.llm import bottomk, kmeans_tree, projection_passes, substring_dedup
 
 
 def test_pairs_whose_lists_have_another_first_class(spark):
@@ -92,3 +92,21 @@ def test_one_row_of_each_group_of_copies(spark):
     kept = sorted(((r["doc_id"] or 0, r["text"][0], r["row"]) for r in left if r["text"]))
     assert kept == [(0, "b", 0), (1, "a", 0), (3, "c", 0), (4, "d", 0), (5, "e", 0), (5, "f", 0)]
     assert sorted((r["doc_id"] or 0, r["text"] is None) for r in left if not r["text"]) == [(0, True), (6, False), (6, False), (7, True)]
+
+
+def test_nearest_of_every_length(spark):
+    """A stray length in the first row, two lengths, and an id that many rows repeat beside one leaf's worth of others."""
+    rng = np.random.default_rng(8)
+    rows = [(0, [1.0, 2.0])] + [(i, rng.standard_normal(8).tolist()) for i in range(1, 200)]
+    rows += [(i, rng.standard_normal(5).tolist()) for i in range(200, 260)]
+    middle = rng.standard_normal(8)
+    rows += [(1000, (middle + 1e-3 * rng.standard_normal(8)).tolist()) for _ in range(300)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index = kmeans_tree.TreeIndex(df)
+    asked = kmeans_tree.usable(df).where("vec_id IN (0, 10, 210, 1000)")
+    got = {}
+    for r in index.search(asked, recall=0.0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert {q: len(x) for q, x in got.items()} == {10: 5, 210: 5, 1000: 5}
+    length = {i: len(v) for i, v in rows}
+    assert all(length[i] == length[q] and i != q for q, x in got.items() for _, i in x)

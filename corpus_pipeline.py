@@ -73,7 +73,7 @@ STAGES = [
     ("secret scans", redact_secrets),
     ("packing", pack),
 ]
-# A classifier and a tokenizer cannot be expressed in SQL; tests/llm compares the stages with brute force.
+# A classifier and a tokenizer cannot be expressed in SQL; tests/llm tests near duplicates on planted rows, the others through their queries.
 ORACLE_SQL = None
 
 

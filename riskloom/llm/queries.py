@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, secrets, substring_dedup,
+    alignment, bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, secrets, substring_dedup,
 )
 from riskloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,11 +64,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_texts(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_packed_ids, op3_nearest, op4_secrets, op5_perspectives,
-        op6_packing, op7_near_duplicates, op8_near_vectors, op9_byte_bpe, op10_quality,
+        op6_packing, op7_near_duplicates, op8_near_vectors, op9_byte_bpe, op10_quality, op11_alignment,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    alignment, bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, secrets, substring_dedup,
+    alignment, bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, residual_packing, secrets, substring_dedup,
 )
 from riskloom.llm.common import table
 
@@ -68,11 +68,16 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_texts(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)[0]
 
 
+def op13_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residual_packing.with_checksums(residual_packing.pack(table(spark, sf_dir, "documents"), WORD_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_packed_ids, op3_nearest, op4_secrets, op5_perspectives,
         op6_packing, op7_near_duplicates, op8_near_vectors, op9_byte_bpe, op10_quality, op11_alignment,
+        op13_residual_packing,
     )
 }
 ORACLES: dict[str, str] = {}

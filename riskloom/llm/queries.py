@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    alignment, bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, residual_packing, secrets, substring_dedup,
+    alignment, bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, residual_packing, secrets,
+    segment_filter, substring_dedup,
 )
 from riskloom.llm.common import table
 
@@ -68,6 +69,33 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_texts(table(spark, sf_dir, "documents"), BYTE_BPE, PIECES)[0]
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return segment_filter.hard_negatives(rows.withColumn("label", moved), "vec_id % 100 = 0")
+
+
+HARD_NEGATIVES_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+    CAST(list_inner_product(a.vec, r.vec) AS BIGINT) AS score
+  FROM whole a JOIN whole r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 5"""
+
+
 def op13_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residual_packing.with_checksums(residual_packing.pack(table(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -77,7 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_substring_dedup, op2_packed_ids, op3_nearest, op4_secrets, op5_perspectives,
         op6_packing, op7_near_duplicates, op8_near_vectors, op9_byte_bpe, op10_quality, op11_alignment,
-        op13_residual_packing,
+        op12_hard_negatives, op13_residual_packing,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_hard_negatives": HARD_NEGATIVES_SQL}

@@ -26,6 +26,18 @@ def interval_label(lo: float, hi: float) -> str:
     return f"[{edge_text(lo)}, {edge_text(hi)})"
 
 
+def interval_labels(edges: Sequence[float]) -> list[str]:
+    """One label for each interval, no two alike: short ones, or all edges with as many digits as tell them apart."""
+    edges = [float(e) for e in edges]
+    labels = [interval_label(a, b) for a, b in zip(edges, edges[1:])]
+    digits = 3
+    while len(set(labels)) < len(labels) and digits < 17:
+        digits += 1
+        texts = [edge_text(e) if math.isinf(e) else f"{e:.{digits}g}" for e in edges]
+        labels = [f"[{a}, {b})" for a, b in zip(texts, texts[1:])]
+    return labels
+
+
 def check_edges(edges: Sequence[float]) -> list[float]:
     edges = [float(e) for e in edges]
     if len(edges) < 2 or any(a >= b for a, b in zip(edges, edges[1:])):
@@ -50,7 +62,7 @@ def bin_number(value: Column, edges: Sequence[float]) -> Column:
 def bin_label(value: Column, edges: Sequence[float]) -> Column:
     """Interval text; missing and outside values read 'nan'."""
     edges = check_edges(edges)
-    names = F.array(*[F.lit(interval_label(a, b)) for a, b in zip(edges, edges[1:])])
+    names = F.array(*[F.lit(x) for x in interval_labels(edges)])
     return F.coalesce(F.get(names, bin_number(value, edges)), F.lit(MISSING_LABEL))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import bin_woe, category_woe
-from riskloom.operators.cut import bin_number, check_edges, interval_label
+from riskloom.operators.cut import bin_number, check_edges, interval_labels
 from riskloom.operators.hist import as_number, number_counts, numeric_histogram, text_histogram
 from riskloom.roles import FILL_VALUE
 
@@ -38,7 +38,7 @@ def describe_bins(counts: DataFrame, edges: Mapping[str, Sequence[float]]) -> Da
     def pick(make) -> Column:
         out = None
         for feature, cuts in edges.items():
-            values = F.array(*[F.lit(make(a, b)) for a, b in zip(check_edges(cuts), check_edges(cuts)[1:])])
+            values = F.array(*[F.lit(x) for x in make(check_edges(cuts))])
             item = F.get(values, F.col("bin_id"))
             here = F.col("feature") == feature
             out = F.when(here, item) if out is None else out.when(here, item)
@@ -47,9 +47,9 @@ def describe_bins(counts: DataFrame, edges: Mapping[str, Sequence[float]]) -> Da
     return counts.select(
         "feature",
         "bin_id",
-        pick(lambda a, b: a).alias("lo"),
-        pick(lambda a, b: b).alias("hi"),
-        F.coalesce(pick(interval_label), F.lit("nan")).alias("label"),
+        pick(lambda cuts: cuts[:-1]).alias("lo"),
+        pick(lambda cuts: cuts[1:]).alias("hi"),
+        F.coalesce(pick(interval_labels), F.lit("nan")).alias("label"),
         "n",
         "bad",
     )

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import to_score
+from riskloom.operators.binning import BinRules
 from riskloom.operators.cut import cut_columns
 from riskloom.operators.split import stratified_split
 from riskloom.operators.woe import category_woe_table, encode_categories, woe_by_category
 from riskloom.plans import model
-from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, PRICE_CUTS, TREES, TREE_SQL, WITH
+from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, PRICE_CUTS, STRATIFIED_SQL, TREES, TREE_SQL, WITH
 from riskloom.plans.fixtures import loan_wide
-from riskloom.plans.jobs import TrainingPlan, score_batch, train
+from riskloom.plans.jobs import TrainingPlan, apply_encodings, score_batch, train
 from riskloom.plans.registry import N, R, edges_sql, query, rounded, score_sql
 from riskloom.roles import Roles
 from riskloom.session import materialize, scratch_path
@@ -132,6 +133,32 @@ def scoring_job(spark, sf):
     return rounded(score_batch(spark, wide, folder, ROLES, keys).select("apply_no", "target", "p", "score"))
 
 
+# Prices as numbers that agree in four digits, so that bins lie closer than their short labels tell.
+NEAR_FEATURE = "f_near"
+NEAR_SQL = f"""{WITH}, nw AS (SELECT *, 10 + f_price * 1e-9 AS x FROM lw WHERE f_price IS NOT NULL OR f_bal IS NOT NULL), {STRATIFIED_SQL.replace('FROM lw', 'FROM nw')},
+q AS (SELECT list_sort(list_distinct(quantile_cont(x, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])))[2:] AS e FROM st WHERE type = 'train' AND x IS NOT NULL),
+nb AS (SELECT st.*, CASE WHEN x IS NULL THEN 0 ELSE 1 + len(list_filter(e, lambda c: c <= x)) END AS bin_id FROM st, q),
+ev AS (SELECT bin_id, count(*) AS n, sum(target) AS bad FROM nb WHERE type = 'train' GROUP BY 1),
+sh AS (SELECT bin_id, bad, CAST(n - bad AS DOUBLE) / sum(n - bad) OVER () AS gs, CAST(bad AS DOUBLE) / sum(bad) OVER () AS bs, n FROM ev)
+SELECT apply_no, {R('CASE WHEN bad = 0 THEN 0 WHEN n = bad THEN NULL ELSE ln(gs / bs) END', 'f_near')}, true AS agrees
+FROM nb LEFT JOIN sh USING (bin_id)"""
+
+
+@query("narrow_bins_scored", NEAR_SQL)
+def narrow_bins_scored(spark, sf):
+    """Bins a few 1e-5 apart through training, its folder and scoring: the evidence that scoring uses, and whether scores agree with training."""
+    wide = loan_wide(spark, sf).select("apply_no", "apply_time", "target", "f_bal", (10 + F.col("f_price") * 1e-9).alias(NEAR_FEATURE))
+    plan = TrainingPlan(
+        "demo", "near", bin_method="equal_freq", bin_rules=BinRules(monotonic=False), sweep=SMALL, sweep_rates=(0.5,), init_points=1,
+        iterations=1, ranges=SMALL_RANGES,
+    )
+    folder = scratch_path(spark, "near")
+    trained = train(wide, Roles(), plan, folder).scored.select("apply_no", F.col("p").alias("fitted"))
+    encoded = apply_encodings(spark, wide, folder, None, plan.fill).select("apply_no", NEAR_FEATURE)
+    both = score_batch(spark, wide, folder, Roles()).join(trained, "apply_no").select("apply_no", (F.col("p") == F.col("fitted")).alias("agrees"))
+    return rounded(encoded).join(both, "apply_no")
+
+
 # --- streaming: the same apply functions on a stream ------------------------------------------
 
 

@@ -79,6 +79,26 @@ def category_woe_json(spark, sf):
     return rounded(params.categories_from_json(spark, path))
 
 
+PART_SQL = """
+pl AS (SELECT CAST(l_partkey AS VARCHAR) AS part, CAST(l_quantity > 25 AS INTEGER) AS target FROM lineitem),
+pc AS (SELECT part AS key, count(*) AS n, sum(target) AS bad FROM pl GROUP BY 1),
+ps AS (SELECT *, CAST(bad AS DOUBLE) / sum(bad) OVER () AS bs, CAST(n - bad AS DOUBLE) / sum(n - bad) OVER () AS gs FROM pc),
+pw AS (SELECT key, CASE WHEN bs = 0 THEN 0 ELSE ln((CASE WHEN gs = 0 THEN 1e-10 ELSE gs END) / bs) END AS woe FROM ps)"""
+
+
+def part_lines(spark, sf):
+    """Lines with a category of thousands of entries."""
+    lines = table(spark, sf, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"), (F.col("l_quantity") > 25).cast("int").alias("target"))
+
+
+@query("category_woe_json_large", f"WITH {PART_SQL} SELECT 'part' AS feature, key, {R('woe', 'woe')} FROM pw UNION ALL SELECT 'part', '__other__', 0.0")
+def category_woe_json_large(spark, sf):
+    path = scratch_path(spark, "category-json")
+    params.write_categories(woe.category_woe_table(part_lines(spark, sf), ["part"], "target"), path)
+    return rounded(params.categories_from_json(spark, path))
+
+
 BIN_SQL = f"""
 lb AS (SELECT 'f_price' AS feature, {edges_sql('f_price', PRICE_CUTS)} AS bin_id, target FROM {{src}} UNION ALL
        SELECT 'f_bal', {edges_sql('f_bal', BALANCE_CUTS)}, target FROM {{src}}),

@@ -29,7 +29,17 @@ from riskloom.plans.model import (
 )
 from riskloom.roles import FILL_VALUE, Roles
 from riskloom.session import materialize
-from riskloom.sources.params import bins_from_json, bins_to_json, read_categories, read_settings, write_categories, write_settings
+from riskloom.sources.params import (
+    BIN_FORMAT,
+    bins_from_json,
+    bins_to_json,
+    read_bins,
+    read_categories,
+    read_settings,
+    write_bins,
+    write_categories,
+    write_settings,
+)
 from riskloom.sources.tables import sample_rows, write_keys, write_report, write_scores
 from riskloom.sources.treedump import dump_lines, write_dump
 
@@ -202,9 +212,10 @@ def save_training(spark: SparkSession, result: TrainingResult, woe: DataFrame |
     write_dump(spark, dump_lines(node_table(spark, result.fit), result.features), f"{folder}/trees.txt")
     if woe is not None:
         write_categories(woe, folder)
-    write_settings(spark, {"categories": woe is not None, "bins": bool(result.binning)}, folder)
+    write_settings(spark, {"categories": woe is not None, "bins": bool(result.binning), "bin_format": BIN_FORMAT}, folder)
     if result.binning:
-        bins_to_json(spark, result.binning, folder)
+        write_bins(spark, result.binning, f"{folder}/bins")  # what scoring reads
+        bins_to_json(spark, result.binning, folder)  # for other tools
     write_report(sample_rows(result.scored, result.features, roles.key), f"{folder}/sample", "csv")
     for name, report in result.reports.items():
         write_report(report, f"{folder}/reports/{name}")
@@ -236,7 +247,12 @@ def apply_encodings(spark: SparkSession, df: DataFrame, folder: str, use_bins: b
     # One row per feature.
     names = [r["feature"] for r in table.select("feature").distinct().collect()] if table is not None else []
     categories = sorted(f for f in names if f in df.columns)
-    edges, bin_woe = bins_from_json(spark, folder) if use_bins else (None, None)
+    edges, bin_woe = None, None
+    if use_bins and settings.get("bin_format", 1) > 1:
+        stored = read_bins(spark, f"{folder}/bins")
+        edges, bin_woe = stored.edges, stored.woe()
+    elif use_bins:
+        edges, bin_woe = bins_from_json(spark, folder)
     numeric = [c for c in df.columns if edges and c in edges]
     return prepare(df, table, categories, edges, bin_woe, numeric, fill)
 

@@ -80,6 +80,91 @@ def test_bin_parameters_as_json_and_parquet(spark, folder):
     assert params.finite(made.edges)["f"] == made.edges["f"][1:-1]
 
 
+NARROW = [-math.inf, 10.0001, 10.0002, 10.0003, math.inf]
+
+
+def narrow(spark):
+    rows = [(x, int(i % k == 0)) for k, x in enumerate((9.0, 10.00015, 10.00025, 11.0), 2) for i in range(20)] + [(None, 1), (None, 0)]
+    return spark.createDataFrame(rows, "f double, target int")
+
+
+def test_narrow_bins_keep_their_evidence(spark, folder):
+    made = B.manual_bins(narrow(spark), {"f": NARROW}, "target")
+    assert len(set(made.woe()["f"].values())) == 5
+    params.bins_to_json(spark, made, folder)
+    assert params.bins_from_json(spark, folder) == (made.edges, made.woe())
+    params.write_bins(spark, made, f"{folder}/tables")
+    stored = params.read_bins(spark, f"{folder}/tables")
+    assert stored.edges == made.edges and stored.woe() == made.woe()
+    assert {r["label"] for r in stored.summary.collect()} == {"[-inf, 10.0001)", "[10.0001, 10.0002)", "[10.0002, 10.0003)", "[10.0003, inf)", "nan"}
+    labels = {r["f"] for r in made.transform(narrow(spark), labels=True).collect()}
+    assert len(labels) == 5
+
+
+def test_edges_that_differ_in_the_last_bit(spark, folder):
+    edges = [-math.inf, 0.1 + 0.2, 0.3, math.inf]
+    edges = [-math.inf, *sorted(edges[1:3]), math.inf]
+    df = spark.createDataFrame([(0.1, 1), (0.3, 0), (0.3, 1), (0.1 + 0.2, 0), (0.1 + 0.2, 0), (0.1 + 0.2, 1), (0.1, 0)], "f double, target int")
+    made = B.manual_bins(df, {"f": edges}, "target")
+    params.bins_to_json(spark, made, folder)
+    params.write_bins(spark, made, f"{folder}/tables")
+    assert params.bins_from_json(spark, folder) == (made.edges, made.woe())
+    assert params.read_bins(spark, f"{folder}/tables").woe() == made.woe() and len(made.woe()["f"]) == 3
+
+
+def test_colliding_or_strange_labels_of_a_foreign_file(spark, tmp_path):
+    def write(edges, labels):
+        for name, value in ((params.BIN_EDGE_FILE, {"f": edges}), (params.BIN_WOE_FILE, {"f": labels})):
+            (tmp_path / name).write_text(json.dumps(value))
+        return params.bins_from_json(spark, str(tmp_path))
+
+    with pytest.raises(ValueError, match="do not tell"):
+        write(NARROW, {"[-inf, 10)": 0.1, "[10, 10)": 0.2, "[10, inf)": 0.3})
+    with pytest.raises(ValueError, match="no bins named"):
+        write([-math.inf, 1.0, math.inf], {"[-inf, 1)": 0.1, "[1, 2)": 0.2})
+    assert write([-math.inf, 1.0, math.inf], {"[-inf, 1)": 0.1, "nan": 0.3})[1] == {"f": {0: 0.1, None: 0.3}}
+
+
+def test_bin_tables_that_do_not_belong_together(spark, folder):
+    one = B.manual_bins(narrow(spark), {"f": NARROW}, "target")
+    two = B.manual_bins(narrow(spark), {"f": [-math.inf, 10.0, math.inf]}, "target")
+    params.write_bins(spark, one, f"{folder}/one")
+    params.write_bins(spark, two, f"{folder}/two")
+    mixed = f"{folder}/mixed"
+    spark.read.parquet(f"{folder}/one/edges").write.parquet(f"{mixed}/edges")
+    spark.read.parquet(f"{folder}/two/evidence").write.parquet(f"{mixed}/evidence")
+    with pytest.raises(ValueError, match="other edges"):
+        params.read_bins(spark, mixed)
+    later = f"{folder}/later"
+    spark.read.parquet(f"{folder}/one/edges").withColumn("format", F.lit(99)).write.parquet(f"{later}/edges")
+    spark.read.parquet(f"{folder}/one/evidence").write.parquet(f"{later}/evidence")
+    with pytest.raises(ValueError, match="layout"):
+        params.read_bins(spark, later)
+
+
+@pytest.mark.parametrize("files", [1, 4])
+def test_large_dictionaries_as_json(spark, folder, monkeypatch, files):
+    """One document whatever its size, also in several files, and nothing left of an earlier run."""
+    params.write_categories(spark.sql("SELECT 'old' AS feature, 'x' AS key, 1.0D AS woe"), folder)
+    monkeypatch.setattr(params, "FILE_ENTRIES", 1200 if files > 1 else 10**6)
+    odd = ['say "hi"', "back\\slash", "line\nbreak", "é中", "", "other", "a,b", "{}", " "]
+    rows = [("c", f"k{i}", i / 7) for i in range(3000)] + [("d", k, -1.5) for k in odd] + [("d", UNSEEN, 0.25), ("e", UNSEEN, 0.0), ("e", "z", None), ('q"', "w", 1e-12)]
+    table = spark.createDataFrame(rows, "feature string, key string, woe double").repartition(5)
+    params.write_categories(table, folder)
+    parts = sorted((__import__("pathlib").Path(folder) / params.CATEGORY_FILE).glob("part-*"))
+    parts = [p for p in parts if p.stat().st_size]
+    assert (len(parts) > 1) == (files > 1)
+    text = json.loads("".join(p.read_text() for p in parts))
+    want = {}
+    for f, k, w in sorted(rows, key=lambda r: r[1] == UNSEEN):
+        want.setdefault(f, {})["other" if k == UNSEEN else k] = w
+    assert text == want
+    back = {(r["feature"], r["key"]): r["woe"] for r in params.categories_from_json(spark, folder).collect()}
+    assert back == {(f, UNSEEN if k == "other" else k): w for f, e in want.items() for k, w in e.items()}
+    params.write_categories(table.limit(0), folder)
+    assert params.categories_from_json(spark, folder).collect() == []
+
+
 # Two splits on one feature at 2.5, missing to the right; the constant stands for all leaf-only trees.
 LEFT, RIGHT = (-0.0889847577, -0.072098203), (-0.110835426, -0.0977204815)
 CONSTANT = math.log(0.1126526 / (1 - 0.1126526)) - sum(LEFT)

@@ -36,11 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices
+from riskloom.llm.common import give_back, slices
 from riskloom.llm.tokens import per_worker
 from riskloom.session import materialize
 
 SLICE = 8 << 20
+PART = 8192
 SPACE = 0x20
 
 
@@ -65,7 +66,9 @@ class ByteLevelBpe:
         self.bytes = pa.array(table, pa.binary())
 
     def encode(self, segments: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(segments, add_special_tokens=False)]
+        """A part at a time: the library keeps far more than the ids of each segment."""
+        parts = (segments[i : i + PART] for i in range(0, len(segments), PART))
+        return [e.ids for part in parts for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
 
 
 class PieceBpe:
@@ -252,6 +255,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], first: str, second: str, schema:
                 columns |= {"part": pa.array(np.full(n, part, np.int32)), "nth": pa.array(np.full(n, nth, np.int32))}
                 yield pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
             nth += 1
+            give_back()
 
 
 def _finished(texts: Iterator[pa.RecordBatch] | pa.Table, known: pa.Table) -> pa.Table:

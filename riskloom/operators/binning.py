@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.scoring import chi_square
 from riskloom.operators.cut import cut_columns
 from riskloom.operators.hist import numeric_histogram
-from riskloom.operators.prefix import TASK_ROWS, locate, quantiles, rank_histogram
+from riskloom.operators.prefix import TASK_ROWS, PrefixPages, locate, quantiles, rank_histogram
 from riskloom.operators.woe import _quality, bin_counts, bin_quality, describe_bins, woe_by_bin, woe_table
 from riskloom.roles import FILL_VALUE, numeric_columns
 from riskloom.session import materialize
@@ -65,7 +65,11 @@ class Binning:
 def fit_bins(
     df: DataFrame, features: Sequence[str] | None, target: str, method: str = "dt", rules: BinRules | None = None
 ) -> Binning:
-    """Fit edges by 'equal_freq', 'dt', 'kmeans' or 'chi'; without a list, of all numeric columns but the target."""
+    """Fit edges by 'equal_freq', 'dt', 'kmeans' or 'chi'; without a list, of all numeric columns but the target.
+
+    Missing, special and infinite values have no say in the edges. Special ones fall into the lowest bin, infinite ones into the outer
+    bins, missing ones into a bin of their own.
+    """
     features = list(features or [c for c in numeric_columns(df) if c != target])
     if method not in METHODS:
         raise ValueError(f"unknown binning method {method!r}, use one of {sorted(METHODS)}")
@@ -80,7 +84,7 @@ def fit_bins(
     empty = sorted(set(features) - {r["feature"] for r in present if r["values"]})
     if empty:
         raise ValueError(f"features without any value: {empty}")
-    usable = hist.where(F.col("value").isNotNull())
+    usable = hist.where(F.abs("value") < math.inf)
     if rules.special:
         usable = usable.where(~F.col("value").isin(*rules.special))
     candidates = METHODS[method](usable, rules, rows)
@@ -120,9 +124,10 @@ def histogram_bins(hist: DataFrame, edges: Mapping[str, Sequence[float]]) -> Dat
     table = edge_table(hist.sparkSession, edges)
     width = max(len(e) for e in edges.values())
     cells = locate(hist.join(F.broadcast(table), "feature"), "edges", "value", "spot", width)
-    number = F.when(
-        F.col("value").isNotNull() & (F.col("spot") > 0) & (F.col("spot") < F.size("edges")), F.col("spot") - 1
-    )
+    # Infinity lies in the last bin if that is open.
+    last = F.size("edges") - F.when(F.element_at("edges", -1) == math.inf, 1).otherwise(0)
+    spot = F.least(F.col("spot"), last)
+    number = F.when(F.col("value").isNotNull() & (spot > 0) & (spot < F.size("edges")), spot - 1)
     counts = cells.groupBy("feature", number.alias("bin_id")).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     return describe_bins(counts, edges)
 
@@ -210,8 +215,9 @@ def equal_frequency(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
 def decision_tree(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     """Best-first Gini tree with at most n leaves, exact over all distinct values.
 
-    Running counts make the two sides of any cut a subtraction, so one level of all
-    trees is one scan with a map-side maximum per node. The driver keeps only the
+    Running counts make the two sides of any cut a subtraction, so one round of all
+    trees is two scans with a hashed map-side maximum per node. A round opens only nodes that
+    can be next, at most two for each cut taken. The driver keeps only the
     chosen cuts. Fewer leaves are a prefix of the best-first order, so the tree is
     grown once for all bin numbers.
     """
@@ -220,45 +226,48 @@ def decision_tree(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     runs, _ = materialize(ranked.rows.select("feature", "value", "n", "bad", "n_before", "bad_before", "next_value"), "ranked")
     totals = ranked.totals().collect()  # one per feature
     leaf = {r["feature"]: max(1, math.ceil((rules.min_share or 0) * r["n_total"])) for r in totals}
-    nodes = {
-        (r["feature"], 1): (0, 0, r["n_total"], r["bad_total"]) for r in totals
-    }
+    nodes = {(r["feature"], 1): (0, 0, r["n_total"], r["bad_total"]) for r in totals}
     cuts: dict[tuple[str, int], tuple[float, float]] = {}
     looked_at: set[tuple[str, int]] = set()
+    splits = max(rules.n_bins, 2) - 1
     orders: dict[str, list[float]] = {}
-    level = list(nodes)
-    while level:
+    frontier = list(nodes)
+    while frontier:
         open_nodes = []
-        for key in level:
+        for key in frontier:
             looked_at.add(key)
             n0, bad0, n1, bad1 = nodes[key]
             n, bad = n1 - n0, bad1 - bad0
             if n >= 2 * leaf[key[0]] and 0 < bad < n:
                 open_nodes.append((key[0], key[1], n0, bad0, n1, bad1, leaf[key[0]]))
-        level = []
         for r in _best_cuts(spark, runs, open_nodes).collect() if open_nodes else []:  # one per open node
             key = (r["node_feature"], r["node"])
             n0, bad0, n1, bad1 = nodes[key]
             n, bad = n1 - n0, bad1 - bad0
-            gain = r["best"]["score"] - (bad * bad + (n - bad) * (n - bad)) / n
-            cuts[key] = (gain, r["best"]["cut"])
-            middle_n, middle_bad = r["best"]["n_left"] + n0, r["best"]["bad_left"] + bad0
-            left, right = (key[0], 2 * key[1]), (key[0], 2 * key[1] + 1)
-            nodes[left] = (n0, bad0, middle_n, middle_bad)
-            nodes[right] = (middle_n, middle_bad, n1, bad1)
-            level += [left, right]
+            gain = r["score"] - (bad * bad + (n - bad) * (n - bad)) / n
+            cuts[key] = (gain, r["cut"])
+            middle_n, middle_bad = r["n_left"] + n0, r["bad_left"] + bad0
+            nodes[key[0], 2 * key[1]] = (n0, bad0, middle_n, middle_bad)
+            nodes[key[0], 2 * key[1] + 1] = (middle_n, middle_bad, n1, bad1)
+        frontier = []
         for feature in leaf.keys() - orders.keys():
-            order, settled = _best_first(cuts, looked_at, feature, max(rules.n_bins, 2) - 1)
-            if settled:
+            order, unseen = _best_first(cuts, looked_at, feature, splits)
+            if unseen:
+                frontier += [(feature, node) for node in unseen]
+            else:
                 orders[feature] = order
-        level = [key for key in level if key[0] not in orders]
     proposals = []
     for feature, order in orders.items():
-        proposals += [(feature, n, sorted(order[: n - 1])) for n in range(max(rules.n_bins, 2), 1, -1)]
+        proposals += [(feature, n, sorted(order[: n - 1])) for n in range(splits + 1, 1, -1)]
     return spark.createDataFrame(proposals, CANDIDATE_SCHEMA)
 
 
 def _best_cuts(spark: SparkSession, rows: DataFrame, open_nodes: list[tuple]) -> DataFrame:
+    """Per open node its best score and the lowest cut that reaches it.
+
+    Two hashed steps, the highest score and then the least of the cuts that have it, so nothing is sorted. Counts to
+    the left rise with the cut, so the least ones belong to the lowest cut.
+    """
     nodes = spark.createDataFrame(
         open_nodes, "node_feature string, node bigint, n0 bigint, bad0 bigint, n1 bigint, bad1 bigint, leaf bigint"
     )
@@ -268,7 +277,6 @@ def _best_cuts(spark: SparkSession, rows: DataFrame, open_nodes: list[tuple]) ->
             "node_feature",
             "node",
             "leaf",
-            "-value AS lowest_first",
             "IF((value + next_value) / 2 > value, (value + next_value) / 2, next_value) AS cut",
             "n_before + n - n0 AS n_left",
             "bad_before + bad - bad0 AS bad_left",
@@ -279,41 +287,45 @@ def _best_cuts(spark: SparkSession, rows: DataFrame, open_nodes: list[tuple]) ->
     )
 
     def purity(n: str, bad: str) -> str:
-        return f"(CAST({bad} AS DOUBLE) * {bad} + CAST({n} - {bad} AS DOUBLE) * ({n} - {bad})) / {n}"
-
-    score = f"{purity('n_left', 'bad_left')} + {purity('n_right', 'bad_right')}"
-    best = f"max(named_struct('score', {score}, 'lowest_first', lowest_first, 'cut', cut, 'n_left', n_left, 'bad_left', bad_left))"
-    return sides.groupBy("node_feature", "node").agg(F.expr(best).alias("best"))
+        # The optimizer may score rows before it drops those without a side.
+        return f"try_divide(CAST({bad} AS DOUBLE) * {bad} + CAST({n} - {bad} AS DOUBLE) * ({n} - {bad}), {n})"
+
+    scored = sides.withColumn("score", F.expr(f"{purity('n_left', 'bad_left')} + {purity('n_right', 'bad_right')}"))
+    best = scored.groupBy("node_feature", "node").agg(F.max("score").alias("top"))
+    best = best.select(F.col("node_feature").alias("f"), F.col("node").alias("m"), "top")  # one row per open node
+    reached = scored.join(F.broadcast(best), F.expr("node_feature = f AND node = m AND score = top"))
+    return reached.groupBy("node_feature", "node").agg(
+        F.max("score").alias("score"), *[F.min(c).alias(c) for c in ("cut", "n_left", "bad_left")]
+    )
 
 
 def _best_first(
     cuts: dict[tuple[str, int], tuple[float, float]], looked_at: set[tuple[str, int]], feature: str, splits: int
-) -> tuple[list[float], bool]:
-    """Cut points in the order a best-first tree takes them, and whether that order is settled.
+) -> tuple[list[float], list[int]]:
+    """Cut points in the order a best-first tree takes them, and the nodes to look at before that order is settled.
 
-    It is not while a node that could be next has yet to be looked at.
+    Those are the unseen children of the cuts taken so far, the last one's left out: they alone could be next, at most two per cut.
     """
     order: list[float] = []
     heap: list[tuple[float, int]] = []
+    unseen: list[int] = []
     fresh = [1]
     while True:
-        if any((feature, node) not in looked_at for node in fresh):
-            return order, False
+        unseen += [node for node in fresh if (feature, node) not in looked_at]
         for node in fresh:
             if (feature, node) in cuts:
                 heapq.heappush(heap, (-cuts[feature, node][0], node))
         if not heap:
-            return order, True
+            return order, unseen
         _, node = heapq.heappop(heap)
         order.append(cuts[feature, node][1])
         if len(order) == splits:
-            return order, True
+            return order, unseen
         fresh = [2 * node, 2 * node + 1]
 
 
 # --- k-means ----------------------------------------------------------------------------------
 
-KMEANS_ROUNDS = 100
 KMEANS_TOLERANCE = 1e-4
 
 
@@ -321,8 +333,9 @@ def k_means(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
     """One-dimensional k-means for every feature and cluster number together.
 
     Start: equal-frequency centres, so the result does not depend on partitioning.
-    One round is one scan: values are summed between the midpoints of all open
-    problems of a feature, and each problem adds up its own cells.
+    A cluster is a stretch between two midpoints, so its weight and sum are differences of running sums, which are
+    stored once (:class:`PrefixPages`). A round looks up the midpoints of all open problems; it scans no values. Rounds
+    go on until the centres move no more than the tolerance: each lowers the spread inside the clusters, so they end.
     """
     spark = usable.sparkSession
     spread = {
@@ -339,18 +352,20 @@ def k_means(usable: DataFrame, rules: BinRules, rows: int) -> DataFrame:
         (f, n): np.unique([at[f, p] for p in probs]) for f in spread for n, probs in starts.items()
     }
     open_problems = {key for key, c in centres.items() if len(c) > 1}
-    for _ in range(KMEANS_ROUNDS):
-        if not open_problems:
-            break
-        sums = _cell_sums(spark, usable, {k: centres[k] for k in open_problems})
+    pages = PrefixPages(usable, rules.task_rows, rows) if open_problems else None
+    while open_problems:
+        middles = {key: (centres[key][:-1] + centres[key][1:]) / 2 for key in open_problems}
+        points = {
+            f: np.unique(np.concatenate([m for key, m in middles.items() if key[0] == f])) for f in {key[0] for key in open_problems}
+        }
+        below = pages.below(points)
         for key in list(open_problems):
             old = centres[key]
-            cell_start, n, total = sums[key[0]]
-            owner = np.searchsorted((old[:-1] + old[1:]) / 2, cell_start, side="right")
-            weight = np.bincount(owner, n, len(old))
-            mass = np.bincount(owner, total, len(old))
-            new = np.where(weight > 0, mass / np.maximum(weight, 1), old)
-            centres[key] = np.sort(new)
+            rows_at = np.searchsorted(points[key[0]], middles[key])
+            weight, mass = (
+                np.diff(np.concatenate([[0.0], sums[rows_at], [total]])) for sums, total in zip(below[key[0]], pages.totals[key[0]])
+            )
+            centres[key] = np.sort(np.where(weight > 0, mass / np.maximum(weight, 1), old))
             if np.sum((centres[key] - old) ** 2) <= KMEANS_TOLERANCE * spread[key[0]]:
                 open_problems.discard(key)
     proposals = []
@@ -370,32 +385,6 @@ def _moments(usable: DataFrame) -> DataFrame:
     )
 
 
-def _cell_sums(
-    spark: SparkSession, usable: DataFrame, centres: dict[tuple[str, int], np.ndarray]
-) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per feature: cell starts, weights and weighted sums between the union of midpoints."""
-    mids: dict[str, set[float]] = {}
-    for (feature, _), c in centres.items():
-        mids.setdefault(feature, set()).update(float(x) for x in (c[:-1] + c[1:]) / 2)
-    table = spark.createDataFrame([(f, sorted(m)) for f, m in mids.items()], "feature string, mids array<double>")
-    width = max(len(m) for m in mids.values())
-    cells = (
-        locate(usable.join(F.broadcast(table), "feature"), "mids", "value", "cell", width)
-        .groupBy("feature", "cell")
-        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("value")).alias("total"))
-        .toPandas()  # at most one row per feature and midpoint
-    )
-    out = {}
-    for feature, part in cells.groupby("feature"):
-        edges = np.array([-math.inf, *sorted(mids[feature])])
-        out[feature] = (
-            edges[part["cell"].to_numpy()],
-            part["n"].to_numpy(dtype=float),
-            part["total"].to_numpy(dtype=float),
-        )
-    return out
-
-
 # --- chi-merge --------------------------------------------------------------------------------
 
 

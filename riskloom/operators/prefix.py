@@ -9,14 +9,15 @@ of the value, so a recomputed task gives the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.session import materialize
+from riskloom.session import materialize, scratch_path
 
 # Largest number of distinct values of one group left to a single window task.
 TASK_ROWS = 1_000_000
@@ -28,7 +29,7 @@ MAX_SPLITTERS = 4_000_000
 
 @dataclass(frozen=True)
 class Ranked:
-    """rows: (by..., value, n, bad, n_before, bad_before, next_value, n_total, bad_total)."""
+    """rows: (by..., value, n, bad, n_before, bad_before, next_value, n_total, bad_total); other summed columns alike."""
 
     rows: DataFrame
     by: tuple[str, ...]
@@ -69,6 +70,8 @@ def _splitters(hist: DataFrame, by: Sequence[str], task_rows: int) -> tuple[Data
         edges = _text_splitters(hist, by, buckets, top["top"])
     else:
         edges = _number_splitters(hist, by, buckets)
+    # Stored: they are approximate, and all that reads them must see the same ones.
+    edges, _ = materialize(edges, "splitters")
     # Few groups: send the splitters to every task. Very many: let Spark choose the join by size.
     return (F.broadcast(edges) if top["groups"] * buckets <= MAX_SPLITTERS else edges), buckets
 
@@ -101,15 +104,17 @@ def rank_histogram(
     bounded: bool = False,
     task_rows: int = TASK_ROWS,
     stored_rows: int | None = None,
+    more: Sequence[str] = (),
 ) -> Ranked:
     """Running counts over ``value`` within ``by`` for a histogram (by..., value, n, bad).
 
     ``bounded`` states that the value domain itself is small (integer scores, bin
     numbers); otherwise the histogram is stored once, counted, and bucketed if any
     group is larger than one task should hold. ``stored_rows`` says that it is stored
-    already, with an upper bound of its rows.
+    already, with an upper bound of its rows. ``more`` names further columns to sum.
     """
     by = list(by)
+    sums = ["n", "bad", *more]
     hist = hist.where(F.col("value").isNotNull() & (F.col("n") > 0))
     edges = None
     if not bounded:
@@ -119,16 +124,17 @@ def rank_histogram(
         if rows > task_rows:
             edges, buckets = _splitters(hist, by, task_rows)
     whole = Window.partitionBy(*by)
+
+    def running(window, suffix: str):
+        return [F.coalesce(F.sum(c).over(window), F.lit(0)).alias(f"{c}_{suffix}") for c in sums]
+
     if edges is None:
         order = whole.orderBy("value")
-        before = order.rowsBetween(Window.unboundedPreceding, -1)
         rows_df = hist.select(
             "*",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
-            F.coalesce(F.sum("bad").over(before), F.lit(0)).alias("bad_before"),
+            *running(order.rowsBetween(Window.unboundedPreceding, -1), "before"),
             F.lead("value").over(order).alias("next_value"),
-            F.sum("n").over(whole).alias("n_total"),
-            F.sum("bad").over(whole).alias("bad_total"),
+            *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
         )
         return Ranked(rows_df, tuple(by), hist)
 
@@ -137,49 +143,144 @@ def rank_histogram(
     hist = locate(hist.join(edges, by, "left"), "edges", "value", "bucket", buckets).drop("edges")
     # Per (group, bucket): at most groups x buckets rows, so these windows stay small.
     along = whole.orderBy("bucket")
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     shift = (
         hist.groupBy(*by, "bucket")
-        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.min("value").alias("first_value"))
+        .agg(*[F.sum(c).alias(c) for c in sums], F.min("value").alias("first_value"))
         .select(
             *by,
             "bucket",
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_shift"),
-            F.coalesce(F.sum("bad").over(earlier), F.lit(0)).alias("bad_shift"),
+            *running(along.rowsBetween(Window.unboundedPreceding, -1), "shift"),
             F.lead("first_value").over(along).alias("next_first"),
-            F.sum("n").over(whole).alias("n_total"),
-            F.sum("bad").over(whole).alias("bad_total"),
+            *[F.sum(c).over(whole).alias(f"{c}_total") for c in sums],
         )
     )
     inside = Window.partitionBy(*by, "bucket").orderBy("value")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows_df = (
         hist.select(
             *by,
             "bucket",
             "value",
-            "n",
-            "bad",
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_in"),
-            F.coalesce(F.sum("bad").over(before), F.lit(0)).alias("bad_in"),
+            *sums,
+            *running(inside.rowsBetween(Window.unboundedPreceding, -1), "in"),
             F.lead("value").over(inside).alias("next_in"),
         )
         .join(shift, [*by, "bucket"])
         .select(
             *by,
             "value",
-            "n",
-            "bad",
-            (F.col("n_in") + F.col("n_shift")).alias("n_before"),
-            (F.col("bad_in") + F.col("bad_shift")).alias("bad_before"),
+            *sums,
+            *[(F.col(f"{c}_in") + F.col(f"{c}_shift")).alias(f"{c}_before") for c in sums],
             F.coalesce("next_in", "next_first").alias("next_value"),
-            "n_total",
-            "bad_total",
+            *[f"{c}_total" for c in sums],
         )
     )
     return Ranked(rows_df, tuple(by), stored)
 
 
+# Rows of a page of stored running sums, most pages of all features, and rows of pages held by the driver.
+PAGE_ROWS = 16_384
+MAX_PAGES = 16_384
+CACHED_ROWS = 2_000_000
+
+
+class PrefixPages:
+    """Running sums of n and n * value over the sorted values of each feature, stored in pages for lookups of single points.
+
+    Every page is a folder of its own, so a lookup reads the pages that hold its points and no others. The driver knows
+    where each page begins (at most MAX_PAGES and one per feature) and keeps the last pages read, up to CACHED_ROWS rows; points in
+    pages that do not fit are answered by a join that sends back one row for each point.
+    """
+
+    def __init__(self, hist: DataFrame, task_rows: int = TASK_ROWS, stored_rows: int | None = None):
+        self.spark = hist.sparkSession
+        summed = hist.withColumns({"mass": F.col("n") * F.col("value"), "one": F.lit(1).cast("bigint")})
+        ranked = rank_histogram(summed, ["feature"], task_rows=task_rows, stored_rows=stored_rows, more=("mass", "one"))
+        totals = ranked.hist.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"), F.count(F.lit(1)).alias("values"))
+        rows = totals.collect()  # one per feature
+        self.totals = {r["feature"]: (r["n"], r["mass"]) for r in rows}
+        self.page_rows = max(PAGE_ROWS, -(-sum(r["values"] for r in rows) // MAX_PAGES))
+        base, table = 0, []
+        for r in sorted(rows, key=lambda r: r["feature"]):
+            table.append((r["feature"], base))
+            base += -(-r["values"] // self.page_rows)
+        bases = self.spark.createDataFrame(table, "feature string, base bigint")
+        page = (F.col("base") + F.floor(F.col("one_before") / self.page_rows)).cast("int").alias("page")
+        rows = ranked.rows.join(F.broadcast(bases), "feature").select("feature", "value", "n", "mass", "n_before", "mass_before", page)
+        self.path = scratch_path(self.spark, "prefix-pages")
+        rows.repartition("page").write.partitionBy("page").parquet(self.path)
+        self.schema = "feature string, value double, n bigint, mass double, n_before bigint, mass_before double, page int"
+        begins = self._read().groupBy("feature", "page").agg(
+            F.min("value").alias("first"), F.min("n_before").alias("n"), F.min_by("mass_before", "value").alias("mass"), F.count(F.lit(1)).alias("rows")
+        )
+        self.begins = {f: part.sort_values("page") for f, part in begins.toPandas().groupby("feature")}
+        self.held: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.reads = 0  # jobs that read pages
+
+    def _read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def below(self, points: Mapping[str, np.ndarray]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """Per feature (n, n * value) summed over the values smaller than each point."""
+        spots = {}
+        for feature, x in points.items():
+            begins = self.begins[feature]
+            spots[feature] = np.searchsorted(begins["first"].to_numpy(), x, side="left") - 1
+        needed = {
+            int(self.begins[f]["page"].iloc[k]): int(self.begins[f]["rows"].iloc[k]) for f, spot in spots.items() for k in np.unique(spot[spot >= 0])
+        }
+        self._hold(needed)
+        far = [
+            (f, int(self.begins[f]["page"].iloc[k]), float(x)) for f, spot in spots.items() for k, x in zip(spot, points[f])
+            if k >= 0 and int(self.begins[f]["page"].iloc[k]) not in self.held
+        ]
+        answers = self._ask(far) if far else {}
+        out = {}
+        for feature, x in points.items():
+            begins, n, mass = self.begins[feature], np.zeros(len(x)), np.zeros(len(x))
+            for i, (k, p) in enumerate(zip(spots[feature], x)):
+                if k < 0:
+                    continue
+                page = int(begins["page"].iloc[k])
+                if page in self.held:
+                    values, counts, masses = self.held[page]
+                    at = np.searchsorted(values, p, side="left")
+                    inside = counts[at], masses[at]
+                else:
+                    inside = answers[feature, page, float(p)]
+                n[i], mass[i] = begins["n"].iloc[k] + inside[0], begins["mass"].iloc[k] + inside[1]
+            out[feature] = n, mass
+        return out
+
+    def _hold(self, needed: Mapping[int, int]) -> None:
+        """Read the pages that are not held, as far as they fit; others make room if all needed ones then fit."""
+        new = [p for p in needed if p not in self.held]
+        if not new:
+            return
+        if sum(len(v[0]) for v in self.held.values()) + sum(needed[p] for p in new) > CACHED_ROWS:
+            self.held = {p: v for p, v in self.held.items() if p in needed}
+        room, take = CACHED_ROWS - sum(len(v[0]) for v in self.held.values()), []
+        for p in sorted(new):
+            if needed[p] <= room:
+                take.append(p)
+                room -= needed[p]
+        if take:
+            self.reads += 1
+            rows = self._read().where(F.col("page").isin(take)).select("page", "value", "n", "mass").toPandas()
+            for p, part in rows.groupby("page"):
+                part = part.sort_values("value")
+                sums = [np.concatenate([[0], np.cumsum(part[c].to_numpy())]) for c in ("n", "mass")]
+                self.held[int(p)] = part["value"].to_numpy(), *sums
+
+    def _ask(self, far: list[tuple[str, int, float]]) -> dict[tuple[str, int, float], tuple[float, float]]:
+        self.reads += 1
+        asked = self.spark.createDataFrame(sorted(set(far)), "feature string, in_page int, point double")
+        pages = sorted({p for _, p, _ in far})
+        rows = self._read().where(F.col("page").isin(pages)).drop("feature")
+        met = rows.join(F.broadcast(asked), (F.col("page") == F.col("in_page")) & (F.col("value") < F.col("point")))
+        sums = met.groupBy("feature", "in_page", "point").agg(F.sum("n").alias("n"), F.sum("mass").alias("mass"))
+        return {(r["feature"], r["in_page"], r["point"]): (r["n"], r["mass"]) for r in sums.collect()}  # one per point
+
+
 def quantiles(ranked: Ranked, probs: Sequence[float]) -> DataFrame:
     """(by..., prob, quantile): exact, linearly interpolated, for every group in one pass.
 

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from riskloom.functions.scoring import bin_woe, category_woe
 from riskloom.operators.cut import bin_number, check_edges, interval_labels
 from riskloom.operators.hist import as_number, number_counts, numeric_histogram, text_histogram
+from riskloom.operators.prefix import TASK_ROWS, rank_histogram
 from riskloom.roles import FILL_VALUE
+from riskloom.session import materialize
 
 # Key of the entry for unseen categories inside our tables; JSON files call it 'other'.
 UNSEEN = "__other__"
@@ -61,10 +63,43 @@ def value_counts_as_bins(df: DataFrame, features: Sequence[str], target: str, fi
     return counts.select("feature", F.col("value").alias("lo"), "n", "bad")
 
 
+def raw_woe_table(
+    df: DataFrame, features: Sequence[str], target: str, fill: float = FILL_VALUE, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """Evidence table in which each distinct number is a bin, missing filled.
+
+    A feature may have as many bins as there are rows, so running shares come from ranked buckets instead of a window per feature,
+    and totals are joined back.
+    """
+    ranked = rank_histogram(numeric_histogram(df, features, target, fill), ["feature"], task_rows=task_rows)
+    good, goods = F.col("n") - F.col("bad"), F.col("n_total") - F.col("bad_total")
+    upto = {"cum_bad": F.col("bad_before") + F.col("bad"), "cum_good": F.col("n_before") - F.col("bad_before") + good}
+    t = ranked.rows.select(
+        "feature", F.col("value").alias("lo"), "n", "bad", good.alias("good"),
+        F.try_divide("n", "n_total").alias("n_share"), F.try_divide("bad", "bad_total").alias("bad_share"), F.try_divide(good, goods).alias("good_share"),
+        F.try_divide("bad", "n").alias("bad_rate"), *[c.alias(name) for name, c in upto.items()],
+        F.try_divide(upto["cum_bad"], F.col("bad_total")).alias("cum_bad_share"), F.try_divide(upto["cum_good"], goods).alias("cum_good_share"),
+    )
+    t, _ = materialize(_with_evidence(t), "evidence")
+    total = t.groupBy("feature").agg(F.coalesce(F.sum("iv"), F.lit(0.0)).alias("total_iv"))  # one row per feature
+    return t.join(F.broadcast(total), "feature")
+
+
+def _with_evidence(t: DataFrame) -> DataFrame:
+    """WOE, KS and IV from the shares."""
+    t = t.withColumns(
+        {
+            "woe": bin_woe(F.col("good_share"), F.col("bad_share")),
+            "ks": F.abs(F.col("cum_bad_share") - F.col("cum_good_share")),
+        }
+    )
+    return t.withColumn("iv", (F.col("good_share") - F.col("bad_share")) * F.col("woe"))
+
+
 def woe_table(counts: DataFrame) -> DataFrame:
     """Full evidence table of (feature, lo, n, bad, ...): shares, running shares, WOE, KS, IV.
 
-    Windows run over the bins of one feature, a handful of rows each.
+    Windows run over the bins of one feature, a handful of rows each; raw values go through :func:`raw_woe_table`.
     """
     whole = Window.partitionBy("feature")
     upto = whole.orderBy(F.col("lo").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -81,14 +116,7 @@ def woe_table(counts: DataFrame) -> DataFrame:
             "cum_good_share": F.try_divide(F.sum("good").over(upto), F.sum("good").over(whole)),
         }
     )
-    t = t.withColumns(
-        {
-            "woe": bin_woe(F.col("good_share"), F.col("bad_share")),
-            "ks": F.abs(F.col("cum_bad_share") - F.col("cum_good_share")),
-        }
-    )
-    t = t.withColumn("iv", (F.col("good_share") - F.col("bad_share")) * F.col("woe"))
-    return t.withColumn("total_iv", F.coalesce(F.sum("iv").over(whole), F.lit(0.0)))
+    return _with_evidence(t).withColumn("total_iv", F.coalesce(F.sum("iv").over(whole), F.lit(0.0)))
 
 
 def iv_list(table: DataFrame) -> DataFrame:

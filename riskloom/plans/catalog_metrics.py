@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from riskloom.functions.scoring import to_score
 from riskloom.operators import binning, profile, psi, rankm, select, woe
 from riskloom.operators.hist import numeric_histogram, text_histogram
+from riskloom.plans.bin_sql import fitted_bins_sql
 from riskloom.plans.catalog_tables import BIN_SQL, EDGES, WITH, WITH_SPLIT, woe_columns
 from riskloom.plans.fixtures import DOC_SQL, doc_quality, loan_wide, with_time_split
 from riskloom.plans.jobs import model_statistics
 from riskloom.plans.registry import N, R, auc_sql, query, rounded, score_sql, woe_sql
-from riskloom.roles import Roles
+from riskloom.roles import FILL_VALUE, Roles
 from riskloom.session import materialize
 
 NUMBERS = ["f_price", "f_bal", "f_nation"]
@@ -33,11 +34,15 @@ def woe_iv_table(spark, sf):
     return rounded(made.summary.select("feature", "bin_id", *WOE_OUT))
 
 
-@query("woe_iv_raw_values", f"{WITH}, bc AS (SELECT 'f_nation' AS feature, CAST(f_nation AS DOUBLE) AS lo, count(*) AS n, sum(target) AS bad FROM lw GROUP BY 2), "
-       f"{woe_sql('bc')} SELECT feature, lo, {woe_columns()} FROM wf")
+RAW_SQL = "bc AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, coalesce(CAST({c} AS DOUBLE), -999999) AS lo, count(*) AS n, sum(target) AS bad FROM lw GROUP BY 2" for c in NUMBERS
+) + ")"
+
+
+@query("woe_iv_raw_values", f"{WITH}, {RAW_SQL}, {woe_sql('bc')} SELECT feature, lo, {woe_columns()} FROM wf")
 def woe_iv_raw_values(spark, sf):
-    counts = woe.value_counts_as_bins(loan_wide(spark, sf), ["f_nation"], "target")
-    return rounded(woe.woe_table(counts).select("feature", "lo", *WOE_OUT))
+    """Every distinct number a bin of its own, of all numeric features."""
+    return rounded(woe.raw_woe_table(loan_wide(spark, sf), NUMBERS, "target").select("feature", "lo", *WOE_OUT))
 
 
 @query("iv_list", f"{WITH}, {BIN_SQL.format(src='lw')}, {woe_sql('bc')} SELECT DISTINCT feature, {R('total_iv', 'total_iv')} FROM wf")
@@ -142,40 +147,23 @@ def bins_equal_frequency(spark, sf):
     return _edges_frame(spark, made).withColumn("edge", F.round("edge", 6))
 
 
-def _fitted(spark, sf, method):
-    made = binning.fit_bins(loan_wide(spark, sf), NUMBERS, "target", method)
-    return rounded(made.summary.select("feature", "bin_id", "lo", "hi", "label", *WOE_OUT))
+def _fitted(frame, method, numbers=NUMBERS):
+    made = binning.fit_bins(frame, numbers, "target", method)
+    return rounded(made.summary.select("feature", "bin_id", *WOE_OUT))
+
 
+PLAIN_SQL = f"""{WITH.removeprefix('WITH ')}, l AS (SELECT 'f_price' AS feature, f_price AS v, target FROM lw UNION ALL SELECT 'f_bal', f_bal, target FROM lw
+UNION ALL SELECT 'f_nation', CAST(f_nation AS DOUBLE), target FROM lw)"""
 
-def _ladder_sql() -> str:
-    """Equal-frequency edges for ten down to two bins, judged, the largest passing number kept."""
-    steps = " UNION ALL ".join(
-        f"SELECT feature, {n} AS k, list_sort(list_distinct(quantile_cont(v, [{', '.join(repr(i / n) for i in range(n))}]))) AS q FROM l WHERE v IS NOT NULL GROUP BY feature"
-        for n in range(2, 11)
-    )
-    return f"""{WITH}, l AS (SELECT 'f_price' AS feature, f_price AS v, target FROM lw UNION ALL SELECT 'f_bal', f_bal, target FROM lw
-UNION ALL SELECT 'f_nation', CAST(f_nation AS DOUBLE), target FROM lw),
-qs AS ({steps}), cd AS (SELECT feature, k, q[2:] AS e FROM qs),
-bb AS (SELECT l.feature, k, e, len(list_filter(e, lambda x: x <= v)) AS b, count(*) AS n, sum(target) AS bad
-  FROM l JOIN cd ON l.feature = cd.feature WHERE v IS NOT NULL GROUP BY ALL),
-jd AS (SELECT *, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY feature, k) AS share,
-  CAST(bad AS DOUBLE) / n - lag(CAST(bad AS DOUBLE) / n) OVER (PARTITION BY feature, k ORDER BY b) AS step FROM bb),
-ok AS (SELECT feature, k, len(any_value(e)) + 1 AS size, min(share) > 0.05 AND count(*) = len(any_value(e)) + 1
-  AND (coalesce(min(step), 0) >= 0 OR coalesce(max(step), 0) <= 0) AS fine FROM jd GROUP BY feature, k),
-pk AS (SELECT feature, coalesce(max(k) FILTER (WHERE fine OR size <= 2), min(k)) AS k FROM ok GROUP BY feature),
-bc AS (SELECT bb.feature, CAST(b + 1 AS INTEGER) AS bin_id, CAST(b AS DOUBLE) AS lo, n, bad FROM bb JOIN pk ON bb.feature = pk.feature AND bb.k = pk.k
-  UNION ALL SELECT feature, NULL, NULL, count(*), sum(target) FROM l WHERE v IS NULL GROUP BY feature),
-{woe_sql('bc')} SELECT feature, bin_id, {woe_columns()} FROM wf"""
-
-
-@query("bins_equal_frequency_monotonic", _ladder_sql())
+
+@query("bins_equal_frequency_monotonic", fitted_bins_sql(PLAIN_SQL, "equal_freq", woe_columns()))
 def bins_equal_frequency_monotonic(spark, sf):
-    return _fitted(spark, sf, "equal_freq").drop("lo", "hi", "label")
+    return _fitted(loan_wide(spark, sf), "equal_freq")
 
 
-@query("bins_decision_tree")
+@query("bins_decision_tree", fitted_bins_sql(PLAIN_SQL, "dt", woe_columns()))
 def bins_decision_tree(spark, sf):
-    return _fitted(spark, sf, "dt")
+    return _fitted(loan_wide(spark, sf), "dt")
 
 
 @query("tree_best_cut", f"""{WITH}, l AS (SELECT 'f_price' AS feature, f_price AS v, target FROM lw UNION ALL SELECT 'f_bal', f_bal, target FROM lw
@@ -195,14 +183,49 @@ def tree_best_cut(spark, sf):
     return rounded(spark.createDataFrame(rows, "feature string, cut double"))
 
 
-@query("bins_k_means")
+@query("bins_k_means", fitted_bins_sql(PLAIN_SQL, "kmeans", woe_columns()))
 def bins_k_means(spark, sf):
-    return _fitted(spark, sf, "kmeans")
+    return _fitted(loan_wide(spark, sf), "kmeans")
 
 
-@query("bins_chi_merge")
+@query("bins_chi_merge", fitted_bins_sql(PLAIN_SQL, "chi", woe_columns()))
 def bins_chi_merge(spark, sf):
-    return _fitted(spark, sf, "chi")
+    return _fitted(loan_wide(spark, sf), "chi")
+
+
+# Gaps filled by the special value, and prices of some orders without bounds.
+SPECIAL_SQL = f"""{WITH.removeprefix('WITH ')}, l AS (SELECT 'f_price' AS feature,
+  CASE WHEN apply_no % 97 = 0 THEN CAST('inf' AS DOUBLE) WHEN apply_no % 101 = 0 THEN CAST('-inf' AS DOUBLE) ELSE f_price END AS v, target FROM lw
+UNION ALL SELECT 'f_bal', coalesce(f_bal, -999999), target FROM lw)"""
+
+
+def _special(spark, sf):
+    key, inf = F.col("apply_no"), float("inf")
+    return loan_wide(spark, sf).select(
+        "target", F.coalesce("f_bal", F.lit(FILL_VALUE)).alias("f_bal"),
+        F.when(key % 97 == 0, F.lit(inf)).when(key % 101 == 0, F.lit(-inf)).otherwise(F.col("f_price")).alias("f_price"),
+    )
+
+
+@query("bins_special_equal_frequency", fitted_bins_sql(SPECIAL_SQL, "equal_freq", woe_columns()))
+def bins_special_equal_frequency(spark, sf):
+    """Special and infinite values: no say in the edges, but counted in the outer bins."""
+    return _fitted(_special(spark, sf), "equal_freq", ["f_price", "f_bal"])
+
+
+@query("bins_special_decision_tree", fitted_bins_sql(SPECIAL_SQL, "dt", woe_columns()))
+def bins_special_decision_tree(spark, sf):
+    return _fitted(_special(spark, sf), "dt", ["f_price", "f_bal"])
+
+
+@query("bins_special_k_means", fitted_bins_sql(SPECIAL_SQL, "kmeans", woe_columns()))
+def bins_special_k_means(spark, sf):
+    return _fitted(_special(spark, sf), "kmeans", ["f_price", "f_bal"])
+
+
+@query("bins_special_chi_merge", fitted_bins_sql(SPECIAL_SQL, "chi", woe_columns()))
+def bins_special_chi_merge(spark, sf):
+    return _fitted(_special(spark, sf), "chi", ["f_price", "f_bal"])
 
 
 POINT_SQL = """

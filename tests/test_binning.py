@@ -121,9 +121,7 @@ def test_equal_frequency_against_brute_force(frame, pdf):
 def brute_k_means(x, k):
     """Lloyd on the raw rows from the same start."""
     centres = np.unique(np.quantile(x, [(2 * i + 1) / (2 * k) for i in range(k)]))
-    for _ in range(B.KMEANS_ROUNDS):
-        if len(centres) < 2:
-            break
+    while len(centres) > 1:
         owner = np.searchsorted((centres[:-1] + centres[1:]) / 2, x, side="right")
         new = np.array([x[owner == i].mean() if (owner == i).any() else c for i, c in enumerate(centres)])
         moved = ((new - centres) ** 2).sum()
@@ -256,3 +254,102 @@ def test_manual_bins_and_encoding(spark):
     assert [r["f"] for r in coded.orderBy("id").collect()] == [0.0, None, woe[2], woe[2], None]
     wider = B.update_bins(made, B.manual_bins(df.withColumn("g", F.col("f")), {"g": [0, 5]}, "target"))
     assert set(wider.edges) == {"f", "g"} and wider.summary.where("feature = 'f'").count() == 4
+
+
+@pytest.mark.parametrize("method", sorted(B.METHODS))
+def test_infinite_values_have_no_say_in_the_edges(spark, method):
+    rows = [(x, y) for x, _, _, y in make(600)]
+    plain = spark.createDataFrame(rows, "a double, target int")
+    odd = spark.createDataFrame([*rows, (math.inf, 1), (math.inf, 0), (-math.inf, 1), (float("nan"), 1)], "a double, target int")
+    rules = B.BinRules(monotonic=False, n_bins=4)
+    one, two = (B.fit_bins(df, ["a"], "target", method, rules) for df in (plain, odd))
+    assert two.edges == one.edges and len(two.edges["a"]) > 4
+    last = len(two.edges["a"]) - 2
+    count = {r["bin_id"]: r["n"] for r in one.summary.collect()}
+    more = {r["bin_id"]: r["n"] - count.get(r["bin_id"], 0) for r in two.summary.collect()}
+    assert {i: n for i, n in more.items() if n} == {0: 1, last: 2, None: 1}
+    # The row-wise cut puts them into the same bins.
+    again = {r["bin_id"]: r["n"] for r in bin_counts(odd, two.edges, "target").collect()}
+    assert again == {r["bin_id"]: r["n"] for r in two.summary.collect()}
+
+
+def test_k_means_reads_do_not_grow_with_its_rounds(spark, monkeypatch):
+    """Hundreds of rounds, a handful of reads; the same bins whether pages are held by the driver or asked for."""
+    from riskloom.operators import prefix
+
+    rng = random.Random(2)
+    rows = [(round(rng.lognormvariate(0, 2), 4), int(rng.random() < 0.3)) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "a double, target int").cache()
+    made, counted = [], []
+
+    class Counted(prefix.PrefixPages):
+        rounds = 0
+
+        def __init__(self, *args):
+            super().__init__(*args)
+            counted.append(self)
+
+        def below(self, points):
+            self.rounds += 1
+            return super().below(points)
+
+    monkeypatch.setattr(B, "PrefixPages", Counted)
+    monkeypatch.setattr(B, "KMEANS_TOLERANCE", 1e-12)
+    for page, cached in ((16_384, 10**6), (256, 10**6), (256, 0), (256, 1000)):
+        monkeypatch.setattr(prefix, "PAGE_ROWS", page)
+        monkeypatch.setattr(prefix, "CACHED_ROWS", cached)
+        rules = B.BinRules(monotonic=False, n_bins=6, task_rows=300 if cached else 10**6)
+        if cached == 0:
+            rules = B.BinRules(monotonic=False, n_bins=2)
+        made.append(B.fit_bins(df, ["a"], "target", "kmeans", rules).edges["a"])
+        if cached == 10**6:
+            pages = counted[-1]
+            assert pages.rounds > 15 and pages.reads <= len(pages.begins["a"])
+            assert page == 256 or pages.reads == 1
+    assert made[1] == pytest.approx(made[0]) and made[3] == pytest.approx(made[0])
+    x = np.array([r[0] for r in rows])
+    assert made[0][2:-1] == pytest.approx(brute_k_means(x, 6)) and made[2][2:-1] == pytest.approx(brute_k_means(x, 2))
+
+
+def test_lookups_of_running_sums(spark, monkeypatch):
+    from riskloom.operators import prefix
+    from riskloom.operators.hist import numeric_histogram
+
+    rows = [(float(i % 37), float(-(i % 11)), i % 2) for i in range(500)]
+    hist = numeric_histogram(spark.createDataFrame(rows, "a double, b double, target int"), ["a", "b"], "target")
+    points = {"a": np.array([-1.0, 0.0, 0.5, 17.0, 36.0, 99.0]), "b": np.array([-20.0, -10.0, -3.5, 0.0, 0.1])}
+    for page, cached in ((4, 1000), (4, 0), (4, 9), (1000, 1000)):
+        monkeypatch.setattr(prefix, "PAGE_ROWS", page)
+        monkeypatch.setattr(prefix, "CACHED_ROWS", cached)
+        pages = prefix.PrefixPages(hist)
+        for _ in range(2):
+            got = pages.below(points)
+            for i, f in enumerate("ab"):
+                x = np.array([r[i] for r in rows])
+                assert got[f][0].tolist() == [(x < p).sum() for p in points[f]]
+                assert got[f][1].tolist() == [x[x < p].sum() for p in points[f]]
+
+
+def test_best_cuts_are_hashed_not_sorted(spark, frame):
+    from riskloom.operators.prefix import rank_histogram
+    from riskloom.operators.hist import numeric_histogram
+
+    ranked = rank_histogram(numeric_histogram(frame, ["a", "b"], "target"), ["feature"]).rows
+    nodes = [(f, 1, 0, 0, 2000, 600, 10) for f in "ab"]
+    found = B._best_cuts(spark, ranked, nodes)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text.split("Exchange hashpartitioning(node_feature")[0]
+    found.collect()
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_tree_opens_only_nodes_that_can_be_next(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(x := rng.random(), int(rng.random() < (0.1 + 0.8 * (int(x * 16) % 2)))) for _ in range(4000)]
+    opened, ask = [], B._best_cuts
+    monkeypatch.setattr(B, "_best_cuts", lambda spark, runs, nodes: opened.append([n[:2] for n in nodes]) or ask(spark, runs, nodes))
+    rules = B.BinRules(n_bins=6, min_share=0.001, monotonic=False)
+    made = B.fit_bins(spark.createDataFrame(rows, "a double, target int"), ["a"], "target", "dt", rules)
+    assert len(made.edges["a"]) == 8
+    every = [n for step in opened for n in step]
+    assert len(every) == len(set(every)) and all(len(step) <= 2 * 5 for step in opened) and len(opened) <= 6

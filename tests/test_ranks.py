@@ -123,3 +123,37 @@ def test_missing_scores_are_left_out(spark):
     df = spark.createDataFrame([(0.1, 0), (0.9, 1), (None, 1), (float("nan"), 0)], "p double, target int")
     row = auc_ks(rank_histogram(histogram(df.select(F.lit("x").alias("feature"), F.nanvl("p", F.lit(None).cast("double")).alias("value"), "target"), "target", ["feature"]), ["feature"])).first()
     assert (row["auc"], row["n"]) == (1.0, 2)
+
+
+@pytest.mark.parametrize("task_rows", [10**6, 30])
+def test_evidence_of_raw_values(spark, frame, task_rows):
+    """The same table as windows over each feature give, in buckets, and with exchanges computed anew."""
+    from riskloom.operators.woe import raw_woe_table, value_counts_as_bins, woe_table
+
+    want = {(r["feature"], r["lo"]): r for r in woe_table(value_counts_as_bins(frame, ["a", "b"], "target")).collect()}
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = raw_woe_table(frame, ["a", "b"], "target", task_rows=task_rows).collect()
+        finally:
+            spark.conf.unset("spark.sql.exchange.reuse")
+        assert len(got) == len(want)
+        for r in got:
+            other = want[r["feature"], r["lo"]]
+            assert set(r.asDict()) == set(other.asDict())
+            for name, x in r.asDict().items():
+                assert x == other[name] or x == pytest.approx(other[name], rel=1e-9, abs=1e-12), name
+
+
+def test_evidence_of_raw_values_is_never_one_task_for_a_feature(spark, frame, monkeypatch):
+    import re
+
+    from riskloom.operators import prefix, woe
+
+    plans, keep = [], woe.materialize
+    monkeypatch.setattr(woe, "materialize", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df, label))
+    woe.raw_woe_table(frame, ["a", "b"], "target", task_rows=30).collect()
+    assert len(plans) == 1 and prefix.TASK_ROWS > 30
+    over_rows = [w for w in re.findall(r"Window \[.*?\], \[(.*?)\], \[(.*?)\]", plans[0])]
+    assert any("bucket" in keys for keys, _ in over_rows)
+    assert all("bucket" in keys or "bucket" in order for keys, order in over_rows if "value" in order or order)

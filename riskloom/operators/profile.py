@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from riskloom.functions.scoring import percent_text
 from riskloom.operators.hist import known, long_numeric, numeric_histogram, text_histogram
 from riskloom.operators.prefix import TASK_ROWS, quantiles, rank_histogram
+from riskloom.operators.select import null_counts
 from riskloom.session import materialize
 
 # Fixed values of the report layout.
@@ -28,13 +29,9 @@ def split_kinds(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[
 
 
 def blank_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, blanks, blank_text, blank_share): one scan, one row per task and column shuffled."""
-    flags = df.select(*[known(df, c).isNull().cast("bigint").alias(c) for c in columns]).unpivot(
-        [], list(columns), "feature", "blank"
-    )
-    return flags.groupBy("feature").agg(F.sum("blank").alias("blanks"), F.avg("blank").alias("blank_share")).select(
-        "feature", "blanks", percent_text(F.col("blank_share")).alias("blank_text"), "blank_share"
-    )
+    """(feature, blanks, blank_text, blank_share)."""
+    counted = null_counts(df, columns).withColumn("blank_share", F.try_divide("blanks", "size"))
+    return counted.select("feature", "blanks", percent_text(F.col("blank_share")).alias("blank_text"), "blank_share")
 
 
 def value_shape(hist: DataFrame) -> DataFrame:

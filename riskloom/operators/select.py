@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.hist import as_number, known
+from riskloom.operators.moments import tiled_corr
+from riskloom.session import materialize
 
 # Expressions per aggregate: beyond this the generated code gets too long.
 CHUNK = 500
@@ -24,10 +22,19 @@ def _chunks(items: list, size: int = CHUNK):
     return [items[i : i + size] for i in range(0, len(items), size)]
 
 
+def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, blanks, size): one wide aggregate for each few hundred columns, no row is multiplied."""
+    out = None
+    for part in _chunks(list(columns)):
+        counts = [F.struct(F.lit(c).alias("feature"), F.count_if(known(df, c).isNull()).alias("blanks"), F.count(F.lit(1)).alias("size")) for c in part]
+        rows = df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def missing_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, missing_rate): one aggregate scan."""
-    flags = df.select(*[known(df, c).isNull().cast("int").alias(c) for c in columns])
-    return flags.unpivot([], list(columns), "feature", "gap").groupBy("feature").agg(F.avg("gap").alias("missing_rate"))
+    """(feature, missing_rate); null without any row."""
+    return null_counts(df, columns).select("feature", F.try_divide("blanks", "size").alias("missing_rate"))
 
 
 def dense_columns(df: DataFrame, columns: Sequence[str], threshold: float = 0.9) -> list[str]:
@@ -69,14 +76,10 @@ def triage(df: DataFrame, columns: Sequence[str]) -> tuple[list[str], list[str],
 
 # --- correlation ------------------------------------------------------------------------------
 
-MOMENTS = ("n", "x", "y", "xx", "yy", "xy")
-
-
 def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(f1, f2, corr) for f1 before f2: Pearson over the rows where both are present.
 
-    Few pairs are one built-in aggregate. Many pairs use sums of products: each Arrow batch
-    is one matrix product, tasks keep one row per pair, and Spark adds them up.
+    Few pairs are one built-in aggregate; more go through :func:`corr_by_products`. Both give the same numbers.
     """
     pairs = list(combinations(columns, 2))
     if len(pairs) > CHUNK:
@@ -87,40 +90,8 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def corr_by_products(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The same for hundreds of columns: one pass for the means, one for the products."""
-    wide = df.select(*[as_number(df, c).alias(c) for c in columns])
-    means = wide.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in columns]).first()
-    shift = np.array([means[c] for c in columns])  # correlation does not move with it, rounding does
-    first, second = np.triu_indices(len(columns), 1)
-
-    def products(batches):
-        sums = np.zeros((len(MOMENTS), len(first)))
-        for batch in batches:
-            x = batch.to_numpy(dtype=float) - shift
-            here = ~np.isnan(x)
-            x = np.where(here, x, 0.0)
-            m = here.astype(float)
-            grids = (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)
-            for i, grid in enumerate(grids):
-                sums[i] += grid[first, second]
-        out = pd.DataFrame(dict(zip(MOMENTS, sums)))
-        out.insert(0, "pair", np.arange(len(first)))
-        yield out
-
-    schema = "pair int, " + ", ".join(f"{m} double" for m in MOMENTS)
-    # Each task sends one row per pair, so a few long tasks beat one per file block.
-    wide = wide.coalesce(df.sparkSession.sparkContext.defaultParallelism)
-    total = wide.mapInPandas(products, schema).groupBy("pair").agg(*[F.sum(m).alias(m) for m in MOMENTS])
-    n, x, y, xx, yy, xy = (F.col(m) for m in MOMENTS)
-    corr = F.try_divide(n * xy - x * y, F.sqrt((n * xx - x * x) * (n * yy - y * y)))
-    names = F.array(*[F.lit(c) for c in columns])
-    left = F.array(*[F.lit(int(i)) for i in first])
-    right = F.array(*[F.lit(int(i)) for i in second])
-    return total.select(
-        F.get(names, F.get(left, F.col("pair"))).alias("f1"),
-        F.get(names, F.get(right, F.col("pair"))).alias("f2"),
-        corr.alias("corr"),
-    )
+    """The same for any number of columns in one pass over the rows: tiles of sums of products, merged in a tree."""
+    return tiled_corr(df.select(F.array(*[as_number(df, c) for c in columns]).alias("x")), columns)
 
 
 def corr_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -133,55 +104,52 @@ def corr_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select("feature", *[F.when(F.col("feature") == c, 1.0).otherwise(F.col(c)).alias(c) for c in columns])
 
 
-def filled_corr(df: DataFrame, columns: Sequence[str], fill: float = CORR_FILL) -> pd.DataFrame:
-    """Absolute Pearson matrix after filling gaps: one pass, columns x columns on the driver."""
+def filled_corr_table(df: DataFrame, columns: Sequence[str], fill: float = CORR_FILL) -> DataFrame:
+    """(f1, f2, abs_corr) for f1 before f2 after filling gaps; null where a column is constant."""
     wide = df.select(*[F.coalesce(as_number(df, c), F.lit(fill)).alias(c) for c in columns])
-    if len(columns) * (len(columns) - 1) // 2 <= CHUNK:
-        square = pd.DataFrame(np.eye(len(columns)), index=list(columns), columns=list(columns))
-        for r in pairwise_corr(wide, columns).collect() if len(columns) > 1 else []:
-            r_abs = np.nan if r["corr"] is None else abs(r["corr"])
-            square.loc[r["f1"], r["f2"]] = square.loc[r["f2"], r["f1"]] = r_abs
-        return square
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v").transform(wide).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    return pd.DataFrame(np.abs(matrix), index=list(columns), columns=list(columns))
+    return pairwise_corr(wide, columns).select("f1", "f2", F.abs("corr").alias("abs_corr"))
 
 
-def filled_corr_table(df: DataFrame, columns: Sequence[str], fill: float = CORR_FILL) -> DataFrame:
-    m = filled_corr(df, columns, fill)
-    rows = [(a, b, float(m.loc[a, b])) for a, b in combinations(columns, 2)]
-    return df.sparkSession.createDataFrame(rows, "f1 string, f2 string, abs_corr double")
+EXACT = 1e-12
 
 
-EXACT = 1e-12
+def close_pairs(
+    table: DataFrame, importance: Mapping[str, float], threshold: float, keep_exact: bool = False
+) -> DataFrame:
+    """(first, second): numbers, by falling importance, of the pairs of (f1, f2, abs_corr) above the threshold, the more important one first."""
+    order = sorted(importance, key=lambda f: (-importance[f], f))
+    names = table.sparkSession.createDataFrame([(f, i) for i, f in enumerate(order)], "name string, place int")
+    near = table.where((F.col("abs_corr") > threshold) & ~F.isnan("abs_corr"))
+    if keep_exact:
+        near = near.where(F.abs(F.col("abs_corr") - 1) >= EXACT)
+    one, two = (F.broadcast(names.toDF(f, side)) for f, side in (("f1", "p1"), ("f2", "p2")))
+    return near.join(one, "f1").join(two, "f2").select(F.least("p1", "p2").alias("first"), F.greatest("p1", "p2").alias("second"))
+
 
+def prune_correlated(pairs: DataFrame, importance: Mapping[str, float]) -> list[str]:
+    """Names to drop: visiting by importance, a feature that is still there drops all later ones that are too close to it.
 
-def prune_correlated(
-    corr: pd.DataFrame, importance: Mapping[str, float], threshold: float = 0.95, keep_exact: bool = False
-) -> list[str]:
-    """Names to drop: visiting by importance, a kept feature drops the others that are too close
-    to it and not more important. ``keep_exact`` spares exact copies. Works on the small matrix only."""
+    ``pairs`` comes from :func:`close_pairs`. Spark sorts the pairs and sends them a part at a time, so the driver holds one flag per
+    feature and never a matrix.
+    """
     order = sorted(importance, key=lambda f: (-importance[f], f))
-    dropped: dict[str, None] = {}
-    for feature in order:
-        if feature in dropped:
-            continue
-        near = corr.loc[feature, order]
-        for other in order:
-            r = near[other]
-            if other == feature or not r > threshold or (keep_exact and abs(r - 1) < EXACT):
-                continue
-            if importance[other] <= importance[feature]:
-                dropped[other] = None
-    return list(dropped)
+    dropped: dict[int, None] = {}
+    for r in pairs.orderBy("first", "second").toLocalIterator():
+        if r["first"] not in dropped:
+            dropped[r["second"]] = None
+    return [order[i] for i in dropped]
 
 
 def drop_correlated(
     df: DataFrame, importance: Mapping[str, float], threshold: float = 0.95, keep_exact: bool = False
 ) -> tuple[DataFrame, list[str]]:
     """(frame without the dropped features, dropped names); columns without importance are kept."""
-    names = [c for c in df.columns if c in importance]
-    drop = prune_correlated(filled_corr(df, names), {c: importance[c] for c in names}, threshold, keep_exact)
+    known_importance = {c: importance[c] for c in df.columns if c in importance}
+    if len(known_importance) < 2:
+        return df, []
+    pairs = close_pairs(filled_corr_table(df, list(known_importance)), known_importance, threshold, keep_exact)
+    pairs, _ = materialize(pairs, "close-pairs")
+    drop = prune_correlated(pairs, known_importance)
     return df.drop(*drop), drop
 
 

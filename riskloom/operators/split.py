@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.profile import target_by_group
+from riskloom.session import materialize
 
 SEED = 1234
-# Hex digits of the hash used as bucket: 16**3 buckets per class.
+# Hex digits of the hash that each level of the search looks at: 16**3 buckets.
 BUCKET_DIGITS = 3
+HASH_DIGITS = 32
+# Most rows that one window ranks, and most classes.
+RANKED_ROWS = 1_000_000
+MAX_CLASSES = 1000
 
 
 def hash_order(key: str, seed: int = SEED) -> Column:
@@ -29,41 +35,67 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("place__", place).where(F.col("place__") == 1).drop("place__")
 
 
-def split_points(df: DataFrame, key: str, target: str, test_size: float, seed: int = SEED) -> dict[int, str]:
-    """Last hash of the test part of each class, from bucket counts and one bucket per class.
+def hash_cuts(df: DataFrame, key: str, target: str, places: Callable[[int], Sequence[int]], seed: int = SEED) -> dict[object, list[str | None]]:
+    """Hashes of the rows at the places (from 1) that ``places(n)`` asks for in a class of n rows, in hash order; None for place 0.
 
-    Ranking whole classes would be two giant windows. Counting hash buckets finds the
-    bucket in which the quota runs out; only that bucket (1/4096 of a class) is ranked.
+    A radix search for all places of all classes at once: each level counts the next few hash digits of the buckets
+    that still hold a wanted place, so it sends back classes x places x 4,096 counts at most. Once no such bucket holds more than RANKED_ROWS
+    rows they alone are ranked. Windows stay that small for any table, and nothing is shuffled but counts.
     """
     h = hash_order(key, seed)
-    hashed = df.select(F.col(target).alias("cls"), h.alias("h"), F.substring(h, 1, BUCKET_DIGITS).alias("bucket"))
-    counts = hashed.groupBy("cls", "bucket").agg(F.count(F.lit(1)).alias("n")).collect()  # classes x 4096 at most
-    total: dict[int, int] = {}
-    for r in counts:
-        total[r["cls"]] = total.get(r["cls"], 0) + r["n"]
-    edge: dict[int, tuple[str, int]] = {}  # class: bucket in which the quota runs out, rows taken from it
-    left = {cls: math.ceil(n * test_size) for cls, n in total.items()}
-    for r in sorted(counts, key=lambda r: r["bucket"]):
-        if 0 < left[r["cls"]] <= r["n"]:
-            edge[r["cls"]] = (r["bucket"], left[r["cls"]])
-        left[r["cls"]] -= r["n"]
-    if not edge:
-        return {}
-    cut = F.lit(False)
-    for cls, (bucket, _) in edge.items():
-        cut = cut | (F.col("cls").eqNullSafe(cls) & (F.col("bucket") == bucket))
-    place = F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("h"))
-    wanted = F.lit(None).cast("int")
-    for cls, (_, n) in edge.items():
-        wanted = F.when(F.col("cls").eqNullSafe(cls), n).otherwise(wanted)
-    rows = (
-        hashed.where(cut)
-        .withColumn("place", place)
-        .where(F.col("place") == wanted)
-        .select("cls", "h")
-        .collect()  # one row per class
-    )
-    return {r["cls"]: r["h"] for r in rows}
+    hashed = df.select(F.col(target).alias("cls"), h.alias("h"))
+    sizes = hashed.groupBy("cls").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    wanted = {r["cls"]: list(places(r["n"])) for r in sizes}
+    found: dict[tuple[object, int], str | None] = {(c, p): None for c, ps in wanted.items() for p in ps if p < 1}
+    # (class, place): bucket so far, rows before it, rows in it
+    open_ = {(c, p): ("", 0) for c, ps in wanted.items() for p in ps if p > 0}
+    held = {r["cls"]: r["n"] for r in sizes}
+    largest, digits = max(held.values(), default=0), 0
+    while open_ and largest > RANKED_ROWS and digits < HASH_DIGITS:
+        inside = _inside(hashed, open_, digits)
+        digits = min(digits + BUCKET_DIGITS, HASH_DIGITS)
+        counts: dict[tuple[object, str], list[tuple[str, int]]] = {}
+        before_digits = len(next(iter(open_.values()))[0])
+        for r in inside.groupBy("cls", F.substring("h", 1, digits).alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect():
+            counts.setdefault((r["cls"], r["bucket"][:before_digits]), []).append((r["bucket"], r["n"]))
+        largest = 0
+        for (c, p), (bucket, before) in open_.items():
+            for b, n in sorted(counts[c, bucket]):
+                if before + n >= p:
+                    open_[c, p] = (b, before)
+                    largest = max(largest, n)
+                    break
+                before += n
+    if open_ and digits >= HASH_DIGITS:  # rows of one and the same hash
+        found |= {place: bucket for place, (bucket, _) in open_.items()}
+    elif open_:
+        spark = df.sparkSession
+        inside = _inside(hashed, open_, digits).withColumn("bucket", F.substring("h", 1, digits))
+        ranked = inside.withColumn("place", F.row_number().over(Window.partitionBy("cls", "bucket").orderBy("h")))
+        kind = hashed.schema["cls"].dataType
+        table = [(c, b, p - before, p) for (c, p), (b, before) in open_.items()]
+        asked = spark.createDataFrame(table, T.StructType([T.StructField("c", kind), *T.StructType.fromDDL("b string, nth bigint, wanted bigint")]))
+        hit = ranked.join(F.broadcast(asked), F.expr("cls <=> c AND bucket = b AND place = nth"))
+        found |= {(r["cls"], r["wanted"]): r["h"] for r in hit.select("cls", "wanted", "h").collect()}  # one row per place
+    return {c: [found[c, p] for p in ps] for c, ps in wanted.items()}
+
+
+def _inside(hashed: DataFrame, open_: dict[tuple[object, int], tuple[str, int]], digits: int) -> DataFrame:
+    """Rows in the buckets that hold a wanted place."""
+    if not digits:
+        return hashed
+    kind = hashed.schema["cls"].dataType
+    table = sorted({(c, b) for (c, _), (b, _) in open_.items()}, key=str)
+    buckets = hashed.sparkSession.createDataFrame(table, T.StructType([T.StructField("c", kind), T.StructField("b", T.StringType())]))
+    return hashed.join(F.broadcast(buckets), F.expr(f"cls <=> c AND substring(h, 1, {digits}) = b"), "left_semi")
+
+
+def split_points(df: DataFrame, key: str, target: str, test_size: float, seed: int = SEED) -> dict[object, str]:
+    """Last hash of the test part of each class."""
+    cuts = hash_cuts(df, key, target, lambda n: [math.ceil(n * test_size)], seed)
+    return {cls: hashes[0] for cls, hashes in cuts.items() if hashes[0] is not None}
 
 
 def stratified_split(
@@ -101,7 +133,7 @@ def split_job(
     Reports: rows per target value before the filter (anything besides 0 and 1 shows
     there), bad rates by month and by split.
     """
-    unique = keep_first(df, [key], order)
+    unique, _ = materialize(keep_first(df, [key], order), "sample")  # read by the search for cuts and by all reports
     sample = unique.where(F.col(target).isin(0, 1))
     sample = sample.withColumn("apply_month", F.substring(F.col(time).cast("string"), 1, 7))
     labelled = stratified_split(sample, key, target, test_size)
@@ -126,25 +158,15 @@ def split_views(df: DataFrame, split: str = "type") -> dict[str, DataFrame | Non
 
 
 def stratified_folds(df: DataFrame, key: str, target: str, k: int, fold: str = "fold", seed: int = SEED) -> DataFrame:
-    """Add a fold number 0..k-1, balanced to one row within each class.
+    """Add a fold number 0..k-1, balanced to one row within each class: the class in hash order, cut into k stretches.
 
-    Rows without a target are a class of their own. Rows are ranked inside (class, hash bucket) and shifted by the bucket's offset, so no
-    window holds a whole class.
+    Rows without a target are a class of their own. Once the k - 1 cut hashes of each class are known the fold is a plain expression, so the
+    wide table is not shuffled.
     """
-    h = hash_order(key, seed)
-    hashed = df.withColumns({"h__": h, "bucket__": F.substring(h, 1, BUCKET_DIGITS)})
-    along = Window.partitionBy(target).orderBy("bucket__")
-    offsets = (
-        hashed.groupBy(target, "bucket__")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col(target).alias("t__"), F.col("bucket__").alias("b__"), (F.sum("n").over(along) - F.col("n")).alias("before__"))
-    )
-    place = F.row_number().over(Window.partitionBy(target, "bucket__").orderBy("h__"))
-    return (
-        hashed.withColumn("place__", place)
-        .join(F.broadcast(offsets), F.col(target).eqNullSafe(F.col("t__")) & (F.col("bucket__") == F.col("b__")))  # at most classes x 4096 rows
-        .withColumn(fold, F.pmod(F.col("before__") + F.col("place__") - 1, F.lit(k)).cast("int"))
-        .select(*df.columns, fold)
-    )
-
-
+    cuts = hash_cuts(df, key, target, lambda n: [i * n // k for i in range(1, k)], seed)
+    h, out = "fold_hash__", F.lit(0)
+    for cls, hashes in cuts.items():
+        # A stretch without rows lies before the first row.
+        passed = sum((F.lit(1) if x is None else (F.col(h) > x).cast("int") for x in hashes), F.lit(0))
+        out = F.when(F.col(target).eqNullSafe(cls), passed).otherwise(out)
+    return df.withColumn(h, hash_order(key, seed)).withColumn(fold, out.cast("int")).drop(h)

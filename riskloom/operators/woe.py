@@ -252,16 +252,25 @@ def encode_top_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, floa
     return encode_categories(texts, mapping)
 
 
+# From this many dictionaries on, rows are looked up in long form.
+LONG_FROM = 3
+# Rows whose equal keys travel as one.
+BLOCK_BITS = 12
+
+
 def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Replace categories through (feature, key, woe) kept as a table, one left join per feature.
+    """Replace categories through (feature, key, woe) kept as a table of any size.
 
-    No side is forced: Spark broadcasts a small dictionary by its measured size and
-    sort-merges a large one, splitting skewed keys at run time.
+    One or two dictionaries are a left join each: Spark broadcasts a small one by its measured size and
+    sort-merges a large one, splitting skewed keys at run time. More go through one join in long form (streams cannot, as it stores the rows).
+    The results are the same.
     """
-    order = df.columns
     unseen: dict[str, float] = {}
     for r in table.where(F.col("key").isin(UNSEEN, OTHER)).orderBy(F.col("key") == UNSEEN).collect():  # two per feature
         unseen[r["feature"]] = r["woe"]
+    if len(features) >= LONG_FROM and not df.isStreaming:
+        return _encode_long(df, table, features, unseen)
+    order = df.columns
     for feature in features:
         part = table.where((F.col("feature") == feature) & (F.col("key") != UNSEEN)).select(
             F.col("key").alias("k__"), F.col("woe").alias("w__")
@@ -276,6 +285,29 @@ def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str])
     return df.select(*order)
 
 
+def _encode_long(df: DataFrame, table: DataFrame, features: Sequence[str], unseen: Mapping[str, float]) -> DataFrame:
+    """All dictionaries in one join on (feature, key).
+
+    Rows are stored with a number. Equal keys within a block of 4,096 rows are gathered to one row before the join, in the task that
+    reads them, so a key that holds a third of all rows meets its entry once per block. What is found comes back by row number in one
+    narrow table, the only one that the wide rows are joined to: they are shuffled once, whatever the number of features.
+    """
+    stored, _ = materialize(df.withColumn("row__", F.monotonically_increasing_id()), "rows-to-encode")
+    texts = stored.select("row__", *[F.col(f).cast("string").alias(str(i)) for i, f in enumerate(features)])
+    long = texts.unpivot(["row__"], [str(i) for i in range(len(features))], "place", "key").where(F.col("key").isNotNull())
+    block = F.shiftright("row__", BLOCK_BITS).alias("block")
+    packed = long.groupBy(F.col("place").cast("int").alias("place"), "key", block).agg(F.collect_list("row__").alias("rows"))
+    names = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(features)], "feature string, place int")
+    entries = table.where(F.col("key") != UNSEEN).join(F.broadcast(names), "feature").select("place", "key", "woe")
+    found = packed.join(entries, ["place", "key"]).select("place", "woe", F.explode("rows").alias("row__"))
+    values = [F.max(F.when(F.col("place") == i, F.col("woe"))).alias(f"w__{i}") for i in range(len(features))]
+    joined = stored.join(found.groupBy("row__").agg(*values), "row__", "left")
+    out = {
+        f: F.when(F.col(f).isNotNull(), F.coalesce(f"w__{i}", F.lit(unseen.get(f)).cast("double"))) for i, f in enumerate(features)
+    }
+    return joined.withColumns(out).select(*df.columns)
+
+
 def encode_bins(
     df: DataFrame, edges: Mapping[str, Sequence[float]], woe: Mapping[str, Mapping[int | None, float]]
 ) -> DataFrame:

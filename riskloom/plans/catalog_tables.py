@@ -15,7 +15,7 @@ from riskloom.operators.cut import INF, cut_columns
 from riskloom.operators.profile import value_counts
 from riskloom.plans.fixtures import LOAN_SQL, SPLIT_SQL, loan_wide, table, with_time_split
 from riskloom.plans.registry import N, R, edges_sql, query, rounded, score_sql
-from riskloom.session import scratch_path
+from riskloom.session import materialize, scratch_path
 from riskloom.sources import params, tables
 from riskloom.sources.treedump import parse_dump, score_dump
 
@@ -314,6 +314,31 @@ def category_lookup_join(spark, sf):
     return rounded(woe.encode_with_table(wide.select("apply_no", "c_nat", "c_seg"), fitted, ["c_nat", "c_seg"]))
 
 
+MANY_SQL = f"""WITH ml AS (SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS part, CAST(l_orderkey AS VARCHAR) AS ordr,
+  concat_ws('/', l_partkey, l_suppkey) AS pair, CASE WHEN l_partkey % 3 <> 0 THEN CAST(l_partkey % 1500 AS VARCHAR) END AS most, CAST(l_suppkey AS VARCHAR) AS supp,
+  CAST(l_quantity > 25 AS INTEGER) AS target FROM lineitem),
+mk AS (SELECT unnest(['part', 'ordr', 'pair', 'most', 'supp']) AS feature, unnest([part, ordr, pair, most, supp]) AS key, target FROM ml WHERE l_linenumber < 4),
+mc AS (SELECT feature, key, count(*) AS n, sum(target) AS bad FROM mk WHERE key IS NOT NULL GROUP BY 1, 2),
+ms AS (SELECT *, CAST(bad AS DOUBLE) / sum(bad) OVER (PARTITION BY feature) AS bs, CAST(n - bad AS DOUBLE) / sum(n - bad) OVER (PARTITION BY feature) AS gs FROM mc),
+mw AS (SELECT feature, key, CASE WHEN bs = 0 THEN 0 ELSE ln((CASE WHEN gs = 0 THEN 1e-10 ELSE gs END) / bs) END AS woe FROM ms)
+SELECT l_orderkey, l_linenumber, {', '.join(R(f"CASE WHEN ml.{c} IS NOT NULL THEN coalesce({c}_.woe, 0) END", c) for c in ('part', 'ordr', 'pair', 'most', 'supp'))}
+FROM ml {' '.join(f"LEFT JOIN mw {c}_ ON {c}_.feature = '{c}' AND {c}_.key = ml.{c}" for c in ('part', 'ordr', 'pair', 'most', 'supp'))}"""
+
+
+@query("category_lookup_many", MANY_SQL)
+def category_lookup_many(spark, sf):
+    """Dictionaries of thousands of entries, fitted on a part of the lines, looked up in one join; a small one stays an expression."""
+    key, part = F.col("l_orderkey").cast("string"), F.col("l_partkey")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", part.cast("string").alias("part"), key.alias("ordr"), F.concat_ws("/", "l_partkey", "l_suppkey").alias("pair"),
+        F.when(part % 3 != 0, (part % 1500).cast("string")).alias("most"), F.col("l_suppkey").cast("string").alias("supp"),
+        (F.col("l_quantity") > 25).cast("int").alias("target"),
+    )
+    names = ["part", "ordr", "pair", "most", "supp"]
+    fitted, _ = materialize(woe.category_woe_table(lines.where("l_linenumber < 4"), names, "target"), "many")
+    return rounded(woe.encode_dictionary(lines.drop("target"), fitted, names))
+
+
 @query("interval_lookup", f"{WITH} SELECT apply_no, {N(edges_sql('f_price', PRICE_CUTS), 'f_price', 'INTEGER')}, "
        f"{N(edges_sql('f_bal', BALANCE_CUTS), 'f_bal', 'INTEGER')} FROM lw")
 def interval_lookup(spark, sf):
@@ -406,6 +431,7 @@ def split_views(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@query("stratified_folds", f"{WITH} SELECT apply_no, CAST((row_number() OVER (PARTITION BY target ORDER BY {HASH_SQL}) - 1) % 10 AS INTEGER) AS fold FROM lw")
+@query("stratified_folds", f"{WITH} SELECT apply_no, CAST(len(list_filter(range(1, 10), lambda i: i * n // 10 < place)) AS INTEGER) AS fold "
+       f"FROM (SELECT apply_no, count(*) OVER (PARTITION BY target) AS n, row_number() OVER (PARTITION BY target ORDER BY {HASH_SQL}) AS place FROM lw)")
 def stratified_folds(spark, sf):
     return split.stratified_folds(loan_wide(spark, sf).select("apply_no", "target"), "apply_no", "target", 10).select("apply_no", "fold")

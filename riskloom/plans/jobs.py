@@ -173,7 +173,7 @@ def train(raw: DataFrame, roles: Roles, plan: TrainingPlan, folder: str | None =
             fit, trials = tune(features)
     reports["trials"] = trial_table(spark, trials)
     reports["split_counts"] = importance(spark, fit)
-    scored = fit.predict(ready, "p")
+    scored, _ = materialize(fit.predict(ready, "p"), "scores")  # read by every report and sink
     reports.update(
         model_statistics(scored, "p", roles, plan.project, plan.batch, len(features), fit.params.n_estimators)
     )

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import columns, encode, profile, psi, select, split
+from riskloom.operators import columns, encode, moments, profile, psi, select, split
 from riskloom.operators.woe import (
     UNSEEN,
     category_woe_table,
@@ -15,6 +15,7 @@ from riskloom.operators.woe import (
     top_category_woe_table,
     woe_by_category,
 )
+from riskloom.session import materialize
 
 
 # --- categories -------------------------------------------------------------------------------
@@ -166,6 +167,38 @@ def test_folds_are_balanced(sample):
     for cls in (0, 1):
         n = [r["count"] for r in counts if r["target"] == cls]
         assert len(n) == 10 and max(n) - min(n) <= 1
+    assert "Exchange" not in folds._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("ranked,digits", [(10**6, 3), (40, 1), (1, 1), (1, 3), (0, 3)])
+def test_cuts_by_radix_search(spark, sample, monkeypatch, ranked, digits):
+    """Every level of the search, down to single rows, gives the hashes that sorting the classes gives."""
+    df = sample.withColumn("target", F.when(F.col("target") == 1, F.lit(None)).otherwise(F.col("target"))).limit(1500)
+    df, _ = materialize(df, "radix")
+    hashes = {}
+    for r in df.select("target", split.hash_order("apply_no").alias("h")).collect():
+        hashes.setdefault(r["target"], []).append(r["h"])
+    monkeypatch.setattr(split, "RANKED_ROWS", ranked)
+    monkeypatch.setattr(split, "BUCKET_DIGITS", digits)
+    got = split.hash_cuts(df, "apply_no", "target", lambda n: [0, 1, n // 3, n // 2, n])
+    for cls, own in hashes.items():
+        own.sort()
+        n = len(own)
+        assert got[cls] == [None, own[0], own[n // 3 - 1], own[n // 2 - 1], own[-1]]
+    folds = split.stratified_folds(df, "apply_no", "target", 7).groupBy("target", "fold").count().collect()
+    assert len(folds) == 14
+    for cls in hashes:
+        n = [r["count"] for r in folds if r["target"] == cls]
+        assert max(n) - min(n) <= 1
+
+
+def test_folds_of_few_rows_and_many_classes(spark, monkeypatch):
+    df = spark.range(8).selectExpr("id", "cast(id % 2 AS int) AS t")
+    folds = split.stratified_folds(df, "id", "t", 10).groupBy("t", "fold").count().collect()
+    assert len(folds) == 8 and all(r["count"] == 1 and 0 <= r["fold"] < 10 for r in folds)
+    monkeypatch.setattr(split, "MAX_CLASSES", 1)
+    with pytest.raises(ValueError, match="classes"):
+        split.stratified_folds(df, "id", "t", 2)
 
 
 def test_split_job_cleans_the_sample(spark, sample):
@@ -232,21 +265,90 @@ def test_pairwise_correlation(wide, how):
 def test_filled_correlation(wide, monkeypatch):
     pdf, df = wide
     want = pdf.fillna(-999).corr().abs()
-    assert np.allclose(select.filled_corr(df, list("abcdef")).to_numpy(), want.to_numpy(), atol=1e-9)
-    assert select.filled_corr(df, ["a"]).to_numpy().tolist() == [[1.0]]
-    monkeypatch.setattr(select, "CHUNK", 3)  # many columns
-    assert np.allclose(select.filled_corr(df, list("abcdef")).to_numpy(), want.to_numpy(), atol=1e-9)
-
-
-def test_pruning(wide):
+    for pairs in (select.CHUNK, 3):  # built-in aggregates, tiles
+        monkeypatch.setattr(select, "CHUNK", pairs)
+        got = select.filled_corr_table(df, list("abcdef")).collect()
+        assert len(got) == 15
+        for r in got:
+            assert r["abs_corr"] == pytest.approx(want.loc[r["f1"], r["f2"]], abs=1e-9)
+
+
+@pytest.mark.parametrize("tile,fan", [(128, 16), (2, 2), (4, 3)])
+def test_tiles_and_levels_of_the_tree(spark, monkeypatch, tile, fan):
+    """Gaps, large means, constants and a column without values, over many parts and in several passes."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((700, 9)) @ rng.standard_normal((9, 9)) + 1e6
+    pdf = pd.DataFrame(x, columns=list("abcdefghi"))
+    pdf.loc[rng.random(700) < 0.3, "b"] = np.nan
+    pdf.loc[rng.random(700) < 0.5, "e"] = np.nan
+    pdf.loc[3:, "f"] = np.nan
+    pdf["g"] = 0.1
+    pdf["h"] = np.nan
+    monkeypatch.setattr(moments, "TILE", tile)
+    monkeypatch.setattr(moments, "FAN", fan)
+    monkeypatch.setattr(moments, "STATE_BYTES", 6 * 8 * tile * tile * 4)
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in pdf.to_numpy()]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in pdf.columns)).repartition(7)
+    got = {(r["f1"], r["f2"]): r["corr"] for r in select.corr_by_products(df, list(pdf.columns)).collect()}
+    want = pdf.corr()
+    assert len(got) == 36
+    for (a, b), r in got.items():
+        if set("gh") & {a, b}:
+            assert r is None
+        else:
+            assert r == pytest.approx(want.loc[a, b], abs=1e-8)
+    empty = select.corr_by_products(df.limit(0), ["a", "b"]).collect()
+    assert empty == [] or empty[0]["corr"] is None
+
+
+def test_a_thousand_columns_are_planned_at_once(spark):
+    import time
+
+    df = spark.range(50).select(*[(F.col("id") * (i % 7) + F.rand(i)).alias(f"c{i}") for i in range(1000)])
+    stored, _ = materialize(df, "thousand")
+    start = time.time()
+    out = select.corr_by_products(stored, stored.columns)
+    made = time.time() - start
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce " not in text and len(text) < 20_000
+    assert out.count() == 1000 * 999 // 2
+    assert made < 20  # the pass over the rows included; building the plan alone is below 5 s
+    start = time.time()
+    select.corr_by_products(stored.limit(0), stored.columns)
+    assert time.time() - start < 5
+
+
+def brute_pruning(corr, importance, threshold):
+    order = sorted(importance, key=lambda f: (-importance[f], f))
+    dropped = []
+    for f in order:
+        if f not in dropped:
+            dropped += [o for o in order if o != f and o not in dropped and corr.loc[f, o] > threshold and importance[o] <= importance[f]]
+    return set(dropped)
+
+
+def test_pruning(spark, wide):
     _, df = wide
     imp = {"a": 3.0, "b": 2.0, "c": 1.0, "d": 3.0, "e": 0.5}
     kept, dropped = select.drop_correlated(df, imp, 0.9)
     assert set(dropped) == {"b", "d"} and kept.columns == ["a", "c", "e", "f"]  # f has no importance and stays
     assert set(select.drop_correlated(df, imp, 0.9, keep_exact=True)[1]) == {"b"}
+    assert select.drop_correlated(df, {"a": 1.0}, 0.9) == (df, [])
+
+    def pruned(corr, importance):
+        names = list(corr.columns)
+        rows = [(a, b, float(corr.loc[a, b])) for i, a in enumerate(names) for b in names[i + 1 :]]
+        return select.prune_correlated(select.close_pairs(spark.createDataFrame(rows, "f1 string, f2 string, abs_corr double"), importance, 0.9), importance)
+
     corr = pd.DataFrame([[1, 0.95, 0.1], [0.95, 1, 0.95], [0.1, 0.95, 1]], index=list("xyz"), columns=list("xyz"))
-    assert select.prune_correlated(corr, {"x": 3, "y": 2, "z": 1}, 0.9) == ["y"]  # a dropped feature drops nothing
-    assert set(select.prune_correlated(corr, {"x": 1, "y": 2, "z": 1}, 0.9)) == {"x", "z"}
+    assert pruned(corr, {"x": 3, "y": 2, "z": 1}) == ["y"]  # a dropped feature drops nothing
+    assert set(pruned(corr, {"x": 1, "y": 2, "z": 1})) == {"x", "z"}
+    rng = np.random.default_rng(7)
+    names = [f"f{i}" for i in range(60)]
+    half = np.triu(rng.random((60, 60)), 1)
+    corr = pd.DataFrame(half + half.T + np.eye(60), index=names, columns=names)
+    importance = {f: int(rng.integers(0, 8)) for f in names}
+    assert set(pruned(corr, importance)) == brute_pruning(corr, importance, 0.9)
 
 
 def test_forward_selection_counts_dropped_ones(wide):
@@ -275,3 +377,49 @@ def test_whole_table_steps(spark):
     assert [r["k"] for r in columns.held_out(df, keys, "k").collect()] == ["k2"]
     labelled = df.withColumn("type", F.lit("cv"))
     assert columns.with_split(labelled, keys, "k").first()["type"] == "cv"
+
+
+def many_dictionaries(spark, n, hot=False):
+    rows = [(i, *[f"{(0 if hot and i % 3 else i) * (j + 3) % 700}" if (i + j) % 11 else None for j in range(5)], i % 2 if i % 7 else None) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"f{j} string" for j in range(5)) + ", f5 int").repartition(4)
+    entries = [(f"f{j}", str(k), k / 10 + j) for j in range(5) for k in range(600)] + [("f5", "1", -1.0)]
+    entries += [(f"f{j}", UNSEEN, j * 100.0) for j in range(4)] + [("f0", "7", None)][:0]
+    return df, spark.createDataFrame(entries, "feature string, key string, woe double"), [f"f{j}" for j in range(6)]
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_long_form_lookup_equals_joins(spark, monkeypatch, hot):
+    from riskloom.operators import woe
+
+    df, table, names = many_dictionaries(spark, 2000, hot)
+    long = encode_with_table(df, table, names).orderBy("id").collect()
+    monkeypatch.setattr(woe, "LONG_FROM", 99)
+    joined = encode_with_table(df, table, names).orderBy("id").collect()
+    assert long == joined and len(long) == 2000
+    inline = encode_categories(df, woe_by_category(table)).orderBy("id").collect()
+    assert long == inline
+    for limit in (0, 650, 10**6):  # all in a table, some, none
+        monkeypatch.setattr(woe, "INLINE_ENTRIES", limit)
+        for start in (1, 99):
+            monkeypatch.setattr(woe, "LONG_FROM", start)
+            assert woe.encode_dictionary(df, table, names).orderBy("id").collect() == long
+
+
+def test_long_form_shuffles_the_wide_rows_once(spark):
+    df, table, names = many_dictionaries(spark, 500)
+    wide = df.select("*", *[F.lit(i).alias(f"other{i}") for i in range(30)])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = encode_with_table(wide, table, names)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tree = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("row__" in line and "place" not in line for line in tree) <= 2 and text.count("SortMergeJoin") <= 2
+
+
+def test_null_counts_multiply_no_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), "x"), (None, None)], "a double, b string")
+    monkeypatch.setattr(select, "CHUNK", 1)
+    got = {r["feature"]: r["missing_rate"] for r in select.missing_rates(df, ["a", "b"]).collect()}
+    assert got == {"a": pytest.approx(2 / 3), "b": pytest.approx(2 / 3)}
+    assert "Expand" not in select.missing_rates(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()

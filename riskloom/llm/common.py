@@ -50,6 +50,25 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+def broadcast_lists(df: DataFrame, rows: int, column: str, limit: int = 1_000_000) -> DataFrame:
+    """Broadcast hint for a counted, stored table with a list column, by its list entries (of a few numbers each) and its rows."""
+    if rows > limit:
+        return df
+    entries = df.agg(F.sum(F.size(column).cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if rows + entries <= limit else df
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores after it until ``df`` has no such column in any letter case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def running_start(df: DataFrame, order: str, value: str, out: str, width: int = 1024) -> DataFrame:
     """``out`` = sum of ``value`` over rows with a smaller ``order`` (a whole number, unique).
 

@@ -1,73 +1,151 @@
 """Repeated passages, found as runs of consecutive sentences.
 
-A sentence ends at ``.``, ``!`` or ``?`` before white space, or at a line feed; one of more than LONG words is cut after
+A sentence ends after a word that ends in ``.``, ``!`` or ``?`` or that a line feed follows before the next word; one of more than LONG words is cut after
 every word whose hash is the smallest of some NEAR consecutive words (all of equal ones). So the words
 themselves choose the cuts: at most NEAR words apart, and the same in every copy but for NEAR - 1 words at its edges. A passage of
 4 * NEAR + MIN_WORDS - 3 words (49) inside long sentences therefore shares a run with each of its copies. From every sentence a run goes on until it has at least MIN_SENTENCES sentences
 and MIN_WORDS words. Runs are hashed (128 bits over lower-cased words) and joined over the whole table. The first place of a run (smallest doc_id,
-null last, then text hash, then position) keeps it; in all other places every sentence that the run covers is removed.
-Removing keeps the rest of the text as it is.
+null last, then text hash, then position) keeps it; in all other places every sentence that the run covers is removed. A place that overlaps
+the first one of the same run (a sentence that a document repeats several times in a row) loses the sentences that both cover, too, so
+such a row shrinks to its first sentence. Removing keeps the rest of the text as it is.
 
-The first pass counts 64-bit hashes only, with map-side sums, and leaves those that occur more than once. Only runs
+Texts are cut a slice at a time on flat arrays: words by their bytes, hashes by distinct word, runs by differences of running sums. The first pass
+counts 64-bit hashes only, with map-side sums, and leaves those that occur more than once. Only runs
 with such a hash travel on, so hot passages are sums and skew-split joins, never one group in a task.
 
 Null and empty texts have no runs and stay; a text shorter than a run stays; rows that repeat both id and text are one document
-and get the same result, once per row. All other columns of the table are kept.
+and get the same result, once per row; an empty table gives an empty result. All other columns of the table are kept, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, forget, release, slices
+from riskloom.llm.common import broadcast_lists, forget, free_names, release, slices
+from riskloom.llm.words import mix
 from riskloom.session import materialize
 
 MIN_SENTENCES = 2
 MIN_WORDS = 24
 LONG = 16
 NEAR = 7
-_END = re.compile(r"[.!?]+\s+|\n\s*")
-_WORD = re.compile(r"\s*\S+\s*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def sentences(text: str) -> list[str]:
-    """Parts that make up the text, each with the white space after it."""
-    out, start = [], 0
-    for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
-        part = text[start:end]
-        if len(part) > 2 * LONG and len(part.split()) > LONG:
-            words = _WORD.findall(part)
-            at = 0
-            for cut in _cuts(words):
-                out.append("".join(words[at:cut]))
-                at = cut
-            part = "".join(words[at:])
-        if part:
-            out.append(part)
-        start = end
-    return out
-
-
-def _cuts(words: list[str]) -> list[int]:
-    """After how many words a sentence of more than NEAR words is cut."""
-    own = np.array([xxhash.xxh32_intdigest(w) for w in "".join(words).lower().split()], np.int64)
-    least = own[: len(own) - NEAR + 1]
+def white_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to white space, as str.split sees it."""
+    white = (data == 32) | (data >= 9) & (data <= 13) | (data >= 28) & (data <= 31)
+    if not (data >= 0x80).any():
+        return white
+    padded = np.concatenate([data, np.zeros(2, np.uint8)])
+    one, two, three = padded[:-2], padded[1:-1], padded[2:]
+    # U+0085 and U+00A0, then U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F and U+3000.
+    pairs = (one == 0xC2) & ((two == 0x85) | (two == 0xA0))
+    general = (two == 0x80) & ((three >= 0x80) & (three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF)) | (two == 0x81) & (three == 0x9F)
+    triples = (one == 0xE1) & (two == 0x9A) & (three == 0x80) | (one == 0xE2) & general | (one == 0xE3) & (two == 0x80) & (three == 0x80)
+    white |= pairs | triples
+    white[1:] |= pairs[:-1] | triples[:-1]
+    white[2:] |= triples[:-2]
+    return white
+
+
+@dataclass
+class Cut:
+    """Sentences of several texts. Those of text i are ``texts[i]`` to ``texts[i + 1]``; ``starts`` are bytes, and the end; words are counted by ``words``."""
+
+    data: np.ndarray
+    bounds: np.ndarray
+    texts: np.ndarray
+    starts: np.ndarray
+    words: np.ndarray
+    first_word: np.ndarray
+    hashes: tuple[np.ndarray, np.ndarray]
+
+
+def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128 bits and the order among neighbours of every lower-cased word, each distinct word hashed once."""
+    sizes = end - begin
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    flat = data[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
+    words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat))
+    coded = words.dictionary_encode()
+    plain = [w.lower().encode() for w in coded.dictionary.to_pylist()]
+    long = [xxhash.xxh3_128_intdigest(w) for w in plain]
+    table = (
+        np.array([h >> 64 for h in long], np.uint64), np.array([h & 0xFFFFFFFFFFFFFFFF for h in long], np.uint64),
+        np.array([xxhash.xxh32_intdigest(w) for w in plain], np.int64),
+    )
+    codes = coded.indices.to_numpy()
+    return tuple(t[codes] for t in table)
+
+
+def _chosen(own: np.ndarray, stop: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """Words of long sentences after which these are cut; ``stop``: each word's end of its sentence."""
+    n = len(own)
+    chosen = np.zeros(n, bool)
+    if n < NEAR or not long.any():
+        return chosen
+    least = own[: n - NEAR + 1].copy()
     for i in range(1, NEAR):
-        least = np.minimum(least, own[i : i + len(least)])
-    chosen = np.zeros(len(own), bool)
+        np.minimum(least, own[i : i + len(least)], out=least)
+    inside = long[: len(least)] & (stop[: len(least)] - np.arange(len(least)) >= NEAR)
     for i in range(NEAR):
-        chosen[i : i + len(least)] |= own[i : i + len(least)] == least
-    return (np.flatnonzero(chosen) + 1).tolist()
+        chosen[i : i + len(least)] |= inside & (own[i : i + len(least)] == least)
+    return chosen
+
+
+def cut(texts: pa.Array) -> Cut:
+    """The sentences of texts; null is empty. White space belongs to the sentence before it, at the start of a text to the first one."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    bounds = bounds - bounds[0]
+    word = ~white_space(data)
+    opens = word.copy()
+    opens[1:] &= ~word[:-1]
+    inner = bounds[:-1][np.diff(bounds) > 0]
+    opens[inner] = word[inner]  # a text begins a word of its own
+    closes = word.copy()
+    closes[:-1] &= ~word[1:]
+    last = bounds[1:][np.diff(bounds) > 0] - 1
+    closes[last] = word[last]
+    begin, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    owner = np.searchsorted(bounds, begin, side="right") - 1
+    words = np.searchsorted(begin, bounds)  # first word of each text
+    n = len(begin)
+    high, low, own = _word_hashes(data, begin, end) if n else (np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64))
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    gap_end = np.append(begin[1:], len(data))[:n]
+    stops = np.isin(data[end - 1], np.frombuffer(b".!?", np.uint8)) & (gap_end > end) | (lines[gap_end] > lines[end])
+    stops[np.append(owner[1:] != owner[:-1], True)[:n]] = True  # the text ends
+    closing = np.flatnonzero(stops)
+    length = np.diff(np.concatenate([[-1], closing]))
+    stop = np.repeat(closing + 1, length)
+    stops |= _chosen(own, stop, np.repeat(length > LONG, length))
+    closing = np.flatnonzero(stops)
+    first = np.concatenate([[0], closing + 1])[: len(closing)].astype(np.int64)
+    at = begin[first]
+    new_text = np.isin(first, words[:-1][np.diff(words) > 0])
+    at[new_text] = bounds[:-1][owner[first[new_text]]]
+    return Cut(data, bounds, np.searchsorted(first, words), at, np.diff(np.append(first, n)), first, (high, low))
+
+
+def sentences(text: str) -> list[str]:
+    """Parts that make up the text, each with the white space after it; a text without words is one part."""
+    found = cut(pa.array([text], pa.string()))
+    places = [*found.starts.tolist(), len(found.data)] if len(found.starts) else [0, len(found.data)]
+    raw = found.data.tobytes()
+    return [raw[a:b].decode() for a, b in zip(places, places[1:]) if b > a]
 
 
 def run_ends(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -88,63 +166,69 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 def _runs(batches: Iterator[pa.RecordBatch], count_only: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "text", 4 << 20):
-            high, low, words, starts = [], [], [], [0]
-            for text in rows.column("text").to_pylist():
-                for s in sentences(text or ""):
-                    own = s.lower().split()
-                    h = xxhash.xxh3_128_intdigest(" ".join(own))
-                    high.append(h >> 64)
-                    low.append(h & 0xFFFFFFFFFFFFFFFF)
-                    words.append(len(own))
-                starts.append(len(words))
-            starts = np.array(starts)
-            last = run_ends(np.array(words, np.int64), starts)
+            found = cut(rows.column("text"))
+            last = run_ends(found.words, found.texts)
             first = np.flatnonzero(last >= 0)
-            forward, back = _powers(_BASE, len(words)), _powers(_BACK, len(words))
+            begin, end = found.first_word[first], found.first_word[last[first]] + found.words[last[first]]
+            n = len(found.hashes[0])
+            forward, back = _powers(_BASE, n), _powers(_BACK, n)
             runs = []
-            for h in (high, low):
-                sums = np.concatenate([[np.uint64(0)], np.cumsum(np.array(h, np.uint64) * forward, dtype=np.uint64)])
-                runs.append(pa.array(((sums[last[first] + 1] - sums[first]) * back[first]).view(np.int64)))
+            for h in found.hashes:
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(h * forward, dtype=np.uint64)])
+                runs.append(pa.array((mix((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))).view(np.int64)))
             if count_only:
                 yield pa.RecordBatch.from_arrays([runs[0]], ["h1"])
                 continue
-            owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[first]
+            owner = np.repeat(np.arange(len(found.texts) - 1), np.diff(found.texts))[first]
             doc, text_hash = (rows.column(c).take(pa.array(owner)) for c in ("doc_id", "text_hash"))
-            at = pa.array((first - starts[owner]).astype(np.int32))
+            at = pa.array((first - found.texts[owner]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*runs, doc, text_hash, at], ["h1", "h2", "doc_id", "text_hash", "at"])
 
 
-def _removed(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _removed(batches: Iterator[pa.RecordBatch], names: list[str], at: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch, "text", 4 << 20):
-            texts, counts, spans = [], [], []
-            for text, at in zip(rows.column("text").to_pylist(), rows.column("_at").to_pylist()):
-                if not at:
-                    texts.append(text)
-                    counts.append(0)
-                    spans.append([])
-                    continue
-                parts = sentences(text)
-                last = run_ends(np.array([len(p.split()) for p in parts], np.int64), np.array([0, len(parts)]))
-                gone = np.zeros(len(parts) + 1, np.int32)
-                for i in at:
-                    gone[i] += 1
-                    gone[last[i] + 1] -= 1
-                gone = np.cumsum(gone)[:-1] > 0
-                ends = np.cumsum([len(p) for p in parts])
-                own: list[dict] = []
-                for i in np.flatnonzero(gone):
-                    a, b = int(ends[i]) - len(parts[i]), int(ends[i])
-                    if own and own[-1]["end"] == a:
-                        own[-1]["end"] = b
-                    else:
-                        own.append({"start": a, "end": b})
-                texts.append("".join(p for p, g in zip(parts, gone) if not g))
-                counts.append(int(gone.sum()))
-                spans.append(own)
-            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            new = {"text": pa.array(texts, pa.string()), "n_removed": pa.array(counts, pa.int64()), "removed": pa.array(spans, span)}
-            yield pa.RecordBatch.from_arrays([new.get(c, rows.column(c) if c in rows.schema.names else None) for c in names], names)
+            places = rows.column(at)
+            touched = np.flatnonzero(pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False))
+            texts, counts, spans = rows.column("text"), np.zeros(rows.num_rows, np.int64), [[] for _ in range(rows.num_rows)]
+            if len(touched):
+                whole = texts.to_pylist()
+                new = _without(texts.take(pa.array(touched)), places.take(pa.array(touched)))
+                for i, (text, n, own) in zip(touched.tolist(), new):
+                    whole[i], counts[i], spans[i] = text, n, own
+                texts = pa.array(whole, pa.string())
+            made = {"text": texts, "n_removed": pa.array(counts), "removed": pa.array(spans, SPANS)}
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else rows.column(c) for c in names], names)
+
+
+def _without(texts: pa.Array, places: pa.ListArray) -> Iterator[tuple[str, int, list[dict]]]:
+    """(text left, sentences removed, spans removed) of texts that lose the runs at these sentences."""
+    found = cut(texts)
+    last = run_ends(found.words, found.texts)
+    starts = found.texts[:-1][pc.list_parent_indices(places).to_numpy()] + pc.list_flatten(places).to_numpy()
+    gone = np.zeros(len(last) + 1, np.int64)
+    np.add.at(gone, starts, 1)
+    np.add.at(gone, last[starts] + 1, -1)
+    gone = np.cumsum(gone)[:-1] > 0
+    ends = np.append(found.starts[1:], len(found.data))
+    ends[found.texts[1:][np.diff(found.texts) > 0] - 1] = found.bounds[1:][np.diff(found.texts) > 0]
+    letters = np.concatenate([[0], np.cumsum((found.data & 0xC0) != 0x80)])
+    raw = found.data.tobytes()
+    for i in range(len(texts)):
+        own = np.arange(found.texts[i], found.texts[i + 1])
+        left = b"".join(raw[found.starts[k] : ends[k]] for k in own[~gone[own]])
+        spans: list[dict] = []
+        base = letters[found.bounds[i]]
+        for k in own[gone[own]]:
+            a, b = int(letters[found.starts[k]] - base), int(letters[ends[k]] - base)
+            if spans and spans[-1]["end"] == a:
+                spans[-1]["end"] = b
+            else:
+                spans.append({"start": a, "end": b})
+        yield left.decode(), int(gone[own].sum()), spans
 
 
 def repeated_runs(df: DataFrame) -> DataFrame:
@@ -171,13 +255,15 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     """
     again = repeated_runs(df)
     gone = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    gone, n = materialize(gone.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("at").alias("_at")), "repeats")
+    gone, n = materialize(gone, "repeats")
     forget(again)
     release(df.sparkSession)
     kept = [c for c in df.columns if c not in ("n_removed", "removed")]
     rows = df.select(kept)
-    match = rows.doc_id.cast("bigint").eqNullSafe(gone["_doc"]) & F.xxhash64(rows.text).eqNullSafe(gone["_hash"])
-    joined = rows.join(broadcast_if_small(gone, n, 200_000), match, "left").drop("_doc", "_hash")
+    doc, text_hash, at = free_names(df, "doc", "hash", "at")
+    gone = gone.toDF(doc, text_hash, at)
+    match = rows.doc_id.cast("bigint").eqNullSafe(gone[doc]) & F.xxhash64(rows.text).eqNullSafe(gone[text_hash])
+    joined = rows.join(broadcast_lists(gone, n, at), match, "left").drop(doc, text_hash)
     names = [*kept, "n_removed", "removed"]
     kinds = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", n_removed bigint, removed array<struct<start:int,end:int>>"
-    return joined.mapInArrow(partial(_removed, names=names), kinds)
+    return joined.mapInArrow(partial(_removed, names=names, at=at), kinds)

@@ -208,7 +208,9 @@ class LengthIndex:
 
     def __init__(self, rows: DataFrame, n: int, fit_rows: int, seed: int):
         self.spark = rows.sparkSession
-        sample = rows.where(hash_share(F.xxhash64("vec_id", "vec"), fit_rows / max(n, 1))).select("vec").toArrow().column("vec").combine_chunks()
+        # Repeats of a row are one row of the sample, so it stays bounded whatever repeats.
+        picked = rows.where(hash_share(F.xxhash64("vec_id", "vec"), fit_rows / max(n, 1))).dropDuplicates(["vec_id", "vec"])
+        sample = picked.select("vec").toArrow().column("vec").combine_chunks()
         if not len(sample):  # a short table whose rows all hash low
             sample = rows.select("vec").limit(1).toArrow().column("vec").combine_chunks()
         matrix = _matrix(sample)

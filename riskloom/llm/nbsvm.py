@@ -179,7 +179,8 @@ def fit(df: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, cost: float
     q[bucket[bucket >= 0]] += n0[bucket >= 0]
     ratio = np.log((p / (all1 + 2)) / (q / (all0 + 2)))
     picked = hash_share(F.col("h"), fit_rows / (all0 + all1))
-    sample = rows.withColumn("h", F.xxhash64("doc_id", "text")).where(picked).select("h", "label", "text")
+    # Repeats of a row count once here (the ratios count all), so the sample stays bounded whatever repeats.
+    sample = rows.withColumn("h", F.xxhash64("doc_id", "text")).where(picked).groupBy("h", "label").agg(F.first("text").alias("text"))
     table = sample.mapInArrow(_sampled, "h bigint, label int, buckets array<int>").toArrow()
     order = np.argsort(table.column("h").to_numpy(), kind="stable")
     lists = table.column("buckets").combine_chunks()

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_if_small, forget
+from riskloom.llm.common import broadcast_lists, forget, free_names
 from riskloom.session import materialize
 
 # The base patterns. Matches of access and hex that are too short cannot contain or end in a longer one.
@@ -126,21 +126,37 @@ def report(df: DataFrame) -> DataFrame:
 
 
 def redact(df: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """The rows of ``df`` (it must hold doc_id and text) with every reported span replaced, overlapping ones as one."""
+    """The rows of ``df`` (it must hold doc_id and text) with every reported span replaced, overlapping or touching ones as one.
+
+    Other columns stay, whatever their names; null texts stay null.
+    """
     scanned = scan(df)
-    found = scanned.where(F.size("found") > 0).select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "found")
-    found, n = materialize(found.dropDuplicates(["_doc", "_hash"]).withColumnRenamed("found", "_found"), "spans")
+    found = scanned.where(F.size("found") > 0).select("doc_id", "text_hash", "found").dropDuplicates(["doc_id", "text_hash"])
+    # Spans that meet become one: a new one begins where all before it have ended.
+    each = found.select("doc_id", "text_hash", F.explode("found").alias("x")).select("doc_id", "text_hash", "x.*")
+    along = Window.partitionBy("doc_id", "text_hash").orderBy("start", "kind")
+    upto = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    each = each.withColumn("fresh", F.coalesce(F.col("start") > upto, F.lit(True)).cast("int"))
+    each = each.withColumn("nth", F.sum("fresh").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    each = each.groupBy("doc_id", "text_hash", "nth").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    merged = each.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    merged, n = materialize(merged, "spans")
     forget(scanned)
-    match = df.doc_id.eqNullSafe(found["_doc"]) & F.xxhash64(df.text).eqNullSafe(found["_hash"])
-    joined = df.join(broadcast_if_small(found, n, 100_000), match, "left")
-
-    def step(acc, x):
-        gap = F.substring(F.col("text"), acc["at"] + 1, x["start"].cast("int") - acc["at"])
-        fresh = F.struct(x["end"].cast("int").alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))
-        inside = F.struct(F.greatest(acc["at"], x["end"].cast("int")).alias("at"), acc["out"].alias("out"))
-        return F.when(x["start"] >= acc["at"], fresh).otherwise(inside)
-
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
-    cleaned = F.when(F.col("_found").isNull(), F.col("text")).otherwise(F.aggregate("_found", first, step, rest))
-    return joined.withColumn("text", cleaned).select(df.columns)
+    doc, text_hash, spans, wide = free_names(df, "doc", "hash", "spans", "wide")
+    merged = merged.toDF(doc, text_hash, spans)
+    match = df.doc_id.eqNullSafe(merged[doc]) & F.xxhash64(df.text).eqNullSafe(merged[text_hash])
+    joined = df.join(broadcast_lists(merged, n, spans), match, "left")
+    # Four bytes a code point, so that each piece is found at once.
+    joined = joined.withColumn(wide, F.when(F.col(spans).isNotNull(), F.encode(F.col("text"), "UTF-32")))
+    cuts = F.concat(F.array(F.lit(0).cast("bigint")), F.flatten(F.transform(spans, lambda x: F.array(x["start"], x["end"]))), F.array(F.length(wide).cast("bigint") / 4))
+    (places,) = free_names(joined, "cuts")
+    joined = joined.withColumn(places, cuts.cast("array<bigint>"))
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.size(spans)),
+        lambda i: F.decode(_piece(F.col(wide), F.get(F.col(places), 2 * i), F.get(F.col(places), 2 * i + 1)), "UTF-32"),
+    )
+    return joined.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))).select(df.columns)
+
+
+def _piece(wide: Column, start: Column, end: Column) -> Column:
+    return F.substr(wide, (start * 4 + 1).cast("int"), ((end - start) * 4).cast("int"))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_contracts import groups, shingles, similar_pairs
 
@@ -110,3 +111,69 @@ def test_nearest_of_every_length(spark):
     assert {q: len(x) for q, x in got.items()} == {10: 5, 210: 5, 1000: 5}
     length = {i: len(v) for i, v in rows}
     assert all(length[i] == length[q] and i != q for q, x in got.items() for _, i in x)
+
+
+def test_windows_in_key_order():
+    """At least WINDOW rows on inside a label, and as far as the prefix is shared; never into another label, pass or part."""
+    rows = [(1, 2, "a", 5, 0, 0, 0)] * 4 + [(1, 2, "a", 6, 0, 0, 0)] + [(1, 2, "b", 6, 0, 0, 0)] * 2 + [(2, 2, "b", 1, 0, 0, 0)] * 9
+    rows += [(2, 2, "c", 1, 0, 1, 0)] * 3 + [(2, 2, "c", 1, 0, 2, 0)] * 2
+    names = ["pass", "dim", "label", "prefix", "one", "two", "side"]
+    batch = pa.RecordBatch.from_pydict({c: [r[i] for r in rows] for i, c in enumerate(names)})
+    ends = projection_passes.window_ends(batch, 2).tolist()
+    assert ends[:7] == [4, 4, 5, 5, 5, 7, 7] and ends[7:16] == [16] * 9 and ends[16:] == [19] * 3 + [21] * 2
+
+
+@pytest.mark.parametrize("batch_rows", [7, 50, 10_000])
+def test_windows_across_batches(batch_rows):
+    """Verified pairs join the same rows however the sorted rows are cut into batches."""
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((300, 16))
+    v = np.concatenate([v, v + 0.02 * rng.standard_normal(v.shape)])
+    table = pa.table({"vec": v.tolist(), "cls": [i.to_bytes(4, "big") for i in range(600)], "label": ["x", "y"] * 300, "whole": [False] * 600})
+    keyed = projection_passes._keys(iter(table.to_batches()), 12, 4, True)
+    rows = pa.Table.from_batches(list(keyed))
+    for c in ("one", "two", "side"):
+        rows = rows.append_column(c, pa.array(np.zeros(len(rows), np.int32)))
+    rows = rows.sort_by([(c, "ascending") for c in ("pass", "dim", "label", "prefix", "key")]).combine_chunks()
+    found = projection_passes._near(iter(rows.to_batches(max_chunksize=batch_rows)), 0.98, 8)
+    pairs = [(int.from_bytes(a, "big"), int.from_bytes(b, "big")) for r in found for a, b in zip(r.column("a").to_pylist(), r.column("b").to_pylist())]
+    u = v / np.sqrt((v * v).sum(axis=1))[:, None]
+    near = (u @ u.T >= 0.98) & (np.arange(600)[:, None] % 2 == np.arange(600) % 2)
+    np.fill_diagonal(near, False)
+    assert groups(600, pairs) == groups(600, np.argwhere(near).tolist()) and near.sum() > 200
+
+
+def test_labels_of_text_and_dense_labels_without_links(spark):
+    rng = np.random.default_rng(2)
+    middle = rng.standard_normal(32)
+    rows = [(i, (middle + 0.3 * rng.standard_normal(32)).tolist(), "dense") for i in range(500)]
+    rows += [(1000 + i, (middle * (1 + i)).tolist(), ["one", "two"][i % 2]) for i in range(6)] + [(2000, [1e300, 1e300], "big"), (2001, [1e299, 1e299], "big")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in projection_passes.near_vectors(df).collect()}
+    assert [got[1000 + i] for i in range(6)] == [(2, 1000), (2, 1001)] * 3
+    v = np.array([r[1] for r in rows[:500]])
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    near = v @ v.T >= 0.98
+    np.fill_diagonal(near, False)
+    assert [got[i][0] for i in range(500)] == near.sum(axis=1).tolist()
+    assert got[2001] == (1, 2000)
+
+
+def test_passes_over_spread_vectors(spark, monkeypatch):
+    """A large label of spread directions goes through the sorted passes and loses no link; prefixes held by many are dealt into parts."""
+    rng = np.random.default_rng(12)
+    v = rng.standard_normal((3000, 48))
+    turn = rng.standard_normal((700, 48))
+    v = np.concatenate([v, v[:700] + 0.19 * turn * np.sqrt((v[:700] ** 2).sum(axis=1) / (turn**2).sum(axis=1))[:, None]])
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    v /= np.sqrt((v * v).sum(axis=1))[:, None]
+    near = v @ v.T >= 0.98
+    np.fill_diagonal(near, False)
+    assert near.sum() > 900
+    for part in (projection_passes.PART, 12):
+        monkeypatch.setattr(projection_passes, "PART", part)
+        got = {r["vec_id"]: r for r in projection_passes.near_vectors(df).collect()}
+        assert [got[i]["n_links"] for i in range(len(v))] == near.sum(axis=1).tolist()
+        assert [got[i]["component_id"] for i in range(len(v))] == groups(len(v), np.argwhere(near).tolist())
+    spread = projection_passes._whole_labels(df.selectExpr("cast(vec_id AS string) AS cls", "'1' AS label", "embedding AS vec"), 18, 9)
+    assert spread.where("whole").count() == 0

@@ -15,6 +15,8 @@ from riskloom.session import materialize
 
 # Expressions per aggregate: beyond this the generated code gets too long.
 CHUNK = 500
+# Most pairs of columns in one built-in aggregate.
+PAIRS = 100
 CORR_FILL = -999.0
 
 
@@ -82,10 +84,16 @@ def pairwise_corr(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Few pairs are one built-in aggregate; more go through :func:`corr_by_products`. Both give the same numbers.
     """
     pairs = list(combinations(columns, 2))
-    if len(pairs) > CHUNK:
+    if len(pairs) > PAIRS:
         return corr_by_products(df, columns)
     wide = df.select(*[as_number(df, c).alias(c) for c in columns])
-    cells = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), F.corr(a, b).alias("corr")) for a, b in pairs]
+
+    def corr(a: str, b: str):
+        # The built-in correlation divides by zero where a column is constant.
+        spread = [F.stddev_pop(F.when(F.col(y).isNotNull(), F.col(x))) for x, y in ((a, b), (b, a))]
+        return F.try_divide(F.covar_pop(a, b), spread[0] * spread[1])
+
+    cells = [F.struct(F.lit(a).alias("f1"), F.lit(b).alias("f2"), corr(a, b).alias("corr")) for a, b in pairs]
     return wide.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import to_score
-from riskloom.operators import binning, profile, psi, rankm, select, woe
+from riskloom.operators import binning, profile, psi, rankm, select, sketches, woe
 from riskloom.operators.hist import numeric_histogram, text_histogram
+from riskloom.operators.prefix import rank_histogram
 from riskloom.plans.bin_sql import fitted_bins_sql
 from riskloom.plans.catalog_tables import BIN_SQL, EDGES, WITH, WITH_SPLIT, woe_columns
 from riskloom.plans.fixtures import DOC_SQL, doc_quality, loan_wide, with_time_split
 from riskloom.plans.jobs import model_statistics
 from riskloom.plans.registry import N, R, auc_sql, query, rounded, score_sql, woe_sql
 from riskloom.roles import FILL_VALUE, Roles
-from riskloom.session import materialize
+from riskloom.session import materialize, scratch_path
 
 NUMBERS = ["f_price", "f_bal", "f_nation"]
 WOE_OUT = ["n", "bad", "good", "cum_bad", "cum_good", "n_share", "bad_share", "good_share", "bad_rate",
@@ -408,6 +409,26 @@ def numeric_describe(spark, sf):
     return rounded(out.withColumn("std", F.round("std", 5)))
 
 
+@query("monthly_sketches", f"""{WITH}, d AS (SELECT 'f_price' AS feature, f_price AS t FROM lw UNION ALL SELECT 'f_bal', f_bal FROM lw UNION ALL SELECT 'f_nation', f_nation FROM lw)
+SELECT feature, {N('count(t)', '"count"')}, {R('avg(t)', 'mean')}, {R('stddev_samp(t)', 'std', 5)}, {R('min(t)', 'min')}, {R('max(t)', 'max')},
+  CAST({len(profile.PERCENTILES)} AS BIGINT) AS near FROM d GROUP BY feature""")
+def monthly_sketches(spark, sf):
+    """Months are summarised on their own, stored, read back and merged; ``near`` counts the quantiles whose rank is off by less than 1 %."""
+    wide = loan_wide(spark, sf)
+    folder = scratch_path(spark, "sketches")
+    sketches.store_sketches(sketches.batch_sketches(wide, NUMBERS, "month"), folder)
+    merged = sketches.describe_sketches(sketches.merge_sketches(sketches.read_sketches(spark, folder)))
+    hist, rows = materialize(numeric_histogram(wide, NUMBERS, "target"), "sketched")
+    ranked = rank_histogram(hist, ["feature"], stored_rows=rows).rows
+    cuts = merged.select(F.col("feature").alias("f"), F.posexplode("quantiles").alias("place", "cut"))  # a few per feature
+    prob = F.get(F.array(*[F.lit(p) for p in profile.PERCENTILES]), F.col("place"))
+    met = ranked.join(F.broadcast(cuts), (F.col("feature") == F.col("f")) & (F.col("value") == F.col("cut")))
+    low, high = F.col("n_before") / F.col("n_total"), (F.col("n_before") + F.col("n")) / F.col("n_total")
+    near = met.where((low <= prob + 0.01) & (high >= prob - 0.01)).groupBy("feature").agg(F.count(F.lit(1)).alias("near"))
+    out = merged.select("feature", "count", "mean", F.round("std", 5).alias("std"), "min", "max").join(near, "feature", "left")
+    return rounded(out)
+
+
 FREQ_SQL = """
 fv AS (SELECT 'c_seg' AS feature, c_seg AS v FROM lw UNION ALL SELECT 'c_nat', c_nat FROM lw UNION ALL SELECT 'c_prio', c_prio FROM lw),
 fc AS (SELECT feature, v, count(*) AS n, sum(count(*)) OVER (PARTITION BY feature) AS size FROM fv GROUP BY feature, v),

@@ -10,10 +10,10 @@ from riskloom.operators.cut import cut_columns
 from riskloom.operators.split import stratified_split
 from riskloom.operators.woe import category_woe_table, encode_categories, woe_by_category
 from riskloom.plans import model
-from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, PRICE_CUTS, STRATIFIED_SQL, TREES, TREE_SQL, WITH
-from riskloom.plans.fixtures import loan_wide
-from riskloom.plans.jobs import TrainingPlan, apply_encodings, score_batch, train
-from riskloom.plans.registry import N, R, edges_sql, query, rounded, score_sql
+from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, PRICE_CUTS, STRATIFIED_SQL, TREES, TREE_SQL, WITH, WITH_SPLIT
+from riskloom.plans.fixtures import TEST_UNTIL, TRAIN_UNTIL, loan_wide
+from riskloom.plans.jobs import TrainingPlan, apply_encodings, score_batch, score_report, train
+from riskloom.plans.registry import N, R, auc_sql, edges_sql, query, rounded, score_sql
 from riskloom.roles import Roles
 from riskloom.session import materialize, scratch_path
 from riskloom.sources.params import categories_to_json
@@ -96,7 +96,10 @@ def fold_accuracy(spark, sf):
 
 @query("single_feature_models")
 def single_feature_models(spark, sf):
-    return rounded(model.single_feature_models(_parts(_sample(spark, sf))[0], FEATURES, "target", SMALL))
+    """Every numeric feature by its own counts."""
+    wide = loan_wide(spark, sf)
+    sample, _ = materialize(stratified_split(wide, "apply_no", "target"), "model-sample")
+    return rounded(model.single_feature_models(_parts(sample)[0], [*FEATURES, "f_sparse", "f_price2", "p"], "target", SMALL))
 
 
 @query("parameter_search")
@@ -133,6 +136,32 @@ def scoring_job(spark, sf):
     return rounded(score_batch(spark, wide, folder, ROLES, keys).select("apply_no", "target", "p", "score"))
 
 
+@query("training_branches", f"{WITH_SPLIT} SELECT type, CAST(count(*) AS BIGINT) AS n, CAST(sum(target) AS BIGINT) AS bad, true AS agrees FROM ls GROUP BY type")
+def training_branches(spark, sf):
+    """The other branches of a training run: split by time, ordinal codes, importance over folds; rows of each part, and whether scoring agrees."""
+    wide = loan_wide(spark, sf).select("apply_no", "apply_time", "target", "f_price", "f_bal", "c_seg", "c_prio")
+    plan = TrainingPlan(
+        "demo", "branches", time_limits=(TRAIN_UNTIL, TEST_UNTIL), encoding="label", importance_by="folds", folds=3, sweep=SMALL,
+        init_points=1, iterations=1, ranges=SMALL_RANGES,
+    )
+    folder = scratch_path(spark, "branches")
+    result = train(wide, Roles(), plan, folder)
+    both = score_batch(spark, wide, folder, Roles()).select("apply_no", F.col("p").alias("q")).join(result.scored, "apply_no")
+    agree = both.groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("target").cast("bigint")).alias("bad"), F.bool_and(F.col("p") == F.col("q")).alias("agrees"))
+    return agree.select("type", "n", "bad", "agrees")
+
+
+@query("batch_score_report", f"{WITH}, sc AS (SELECT *, {score_sql('p')} AS score FROM lw), {auc_sql('sc', chr(39) + 'all' + chr(39), 'score', 'm')}, "
+       f"d AS (SELECT {N('count(score)', 'count')}, {R('avg(score)', 'mean')}, {R('stddev_samp(score)', 'std', 5)}, {R('min(score)', 'min')}, {R('max(score)', 'max')}, "
+       f"{R('count(score) / CAST(count(*) AS DOUBLE)', 'coverage')} FROM sc) SELECT {R('auc', 'auc')}, {R('ks', 'ks')}, {N('n', 'n')}, {N('bad', 'bad')}, d.* FROM m, d")
+def batch_score_report(spark, sf):
+    """Report of a scored batch whose outcomes are known."""
+    scored = loan_wide(spark, sf).withColumn("score", to_score("p"))
+    report = score_report(scored, ROLES)
+    described = report["describe"].select("count", "mean", F.round("std", 5).alias("std"), "min", "max", "coverage")
+    return rounded(report["metrics"].select("auc", "ks", "n", "bad").crossJoin(described))  # one row each
+
+
 # Prices as numbers that agree in four digits, so that bins lie closer than their short labels tell.
 NEAR_FEATURE = "f_near"
 NEAR_SQL = f"""{WITH}, nw AS (SELECT *, 10 + f_price * 1e-9 AS x FROM lw WHERE f_price IS NOT NULL OR f_bal IS NOT NULL), {STRATIFIED_SQL.replace('FROM lw', 'FROM nw')},

@@ -10,16 +10,18 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import month_of, to_score
 from riskloom.operators.binning import Binning, BinRules, fit_bins
-from riskloom.operators.columns import Audit, drop_empty_rows, fill_numeric, held_out, with_split
-from riskloom.operators.profile import describe_scores, profile
+from riskloom.operators.columns import Audit, binary_target_rows, drop_empty_rows, fill_numeric, held_out, with_split
+from riskloom.operators.encode import MISSING_TEXT, UNKNOWN, fit_labels
+from riskloom.operators.profile import describe_scores, profile, target_by_group
 from riskloom.operators.psi import score_psi, score_psi_detail
 from riskloom.operators.rankm import metric_report, metrics_by_split, score_metrics
 from riskloom.operators.select import dense_columns, drop_correlated, pairwise_corr, top_features, triage
-from riskloom.operators.split import split_job, split_views, stratified_split
-from riskloom.operators.woe import category_woe_table, encode_bins, encode_dictionary
+from riskloom.operators.split import split_job, split_views, stratified_split, time_split
+from riskloom.operators.woe import MISSING, UNSEEN, category_woe_table, encode_bins, encode_dictionary, top_category_woe_table
 from riskloom.plans.model import (
     FittedTrees,
     TreeParams,
+    fold_importance,
     importance,
     load_trees,
     node_table,
@@ -102,6 +104,19 @@ class TrainingPlan:
     init_points: int = 5
     iterations: int = 8
     ranges: Mapping[str, tuple[float, float]] | None = None
+    # Train before the first time, test before the second, oot after, in place of a random split.
+    time_limits: tuple[str, str] | None = None
+    # 'woe', 'top' (evidence of the most frequent categories, the rest together) or 'label' (ordinal codes).
+    encoding: str = "woe"
+    top_categories: int = 10
+    # 'sweep' over sampling rates or 'folds'.
+    importance_by: str = "sweep"
+    folds: int = 10
+
+    def __post_init__(self):
+        for name, known in (("encoding", ("woe", "top", "label")), ("importance_by", ("sweep", "folds"))):
+            if getattr(self, name) not in known:
+                raise ValueError(f"{name} must be one of {known}")
 
 
 @dataclass(frozen=True)
@@ -115,10 +130,35 @@ class TrainingResult:
     audit: list[tuple[int, str, int, int]]
 
 
-def prepare(df: DataFrame, dictionary: DataFrame | None, categories: Sequence[str], binning_edges: Mapping | None, bin_woe: Mapping | None, numeric: Sequence[str], fill: float) -> DataFrame:
+# Text that stands for a missing category, by encoding; evidence of all categories leaves it missing.
+GAP_TEXT = {"woe": None, "top": MISSING, "label": MISSING_TEXT}
+
+
+def fit_categories(train_rows: DataFrame, text: Sequence[str], target: str, plan: TrainingPlan) -> DataFrame | None:
+    """(feature, key, woe) of the chosen encoding; for labels the number is the code, -1 for unseen ones."""
+    if not text:
+        return None
+    if plan.encoding == "top":
+        table = top_category_woe_table(train_rows, text, target, plan.top_categories)
+    elif plan.encoding == "label":
+        codes = fit_labels(train_rows.na.fill(MISSING_TEXT, subset=list(text)), text)
+        unseen = train_rows.sparkSession.createDataFrame([(f, UNSEEN, float(UNKNOWN)) for f in text], "feature string, key string, woe double")
+        table = codes.select("feature", "key", F.col("code").cast("double").alias("woe")).unionByName(unseen)
+    else:
+        table = category_woe_table(train_rows, text, target)
+    return materialize(table, "categories")[0]
+
+
+def prepare(
+    df: DataFrame, dictionary: DataFrame | None, categories: Sequence[str], binning_edges: Mapping | None, bin_woe: Mapping | None,
+    numeric: Sequence[str], fill: float, encoding: str = "woe",
+) -> DataFrame:
     """The row-wise part shared by training and scoring: fill, encode categories, encode bins."""
     out = fill_numeric(df, numeric, fill)
-    out = encode_dictionary(out, dictionary, categories) if dictionary is not None else out
+    if dictionary is not None:
+        gap = GAP_TEXT[encoding]
+        out = out if gap is None else out.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(gap)) for c in categories})
+        out = encode_dictionary(out, dictionary, categories)
     return encode_bins(out, binning_edges, bin_woe) if binning_edges else out
 
 
@@ -131,7 +171,10 @@ def train(raw: DataFrame, roles: Roles, plan: TrainingPlan, folder: str | None =
     table = audit.watch(drop_empty_rows(table, features), "without empty rows")
     table, _ = materialize(table, "wide")  # read, joins and filters happen once, then columnar scans
     reports["profile"] = profile(table, [*features, roles.target])
-    if roles.split not in table.columns:
+    if roles.split not in table.columns and plan.time_limits:
+        table = time_split(binary_target_rows(table, roles.target), roles.time, *plan.time_limits, roles.split)
+        reports["split_rates"] = target_by_group(table, roles.split, roles.target)
+    elif roles.split not in table.columns:
         table, split_reports = label_rows(table, roles, plan.test_size)
         reports.update(split_reports)
     train_rows = table.where(F.col(roles.split) == "train")
@@ -140,24 +183,29 @@ def train(raw: DataFrame, roles: Roles, plan: TrainingPlan, folder: str | None =
     features = dense_columns(train_rows, features, plan.missing_limit)
     numeric, text, dates = triage(train_rows, features)
     features = [c for c in features if c not in dates]
-    woe = materialize(category_woe_table(train_rows, text, roles.target), "categories")[0] if text else None
+    woe = fit_categories(train_rows, text, roles.target, plan)
     categories = list(text)
     binning = None
     if plan.bin_method:
         filled = fill_numeric(train_rows, numeric, plan.fill)
         binning = fit_bins(filled, numeric, roles.target, plan.bin_method, plan.bin_rules)
-    ready = prepare(table, woe, categories, binning.edges if binning else None, binning.woe() if binning else None, numeric, plan.fill)
+    ready = prepare(table, woe, categories, binning.edges if binning else None, binning.woe() if binning else None, numeric, plan.fill, plan.encoding)
     ready, _ = materialize(ready.select(roles.key, roles.time, roles.target, roles.split, *features), "ready")
     views = split_views(ready, roles.split)
     train_rows, test_rows = views["train"], views["test"]
 
-    first, reports["sweep_metrics"] = sweep_importance(train_rows, test_rows, features, roles.target, plan.sweep_rates, plan.sweep)
+    def rank(names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        if plan.importance_by == "folds":
+            return fold_importance(train_rows, roles.key, names, roles.target, plan.folds, plan.sweep)
+        return sweep_importance(train_rows, test_rows, names, roles.target, plan.sweep_rates, plan.sweep)
+
+    first, reports[f"{plan.importance_by}_metrics"] = rank(features)
     first, _ = materialize(first, "importance")
     reports["all_importance"] = first
     weights = {r["feature"]: r["mean_imp"] for r in first.collect()}  # one per feature
     _, dropped = drop_correlated(train_rows.select(*features), weights, plan.corr_limit)
     features = [f for f in features if f not in dropped]
-    second, _ = sweep_importance(train_rows, test_rows, features, roles.target, plan.sweep_rates, plan.sweep)
+    second, _ = rank(features)
     reports["model_importance"] = second
 
     def tune(names: Sequence[str]):
@@ -212,7 +260,7 @@ def save_training(spark: SparkSession, result: TrainingResult, woe: DataFrame |
     write_dump(spark, dump_lines(node_table(spark, result.fit), result.features), f"{folder}/trees.txt")
     if woe is not None:
         write_categories(woe, folder)
-    write_settings(spark, {"categories": woe is not None, "bins": bool(result.binning), "bin_format": BIN_FORMAT}, folder)
+    write_settings(spark, {"categories": woe is not None, "bins": bool(result.binning), "bin_format": BIN_FORMAT, "encoding": plan.encoding}, folder)
     if result.binning:
         write_bins(spark, result.binning, f"{folder}/bins")  # what scoring reads
         bins_to_json(spark, result.binning, folder)  # for other tools
@@ -254,7 +302,7 @@ def apply_encodings(spark: SparkSession, df: DataFrame, folder: str, use_bins: b
     elif use_bins:
         edges, bin_woe = bins_from_json(spark, folder)
     numeric = [c for c in df.columns if edges and c in edges]
-    return prepare(df, table, categories, edges, bin_woe, numeric, fill)
+    return prepare(df, table, categories, edges, bin_woe, numeric, fill, settings.get("encoding", "woe"))
 
 
 def score_report(scored: DataFrame, roles: Roles) -> dict[str, DataFrame]:

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from riskloom.functions.scoring import tuning_objective
-from riskloom.operators.rankm import require_two_classes, score_metrics
+from riskloom.operators.hist import numeric_histogram
+from riskloom.operators.prefix import rank_histogram
+from riskloom.operators.rankm import auc_ks, require_two_classes, score_metrics
 from riskloom.operators.select import mean_importance
 from riskloom.operators.split import stratified_folds
 from riskloom.roles import FILL_VALUE
@@ -51,8 +53,9 @@ class TreeParams:
     min_child_weight: int = 1
     seed: int = 1
 
-    def classifier(self, target: str) -> GBTClassifier:
-        return GBTClassifier(
+    def classifier(self, target: str, weight: str | None = None, total: float = 0.0) -> GBTClassifier:
+        """With ``weight``, a row stands for that many rows of ``total``, and so does the least child weight."""
+        trees = GBTClassifier(
             featuresCol="features__",
             labelCol=target,
             maxIter=int(self.n_estimators),
@@ -61,9 +64,13 @@ class TreeParams:
             subsamplingRate=self.subsample,
             featureSubsetStrategy="all" if self.colsample_bytree >= 1 else str(round(self.colsample_bytree, 6)),
             minInfoGain=self.gamma,
-            minInstancesPerNode=max(1, int(self.min_child_weight)),
+            minInstancesPerNode=1 if weight else max(1, int(self.min_child_weight)),
             seed=self.seed,
         )
+        if not weight:
+            return trees
+        share = min(self.min_child_weight / max(total, 1.0), 0.499) if self.min_child_weight > 1 else 0.0
+        return trees.setWeightCol(weight).setMinWeightFractionPerNode(share)
 
 
 @dataclass(frozen=True)
@@ -109,12 +116,14 @@ def training_frame(df: DataFrame, features: Sequence[str], target: str, fill: fl
 
 
 def fit_trees(
-    frame: DataFrame, features: Sequence[str], target: str, params: TreeParams | None = None, fill: float = FILL_VALUE
+    frame: DataFrame, features: Sequence[str], target: str, params: TreeParams | None = None, fill: float = FILL_VALUE,
+    weight: str | None = None, total: float = 0.0,
 ) -> FittedTrees:
-    """Fit on a frame of :func:`training_frame`."""
+    """Fit on a frame of :func:`training_frame`, or on one whose rows stand for ``weight`` rows of ``total``."""
     params = params or TreeParams()
     assembler = VectorAssembler(inputCols=[f"{f}__in" for f in features], outputCol="features__")
-    return FittedTrees(Pipeline(stages=[assembler, params.classifier(target)]).fit(frame), tuple(features), params, fill)
+    stages = [assembler, params.classifier(target, weight, total)]
+    return FittedTrees(Pipeline(stages=stages).fit(frame), tuple(features), params, fill)
 
 
 def _score_frame(fit: FittedTrees, frame: DataFrame, target: str) -> tuple[float, float]:
@@ -230,20 +239,39 @@ def fold_importance(
 
 
 def single_feature_models(
-    train: DataFrame, features: Sequence[str], target: str, base: TreeParams | None = None, least_auc: float = LEAST_AUC
+    train: DataFrame, features: Sequence[str], target: str, base: TreeParams | None = None, least_auc: float = LEAST_AUC,
+    fill: float = FILL_VALUE,
 ) -> DataFrame:
-    """(feature, auc, ks) on train of one model per feature, those above ``least_auc``."""
-    frame = training_frame(train, features, target)
-    frame.count()
+    """(feature, auc, ks) on train of one model per feature, those above ``least_auc``.
 
-    def run(feature: str):
-        return (feature, *_score_frame(fit_trees(frame, [feature], target, base), frame, target))
+    One scan counts all features by value, and each fit and its metrics work on the counts of its own feature: a value with
+    its good and bad rows as weights. The trees are those of the rows (row sampling, if asked for, draws values).
+    """
+    spark = train.sparkSession
+    path = scratch_path(spark, "feature-counts")
+    numbers = {f: i for i, f in enumerate(features)}
+    places = spark.createDataFrame(list(numbers.items()), "feature string, place int")
+    numeric_histogram(train, features, target, fill).join(F.broadcast(places), "feature").select("place", "value", "n", "bad").repartition(
+        "place"
+    ).write.partitionBy("place").parquet(path)
+    stored = spark.read.schema("value double, n bigint, bad bigint, place int").parquet(path)
 
-    try:
-        rows = _side_by_side(run, list(features))
-    finally:
-        frame.unpersist()
-    out = train.sparkSession.createDataFrame(rows, "feature string, auc double, ks double")
+    def run(feature: str):
+        counts = stored.where(F.col("place") == numbers[feature]).select(F.col("value").alias(f"{feature}__in"), "n", "bad")
+        sides = F.array(F.struct(F.lit(1).alias(target), F.col("bad").alias("weight__")), F.struct(F.lit(0).alias(target), (F.col("n") - F.col("bad")).alias("weight__")))
+        frame = counts.select(f"{feature}__in", F.inline(sides)).where("weight__ > 0").withColumn("weight__", F.col("weight__").cast("double"))
+        frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            total = frame.agg(F.sum("weight__")).first()[0] or 0.0
+            fit = fit_trees(frame, [feature], target, base, fill, "weight__", total)
+        finally:
+            frame.unpersist()
+        scored = fit.model.transform(counts).select(vector_to_array("probability")[1].alias("value"), "n", "bad")
+        scores = scored.groupBy(F.lit("all").alias("everything"), "value").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        return (feature, *require_two_classes(auc_ks(rank_histogram(scores, ["everything"]))))
+
+    rows = _side_by_side(run, list(features))
+    out = spark.createDataFrame(rows, "feature string, auc double, ks double")
     return out.where(F.col("auc") > least_auc)
 
 

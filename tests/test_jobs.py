@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from riskloom.operators.split import stratified_split
 from riskloom.plans import model
 from riskloom.plans.fixtures import loan_wide
-from riskloom.plans.jobs import TrainingPlan, label_rows, model_statistics, score_batch, score_report, train
+from riskloom.plans.jobs import TrainingPlan, apply_encodings, label_rows, model_statistics, score_batch, score_report, train
 from riskloom.roles import Roles
 from riskloom.session import scratch_path
 from riskloom.streaming.scoring import read_arrivals, write_scored
@@ -42,6 +42,34 @@ def test_single_feature_models_find_the_signal(parts):
     assert all(auc > 0.51 for auc, _ in got.values())
 
 
+def test_single_feature_models_read_the_table_once_and_grow_the_trees_of_the_rows(spark, parts):
+    rows = parts[0].select("target", "f_nation", (F.col("f_price") / 40000).cast("int").alias("f_step")).toPandas()
+    rows = [tuple(None if x != x else int(x) for x in r) for r in rows.to_numpy()]
+    df = spark.createDataFrame(rows, "target int, f_nation int, f_step int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    params = model.TreeParams(n_estimators=6, max_depth=3, min_child_weight=20)
+    plain = model.TreeParams(n_estimators=6, max_depth=3)
+    watched = df.mapInPandas(counted, df.schema)
+    got = {r["feature"]: (r["auc"], r["ks"]) for r in model.single_feature_models(watched, ["f_nation", "f_step"], "target", plain, 0.0).collect()}
+    assert seen.value == len(rows)
+    for feature in ("f_nation", "f_step"):
+        for setting in (plain, params):
+            frame = model.training_frame(df, [feature], "target")
+            want = model._score_frame(model.fit_trees(frame, [feature], "target", setting), frame, "target")
+            frame.unpersist()
+            if setting is plain:
+                assert got[feature] == pytest.approx(want)
+            else:
+                own = model.single_feature_models(df, [feature], "target", setting, 0.0).first()
+                assert (own["auc"], own["ks"]) == pytest.approx(want, abs=1e-6)
+
+
 def test_importances(spark, parts):
     imp, metrics = model.sweep_importance(*parts, FEATURES, "target", (0.4, 1.0), SMALL)
     weights = {r["feature"]: r["mean_imp"] for r in imp.collect()}
@@ -150,6 +178,67 @@ def test_large_dictionaries_and_null_targets(spark):
     assert stratified_split(df, "id", "t", 0.3).where("type = 'test' AND t IS NULL").count() == 3
 
 
+@pytest.mark.parametrize("encoding,by", [("label", "folds"), ("top", "sweep")])
+def test_branches_of_a_training_run(spark, wide, encoding, by):
+    """Time split, other encodings and importance over folds; scoring repeats them from the folder, unseen and missing categories included."""
+    folder = scratch_path(spark, "branches")
+    plan = TrainingPlan(
+        "demo", "demo", drop=("p", "month", "f_price2"), sweep=SMALL, sweep_rates=(1.0,), init_points=1, iterations=0, ranges=RANGES, top=None,
+        time_limits=("1997-01-01", "1999-01-01"), encoding=encoding, top_categories=3, importance_by=by, folds=2,
+    )
+    result = train(wide, ROLES, plan, folder)
+    parts = {r["type"]: r["count"] for r in result.scored.groupBy("type").count().collect()}
+    times = wide.selectExpr("CASE WHEN apply_time < '1997-01-01' THEN 'train' WHEN apply_time < '1999-01-01' THEN 'test' ELSE 'oot' END AS t")
+    assert parts == {r["t"]: r["count"] for r in times.groupBy("t").count().collect()}
+    assert f"{by}_metrics" in result.reports and result.reports["split_rates"].count() == 3
+    again = score_batch(spark, wide.drop("p"), folder, ROLES).select("apply_no", F.col("p").alias("q")).join(result.scored.select("apply_no", "p"), "apply_no")
+    assert again.count() == wide.count() and again.where("p <> q").count() == 0
+    odd = wide.limit(3).withColumn("c_seg", F.lit("never seen"))
+    coded = apply_encodings(spark, odd, folder, None, plan.fill)
+    if encoding == "label":
+        assert {r["c_seg"] for r in coded.select("c_seg").collect()} == {-1.0}
+        codes = {r["c_prio"] for r in apply_encodings(spark, wide, folder, None, plan.fill).select("c_prio").distinct().collect()}
+        assert codes == {0.0, 1.0, 2.0, 3.0, 4.0}
+    else:
+        table = {r["key"]: r["woe"] for r in spark.read.parquet(f"{folder}/categories").where("feature = 'c_seg'").collect()}
+        assert len(table) == 4 and {r["c_seg"] for r in coded.select("c_seg").collect()} == {table["other"]}
+
+
+def test_unknown_branches_are_refused():
+    with pytest.raises(ValueError, match="encoding"):
+        TrainingPlan("a", "b", encoding="hash")
+    with pytest.raises(ValueError, match="importance_by"):
+        TrainingPlan("a", "b", importance_by="luck")
+
+
+def test_sketches_of_batches(spark, wide):
+    """Merged months equal the whole table, a month that comes again replaces itself, quantiles are near."""
+    import numpy as np
+
+    from riskloom.operators import sketches
+
+    folder = scratch_path(spark, "sketches")
+    columns = ["f_price", "f_bal", "f_sparse"]
+    rows = wide.withColumn("f_bal", F.col("f_bal") + 1e9)
+    made = sketches.batch_sketches(rows, columns, "month", 400)
+    months = sorted(r["batch"] for r in made.select("batch").distinct().collect())
+    for part in (months[:40], months[40:], months[39:41]):
+        sketches.store_sketches(made.where(F.col("batch").isin(part)), folder)
+    stored = sketches.read_sketches(spark, folder)
+    assert stored.count() == 3 * len(months)
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    for r in sketches.describe_sketches(sketches.merge_sketches(stored), probs).collect():
+        x = np.sort(np.array([v[0] for v in rows.select(r["feature"]).where(f"{r['feature']} IS NOT NULL").collect()]))
+        assert (r["count"], r["min"], r["max"]) == (len(x), x[0], x[-1])
+        assert r["mean"] == pytest.approx(x.mean()) and r["std"] == pytest.approx(x.std(ddof=1))
+        for p, q in zip(probs, r["quantiles"]):
+            assert abs((x <= q).mean() - p) < 0.05
+    yearly = sketches.merge_sketches(stored.withColumn("year", F.substring("batch", 1, 4)), ["year"])
+    assert yearly.agg(F.sum("n")).first()[0] == stored.agg(F.sum("n")).first()[0] and yearly.count() == 3 * len({m[:4] for m in months})
+    empty = sketches.describe_sketches(sketches.merge_sketches(sketches.batch_sketches(rows.where("false"), columns, "month"))).collect()
+    assert empty == []
+
+
 def test_second_stream_run_goes_on(spark, tmp_path):
     from riskloom.streaming.scoring import read_arrivals, write_scored
 

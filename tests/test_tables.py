@@ -265,14 +265,21 @@ def test_pairwise_correlation(wide, how):
 def test_filled_correlation(wide, monkeypatch):
     pdf, df = wide
     want = pdf.fillna(-999).corr().abs()
-    for pairs in (select.CHUNK, 3):  # built-in aggregates, tiles
-        monkeypatch.setattr(select, "CHUNK", pairs)
+    for pairs in (select.PAIRS, 3):  # built-in aggregates, tiles
+        monkeypatch.setattr(select, "PAIRS", pairs)
         got = select.filled_corr_table(df, list("abcdef")).collect()
         assert len(got) == 15
         for r in got:
             assert r["abs_corr"] == pytest.approx(want.loc[r["f1"], r["f2"]], abs=1e-9)
 
 
+@pytest.mark.parametrize("how", [select.pairwise_corr, select.corr_by_products])
+def test_constant_columns_have_no_correlation(spark, how):
+    df = spark.createDataFrame([(float(i), 0.3, None if i else 1.0, float(-i)) for i in range(50)], "a double, b double, c double, d double")
+    got = {(r["f1"], r["f2"]): r["corr"] for r in how(df, list("abcd")).collect()}
+    assert got.pop(("a", "d")) == pytest.approx(-1.0) and set(got.values()) == {None} and len(got) == 5
+
+
 @pytest.mark.parametrize("tile,fan", [(128, 16), (2, 2), (4, 3)])
 def test_tiles_and_levels_of_the_tree(spark, monkeypatch, tile, fan):
     """Gaps, large means, constants and a column without values, over many parts and in several passes."""

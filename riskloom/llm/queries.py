@@ -42,6 +42,26 @@ def op5_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", perspectives.mask_text("mask"))
 
 
+PERSPECTIVES_SQL = r"""
+WITH broken AS (
+  SELECT conv_id, coalesce(turn, 4611686018427387904) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+turns AS (
+  SELECT conv_id, role, regexp_replace(text, '<\|(im_start|im_end)\|>', '<\\|\1\\|>', 'g') AS text,
+    translate(regexp_replace(role, '<\|(im_start|im_end)\|>', '<\\|\1\\|>', 'g'), chr(13) || chr(10), '  ') AS name,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, substring(text, 1, 64), md5(text)) - 1 AS place FROM broken),
+speakers AS (SELECT DISTINCT conv_id, role AS participant FROM turns WHERE role <> 'system'),
+segments AS (
+  SELECT t.conv_id, participant, place, place // 64 AS part, t.role = participant AS own, text || '<|im_end|>' AS body,
+    '<|im_start|>' || CASE WHEN t.role = participant THEN 'assistant' WHEN t.role = 'system' THEN 'system' ELSE 'user name=' || name END || chr(10) AS head
+  FROM turns t JOIN speakers s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+placed AS (
+  SELECT *, head || body || chr(10) AS segment, sum(length(head) + length(body) + 1) OVER (
+    PARTITION BY conv_id, participant, part ORDER BY place) - length(body) - 1 AS start FROM segments)
+SELECT conv_id, participant, CAST(part AS BIGINT) AS part, count(*) AS n_turns, string_agg(segment, '' ORDER BY place) AS text,
+  coalesce(string_agg(start || ':' || (start + length(body)), ',' ORDER BY place) FILTER (WHERE own), '') AS mask
+FROM placed GROUP BY conv_id, participant, part"""
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_checksums(packing.pack(table(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -108,4 +128,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op12_hard_negatives, op13_residual_packing,
     )
 }
-ORACLES: dict[str, str] = {"op12_hard_negatives": HARD_NEGATIVES_SQL}
+ORACLES: dict[str, str] = {"op5_perspectives": PERSPECTIVES_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}

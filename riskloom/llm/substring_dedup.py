@@ -38,6 +38,7 @@ MIN_SENTENCES = 2
 MIN_WORDS = 24
 LONG = 16
 NEAR = 7
+SLICE = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -72,12 +73,10 @@ class Cut:
     hashes: tuple[np.ndarray, np.ndarray]
 
 
-def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """128 bits and the order among neighbours of every lower-cased word, each distinct word hashed once."""
-    sizes = end - begin
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    flat = data[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
-    words = pa.StringArray.from_buffers(len(begin), pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat))
+def _word_hashes(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """128 bits and the order among neighbours of every lower-cased word, each distinct word hashed once. ``flat``: their bytes in a row."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    words = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(flat))
     coded = words.dictionary_encode()
     plain = [w.lower().encode() for w in coded.dictionary.to_pylist()]
     long = [xxhash.xxh3_128_intdigest(w) for w in plain]
@@ -123,10 +122,11 @@ def cut(texts: pa.Array) -> Cut:
     owner = np.searchsorted(bounds, begin, side="right") - 1
     words = np.searchsorted(begin, bounds)  # first word of each text
     n = len(begin)
-    high, low, own = _word_hashes(data, begin, end) if n else (np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64))
-    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    high, low, own = _word_hashes(data[word], end - begin) if n else (np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64))
+    lines = np.flatnonzero(data == 10)
     gap_end = np.append(begin[1:], len(data))[:n]
-    stops = np.isin(data[end - 1], np.frombuffer(b".!?", np.uint8)) & (gap_end > end) | (lines[gap_end] > lines[end])
+    stops = np.isin(data[end - 1], np.frombuffer(b".!?", np.uint8)) & (gap_end > end)
+    stops |= np.searchsorted(lines, gap_end) > np.searchsorted(lines, end)
     stops[np.append(owner[1:] != owner[:-1], True)[:n]] = True  # the text ends
     closing = np.flatnonzero(stops)
     length = np.diff(np.concatenate([[-1], closing]))
@@ -165,7 +165,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 def _runs(batches: Iterator[pa.RecordBatch], count_only: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows in slices(batch, "text", 4 << 20):
+        for rows in slices(batch, "text", SLICE):
             found = cut(rows.column("text"))
             last = run_ends(found.words, found.texts)
             first = np.flatnonzero(last >= 0)
@@ -190,7 +190,7 @@ SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 def _removed(batches: Iterator[pa.RecordBatch], names: list[str], at: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows in slices(batch, "text", 4 << 20):
+        for rows in slices(batch, "text", SLICE):
             places = rows.column(at)
             touched = np.flatnonzero(pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False))
             texts, counts, spans = rows.column("text"), np.zeros(rows.num_rows, np.int64), [[] for _ in range(rows.num_rows)]
@@ -215,7 +215,7 @@ def _without(texts: pa.Array, places: pa.ListArray) -> Iterator[tuple[str, int,
     gone = np.cumsum(gone)[:-1] > 0
     ends = np.append(found.starts[1:], len(found.data))
     ends[found.texts[1:][np.diff(found.texts) > 0] - 1] = found.bounds[1:][np.diff(found.texts) > 0]
-    letters = np.concatenate([[0], np.cumsum((found.data & 0xC0) != 0x80)])
+    letters = np.concatenate([[0], np.cumsum((found.data & 0xC0) != 0x80, dtype=np.int32)])
     raw = found.data.tobytes()
     for i in range(len(texts)):
         own = np.arange(found.texts[i], found.texts[i + 1])

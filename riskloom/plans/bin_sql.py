@@ -82,6 +82,16 @@ tp AS (SELECT feature, step, cut FROM tr WHERE gain IS NOT NULL QUALIFY row_numb
 cd AS (SELECT feature, k, list_sort(list(cut)) AS e FROM tp, range(2, {TOP + 1}) r(k) WHERE step < k GROUP BY feature, k)"""
 
 
+# (feature, key, coarse, n, bad): points of chi-merge, equal-width ones where a feature has 100 or more distinct values.
+CHI_POINT_SQL = """
+cs AS (SELECT feature, min(v) AS low, (max(v) - min(v)) / 100 AS size, count(DISTINCT v) >= 100 AS coarse FROM u GROUP BY feature),
+cq AS (SELECT feature, low + i * size AS point FROM cs, range(1, 101) r(i)),
+cx AS (SELECT DISTINCT feature, v FROM u),
+ck AS (SELECT cx.feature, cx.v, coalesce(min(point), CAST('inf' AS DOUBLE)) AS point FROM cx LEFT JOIN cq ON cx.feature = cq.feature AND point > cx.v GROUP BY ALL),
+cp AS (SELECT u.feature, CASE WHEN coarse THEN point ELSE u.v END AS key, coarse, count(*) AS n, CAST(sum(target) AS BIGINT) AS bad
+  FROM u JOIN cs ON u.feature = cs.feature JOIN ck ON u.feature = ck.feature AND u.v = ck.v GROUP BY ALL)"""
+
+
 def chi_merge_sql() -> str:
     """The least different neighbours are merged one pair a step; cuts are noted for each wanted number of bins."""
     both = "(n[i] + n[i + 1])"
@@ -95,12 +105,7 @@ def chi_merge_sql() -> str:
         return f"list_concat(list_concat({c}[:{spot} - 2], [{c}[{spot} - 1] + {c}[{spot}]]), {c}[{spot} + 1:])"
 
     return f"""
-cs AS (SELECT feature, min(v) AS low, (max(v) - min(v)) / 100 AS size, count(DISTINCT v) >= 100 AS coarse FROM u GROUP BY feature),
-cq AS (SELECT feature, low + i * size AS point FROM cs, range(1, 101) r(i)),
-cx AS (SELECT DISTINCT feature, v FROM u),
-ck AS (SELECT cx.feature, cx.v, coalesce(min(point), CAST('inf' AS DOUBLE)) AS point FROM cx LEFT JOIN cq ON cx.feature = cq.feature AND point > cx.v GROUP BY ALL),
-cp AS (SELECT u.feature, CASE WHEN coarse THEN point ELSE u.v END AS key, coarse, count(*) AS n, CAST(sum(target) AS BIGINT) AS bad
-  FROM u JOIN cs ON u.feature = cs.feature JOIN ck ON u.feature = ck.feature AND u.v = ck.v GROUP BY ALL),
+{CHI_POINT_SQL.strip()},
 cl AS (SELECT feature, any_value(coarse) AS coarse, list(key ORDER BY key) AS key, list(n ORDER BY key) AS n, list(bad ORDER BY key) AS bad, CAST(sum(n) AS BIGINT) AS total FROM cp GROUP BY feature),
 cm(feature, coarse, total, wanted, key, n, bad, noted) AS (
   SELECT feature, coarse, total, {TOP}, key, n, bad, false FROM cl

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskloom.functions import scoring
 from riskloom.functions.scoring import to_score
 from riskloom.operators import binning, profile, psi, rankm, select, sketches, woe
 from riskloom.operators.hist import numeric_histogram, text_histogram
 from riskloom.operators.prefix import rank_histogram
-from riskloom.plans.bin_sql import fitted_bins_sql
+from riskloom.plans.bin_sql import CHI_POINT_SQL, fitted_bins_sql
 from riskloom.plans.catalog_tables import BIN_SQL, EDGES, WITH, WITH_SPLIT, woe_columns
 from riskloom.plans.fixtures import DOC_SQL, doc_quality, loan_wide, with_time_split
 from riskloom.plans.jobs import model_statistics
@@ -229,29 +230,36 @@ def bins_special_chi_merge(spark, sf):
     return _fitted(_special(spark, sf), "chi", ["f_price", "f_bal"])
 
 
-POINT_SQL = """
-v AS (SELECT f_bal AS x, target FROM lw WHERE f_bal IS NOT NULL),
-st AS (SELECT min(x) AS low, (max(x) - min(x)) / 100 AS size FROM v),
-pt AS (SELECT i, low + i * size AS point FROM st, range(1, 101) r(i)),
-k AS (SELECT coalesce((SELECT min(point) FROM pt WHERE point > x), CAST('inf' AS DOUBLE)) AS key, x, target FROM v),
-cp AS (SELECT key, count(*) AS n, sum(target) AS bad FROM k GROUP BY key)"""
+USABLE_SQL = f"WITH {PLAIN_SQL}, u AS (SELECT feature, v, target FROM l WHERE v IS NOT NULL), {CHI_POINT_SQL.strip()}"
 
 
-@query("equal_width_points", f"{WITH}, {POINT_SQL} SELECT 'f_bal' AS feature, round(key, 6) AS key, {N('n', 'n')}, {N('bad', 'bad')} FROM cp")
+def _usable(spark, sf):
+    return numeric_histogram(loan_wide(spark, sf), NUMBERS, "target").where(F.col("value").isNotNull())
+
+
+@query("equal_width_points", f"{USABLE_SQL} SELECT feature, round(key, 6) AS key, {N('n', 'n')}, {N('bad', 'bad')} FROM cp")
 def equal_width_points(spark, sf):
-    usable = numeric_histogram(loan_wide(spark, sf), ["f_bal"], "target").where(F.col("value").isNotNull())
-    return binning.chi_points(usable).select("feature", F.round("key", 6).alias("key"), "n", "bad")
+    return binning.chi_points(_usable(spark, sf)).select("feature", F.round("key", 6).alias("key"), "n", "bad")
 
 
-@query("adjacent_chi_square", f"""{WITH}, k AS (SELECT f_nation AS key, count(*) AS n, sum(target) AS bad FROM lw GROUP BY 1),
-a AS (SELECT key, n, bad, lead(key) OVER w AS k2, lead(n) OVER w AS n2, lead(bad) OVER w AS b2 FROM k WINDOW w AS (ORDER BY key)),
+@query("adjacent_chi_square", f"""{USABLE_SQL},
+a AS (SELECT feature, key, n, bad, lead(key) OVER w AS k2, lead(n) OVER w AS n2, lead(bad) OVER w AS b2 FROM cp WINDOW w AS (PARTITION BY feature ORDER BY key)),
 r AS (SELECT *, CAST(bad + b2 AS DOUBLE) / (n + n2) AS r FROM a WHERE k2 IS NOT NULL)
-SELECT 'f_nation' AS feature, CAST(key AS DOUBLE) AS key, {R('''CASE WHEN r IN (0, 1) THEN 0 ELSE
+SELECT feature, round(key, 6) AS key, {R("""CASE WHEN r IN (0, 1) THEN 0 ELSE
   (bad - n * r) ** 2 / (n * r) + (b2 - n2 * r) ** 2 / (n2 * r) + ((n - bad) - n * (1 - r)) ** 2 / (n * (1 - r)) +
-  ((n2 - b2) - n2 * (1 - r)) ** 2 / (n2 * (1 - r)) END''', 'chi')} FROM r""")
+  ((n2 - b2) - n2 * (1 - r)) ** 2 / (n2 * (1 - r)) END""", 'chi')} FROM r""")
 def adjacent_chi_square(spark, sf):
-    usable = numeric_histogram(loan_wide(spark, sf), ["f_nation"], "target")
-    return rounded(binning.adjacent_chi(binning.chi_points(usable)).select("feature", "key", "chi"))
+    return rounded(binning.adjacent_chi(binning.chi_points(_usable(spark, sf))).select("feature", "key", "chi"))
+
+
+@query("tuning_objective", f"{WITH_SPLIT}, {auc_sql('ls', 'type', 'p', 'm')}, t AS (SELECT max(auc) FILTER (WHERE g = 'train') AS a, max(auc) FILTER (WHERE g = 'test') AS b FROM m) "
+       f"SELECT {R('a', 'train_auc')}, {R('b', 'test_auc')}, {R('100 * b - 2 ** abs(100 * b - 100 * a)', 'objective')} FROM t")
+def tuning_objective(spark, sf):
+    """What the parameter search maximises, of a given score by the two parts."""
+    found = rankm.metrics_by_split(with_time_split(loan_wide(spark, sf)), "p", "target", "type")
+    auc = {r["type"]: r["auc"] for r in found.collect()}  # four rows
+    row = (auc["train"], auc["test"], scoring.tuning_objective(auc["train"], auc["test"]))
+    return rounded(spark.createDataFrame([row], "train_auc double, test_auc double, objective double"))
 
 
 # --- AUC and KS -------------------------------------------------------------------------------
@@ -539,14 +547,13 @@ def forward_selection(spark, sf):
     return select.forward_kept(loan_wide(spark, sf), CORR_COLUMNS)
 
 
-# Runs are order priorities, features are nations, weights are counts of large orders.
-IMPORTANCE_SQL = """ru AS (SELECT c_prio AS run, c_nat AS feature, count(*) AS weight FROM lw WHERE f_price > 450000 GROUP BY 1, 2),
+# Runs are order priorities, features are nations, weights are counts of orders.
+IMPORTANCE_SQL = """ru AS (SELECT c_prio AS run, c_nat AS feature, count(*) AS weight FROM lw GROUP BY 1, 2),
 mi AS (SELECT feature, avg(weight) AS mean_imp FROM ru GROUP BY feature)"""
 
 
 def _runs(spark, sf):
-    large = loan_wide(spark, sf).where(F.col("f_price") > 450000)
-    return large.groupBy(F.col("c_prio").alias("run"), F.col("c_nat").alias("feature")).agg(F.count(F.lit(1)).alias("weight"))
+    return loan_wide(spark, sf).groupBy(F.col("c_prio").alias("run"), F.col("c_nat").alias("feature")).agg(F.count(F.lit(1)).alias("weight"))
 
 
 @query("mean_importance", f"{WITH}, {IMPORTANCE_SQL} SELECT feature, {R('mean_imp', 'mean_imp')}, "

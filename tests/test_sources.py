@@ -29,7 +29,7 @@ def test_workspace_comes_from_the_session(spark):
 
 
 def test_csv_round_trip_with_schema(spark, folder):
-    df = spark.createDataFrame([("key1", 17.0, "2019-08-15"), ("key2", None, "2019-08-16")], "apply_no string, x double, t string")
+    df = spark.createDataFrame([("key1", 17.0, "2023-03-05"), ("key2", None, "2023-03-06")], "apply_no string, x double, t string")
     tables.write_report(df, f"{folder}/wide", "csv")
     back = tables.read_table(spark, f"{folder}/wide", df.schema, "csv")
     assert back.orderBy("apply_no").collect() == df.collect()
@@ -50,6 +50,26 @@ def test_keys_scores_and_samples(spark, folder):
     assert sample.columns == ["p", "apply_no"] and [r["apply_no"] for r in sample.collect()] == ["key0", "key1", "key2", "key3"]
 
 
+def test_scores_of_repeated_keys_and_null_batches(spark, folder):
+    """A run replaces the batches it holds, the one without a name among them; repeated keys stay as often as they come."""
+    rows = [("k1", 0.1, "b1"), ("k1", 0.1, "b1"), ("k2", 0.2, None), (None, 0.3, "b2")]
+    tables.write_scores(spark.createDataFrame(rows, "k string, p double, batch string"), "k", "p", "batch", folder)
+    again = [("k3", 0.4, None), ("k4", 0.5, "b2")]
+    tables.write_scores(spark.createDataFrame(again, "k string, p double, batch string"), "k", "p", "batch", folder)
+    got = sorted(tuple(r) for r in spark.read.parquet(folder).select("k", "p", "batch").collect() if r["batch"] is not None)
+    assert got == [("k1", 0.1, "b1"), ("k1", 0.1, "b1"), ("k4", 0.5, "b2")]
+    assert [tuple(r) for r in spark.read.parquet(folder).where("batch IS NULL").select("k", "p").collect()] == [("k3", 0.4)]
+
+
+def test_a_dump_is_replaced_as_a_whole(spark, folder):
+    for n in (5, 2):
+        lines = spark.createDataFrame([(f"booster[{t}]:", t, 0) for t in range(n)] + [(f"0:leaf={t}", t, 1) for t in range(n)], "line string, t int, i int")
+        treedump.write_dump(spark, [r["line"] for r in lines.orderBy("t", "i").collect()], f"{folder}/trees.txt")
+    trees = treedump.read_dump(spark, f"{folder}/trees.txt")
+    out = treedump.score_dump(spark.range(1), trees, "p").first()["p"]
+    assert out == pytest.approx(1 / (1 + math.exp(-1)))
+
+
 def test_category_json(spark, folder):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("b", 0), ("b", 1), ("b", 0), ("other", 0)], "c string, target int")
     table = category_woe_table(df, ["c"], "target")
@@ -209,5 +229,5 @@ def test_delivery(spark):
     df = spark.createDataFrame([("d1", "2019-11-15", 1, 0.5), ("d2", "2019-11-16", 0, 0.7)], "device_id string, apply_time string, target int, x double")
     sent = tables.delivery_sample(df, "device_id", "apply_time", "target", "secret", legacy=True)
     assert sent.columns == ["device_id", "apply_time", "merge"] and {len(r["merge"]) for r in sent.collect()} == {32}
-    features = tables.delivery_features(df, "target", "apply_time", "2019-08-15")
+    features = tables.delivery_features(df, "target", "apply_time", "2023-03-05")
     assert features.columns == ["device_id", "apply_time", "x"] and features.select("apply_time").distinct().count() == 1

@@ -6,18 +6,19 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import to_score
 from riskloom.operators.binning import BinRules
-from riskloom.operators.cut import cut_columns
+from riskloom.operators.cut import INF, cut_columns
 from riskloom.operators.split import stratified_split
 from riskloom.operators.woe import category_woe_table, encode_categories, woe_by_category
 from riskloom.plans import model
 from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, PRICE_CUTS, STRATIFIED_SQL, TREES, TREE_SQL, WITH, WITH_SPLIT
-from riskloom.plans.fixtures import TEST_UNTIL, TRAIN_UNTIL, loan_wide
+from riskloom.plans.fixtures import TEST_UNTIL, TRAIN_UNTIL, loan_wide, table
 from riskloom.plans.jobs import TrainingPlan, apply_encodings, score_batch, score_report, train
 from riskloom.plans.registry import N, R, auc_sql, edges_sql, query, rounded, score_sql
 from riskloom.roles import Roles
 from riskloom.session import materialize, scratch_path
 from riskloom.sources.params import categories_to_json
 from riskloom.sources.treedump import dump_lines, parse_dump, read_dump, score_dump, write_dump
+from riskloom.streaming import drift
 from riskloom.streaming.scoring import read_arrivals, write_scored
 
 FEATURES = ["f_price", "f_bal", "f_nation"]
@@ -220,3 +221,25 @@ def stream_tree_scores(spark, sf):
     scored = scored.select("apply_no", (F.round("q", 9) + F.lit(0.0)).alias("q"), to_score("q").alias("score"))
     write_scored(scored, out).awaitTermination()
     return spark.read.schema(scored.schema).parquet(out)
+
+
+VALUE_CUTS = [5.0, 10.0, 20.0, 40.0, 80.0]
+DRIFT_SQL = f"""WITH e AS (SELECT date_trunc('day', ts) AS started, CASE WHEN event_id % 9 <> 0 THEN value END AS value FROM events),
+b AS (SELECT started, {edges_sql('value', VALUE_CUTS)} AS bin, count(*) AS n FROM e GROUP BY 1, 2),
+w AS (SELECT started, bin, n, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY started) AS x FROM b),
+s AS (SELECT bin, CAST(sum(n) AS DOUBLE) / sum(sum(n)) OVER () AS y FROM b GROUP BY bin)
+SELECT CAST(started AS DATE) AS started, {N('sum(n)', 'n')}, {R('sum((x - y) * ln(x / y))', 'psi', 9)} FROM w JOIN s ON w.bin IS NOT DISTINCT FROM s.bin GROUP BY 1"""
+
+
+@query("stream_drift", DRIFT_SQL)
+def stream_drift(spark, sf):
+    """Daily stability of event values against all days, counted by a stateful stream over files that arrive one by one."""
+    source, folder = scratch_path(spark, "event-files"), scratch_path(spark, "drift")
+    events = table(spark, sf, "events").select("ts", F.when(F.col("event_id") % 9 != 0, F.col("value")).alias("value"))
+    events.repartition(4).write.parquet(source)
+    edges = [-INF, *VALUE_CUTS, INF]
+    stream = read_arrivals(spark, source, events.schema, files_per_batch=1)
+    drift.follow_counts(drift.window_counts(stream, "ts", "value", edges, "1 day", "400 days"), folder).awaitTermination()
+    counts, _ = materialize(drift.latest_counts(spark, folder), "window-counts")
+    base = counts.groupBy("bin").agg(F.sum("n").alias("n"))
+    return rounded(drift.window_psi(counts, base).withColumn("started", F.to_date("started")), 9)

@@ -247,3 +247,42 @@ def test_second_stream_run_goes_on(spark, tmp_path):
         spark.range(first, first + 10).write.mode("append").parquet(src)
         write_scored(read_arrivals(spark, src, spark.range(1).schema), out).awaitTermination()
     assert spark.read.parquet(out).count() == 20
+
+
+def test_drift_counts_late_rows_once_after_a_restart(spark, tmp_path):
+    """Rows within the watermark are counted whenever they come, later ones are not, and a repeated batch changes nothing."""
+    import datetime
+    import glob
+
+    from riskloom.operators.cut import INF
+    from riskloom.streaming import drift
+    from riskloom.streaming.scoring import read_arrivals
+
+    day = datetime.datetime(2024, 3, 1)
+    hours = lambda *hs: [(day + datetime.timedelta(hours=h), float(h % 7) if h % 5 else None) for h in hs]
+    source, folder, kind = str(tmp_path / "in"), str(tmp_path / "out"), "ts timestamp, value double"
+    edges = [-INF, 2.0, 4.0, INF]
+
+    def arrive(rows):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(source)
+        stream = read_arrivals(spark, source, spark.createDataFrame([], kind).schema, files_per_batch=1)
+        drift.follow_counts(drift.window_counts(stream, "ts", "value", edges, "6 hours", "24 hours"), folder).awaitTermination()
+
+    def counted():
+        return {(r["started"], r["bin"]): r["n"] for r in drift.latest_counts(spark, folder).collect()}
+
+    first, late, far, lost = hours(*range(0, 30)), hours(9, 10, 20, 21), hours(70, 71), hours(1, 2)
+    for rows in (first, late, far, lost):
+        arrive(rows)
+    kept = spark.createDataFrame(first + late + far, kind)
+    want = {(r["started"], r["bin"]): r["n"] for r in drift.window_counts(kept, "ts", "value", edges, "6 hours").collect()}
+    assert counted() == want
+    # A batch that is written again replaces its own folder.
+    again = sorted(glob.glob(f"{folder}/counts/batch=*"))[0]
+    table = spark.read.parquet(again)
+    table.write.parquet(str(tmp_path / "copy"))
+    spark.read.parquet(str(tmp_path / "copy")).write.mode("overwrite").parquet(again)
+    assert counted() == want
+    base = spark.createDataFrame([(0, 5), (1, 5), (2, 5), (None, 5)], "bin int, n long")
+    out = drift.window_psi(drift.latest_counts(spark, folder), base).collect()
+    assert len(out) == len({s for s, _ in want}) and all(r["psi"] >= 0 for r in out) and sum(r["n"] for r in out) == len(first + late + far)

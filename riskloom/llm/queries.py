@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    alignment, bitpack, bottomk, byte_bpe, kmeans_tree, nbsvm, packing, perspectives, projection_passes, residual_packing, secrets,
+    alignment, bitpack, bottomk, byte_bpe, exact_sql, kmeans_tree, nbsvm, packing, perspectives, projection_passes, residual_packing, secrets,
     segment_filter, substring_dedup,
 )
 from riskloom.llm.common import table
@@ -128,4 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op12_hard_negatives, op13_residual_packing,
     )
 }
-ORACLES: dict[str, str] = {"op5_perspectives": PERSPECTIVES_SQL, "op12_hard_negatives": HARD_NEGATIVES_SQL}
+ORACLES: dict[str, str] = {
+    "op5_perspectives": PERSPECTIVES_SQL, "op7_near_duplicates": exact_sql.NEAR_DUPLICATES, "op8_near_vectors": exact_sql.NEAR_VECTORS,
+    "op12_hard_negatives": HARD_NEGATIVES_SQL,
+}

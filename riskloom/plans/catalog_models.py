@@ -10,13 +10,14 @@ from riskloom.operators.cut import INF, cut_columns
 from riskloom.operators.split import stratified_split
 from riskloom.operators.woe import category_woe_table, encode_categories, woe_by_category
 from riskloom.plans import model
-from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, PRICE_CUTS, STRATIFIED_SQL, TREES, TREE_SQL, WITH, WITH_SPLIT
+from riskloom.plans.catalog_tables import BALANCE_CUTS, CATEGORY_SQL, EDGES, HASH_SQL, PRICE_CUTS, STRATIFIED_SQL, TREES, TREE_SQL, WITH, WITH_SPLIT
 from riskloom.plans.fixtures import TEST_UNTIL, TRAIN_UNTIL, loan_wide, table
 from riskloom.plans.jobs import TrainingPlan, apply_encodings, score_batch, score_report, train
 from riskloom.plans.registry import N, R, auc_sql, edges_sql, query, rounded, score_sql
 from riskloom.roles import Roles
 from riskloom.session import materialize, scratch_path
 from riskloom.sources.params import categories_to_json
+from riskloom.sources.tables import read_keys
 from riskloom.sources.treedump import dump_lines, parse_dump, read_dump, score_dump, write_dump
 from riskloom.streaming import drift
 from riskloom.streaming.scoring import read_arrivals, write_scored
@@ -109,6 +110,133 @@ def parameter_search(spark, sf):
     return rounded(model.trial_table(spark, trials))
 
 
+# One tree of one split on features of few values: what it must find can be said in SQL.
+STUMP = model.TreeParams(n_estimators=1, max_depth=1)
+STEPS = ["f_nation", "s_prio", "s_month"]
+STEP_SQL = f"""{WITH}, {STRATIFIED_SQL},
+sm AS (SELECT apply_no, target, type, f_nation, CAST(c_prio[1] AS INTEGER) AS s_prio, month(apply_time) AS s_month FROM st),
+sf AS (SELECT *, CASE WHEN type = 'train' THEN CAST(len(list_filter(range(1, 5), lambda i: i * n // 5 < place)) AS INTEGER) END AS fold
+  FROM (SELECT *, count(*) OVER (PARTITION BY type, target) AS n, row_number() OVER (PARTITION BY type, target ORDER BY {HASH_SQL}) AS place FROM sm)),
+sl AS (SELECT apply_no, target, type, fold, unnest({STEPS}) AS feature, unnest([f_nation, s_prio, s_month]) AS v FROM sf)"""
+
+
+def _stump_sql(rows: str) -> str:
+    """The best split of each run in ``rows`` (run, feature, v, target), and the mean of the outcomes as -1 and 1 on either side."""
+    return f"""sh AS (SELECT run, feature, v, count(*) AS n, sum(2 * target - 1) AS s FROM ({rows}) GROUP BY ALL),
+sc AS (SELECT run, feature, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY run, feature) AS nt, sum(s) OVER (PARTITION BY run, feature) AS st
+  FROM sh WINDOW w AS (PARTITION BY run, feature ORDER BY v)),
+sb AS (SELECT run, feature, v AS cut, CAST(sl AS DOUBLE) / nl AS below, CAST(st - sl AS DOUBLE) / (nt - nl) AS above FROM sc WHERE nl < nt
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY CAST(sl AS DOUBLE) * sl / nl + CAST(st - sl AS DOUBLE) * (st - sl) / (nt - nl) DESC) = 1)"""
+
+
+FOLD_SQL = "SELECT r AS run, feature, v, target FROM sl, range(5) x(r) WHERE type = 'train' AND fold <> r"
+
+
+def _steps(spark, sf):
+    wide = loan_wide(spark, sf)
+    steps = [F.substring("c_prio", 1, 1).cast("int").alias("s_prio"), F.month("apply_time").alias("s_month")]
+    return materialize(stratified_split(wide.select("apply_no", "target", "f_nation", *steps), "apply_no", "target"), "steps")[0]
+
+
+@query("stump_scores", f"{STEP_SQL}, {_stump_sql('SELECT 0 AS run, feature, v, target FROM sl WHERE type = ' + chr(39) + 'train' + chr(39))} "
+       f"SELECT apply_no, {R('1 / (1 + exp(-2 * CASE WHEN v <= cut THEN below ELSE above END))', 'p')} FROM sl JOIN sb USING (feature)")
+def stump_scores(spark, sf):
+    """Scores of a boosted fit that SQL can repeat."""
+    df = _steps(spark, sf)
+    frame = model.training_frame(_parts(df)[0], STEPS, "target")
+    try:
+        fit = model.fit_trees(frame, STEPS, "target", STUMP)
+    finally:
+        frame.unpersist()
+    return rounded(fit.predict(df).select("apply_no", "p"))
+
+
+@query("stump_fold_accuracy", f"{STEP_SQL}, {_stump_sql(FOLD_SQL)} SELECT CAST(fold AS INTEGER) AS fold, "
+       f"{R('avg(CASE WHEN (CASE WHEN v <= cut THEN below ELSE above END > 0) = (target = 1) THEN 1.0 ELSE 0 END)', 'accuracy')} "
+       "FROM sl JOIN sb ON sl.feature = sb.feature AND fold = run GROUP BY fold")
+def stump_fold_accuracy(spark, sf):
+    return rounded(model.fold_accuracy(_parts(_steps(spark, sf))[0], "apply_no", STEPS, "target", 5, STUMP))
+
+
+@query("stump_fold_importance", f"{STEP_SQL}, {_stump_sql(FOLD_SQL)} SELECT feature, 1.0::DOUBLE AS mean_imp FROM sb GROUP BY feature")
+def stump_fold_importance(spark, sf):
+    """Features that a split uses in any of five fits; each uses one, so the mean over the runs that use it is one."""
+    imp, _ = model.fold_importance(_parts(_steps(spark, sf))[0], "apply_no", STEPS, "target", 5, STUMP)
+    return rounded(imp)
+
+
+@query("single_feature_stumps", f"{STEP_SQL}, {_stump_sql('SELECT feature AS run, feature, v, target FROM sl WHERE type = ' + chr(39) + 'train' + chr(39))}, "
+       "sp AS (SELECT feature, target, CASE WHEN v <= cut THEN below ELSE above END AS p FROM sl JOIN sb USING (feature) WHERE type = 'train'), "
+       f"{auc_sql('sp', 'feature', 'p', 'm')} SELECT g AS feature, {R('auc', 'auc')}, {R('ks', 'ks')} FROM m WHERE auc > 0.5")
+def single_feature_stumps(spark, sf):
+    """One-feature models on weighted counts, with AUC and KS that SQL can repeat."""
+    return rounded(model.single_feature_models(_parts(_steps(spark, sf))[0], STEPS, "target", STUMP, 0.5))
+
+
+ALL_SQL = _stump_sql("SELECT 0 AS run, feature, v, target FROM sl WHERE type = 'train'")
+P_SQL = "sq AS (SELECT apply_no, target, type, 1 / (1 + exp(-2 * CASE WHEN v <= cut THEN below ELSE above END)) AS p FROM sl JOIN sb USING (feature))"
+BY_TYPE = auc_sql("sq", "type", "p", "m")
+# Ranges of one point: every trial is the same stump.
+STUMP_RANGES = {k: (v, v) for k, v in {"min_child_weight": 1, "max_depth": 1, "n_estimators": 1, "learning_rate": 0.1, "subsample": 1.0, "colsample_bytree": 1.0, "gamma": 0.0}.items()}
+
+
+def _auc_of(part: str, what: str) -> str:
+    return f"max({what}) FILTER (WHERE g = '{part}')"
+
+
+@query("stump_split_counts", f"""{STEP_SQL}, {ALL_SQL},
+t AS (SELECT avg(2 * target - 1) AS m, count(*) AS n FROM sl WHERE type = 'train' AND feature = 'f_nation'),
+c AS (SELECT feature, count(*) FILTER (WHERE v <= cut) AS nl, count(*) AS n, any_value(below) AS a, any_value(above) AS b FROM sl JOIN sb USING (feature) WHERE type = 'train' GROUP BY feature)
+SELECT feature, CAST(1 AS BIGINT) AS weight, {R('(1 - m * m) - (nl * (1 - a * a) + (c.n - nl) * (1 - b * b)) / c.n', 'gain')}, {R('c.n', 'cover')} FROM c, t""")
+def stump_split_counts(spark, sf):
+    frame = model.training_frame(_parts(_steps(spark, sf))[0], STEPS, "target")
+    try:
+        return rounded(model.importance(spark, model.fit_trees(frame, STEPS, "target", STUMP)))
+    finally:
+        frame.unpersist()
+
+
+@query("stump_sweep_metrics", f"{STEP_SQL}, {ALL_SQL}, {P_SQL}, {BY_TYPE} SELECT CAST(1.0 AS DOUBLE) AS rate, "
+       + ", ".join(R(_auc_of(t, x), f"{t}_{x}") for t in ("train", "test") for x in ("auc", "ks")) + " FROM m")
+def stump_sweep_metrics(spark, sf):
+    _, metrics = model.sweep_importance(*_parts(_steps(spark, sf)), STEPS, "target", (1.0,), STUMP)
+    return rounded(metrics)
+
+
+@query("stump_search", f"{STEP_SQL}, {ALL_SQL}, {P_SQL}, {BY_TYPE}, o AS (SELECT {_auc_of('train', 'auc')} AS a, {_auc_of('test', 'auc')} AS b FROM m) "
+       f"SELECT CAST(i AS INTEGER) AS trial, {R('a', 'train_auc')}, {R('b', 'test_auc')}, {R('100 * b - 2 ** abs(100 * b - 100 * a)', 'objective')} FROM o, range(5) r(i)")
+def stump_search(spark, sf):
+    """The search over ranges of one point: two independent trials and three around the best."""
+    _, trials = model.search_trees(*_parts(_steps(spark, sf)), STEPS, "target", 2, 3, STUMP_RANGES)
+    return rounded(model.trial_table(spark, trials).select("trial", "train_auc", "test_auc", "objective"))
+
+
+def _stump_plan(batch: str) -> TrainingPlan:
+    return TrainingPlan("demo", batch, sweep=STUMP, sweep_rates=(1.0,), init_points=1, iterations=0, ranges=STUMP_RANGES, top=None)
+
+
+def _stump_wide(spark, sf):
+    return _steps(spark, sf).drop("type").withColumn("apply_time", F.lit("2024-01-01"))
+
+
+@query("training_report", f"{STEP_SQL}, {ALL_SQL}, {P_SQL}, ss AS (SELECT type, target, {score_sql('p')} AS score FROM sq), {auc_sql('ss', 'type', 'score', 'm')} "
+       "SELECT 'demo' AS project_name, 'report' AS client_batch, 'p' AS feature, "
+       + ", ".join(R(_auc_of(t, x), f"{t}_{x}") for x in ("auc", "ks") for t in ("test", "train"))
+       + ", 3 AS feature_cnt, 1 AS n_estimators FROM m")
+def training_report(spark, sf):
+    """Metrics of a whole training run, from the wide table through split, sweeps, pruning and search."""
+    return rounded(train(_stump_wide(spark, sf), Roles(), _stump_plan("report")).reports["report"])
+
+
+@query("held_out_scores", f"{STEP_SQL}, {ALL_SQL}, {P_SQL} SELECT apply_no, {R('p', 'p')}, {score_sql('p')} AS score FROM sq WHERE type = 'test'")
+def held_out_scores(spark, sf):
+    """The held-out keys of a training run, scored from its folder."""
+    folder, wide = scratch_path(spark, "held-out"), _stump_wide(spark, sf)
+    train(wide, Roles(), _stump_plan("scored"), folder)
+    keys = read_keys(spark, f"{folder}/test_keys", "bigint")
+    return rounded(score_batch(spark, wide, folder, Roles(), keys).select("apply_no", "p", "score"))
+
+
 ROLES = Roles(ignore=("p", "month"))
 
 

@@ -7,7 +7,8 @@ of them (chosen by hash, a documented bound) by dual coordinate descent; a fifth
 margins into probabilities. Every text is then scored whole.
 
 Null, empty and white-space texts have no features and get the score of the bias alone. Rows without a quality label
-are not learned from; if there is one class only, or none, every row gets the same score. Repeated rows count each.
+are not learned from; if there is one class only, or none, every row gets the same score. Repeated rows count each in the ratios and once in
+the sample; ties in the order of the sample are repeats. An empty table gives an empty result; other columns stay as they are, and ``out`` must name none of them.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ FIT_ROWS = 8_000
 SHAPE_RUN = 3
 # Rows of each class that the held-back fifth needs; with fewer, margins are calibrated on all sampled rows.
 LEAST_HELD = 5
+# Bytes of text whose features are in memory at once.
+SLICE = 1 << 20
 REPEATED = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -82,7 +85,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of each label that hold each bucket; bucket -1 counts all rows. One array per task."""
     total = np.zeros((2, BUCKETS + 1), np.int64)
     for batch in batches:
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", SLICE):
             found, offsets = features(rows.column("text"))
             label = rows.column("label").to_numpy()
             each = np.repeat(label, np.diff(offsets))
@@ -98,7 +101,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", SLICE):
             found, offsets = features(rows.column("text"))
             lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(found.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([rows.column("h"), rows.column("label"), lists], ["h", "label", "buckets"])
@@ -204,7 +207,7 @@ def fit(df: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, cost: float
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model, out: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for rows in slices(batch, "text"):
+        for rows in slices(batch, "text", SLICE):
             score = pa.array(model.scores(*features(rows.column("text"))))
             yield pa.RecordBatch.from_arrays([*rows.columns, score], [*rows.schema.names, out])
 

@@ -38,7 +38,7 @@ MIN_SENTENCES = 2
 MIN_WORDS = 24
 LONG = 16
 NEAR = 7
-SLICE = 2 << 20
+SLICE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

@@ -183,8 +183,6 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 KEYS = "part int, nth int"
 TEXTS = f"{KEYS}, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, segments array<int>"
-SEGMENTS = f"{KEYS}, pairs array<int>, sizes array<int>"
-PAIRS = f"{KEYS}, a int, b int, code int, n bigint"
 STEP = f"{TEXTS}, pairs array<int>, sizes array<int>, a int, b int, code int, n bigint"
 
 

@@ -10,7 +10,7 @@ Documents go in ascending id order (null first, ties by text hash), dealt by ran
 names of its own and reports them when they are complete; only reported shards are read, so a
 retried or doubled task leaves at most unused files. Shards go to the shared folder of the session.
 A null text is empty and holds the end id alone; an empty table gives no shards; repeated rows are
-repeated documents.
+repeated documents; other columns are not read.
 """
 
 from __future__ import annotations

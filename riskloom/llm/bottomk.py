@@ -19,7 +19,7 @@ is compared once, on full sets, again block by block and without pairs of one co
 against its best partner). Tasks report links that join two components, no others. So nothing is capped and no pair goes unseen.
 
 Null, empty and white-space texts have the empty set and link with nothing. Rows with the same id are separate
-rows; a component is named after the smallest id in it.
+rows; a component is named after the smallest id in it, so ties do not arise. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

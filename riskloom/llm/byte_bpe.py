@@ -3,7 +3,7 @@
 Every text is encoded whole: long ones are cut beforehand at places where the split pattern cannot
 match across (between a letter or digit and a space or line feed), which gives the same ids with
 bounded work per call. Decoding joins the raw bytes of the ids. A null text counts as empty and has no
-ids; repeated rows and ids stay as they are; other columns are not read, so their names cannot clash.
+ids; repeated rows and ids stay as they are; an empty table gives an empty result; other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations

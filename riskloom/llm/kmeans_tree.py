@@ -14,6 +14,7 @@ nor a leaf asked by many is one task. Candidates are scored in double precision
 
 Vectors that are null, zero or hold null or non-finite components take no part. Vectors of each length have a tree of their own, so a
 query finds those of its length. A query never finds rows of its own id. If rows repeat an id, its query is asked once (least vector).
+Equal scores go by the smaller id. An empty table has no trees and gives no answers; other columns are not read. In the sample repeats of a row count once.
 """
 
 from __future__ import annotations

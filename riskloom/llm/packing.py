@@ -13,7 +13,7 @@ are laid end to end and cut at the capacity, so only the very last sequence is p
 than its slots' slack.
 
 A null text is empty and holds the end id alone; repeated rows are repeated documents; an empty table
-gives no pieces; other columns are not read.
+gives no pieces; ties do not arise, pieces go by their numbers; other columns are not read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.scoring import percent_text
-from riskloom.operators.hist import known, long_numeric, numeric_histogram, text_histogram
+from riskloom.operators.hist import long_numeric, numeric_histogram, text_histogram
 from riskloom.operators.prefix import TASK_ROWS, quantiles, rank_histogram
 from riskloom.operators.select import null_counts
 from riskloom.session import materialize

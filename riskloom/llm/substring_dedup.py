@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import broadcast_lists, forget, free_names, release, slices
+from riskloom.llm.common import forget, free_names, release, slices
 from riskloom.llm.words import mix
 from riskloom.session import materialize
 
@@ -255,7 +255,7 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     """
     again = repeated_runs(df)
     gone = again.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("at")).alias("at"))
-    gone, n = materialize(gone, "repeats")
+    gone, _ = materialize(gone, "repeats")
     forget(again)
     release(df.sparkSession)
     kept = [c for c in df.columns if c not in ("n_removed", "removed")]
@@ -263,7 +263,8 @@ def remove_repeats(df: DataFrame) -> DataFrame:
     doc, text_hash, at = free_names(df, "doc", "hash", "at")
     gone = gone.toDF(doc, text_hash, at)
     match = rows.doc_id.cast("bigint").eqNullSafe(gone[doc]) & F.xxhash64(rows.text).eqNullSafe(gone[text_hash])
-    joined = rows.join(broadcast_lists(gone, n, at), match, "left").drop(doc, text_hash)
+    # Shuffled at every size: lists of places grow with the table.
+    joined = rows.join(gone, match, "left").drop(doc, text_hash)
     names = [*kept, "n_removed", "removed"]
     kinds = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes) + ", n_removed bigint, removed array<struct<start:int,end:int>>"
     return joined.mapInArrow(partial(_removed, names=names, at=at), kinds)

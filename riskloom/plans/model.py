@@ -38,6 +38,8 @@ SEARCH_RANGES = {
     "gamma": (0, 2.0),
 }
 INTEGER_PARAMS = ("max_depth", "n_estimators", "min_child_weight")
+# Most values of a feature that one task of its fit holds.
+FIT_VALUES = 500_000
 SWEEP_RATES = tuple(i / 10 for i in range(3, 11))
 LEAST_AUC = 0.51
 
@@ -245,21 +247,25 @@ def single_feature_models(
     """(feature, auc, ks) on train of one model per feature, those above ``least_auc``.
 
     One scan counts all features by value, and each fit and its metrics work on the counts of its own feature: a value with
-    its good and bad rows as weights. The trees are those of the rows (row sampling, if asked for, draws values).
+    its good and bad rows as weights. The trees are those of the rows (row sampling, if asked for, draws values). A feature with
+    about as many values as rows is written by several tasks and fitted by several, each with up to FIT_VALUES values.
     """
     spark = train.sparkSession
     path = scratch_path(spark, "feature-counts")
     numbers = {f: i for i, f in enumerate(features)}
     places = spark.createDataFrame(list(numbers.items()), "feature string, place int")
-    numeric_histogram(train, features, target, fill).join(F.broadcast(places), "feature").select("place", "value", "n", "bad").repartition(
-        "place"
+    numeric_histogram(train, features, target, fill).join(F.broadcast(places), "feature").select("place", "value", "n", "bad").repartitionByRange(
+        "place", "value"
     ).write.partitionBy("place").parquet(path)
     stored = spark.read.schema("value double, n bigint, bad bigint, place int").parquet(path)
+    sizes = {r["place"]: r["values"] for r in stored.groupBy("place").agg(F.count(F.lit(1)).alias("values")).collect()}  # one per feature
 
     def run(feature: str):
         counts = stored.where(F.col("place") == numbers[feature]).select(F.col("value").alias(f"{feature}__in"), "n", "bad")
+        parts = -(-sizes.get(numbers[feature], 0) // FIT_VALUES)
+        dealt = counts.repartition(parts, f"{feature}__in") if parts > 1 else counts
         sides = F.array(F.struct(F.lit(1).alias(target), F.col("bad").alias("weight__")), F.struct(F.lit(0).alias(target), (F.col("n") - F.col("bad")).alias("weight__")))
-        frame = counts.select(f"{feature}__in", F.inline(sides)).where("weight__ > 0").withColumn("weight__", F.col("weight__").cast("double"))
+        frame = dealt.select(f"{feature}__in", F.inline(sides)).where("weight__ > 0").withColumn("weight__", F.col("weight__").cast("double"))
         frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             total = frame.agg(F.sum("weight__")).first()[0] or 0.0

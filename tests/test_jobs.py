@@ -70,6 +70,25 @@ def test_single_feature_models_read_the_table_once_and_grow_the_trees_of_the_row
                 assert (own["auc"], own["ks"]) == pytest.approx(want, abs=1e-6)
 
 
+def test_a_feature_of_many_values_is_fitted_by_several_tasks(spark, monkeypatch):
+    rows = [(i % 900 / 7, int(i % 900 > 500) ^ (i % 13 == 0), i % 5) for i in range(1800)]
+    df = spark.createDataFrame(rows, "many double, target int, few int")
+    fit, held = model.fit_trees, {}
+
+    def watched(frame, features, *rest):
+        held[features[0]] = frame.rdd.glom().map(lambda p: len({r[0] for r in p})).collect()
+        return fit(frame, features, *rest)
+
+    monkeypatch.setattr(model, "fit_trees", watched)
+    monkeypatch.setattr(model, "FIT_VALUES", 100, raising=False)
+    spread = {r["feature"]: (r["auc"], r["ks"]) for r in model.single_feature_models(df, ["many", "few"], "target", SMALL, 0.0).collect()}
+    assert sum(held["many"]) == 900 and max(held["many"]) < 200 and sum(held["few"]) == 5
+    monkeypatch.setattr(model, "FIT_VALUES", 10**6, raising=False)
+    for feature, metrics in spread.items():
+        whole = model.single_feature_models(df, [feature], "target", SMALL, 0.0).first()
+        assert (whole["auc"], whole["ks"]) == pytest.approx(metrics)
+
+
 def test_importances(spark, parts):
     imp, metrics = model.sweep_importance(*parts, FEATURES, "target", (0.4, 1.0), SMALL)
     weights = {r["feature"]: r["mean_imp"] for r in imp.collect()}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scoring import bin_woe, category_woe
 from riskloom.operators.cut import bin_number, check_edges, interval_labels
-from riskloom.operators.hist import as_number, number_counts, numeric_histogram, text_histogram
+from riskloom.operators.hist import as_number, number_counts, numeric_histogram, text_histogram, text_totals
 from riskloom.operators.prefix import TASK_ROWS, rank_histogram
 from riskloom.roles import FILL_VALUE
 from riskloom.session import materialize
@@ -22,6 +22,8 @@ OTHER = "other"
 MISSING = "miss"
 # Largest dictionary compiled into an expression; larger ones are joined.
 INLINE_ENTRIES = 1000
+# Most entries, of all dictionaries together, that are sent to every task instead of sending the rows to them.
+SENT_ENTRIES = 100_000
 
 
 def bin_counts(df: DataFrame, edges: Mapping[str, Sequence[float]], target: str) -> DataFrame:
@@ -158,10 +160,12 @@ def category_counts(df: DataFrame, features: Sequence[str], target: str) -> Data
     return text_histogram(df, features, target).where(F.col("value").isNotNull())
 
 
-def with_category_woe(counts: DataFrame) -> DataFrame:
-    """(feature, key, n, bad, woe). Totals are joined back, so a feature with very many
+def with_category_woe(counts: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """(feature, key, n, bad, woe). Totals (feature, n, bad) are joined back, so a feature with very many
     categories is never gathered into one window partition."""
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("n_all"), F.sum("bad").alias("bad_all"))
+    if totals is None:
+        totals = counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    totals = totals.select("feature", F.col("n").alias("n_all"), F.col("bad").alias("bad_all"))
     good = F.col("n") - F.col("bad")
     shares = counts.join(F.broadcast(totals), "feature")  # one row per feature
     return shares.select(
@@ -177,7 +181,7 @@ def with_category_woe(counts: DataFrame) -> DataFrame:
 
 def category_woe_table(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """(feature, key, woe) plus one zero entry per feature for categories not seen in the fit."""
-    fitted = with_category_woe(category_counts(df, features, target)).select("feature", "key", "woe")
+    fitted = with_category_woe(category_counts(df, features, target), text_totals(df, features, target)).select("feature", "key", "woe")
     unseen = df.sparkSession.range(1).select(
         F.explode(F.array(*map(F.lit, features))).alias("feature"), F.lit(UNSEEN).alias("key"), F.lit(0.0).alias("woe")
     )
@@ -234,16 +238,27 @@ def encode_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]])
 def encode_dictionary(df: DataFrame, table: DataFrame, features: Sequence[str]) -> DataFrame:
     """Replace categories through a stored (feature, key, woe) of any size.
 
-    Small dictionaries become expressions, the others stay a table and are joined; only the number of entries
-    per feature and the small ones reach the driver.
+    Small dictionaries become expressions, the next larger ones are sent to every task, up to SENT_ENTRIES entries in all, and the
+    others stay a table and are joined; only the number of entries per feature and the small ones reach the driver.
     """
+    order = df.columns
     counted = table.where(F.col("feature").isin(list(features))).groupBy("feature").agg(F.count(F.lit(1)).alias("n"))
     sizes = {r["feature"]: r["n"] for r in counted.collect()}
     small = [f for f in features if 0 < sizes.get(f, 0) <= INLINE_ENTRIES]
     large = [f for f in features if sizes.get(f, 0) > INLINE_ENTRIES]
     if small:
         df = encode_categories(df, woe_by_category(table.where(F.col("feature").isin(small))))
-    return encode_with_table(df, table, large) if large else df
+    unseen, room, rest = _unseen(table), SENT_ENTRIES, []
+    for f in sorted(large, key=lambda f: sizes[f]):
+        if sizes[f] > room:
+            rest.append(f)
+            continue
+        room -= sizes[f]
+        sent = _entries(table.where(F.col("feature") == f), F.lit(unseen.get(f)).cast("double"), "feature")
+        sent = F.broadcast(sent.select(F.col("key").alias("k__"), F.col("woe").alias("w__")))
+        df = _looked_up(df.join(sent, F.col(f).cast("string") == F.col("k__"), "left"), f, unseen)
+    out = encode_with_table(df, table, rest) if rest else df
+    return out.select(*order)
 
 
 def encode_top_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, float]]) -> DataFrame:
@@ -254,8 +269,25 @@ def encode_top_categories(df: DataFrame, mapping: Mapping[str, Mapping[str, floa
 
 # From this many dictionaries on, rows are looked up in long form.
 LONG_FROM = 3
-# Rows whose equal keys travel as one.
-BLOCK_BITS = 12
+
+
+def _unseen(table: DataFrame) -> dict[str, float]:
+    """Value of categories without an entry, by feature."""
+    unseen: dict[str, float] = {}
+    for r in table.where(F.col("key").isin(UNSEEN, OTHER)).orderBy(F.col("key") == UNSEEN).collect():  # two per feature
+        unseen[r["feature"]] = r["woe"]
+    return unseen
+
+
+def _entries(table: DataFrame, rest: Column, by: str) -> DataFrame:
+    """(by, key, woe), one per key; without those that say what a category without an entry gets anyway."""
+    entries = table.where(F.col("key") != UNSEEN).groupBy(by, "key").agg(F.max("woe").alias("woe"), F.first(rest).alias("rest__"))
+    return entries.where(F.col("woe").isNotNull() & ~F.col("woe").eqNullSafe(F.col("rest__"))).drop("rest__")
+
+
+def _looked_up(joined: DataFrame, feature: str, unseen: Mapping[str, float]) -> DataFrame:
+    rest = F.lit(unseen.get(feature)).cast("double")
+    return joined.withColumn(feature, F.when(F.col(feature).isNotNull(), F.coalesce("w__", rest))).drop("k__", "w__")
 
 
 def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -265,9 +297,7 @@ def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str])
     sort-merges a large one, splitting skewed keys at run time. More go through one join in long form (streams cannot, as it stores the rows).
     The results are the same.
     """
-    unseen: dict[str, float] = {}
-    for r in table.where(F.col("key").isin(UNSEEN, OTHER)).orderBy(F.col("key") == UNSEEN).collect():  # two per feature
-        unseen[r["feature"]] = r["woe"]
+    unseen = _unseen(table)
     if len(features) >= LONG_FROM and not df.isStreaming:
         return _encode_long(df, table, features, unseen)
     order = df.columns
@@ -275,35 +305,32 @@ def encode_with_table(df: DataFrame, table: DataFrame, features: Sequence[str])
         part = table.where((F.col("feature") == feature) & (F.col("key") != UNSEEN)).select(
             F.col("key").alias("k__"), F.col("woe").alias("w__")
         )
-        value = F.col(feature).cast("string")
-        rest = F.lit(unseen.get(feature)).cast("double")
-        df = (
-            df.join(part, value == F.col("k__"), "left")
-            .withColumn(feature, F.when(F.col(feature).isNotNull(), F.coalesce("w__", rest)))
-            .drop("k__", "w__")
-        )
+        df = _looked_up(df.join(part, F.col(feature).cast("string") == F.col("k__"), "left"), feature, unseen)
     return df.select(*order)
 
 
 def _encode_long(df: DataFrame, table: DataFrame, features: Sequence[str], unseen: Mapping[str, float]) -> DataFrame:
     """All dictionaries in one join on (feature, key).
 
-    Rows are stored with a number. Equal keys within a block of 4,096 rows are gathered to one row before the join, in the task that
-    reads them, so a key that holds a third of all rows meets its entry once per block. What is found comes back by row number in one
-    narrow table, the only one that the wide rows are joined to: they are shuffled once, whatever the number of features.
+    Rows are stored with a number. Each category travels to its entry once, with that number; Spark splits a key that holds a large
+    part of all rows at run time. What is found comes back by row number in one narrow table, the only one that the wide rows are
+    joined to: they are shuffled once, whatever the number of features, and without the categories, of which only a flag goes along.
     """
     stored, _ = materialize(df.withColumn("row__", F.monotonically_increasing_id()), "rows-to-encode")
     texts = stored.select("row__", *[F.col(f).cast("string").alias(str(i)) for i, f in enumerate(features)])
     long = texts.unpivot(["row__"], [str(i) for i in range(len(features))], "place", "key").where(F.col("key").isNotNull())
-    block = F.shiftright("row__", BLOCK_BITS).alias("block")
-    packed = long.groupBy(F.col("place").cast("int").alias("place"), "key", block).agg(F.collect_list("row__").alias("rows"))
-    names = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(features)], "feature string, place int")
-    entries = table.where(F.col("key") != UNSEEN).join(F.broadcast(names), "feature").select("place", "key", "woe")
-    found = packed.join(entries, ["place", "key"]).select("place", "woe", F.explode("rows").alias("row__"))
+    long = long.withColumn("place", F.col("place").cast("int"))
+    names = df.sparkSession.createDataFrame(
+        [(f, i, unseen.get(f)) for i, f in enumerate(features)], "feature string, place int, rest double"
+    )
+    entries = _entries(table.join(F.broadcast(names), "feature"), F.col("rest"), "place")
+    found = long.join(entries, ["place", "key"])
     values = [F.max(F.when(F.col("place") == i, F.col("woe"))).alias(f"w__{i}") for i in range(len(features))]
-    joined = stored.join(found.groupBy("row__").agg(*values), "row__", "left")
+    given = F.array(*[F.col(f).isNotNull() for f in features]).alias("given__")
+    rows = stored.select("row__", *[c for c in df.columns if c not in features], given)
+    joined = rows.join(found.groupBy("row__").agg(*values), "row__", "left")
     out = {
-        f: F.when(F.col(f).isNotNull(), F.coalesce(f"w__{i}", F.lit(unseen.get(f)).cast("double"))) for i, f in enumerate(features)
+        f: F.when(F.get("given__", F.lit(i)), F.coalesce(f"w__{i}", F.lit(unseen.get(f)).cast("double"))) for i, f in enumerate(features)
     }
     return joined.withColumns(out).select(*df.columns)
 

@@ -423,6 +423,41 @@ def test_long_form_shuffles_the_wide_rows_once(spark):
     assert sum("row__" in line and "place" not in line for line in tree) <= 2 and text.count("SortMergeJoin") <= 2
 
 
+def test_categories_travel_to_their_entries_once(spark, monkeypatch):
+    """In long form no block is gathered by a shuffle of its own, and no text goes along with the wide rows."""
+    df, table, names = many_dictionaries(spark, 500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = encode_with_table(df, table, names)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "collect_list" not in text and text.count("Exchange hashpartitioning(place") == 2  # categories and entries
+
+
+@pytest.mark.parametrize("room", [0, 650, 10**6])
+def test_dictionaries_of_middle_size_are_sent_to_the_rows(spark, monkeypatch, room):
+    from riskloom.operators import woe
+
+    df, table, names = many_dictionaries(spark, 800)
+    want = encode_categories(df, woe_by_category(table)).orderBy("id").collect()
+    monkeypatch.setattr(woe, "INLINE_ENTRIES", 0)
+    monkeypatch.setattr(woe, "SENT_ENTRIES", room, raising=False)
+    coded = woe.encode_dictionary(df, table, names)
+    assert coded.columns == df.columns and coded.orderBy("id").collect() == want
+    if room == 10**6:
+        assert "Exchange hashpartitioning(row__" not in coded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_totals_of_categories_take_no_shuffle_of_the_categories(spark):
+    from riskloom.operators.hist import text_totals
+
+    df = spark.createDataFrame([("x", None, 1), ("y", 2.0, None), (None, float("nan"), 0), ("x", 2.0, 0)], "a string, b double, t int")
+    got = {tuple(r) for r in text_totals(df, ["a", "b"], "t").collect()}
+    assert got == {("a", 2, 1), ("b", 1, 0)}
+    plan = category_woe_table(df, ["a", "b"], "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(feature") == 2 and sum("Exchange" in x and "value" in x for x in plan.splitlines()) == 1
+
+
 def test_null_counts_multiply_no_rows(spark, monkeypatch):
     df = spark.createDataFrame([(1.0, None), (float("nan"), "x"), (None, None)], "a double, b string")
     monkeypatch.setattr(select, "CHUNK", 1)

@@ -28,9 +28,9 @@ SMALL_RANGES = {**model.SEARCH_RANGES, "n_estimators": (3, 8), "max_depth": (2,
 
 
 def _sample(spark, sf):
-    """Labelled frame, stored once for the fits."""
-    wide = loan_wide(spark, sf).select("apply_no", "apply_time", "target", *FEATURES)
-    return materialize(stratified_split(wide, "apply_no", "target"), "model-sample")[0]
+    """Labelled frame, stored once for the split and the fits."""
+    wide, _ = materialize(loan_wide(spark, sf).select("apply_no", "apply_time", "target", *FEATURES), "model-sample")
+    return stratified_split(wide, "apply_no", "target")
 
 
 def _parts(df):

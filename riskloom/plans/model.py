@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -26,6 +27,10 @@ from riskloom.session import scratch_path
 
 # Jobs submitted side by side; Spark shares the cluster between them.
 PARALLEL_FITS = 4
+# Each fit keeps its own binned copy of the rows (about 250 bytes a row): at most so many rows in the copies of fits side by side.
+ROWS_AT_ONCE = 30_000_000
+# Most cells that split points may cut the rows into for the rows to be counted by cell before they are scored.
+MAX_CELLS = 100_000
 
 # Search ranges of the parameters that Spark trees have.
 SEARCH_RANGES = {
@@ -128,9 +133,43 @@ def fit_trees(
     return FittedTrees(Pipeline(stages=stages).fit(frame), tuple(features), params, fill)
 
 
-def _score_frame(fit: FittedTrees, frame: DataFrame, target: str) -> tuple[float, float]:
-    scored = fit.model.transform(frame).select(target, vector_to_array("probability")[1].alias("p"))
-    return require_two_classes(score_metrics(scored, "p", target))
+def split_points(spark: SparkSession, fit: FittedTrees, nodes: DataFrame | None = None) -> dict[str, list[float]]:
+    """Thresholds of each feature that a split uses, in order; a feature has fewer than the bins of the fit."""
+    splits = (node_table(spark, fit) if nodes is None else nodes).where(F.col("feature_index").isNotNull())
+    points = splits.groupBy("feature_index").agg(F.array_sort(F.collect_set("threshold")).alias("points"))
+    return {fit.features[r["feature_index"]]: r["points"] for r in points.collect()}
+
+
+def _cells(frame: DataFrame, features: Sequence[str], target: str, points: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Features with n and bad. A value becomes the next split point at or above it: rows that no split parts are one row."""
+    cells = {}
+    for f, cuts in points.items():
+        value, cell = F.col(f"{f}__in"), F
+        for cut in cuts:
+            cell = cell.when(value <= cut, F.lit(cut))
+        cells[f] = cell.otherwise(F.lit(float("inf"))).alias(f"{f}__in")
+    counted = frame.select(target, *cells.values()).groupBy(*[f"{f}__in" for f in cells]).agg(
+        F.count(target).alias("n"), F.coalesce(F.sum(F.col(target).cast("bigint")), F.lit(0)).alias("bad")
+    )
+    return counted.withColumns({f"{f}__in": F.lit(0.0) for f in features if f not in cells})
+
+
+def _score_frame(
+    fit: FittedTrees, frame: DataFrame, target: str, points: Mapping[str, Sequence[float]] | None = None
+) -> tuple[float, float]:
+    """AUC and KS. Rows are counted by the cells of the fit's split points, if these are few, and each cell is scored once."""
+    points = split_points(frame.sparkSession, fit) if points is None else points
+    if math.prod(len(cuts) + 1 for cuts in points.values()) > MAX_CELLS:
+        scored = fit.model.transform(frame).select(target, vector_to_array("probability")[1].alias("p"))
+        return require_two_classes(score_metrics(scored, "p", target))
+    return _score_counts(fit, _cells(frame, fit.features, target, points))
+
+
+def _score_counts(fit: FittedTrees, counts: DataFrame) -> tuple[float, float]:
+    """AUC and KS over rows that stand for n rows with bad ones."""
+    scored = fit.model.transform(counts).select(vector_to_array("probability")[1].alias("value"), "n", "bad")
+    scores = scored.groupBy(F.lit("all").alias("everything"), "value").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    return require_two_classes(auc_ks(rank_histogram(scores, ["everything"])))
 
 
 # --- importance -------------------------------------------------------------------------------
@@ -156,11 +195,11 @@ def node_table(spark: SparkSession, fit: FittedTrees) -> DataFrame:
     return nodes.withColumn("weight", F.get(F.array(*map(F.lit, weights)), F.col("tree")))
 
 
-def importance(spark: SparkSession, fit: FittedTrees) -> DataFrame:
-    """(feature, weight, gain, cover): split count and mean gain and cover of features used in a split."""
+def importance(spark: SparkSession, fit: FittedTrees, nodes: DataFrame | None = None) -> DataFrame:
+    """(feature, weight, gain, cover): split count and mean gain and cover of features used in a split. ``nodes`` is the :func:`node_table`, if there is one."""
     names = F.array(*map(F.lit, fit.features))
     return (
-        node_table(spark, fit)
+        (node_table(spark, fit) if nodes is None else nodes)
         .where(F.col("feature_index").isNotNull())
         .groupBy(F.get(names, F.col("feature_index")).alias("feature"))
         .agg(
@@ -171,9 +210,9 @@ def importance(spark: SparkSession, fit: FittedTrees) -> DataFrame:
     )
 
 
-def _side_by_side(work, items: Sequence) -> list:
-    """Run driver calls that submit Spark jobs a few at a time; errors surface."""
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+def _side_by_side(work, items: Sequence, rows: int = 0) -> list:
+    """Run driver calls that submit Spark jobs a few at a time, fewer if each is a fit on very many rows; errors surface."""
+    with ThreadPoolExecutor(max(1, min(PARALLEL_FITS, ROWS_AT_ONCE // max(rows, 1)))) as pool:
         return list(pool.map(work, items))
 
 
@@ -200,15 +239,17 @@ def sweep_importance(
     base = base or TreeParams(min_child_weight=10)
     frame = training_frame(train, features, target)
     check = training_frame(test, features, target)
-    frame.count(), check.count()  # fill the caches once, before the fits run side by side
+    rows, _ = frame.count(), check.count()  # fill the caches once, before the fits run side by side
 
     def run(rate: float):
         fit = fit_trees(frame, features, target, TreeParams(**{**vars(base), "subsample": rate, "colsample_bytree": rate}))
-        used = importance(spark, fit).select(F.lit(rate).alias("run"), "feature", "weight")
-        return used, (rate, *_score_frame(fit, frame, target), *_score_frame(fit, check, target))
+        nodes = node_table(spark, fit)
+        used = importance(spark, fit, nodes).select(F.lit(rate).alias("run"), "feature", "weight")
+        points = split_points(spark, fit, nodes)
+        return used, (rate, *_score_frame(fit, frame, target, points), *_score_frame(fit, check, target, points))
 
     try:
-        runs = _side_by_side(run, rates)
+        runs = _side_by_side(run, rates, rows)
     finally:
         frame.unpersist()
         check.unpersist()
@@ -224,16 +265,18 @@ def fold_importance(
     """One fit per fold on the other folds: (feature, mean_imp) and (fold, train_auc, valid_auc)."""
     spark = df.sparkSession
     frame = training_frame(stratified_folds(df, key, target, k), features, target, keep=["fold"])
-    frame.count()
+    rows = frame.count()
 
     def run(fold: int):
         inside, outside = frame.where(F.col("fold") != fold), frame.where(F.col("fold") == fold)
         fit = fit_trees(inside, features, target, base)
-        used = importance(spark, fit).select(F.lit(fold).alias("run"), "feature", "weight")
-        return used, (fold, _score_frame(fit, inside, target)[0], _score_frame(fit, outside, target)[0])
+        nodes = node_table(spark, fit)
+        used = importance(spark, fit, nodes).select(F.lit(fold).alias("run"), "feature", "weight")
+        points = split_points(spark, fit, nodes)
+        return used, (fold, _score_frame(fit, inside, target, points)[0], _score_frame(fit, outside, target, points)[0])
 
     try:
-        runs = _side_by_side(run, range(k))
+        runs = _side_by_side(run, range(k), rows)
     finally:
         frame.unpersist()
     metrics = spark.createDataFrame([m for _, m in runs], "fold int, train_auc double, valid_auc double")
@@ -272,9 +315,7 @@ def single_feature_models(
             fit = fit_trees(frame, [feature], target, base, fill, "weight__", total)
         finally:
             frame.unpersist()
-        scored = fit.model.transform(counts).select(vector_to_array("probability")[1].alias("value"), "n", "bad")
-        scores = scored.groupBy(F.lit("all").alias("everything"), "value").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        return (feature, *require_two_classes(auc_ks(rank_histogram(scores, ["everything"]))))
+        return (feature, *_score_counts(fit, counts))
 
     rows = _side_by_side(run, list(features))
     out = spark.createDataFrame(rows, "feature string, auc double, ks double")
@@ -286,7 +327,7 @@ def fold_accuracy(
 ) -> DataFrame:
     """(fold, accuracy) of held-out folds at a probability of one half."""
     frame = training_frame(stratified_folds(df, key, target, k), features, target, keep=["fold"])
-    frame.count()
+    rows = frame.count()
 
     def run(fold: int):
         fit = fit_trees(frame.where(F.col("fold") != fold), features, target, base)
@@ -294,10 +335,10 @@ def fold_accuracy(
         return fold, held.agg(F.avg((F.col("prediction") == F.col(target)).cast("double"))).first()[0]
 
     try:
-        rows = _side_by_side(run, range(k))
+        folds = _side_by_side(run, range(k), rows)
     finally:
         frame.unpersist()
-    return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
+    return df.sparkSession.createDataFrame(folds, "fold int, accuracy double")
 
 
 # --- search -----------------------------------------------------------------------------------
@@ -343,20 +384,21 @@ def search_trees(
     rng = random.Random(seed)
     frame = training_frame(train, features, target)
     check = training_frame(test, features, target)
-    frame.count(), check.count()
+    rows, _ = frame.count(), check.count()
 
     def run(params: TreeParams) -> Trial:
         fit = fit_trees(frame, features, target, params)
-        train_auc, test_auc = _score_frame(fit, frame, target)[0], _score_frame(fit, check, target)[0]
+        points = split_points(frame.sparkSession, fit)
+        train_auc, test_auc = _score_frame(fit, frame, target, points)[0], _score_frame(fit, check, target, points)[0]
         return Trial(params, train_auc, test_auc, tuning_objective(train_auc, test_auc), fit)
 
     try:
-        trials = _side_by_side(run, [_draw(rng, ranges, None, 1.0) for _ in range(init_points)])
+        trials = _side_by_side(run, [_draw(rng, ranges, None, 1.0) for _ in range(init_points)], rows)
         width, left = 0.25, iterations
         while left > 0:
             best = max(trials, key=lambda t: t.objective)
             size = min(PARALLEL_FITS, left)
-            trials += _side_by_side(run, [_draw(rng, ranges, vars(best.params), width) for _ in range(size)])
+            trials += _side_by_side(run, [_draw(rng, ranges, vars(best.params), width) for _ in range(size)], rows)
             width, left = width / 2, left - size
     finally:
         frame.unpersist()

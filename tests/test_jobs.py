@@ -100,6 +100,39 @@ def test_importances(spark, parts):
     assert len(accuracy) == 3 and min(accuracy) > 0.7
 
 
+def test_rows_are_scored_once_per_cell(spark, parts, monkeypatch):
+    frame = model.training_frame(parts[0], FEATURES, "target")
+    fit = model.fit_trees(frame, FEATURES, "target", model.TreeParams(n_estimators=2, max_depth=2))
+    points = model.split_points(spark, fit)
+    cells = model._cells(frame, FEATURES, "target", points)
+    n, bad = cells.agg(F.sum("n"), F.sum("bad")).first()
+    assert (n, bad) == tuple(frame.agg(F.count("target"), F.sum("target")).first())
+    assert cells.count() < n / 2
+    by_cell = model._score_frame(fit, frame, "target")
+    monkeypatch.setattr(model, "MAX_CELLS", 0)
+    assert by_cell == pytest.approx(model._score_frame(fit, frame, "target"), abs=1e-12)
+    frame.unpersist()
+
+
+def test_fits_on_many_rows_run_one_after_the_other(monkeypatch):
+    import threading
+
+    together, most, lock = [0], [0], threading.Lock()
+
+    def work(i):
+        with lock:
+            together[0] += 1
+            most[0] = max(most[0], together[0])
+        threading.Event().wait(0.05)
+        with lock:
+            together[0] -= 1
+        return i
+
+    monkeypatch.setattr(model, "ROWS_AT_ONCE", 100)
+    assert model._side_by_side(work, range(8), 99) == list(range(8)) and most == [1]
+    assert model._side_by_side(work, range(8), 5) == list(range(8)) and 1 < most[0] <= model.PARALLEL_FITS
+
+
 def test_search_returns_its_best_trial(parts):
     fit, trials = model.search_trees(*parts, FEATURES, "target", 2, 2, RANGES)
     assert len(trials) == 4

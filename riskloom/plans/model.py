@@ -296,17 +296,21 @@ def single_feature_models(
     spark = train.sparkSession
     path = scratch_path(spark, "feature-counts")
     numbers = {f: i for i, f in enumerate(features)}
-    places = spark.createDataFrame(list(numbers.items()), "feature string, place int")
-    numeric_histogram(train, features, target, fill).join(F.broadcast(places), "feature").select("place", "value", "n", "bad").repartitionByRange(
-        "place", "value"
-    ).write.partitionBy("place").parquet(path)
+    hist = numeric_histogram(train, features, target, fill).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = {r["feature"]: r["values"] for r in hist.groupBy("feature").agg(F.count(F.lit(1)).alias("values")).collect()}  # one per feature
+        parts = {f: max(1, -(-sizes.get(f, 0) // FIT_VALUES)) for f in features}
+        places = spark.createDataFrame([(f, i, parts[f]) for f, i in numbers.items()], "feature string, place int, parts int")
+        part = F.pmod(F.xxhash64("value"), F.col("parts")).alias("part")
+        placed = hist.join(F.broadcast(places), "feature").select("place", "value", "n", "bad", part).repartition("place", "part")
+        placed.drop("part").write.partitionBy("place").parquet(path)
+    finally:
+        hist.unpersist()
     stored = spark.read.schema("value double, n bigint, bad bigint, place int").parquet(path)
-    sizes = {r["place"]: r["values"] for r in stored.groupBy("place").agg(F.count(F.lit(1)).alias("values")).collect()}  # one per feature
 
     def run(feature: str):
         counts = stored.where(F.col("place") == numbers[feature]).select(F.col("value").alias(f"{feature}__in"), "n", "bad")
-        parts = -(-sizes.get(numbers[feature], 0) // FIT_VALUES)
-        dealt = counts.repartition(parts, f"{feature}__in") if parts > 1 else counts
+        dealt = counts.repartition(parts[feature], f"{feature}__in") if parts[feature] > 1 else counts
         sides = F.array(F.struct(F.lit(1).alias(target), F.col("bad").alias("weight__")), F.struct(F.lit(0).alias(target), (F.col("n") - F.col("bad")).alias("weight__")))
         frame = dealt.select(f"{feature}__in", F.inline(sides)).where("weight__ > 0").withColumn("weight__", F.col("weight__").cast("double"))
         frame = frame.persist(StorageLevel.MEMORY_AND_DISK)

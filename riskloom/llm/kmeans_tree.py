@@ -9,8 +9,11 @@ How many leaves to visit is calibrated: the true neighbours of CALIBRATION queri
 vectors, and visits are widened until leaves visited so far hold ``recall`` of them. Each query also goes on
 until its leaves hold enough vectors of other ids for a full answer.
 
-Leaves and their queries are cut into slices and every pair of slices is one small task group, so neither a hot leaf
-nor a leaf asked by many is one task. Candidates are scored in double precision on the original vectors.
+Leaves stand side by side on shelves of a bounded size, a large leaf by pieces on several, so a hot leaf is not one task. A query goes
+once to each shelf that has a leaf for it, with one bit for each leaf there, never once for each leaf. A task holds one shelf and takes its
+queries block by block. Quick scores in single precision leave out what cannot be among the nearest, by a margin above their
+error; the others are scored in double precision on the original vectors. Many queries go in rounds, so that their copies take no more
+room than the rows.
 
 Vectors that are null, zero or hold null or non-finite components take no part. Vectors of each length have a tree of their own, so a
 query finds those of its length. A query never finds rows of its own id. If rows repeat an id, its query is asked once (least vector).
@@ -22,14 +25,15 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import flat_lists, hash_share
+from riskloom.llm.common import SLICE_BYTES, flat_lists, give_back, hash_share, release
 from riskloom.llm.projection_passes import vector_ok
 from riskloom.session import materialize
 
@@ -38,8 +42,18 @@ LEAF_SAMPLE = 16
 LEAF_ROWS = 1024
 BRANCH = 8
 CALIBRATION = 256
-SLICE = 2048
 SPARE = 32
+# Shelves of a table, as far as a shelf keeps at least SHELF_ROWS rows and its vectors take at most SHELF_BYTES.
+SHELVES = 64
+SHELF_ROWS = 512
+SHELF_BYTES = 32 << 20
+# Queries and rows that are compared at once.
+BLOCK = 1024
+# In one round the copies of queries that go to shelves take at most so many bytes, or are COPIES times the rows if that is more.
+COPY_BYTES = 1 << 30
+COPIES = 2
+# The place of queries on a shelf: after all rows.
+ASKING = 2**31 - 1
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -76,8 +90,11 @@ class Tree:
 
     def best_first(self, query: np.ndarray) -> Iterator[int]:
         """Leaves, best bin first."""
-        near = self.centres @ query
-        queue = [(0.0, 0)]
+        return self.below(0, self.centres @ query)
+
+    def below(self, node: int, near: np.ndarray) -> Iterator[int]:
+        """Leaves below a node, best bin first; ``near``: how near each centre is."""
+        queue = [(0.0, node)]
         while queue:
             _, k = heapq.heappop(queue)
             if self.leaf[k] >= 0:
@@ -86,6 +103,41 @@ class Tree:
                 for c in self.children[k]:
                     heapq.heappush(queue, (-near[c], c))
 
+    def paths(self) -> np.ndarray:
+        """For each leaf the nodes from below the root to itself, filled up with the number of nodes."""
+        found, todo = {}, [(0, [])]
+        while todo:
+            k, path = todo.pop()
+            if self.leaf[k] >= 0:
+                found[self.leaf[k]] = path
+            todo += [(c, [*path, c]) for c in self.children[k]]
+        out = np.full((len(found), max(1, *map(len, found.values()))), len(self.leaf))
+        for leaf, path in found.items():
+            out[leaf, : len(path)] = path
+        return out
+
+    def first_leaves(self, near: np.ndarray, paths: np.ndarray, visits: int, enough: int, sizes: np.ndarray) -> np.ndarray:
+        """The first ``visits`` leaves of best_first, and more until they hold ``enough`` vectors.
+
+        A leaf comes up when the farthest node of its path does, so leaves go by that; only those that share the node at which the
+        answer ends are put in order by the queue.
+        """
+        where = np.append(near, np.inf)[paths]
+        key = where.min(axis=1)
+        order = np.argsort(-key, kind="stable")
+
+        def end() -> int:
+            return max(visits, int(np.searchsorted(np.cumsum(sizes[order]), enough)) + 1)
+
+        if (stop := end()) >= len(order):
+            return order
+        if key[order[stop]] == key[order[stop - 1]]:
+            a, b = (np.searchsorted(-key[order], -key[order[stop]], side=x) for x in ("left", "right"))
+            node = paths[order[a], where[order[a]].argmin()]
+            order[a:b] = list(islice(self.below(node, near), int(b - a)))
+            stop = end()
+        return order[:stop]
+
 
 def _split(units: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
     centres = units[rng.choice(len(units), k, replace=False)]
@@ -130,11 +182,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1).astype(np.float64)
 
 
+def _parts(batch: pa.RecordBatch, column: str, most: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Consecutive parts of a batch of vectors of one length, each with at most ``most`` rows and SLICE_BYTES of doubles, or one row."""
+    if batch.num_rows:
+        length = len(batch.column(column)[0])
+        step = max(1, min(most, SLICE_BYTES // (8 * length)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def _assigned(batches: Iterator[pa.RecordBatch], tree: Tree) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            leaf = pa.array(tree.assign(unit(_matrix(batch.column("vec")))).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, leaf], [*batch.schema.names, "leaf"])
+        for part in _parts(batch, "vec"):
+            leaf = pa.array(tree.assign(unit(_matrix(part.column("vec")))).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*part.columns, leaf], [*part.schema.names, "leaf"])
+    give_back()
 
 
 def _nearest(ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndarray, near: np.ndarray, k: int):
@@ -154,7 +216,7 @@ def _nearest(ids: np.ndarray, vectors: np.ndarray, query_id: int, query: np.ndar
 def _truth(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
     """Of each batch the nearest k to each calibration query, with their leaves."""
     asked = unit(queries)
-    for batch in batches:
+    for batch in (part for whole in batches for part in _parts(whole, "vec")):
         own, vectors, leaf = batch.column("vec_id").to_numpy(), _matrix(batch.column("vec")), batch.column("leaf").to_numpy()
         near = unit(vectors) @ asked.T
         out = [[], [], [], []]
@@ -166,42 +228,261 @@ def _truth(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarr
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["q", "vec_id", "leaf", "score"])
 
 
-def _visits(batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, sizes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        who, leaf = [], []
+@dataclass
+class Shelves:
+    """Slots, one for each leaf or piece of a leaf, on shelves of consecutive slots."""
+
+    leaf: np.ndarray  # of each slot
+    first: np.ndarray  # slot of each shelf, and the number of slots
+
+    @classmethod
+    def of(cls, sizes: np.ndarray, most: int) -> Shelves:
+        """Shelves of about ``most`` rows at most; ``sizes``: rows of each leaf."""
+        leaves, first, held = [], [], np.inf
+        for leaf, n in enumerate(sizes):
+            pieces = -(-n // most)
+            for _ in range(pieces):
+                if held + n / pieces > most:
+                    first.append(len(leaves))
+                    held = 0
+                leaves.append(leaf)
+                held += n / pieces
+        return cls(np.array(leaves, np.int64), np.array([*first, len(leaves)], np.int64))
+
+    def __len__(self) -> int:
+        return len(self.first) - 1
+
+    def shelf(self) -> np.ndarray:
+        """Shelf of each slot."""
+        return np.repeat(np.arange(len(self)), np.diff(self.first))
+
+    def starts(self) -> np.ndarray:
+        """In a row of bits, where each shelf has whole bytes: the first byte of each shelf, and the number of bytes."""
+        return np.concatenate([[0], np.cumsum(-(-np.diff(self.first) // 8))])
+
+    def bits(self, visited: np.ndarray) -> np.ndarray:
+        """Bytes of rows of (leaf is visited)."""
+        starts, shelf = self.starts(), self.shelf()
+        out = np.zeros((len(visited), 8 * starts[-1]), bool)
+        out[:, 8 * starts[shelf] + np.arange(len(self.leaf)) - self.first[shelf]] = visited[:, self.leaf]
+        return np.packbits(out, axis=1)
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Matrix of binary values of one length."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
+def _visits(
+    batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, sizes: np.ndarray, k: int, shelves: Shelves
+) -> Iterator[pa.RecordBatch]:
+    """Each query with the bits of its leaves."""
+    paths = tree.paths()
+    for batch in (part for whole in batches for part in _parts(whole, "vec", BLOCK // 4)):
         # Rows of its own id do not count towards a full answer.
         enough = k + np.maximum(SPARE, batch.column("own").to_numpy())
-        for i, q in enumerate(unit(_matrix(batch.column("vec")))):
-            held = 0
-            for n, x in enumerate(tree.best_first(q)):
-                if n >= visits and held >= enough[i]:
-                    break
-                held += sizes[x]
-                who.append(i)
-                leaf.append(x)
-        take = pa.array(who, pa.int32())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("vec_id").take(take), batch.column("vec").take(take), pa.array(leaf, pa.int32())],
-            ["query_id", "query", "leaf"],
-        )
+        seen = np.zeros((batch.num_rows, len(sizes)), bool)
+        for i, near in enumerate(unit(_matrix(batch.column("vec"))) @ tree.centres.T):
+            seen[i, tree.first_leaves(near, paths, visits, enough[i], sizes)] = True
+        bits = pa.array([x.tobytes() for x in shelves.bits(seen)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vec"), bits], ["query_id", "query", "seen"])
+    give_back()
 
 
-def _search(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
-    kinds = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-    if not len(queries) or not len(rows):
-        return kinds.empty_table()
-    asked_id = queries.column("query_id").to_numpy()
-    asked = _matrix(queries.column("query").combine_chunks())
-    ids, vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("vec").combine_chunks())
-    near = unit(vectors) @ unit(asked).T
-    out = [[], [], []]
-    for j in range(len(asked)):
-        at, score = _nearest(ids, vectors, asked_id[j], asked[j], near[:, j], k)
-        for column, x in zip(out, (np.full(len(at), asked_id[j]), ids[at], score)):
-            column.append(x)
-    return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in out], schema=kinds)
+def _any_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = None
+    for batch in batches:
+        if batch.num_rows:
+            own = np.bitwise_or.reduce(_bytes(batch.column("seen")), axis=0)
+            seen = own if seen is None else seen | own
+    if seen is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["seen"])
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], shelves: Shelves) -> Iterator[pa.RecordBatch]:
+    """Each query once for each of its shelves, with its bits there."""
+    starts = shelves.starts()
+    for batch in (part for whole in batches for part in _parts(whole, "query", BLOCK)):
+        seen = _bytes(batch.column("seen"))
+        for shelf in range(len(shelves)):
+            own = seen[:, starts[shelf] : starts[shelf + 1]]
+            if len(who := np.flatnonzero(own.any(axis=1))):
+                take = pa.array(who)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(who), shelf, np.int32)), pa.array(np.full(len(who), ASKING, np.int32)),
+                        batch.column("query_id").take(take), batch.column("query").take(take),
+                        pa.array([x.tobytes() for x in own[who]], pa.binary()),
+                    ],
+                    ["shelf", "slot", "id", "vec", "seen"],
+                )
+    give_back()
+
+
+class Shelf:
+    """Rows of one shelf in the order of their slots, and the nearest of them to queries."""
+
+    def __init__(self, first: int, slots: int, k: int):
+        self.first, self.slots, self.k, self.parts = first, slots, k, []
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        values, _ = flat_lists(batch.column("vec"))
+        ids, slots = batch.column("id").to_numpy(), batch.column("slot").to_numpy()
+        self.parts.append((ids.copy(), slots - self.first, values.reshape(len(ids), -1).copy()))
+
+    def close(self) -> None:
+        """No more rows."""
+        self.ids, slots = (np.concatenate([x[i] for x in self.parts]) for i in (0, 1))
+        self.rows = np.concatenate([x[2] for x in self.parts])
+        self.parts = None
+        n, length = self.rows.shape
+        self.units, self.squares = np.empty((n, length), np.float32), np.empty(n)
+        step = max(1, SLICE_BYTES // (8 * length))
+        for a in range(0, n, step):
+            v = self.rows[a : a + step].astype(np.float64)
+            with np.errstate(all="ignore"):
+                self.units[a : a + step], self.squares[a : a + step] = unit(v), (v * v).sum(axis=1)
+        fine = np.isfinite(self.units).all(axis=1)
+        if not fine.all():  # vectors so short that their length is lost
+            self.ids, slots, self.rows, self.units, self.squares = (x[fine] for x in (self.ids, slots, self.rows, self.units, self.squares))
+            n = len(slots)
+        # Twice the error of a single precision score, and more.
+        self.margin = (length + 8) * 2.0**-22
+        self.by_id = np.argsort(self.ids, kind="stable")
+        self.sorted_ids = self.ids[self.by_id]
+        # Bundles of at most BLOCK rows: (first row, end, [(slot, first row, end)]).
+        self.bundles, edges = [], [*np.flatnonzero(np.diff(slots, prepend=-1)).tolist(), n]
+        for a, b in zip(edges, edges[1:]):
+            for x in range(a, b, BLOCK):
+                y, slot = min(b, x + BLOCK), int(slots[a])
+                if self.bundles and y - self.bundles[-1][0] <= BLOCK:
+                    start, _, held = self.bundles.pop()
+                    self.bundles.append((start, y, [*held, (slot, x, y)]))
+                else:
+                    self.bundles.append((x, y, [(slot, x, y)]))
+
+    def answers(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if self.parts == []:  # all rows of the leaf are in other pieces
+            return
+        if self.parts:
+            self.close()
+        for part in _parts(batch, "vec", BLOCK):
+            seen = np.unpackbits(_bytes(part.column("seen")), axis=1, count=self.slots).astype(bool)
+            ids = part.column("id").to_numpy()
+            best = Best(self, ids, _matrix(part.column("vec")))
+            for i, (a, b, held) in enumerate(self.bundles):
+                best.look(a, b, held, seen)
+                if i & (i + 1) == 0:  # the bar is raised each time that twice the rows are seen
+                    best.settle()
+            best.settle()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[best.full.nonzero()[0]]), pa.array(best.ids[best.full]), pa.array(best.scores[best.full])],
+                ["query_id", "vec_id", "score"],
+            )
+
+
+class Best:
+    """The k nearest so far to each query of a block."""
+
+    def __init__(self, shelf: Shelf, ids: np.ndarray, queries: np.ndarray):
+        self.shelf, self.queries, n = shelf, queries, len(ids)
+        with np.errstate(all="ignore"):
+            self.units, self.squares = unit(queries).astype(np.float32), (queries * queries).sum(axis=1)
+        self.ids, self.scores = np.zeros((n, shelf.k), np.int64), np.zeros((n, shelf.k))
+        self.full = np.zeros((n, shelf.k), bool)
+        self.bar = np.full(n, -2.0, np.float32)  # quick scores below it need no look
+        self.found, self.held = [], 0
+        # Rows of a query's own id.
+        start, end = (np.searchsorted(shelf.sorted_ids, ids, side=x) for x in ("left", "right"))
+        count = end - start
+        asking = np.repeat(np.arange(n), count)
+        own = shelf.by_id[np.arange(count.sum()) + np.repeat(start - np.cumsum(count) + count, count)]
+        order = np.argsort(own, kind="stable")
+        self.own_rows, self.own_queries = own[order], asking[order]
+
+    def look(self, a: int, b: int, held: list[tuple[int, int, int]], seen: np.ndarray) -> None:
+        """Note rows from a to b that may be among the nearest; ``seen``: whether a query visits a slot."""
+        slots = [x[0] for x in held]
+        who = np.flatnonzero(seen[:, slots].any(axis=1))
+        if not len(who):
+            return
+        near = self.units[who] @ self.shelf.units[a:b].T
+        if len(slots) > 1:
+            for slot, x, y in held:
+                hidden = ~seen[who, slot]
+                if hidden.any():
+                    near[hidden, x - a : y - a] = -np.inf
+        x, y = np.searchsorted(self.own_rows, [a, b])
+        if y > x:
+            place = np.full(len(self.queries), -1)
+            place[who] = np.arange(len(who))
+            at = place[self.own_queries[x:y]]
+            near[at[at >= 0], self.own_rows[x:y][at >= 0] - a] = -np.inf
+        bar = self.bar[who]
+        new = bar <= -2
+        if new.any() and b - a > self.shelf.k:
+            least = np.partition(near[new], b - a - self.shelf.k, axis=1)[:, -self.shelf.k]
+            bar[new] = np.maximum(least - self.shelf.margin, -2)
+        some = np.flatnonzero(near.max(axis=1) >= bar)
+        at = np.flatnonzero(near[some] >= bar[some, None])
+        self.found.append((who[some[at // (b - a)]], at % (b - a) + a))
+        self.held += len(at)
+        if self.held > BLOCK * 64:
+            self.settle()
+
+    def settle(self) -> None:
+        """Score the noted rows and keep the nearest."""
+        if not self.held:
+            return
+        asking, rows = (np.concatenate([x[i] for x in self.found]) for i in (0, 1))
+        self.found, self.held = [], 0
+        order = np.argsort(asking, kind="stable")
+        step = max(1, SLICE_BYTES // (8 * self.queries.shape[1]))
+        for start in range(0, len(order), step):
+            part = order[start : start + step]
+            self._keep(asking[part], rows[part])
+
+    def _keep(self, asking: np.ndarray, rows: np.ndarray) -> None:
+        """``asking`` goes up."""
+        shelf, k = self.shelf, self.shelf.k
+        with np.errstate(all="ignore"):
+            score = (shelf.rows[rows].astype(np.float64) * self.queries[asking]).sum(axis=1)
+            score /= np.sqrt(shelf.squares[rows] * self.squares[asking])
+        new = np.diff(asking, prepend=-1) > 0
+        who = asking[new]
+        kept, place = self.full[who].nonzero()
+        query = np.concatenate([np.cumsum(new) - 1, kept])
+        ids = np.concatenate([shelf.ids[rows], self.ids[who[kept], place]])
+        score = np.concatenate([score, self.scores[who[kept], place]])
+        order = np.lexsort((ids, -score, query))
+        query, ids, score = query[order], ids[order], score[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, np.arange(len(who)))[query]
+        best = rank < k
+        at = who[query[best]], rank[best]
+        self.full[at], self.ids[at], self.scores[at] = True, ids[best], score[best]
+        done = who[self.full[who, k - 1]]
+        bar = np.maximum(self.scores[done, k - 1] - shelf.margin, -2)
+        self.bar[done] = np.where(np.isnan(bar), -2, bar)
+
+
+def _answers(batches: Iterator[pa.RecordBatch], k: int, first: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows come by shelf and slot, the queries of a shelf after its rows."""
+    at, shelf = -1, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        shelves, asks = batch.column("shelf").to_numpy(), batch.column("slot").to_numpy() == ASKING
+        cuts = (np.flatnonzero((shelves[1:] != shelves[:-1]) | (asks[1:] != asks[:-1])) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if shelves[a] != at:
+                at = int(shelves[a])
+                shelf = Shelf(int(first[at]), int(first[at + 1] - first[at]), k)
+            part = batch.slice(a, b - a)
+            if asks[a]:
+                yield from shelf.answers(part)
+            else:
+                shelf.add(part)
+    give_back()
 
 
 class LengthIndex:
@@ -210,7 +491,9 @@ class LengthIndex:
     def __init__(self, rows: DataFrame, n: int, fit_rows: int, seed: int):
         self.spark = rows.sparkSession
         # Repeats of a row are one row of the sample, so it stays bounded whatever repeats.
-        picked = rows.where(hash_share(F.xxhash64("vec_id", "vec"), fit_rows / max(n, 1))).dropDuplicates(["vec_id", "vec"])
+        # As doubles, so that the sample and its order do not depend on how the numbers are stored.
+        doubles = rows.select("vec_id", F.col("vec").cast("array<double>").alias("vec"))
+        picked = doubles.where(hash_share(F.xxhash64("vec_id", "vec"), fit_rows / max(n, 1))).dropDuplicates(["vec_id", "vec"])
         sample = picked.select("vec").toArrow().column("vec").combine_chunks()
         if not len(sample):  # a short table whose rows all hash low
             sample = rows.select("vec").limit(1).toArrow().column("vec").combine_chunks()
@@ -219,7 +502,7 @@ class LengthIndex:
         self.tree = fit_tree(unit(matrix), leaf_rows, seed=seed)
         kept = rows.withColumn("n", F.monotonically_increasing_id())
         self.rows, self.n_rows = materialize(
-            kept.mapInArrow(partial(_assigned, tree=self.tree), "vec_id bigint, vec array<double>, n bigint, leaf int"), "index"
+            kept.mapInArrow(partial(_assigned, tree=self.tree), f"vec_id bigint, vec {_kind(rows, 'vec')}, n bigint, leaf int"), "index"
         )
         # One number per leaf, bounded by the tree.
         self.sizes = {r["leaf"]: r["count"] for r in self.rows.groupBy("leaf").count().collect()}
@@ -244,37 +527,50 @@ class LengthIndex:
         return self.tree.n_leaves
 
     def search(self, asked: DataFrame, k: int, recall: float) -> DataFrame:
-        """query_id, vec_id, score: the k nearest of each slice for each row (vec_id, vec) of ``asked``, whose ids differ."""
+        """query_id, vec_id, score: the k nearest of each shelf for each row (vec_id, vec) of ``asked``, whose ids differ."""
         schema = "query_id bigint, vec_id bigint, score double"
         own = self.rows.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own"))
-        asked, _ = materialize(asked.join(own, "vec_id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "queries")
+        asked, n_asked = materialize(asked.join(own, "vec_id", "left").withColumn("own", F.coalesce("own", F.lit(0))), "queries")
         visits = self.calibrate(asked, k, recall)
         sizes = np.array([self.sizes.get(i, 0) for i in range(self.tree.n_leaves)])
+        kind = _kind(self.rows, "vec") if _kind(self.rows, "vec") == _kind(asked, "vec") else "array<double>"
+        width = self.tree.centres.shape[1] * (4 if kind == "array<float>" else 8)
+        shelves = Shelves.of(sizes, max(1, min(SHELF_BYTES // width, max(SHELF_ROWS, -(-self.n_rows // SHELVES)))))
         visited, _ = materialize(
-            asked.mapInArrow(
-                partial(_visits, tree=self.tree, visits=visits, sizes=sizes, k=k),
-                "query_id bigint, query array<double>, leaf int",
+            asked.withColumn("vec", F.col("vec").cast(kind)).mapInArrow(
+                partial(_visits, tree=self.tree, visits=visits, sizes=sizes, k=k, shelves=shelves),
+                f"query_id bigint, query {kind}, seen binary",
             ),
             "visits",
         )
-        # One row per leaf, bounded by the tree: into how many slices its rows and its queries go.
-        asking = {r["leaf"]: r["count"] for r in visited.groupBy("leaf").count().collect()}
-        cut = [(leaf, -(-n // SLICE), -(-asking[leaf] // SLICE)) for leaf, n in self.sizes.items() if leaf in asking]
-        if not cut:
+        # One row per task, as many bits as there are slots.
+        bits = [r["seen"] for r in visited.select("seen").mapInArrow(_any_bits, "seen binary").collect()]
+        if not bits:
             return self.spark.createDataFrame([], schema)
-        cut = F.broadcast(self.spark.createDataFrame(cut, "leaf int, sv bigint, sq bigint"))
-        left = visited.join(cut, "leaf").withColumns(
-            {"qs": F.expr("pmod(xxhash64(query_id, leaf), sq)"), "vs": F.explode(F.expr("sequence(0, sv - 1)"))}
-        )
-        right = self.rows.join(cut, "leaf").withColumns(
-            {"vs": F.expr("pmod(xxhash64(n), sv)"), "qs": F.explode(F.expr("sequence(0, sq - 1)"))}
-        )
-        keys = ["leaf", "vs", "qs"]
-        return (
-            left.select(*keys, "query_id", "query").groupBy(*keys)
-            .cogroup(right.select(*keys, "vec_id", "vec").groupBy(*keys))
-            .applyInArrow(lambda q, v: _search(q, v, k), schema)
+        seen = np.bitwise_or.reduce(np.stack([np.frombuffer(x, np.uint8) for x in bits]), axis=0)
+        # One row per leaf, bounded by the tree, and per piece: where its rows go.
+        places: dict[int, list[tuple[int, int]]] = {}
+        starts, shelf = shelves.starts(), shelves.shelf()
+        for slot, leaf in enumerate(shelves.leaf.tolist()):
+            bit = slot - shelves.first[shelf[slot]]
+            if seen[starts[shelf[slot]] + bit // 8] >> (7 - bit % 8) & 1:
+                places.setdefault(leaf, []).append((int(shelf[slot]), slot))
+        places = F.broadcast(self.spark.createDataFrame(list(places.items()), "leaf int, places array<struct<shelf: int, slot: int>>"))
+        rows = self.rows.join(places, "leaf").withColumn("at", F.expr("places[cast(pmod(xxhash64(n), size(places)) AS int)]")).select(
+            "at.shelf", "at.slot", F.col("vec_id").alias("id"), F.col("vec").cast(kind), F.lit(None).cast("binary").alias("seen")
         )
+        rounds = -(-n_asked * len(shelves) // max(COPY_BYTES // width, COPIES * self.n_rows))
+        found = []
+        for i in range(rounds):
+            some = visited.where(F.expr(f"pmod(xxhash64(query_id), {rounds}) = {i}")) if rounds > 1 else visited
+            dealt = some.mapInArrow(partial(_dealt, shelves=shelves), f"shelf int, slot int, id bigint, vec {kind}, seen binary")
+            # A task may get several shelves by chance; it holds one at a time.
+            by_shelf = rows.unionByName(dealt).repartition(2 * len(shelves), "shelf").sortWithinPartitions("shelf", "slot")
+            found.append(by_shelf.mapInArrow(partial(_answers, k=k, first=shelves.first), schema))
+            if rounds > 1:
+                found[i], _ = materialize(_nearest_of(found[i], k).drop("rank"), "found")
+                release(self.spark)
+        return reduce(DataFrame.unionByName, found)
 
 
 class TreeIndex:
@@ -292,13 +588,21 @@ class TreeIndex:
         found = self.spark.createDataFrame([], "query_id bigint, vec_id bigint, score double")
         for dim, part in sorted(self.parts.items()):
             found = found.unionByName(part.search(asked.where(F.size("vec") == dim), k, recall))
-        first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select(
-            "query_id", "rank", "vec_id", "score"
-        )
+        return _nearest_of(found, k)
+
+
+def _nearest_of(found: DataFrame, k: int) -> DataFrame:
+    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
 
 
 def usable(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, vec) of the rows that can ask."""
-    rows = df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    """(vec_id, vec) of the rows that can ask; vec holds floats or else doubles."""
+    rows = df.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).alias("vec"))
+    if _kind(rows, "vec") != "array<float>":
+        rows = rows.withColumn("vec", F.col("vec").cast("array<double>"))
     return rows.where("vec_id IS NOT NULL").where(vector_ok("vec"))

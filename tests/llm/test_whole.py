@@ -9,6 +9,7 @@ from test_contracts import groups, shingles, similar_pairs
 
 import corpus_pipeline
 from riskloom.llm import bottomk, kmeans_tree, projection_passes, substring_dedup
+from riskloom.session import materialize
 
 
 def test_pairs_whose_lists_have_another_first_class(spark):
@@ -113,6 +114,97 @@ def test_nearest_of_every_length(spark):
     assert all(length[i] == length[q] and i != q for q, x in got.items() for _, i in x)
 
 
+def brute(ids, vectors, asked, k=5):
+    """(rank, vec_id) of the k nearest of other ids to each asked id, equal scores by the smaller id."""
+    out = {}
+    for q in asked:
+        query = vectors[np.flatnonzero(ids == q)[0]]
+        score = (vectors * query).sum(axis=1) / np.sqrt((vectors * vectors).sum(axis=1) * (query * query).sum())
+        rows = np.flatnonzero(ids != q)
+        out[int(q)] = ids[rows[np.lexsort((ids[rows], -score[rows]))[:k]]].tolist()
+    return out
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_queries_are_not_copied_for_each_leaf(spark, monkeypatch, kind):
+    """Spread directions, so that most leaves are visited: one stored row a query; right answers over many shelves, pieces and rounds."""
+    rng = np.random.default_rng(12)
+    vectors = rng.standard_normal((3000, 16)).astype(np.float32).astype(float)
+    vectors[::3][:700] = vectors[0]  # a leaf of copies, cut into pieces; equal scores go by the smaller id
+    ids = np.arange(3000)
+    df = spark.createDataFrame(list(zip(ids.tolist(), vectors.tolist())), f"vec_id long, embedding array<{kind}>")
+    stored = {}
+
+    def keep(df, label):
+        made, rows = materialize(df, label)
+        stored.setdefault(label, []).append(rows)
+        return made, rows
+
+    monkeypatch.setattr(kmeans_tree, "materialize", keep)
+    monkeypatch.setattr(kmeans_tree, "LEAF_ROWS", 64, raising=False)
+    monkeypatch.setattr(kmeans_tree, "SHELF_ROWS", 128, raising=False)
+    monkeypatch.setattr(kmeans_tree, "COPY_BYTES", 96_000, raising=False)
+    monkeypatch.setattr(kmeans_tree, "COPIES", 0, raising=False)
+    asked = ids[::20]
+    got = {}
+    for r in kmeans_tree.TreeIndex(df).search(kmeans_tree.usable(df).where("vec_id % 20 = 0"), recall=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert stored["visits"] == [len(asked)] and len(stored["found"]) > 1
+    assert got == brute(ids, vectors, asked)
+
+
+def test_nearest_of_a_shelf(monkeypatch):
+    """Blocks smaller than leaves: hidden leaves, own ids that repeat, equal scores, vectors too short to have a length, no rows at all."""
+    monkeypatch.setattr(kmeans_tree, "BLOCK", 16)
+    rng = np.random.default_rng(13)
+    slots = np.repeat([4, 5, 6], [30, 3, 50])
+    vectors = rng.standard_normal((83, 6))
+    vectors[40:70] = vectors[3]
+    vectors[35] = 1e-300
+    ids = np.where(np.arange(83) % 7 == 0, 1000, np.arange(83))
+    asked, queries = np.append(np.arange(39), 1000), np.concatenate([vectors[:39], vectors[:1]])
+    seen = np.array([[i % 2 == 0, i % 3 > 0, i % 5 > 0] for i in range(40)])
+    bits = [x.tobytes() for x in np.packbits(seen, axis=1)]
+
+    def batch(shelf, slot, ids, vectors, seen):
+        return pa.RecordBatch.from_pydict({
+            "shelf": pa.array(np.full(len(ids), shelf, np.int32)), "slot": pa.array(np.array(slot, np.int32)), "id": pa.array(ids),
+            "vec": pa.array(vectors.tolist(), pa.list_(pa.float64())), "seen": pa.array(seen, pa.binary()),
+        })
+
+    asks = np.full(40, kmeans_tree.ASKING)
+    rows = batch(1, slots, ids, vectors, [None] * 83)
+    come = [batch(0, asks[:1], asked[:1], queries[:1], [b"\x80"]), rows.slice(0, 31), rows.slice(31), batch(1, asks, asked, queries, bits)]
+    got = {}
+    for out in kmeans_tree._answers(iter(come), 5, np.array([0, 4, 7])):
+        for q, v, score in zip(*(c.to_pylist() for c in out.columns)):
+            got.setdefault(q, []).append((-score, v))
+    for i, q in enumerate(asked):
+        fine = seen[i, slots - 4] & (ids != q) & (np.arange(83) != 35)
+        v = vectors[fine]
+        score = (v * queries[i]).sum(axis=1) / np.sqrt((v * v).sum(axis=1) * (queries[i] * queries[i]).sum())
+        best = sorted(zip((-score).tolist(), ids[fine].tolist()))[:5]
+        assert i == 35 or sorted(got.get(q, [])) == best
+    assert 35 not in got
+
+
+def test_first_leaves_are_those_of_the_queue():
+    rng = np.random.default_rng(14)
+    units = kmeans_tree.unit(rng.standard_normal((2000, 8)))
+    for rows in (2000, 5):
+        tree = kmeans_tree.fit_tree(units[:rows], 16)
+        sizes, paths = np.bincount(tree.assign(units), minlength=tree.n_leaves), tree.paths()
+        for query in units[:60]:
+            visits, enough = int(rng.integers(1, tree.n_leaves + 1)), int(rng.integers(1, 600))
+            due, held = [], 0
+            for n, leaf in enumerate(tree.best_first(query)):
+                if n >= visits and held >= enough:
+                    break
+                due.append(leaf)
+                held += sizes[leaf]
+            assert sorted(tree.first_leaves(tree.centres @ query, paths, visits, enough, sizes)) == sorted(due)
+
+
 def test_windows_in_key_order():
     """At least WINDOW rows on inside a label, and as far as the prefix is shared; never into another label, pass or part."""
     rows = [(1, 2, "a", 5, 0, 0, 0)] * 4 + [(1, 2, "a", 6, 0, 0, 0)] + [(1, 2, "b", 6, 0, 0, 0)] * 2 + [(2, 2, "b", 1, 0, 0, 0)] * 9

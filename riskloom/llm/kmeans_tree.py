@@ -12,8 +12,9 @@ until its leaves hold enough vectors of other ids for a full answer.
 Leaves stand side by side on shelves of a bounded size, a large leaf by pieces on several, so a hot leaf is not one task. A query goes
 once to each shelf that has a leaf for it, with one bit for each leaf there, never once for each leaf. A task holds one shelf and takes its
 queries block by block. Quick scores in single precision leave out what cannot be among the nearest, by a margin above their
-error; the others are scored in double precision on the original vectors. Many queries go in rounds, so that their copies take no more
-room than the rows.
+error; the others are scored in double precision on the original vectors. Where much is to be compared, the first leaves of all queries are
+searched before the others, which then need a look only at what is as near as the answers so far. Many queries go in rounds, so that their
+copies stay in proportion to the rows.
 
 Vectors that are null, zero or hold null or non-finite components take no part. Vectors of each length have a tree of their own, so a
 query finds those of its length. A query never finds rows of its own id. If rows repeat an id, its query is asked once (least vector).
@@ -23,6 +24,7 @@ Equal scores go by the smaller id. An empty table has no trees and gives no answ
 from __future__ import annotations
 
 import heapq
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial, reduce
@@ -30,7 +32,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import SLICE_BYTES, flat_lists, give_back, hash_share, release
@@ -52,6 +54,9 @@ BLOCK = 1024
 # In one round the copies of queries that go to shelves take at most so many bytes, or are COPIES times the rows if that is more.
 COPY_BYTES = 1 << 30
 COPIES = 2
+# From so many pairs of rows and queries on, one in EARLY of a query's leaves is searched before the others.
+EARLY_PAIRS = 1 << 34
+EARLY = 16
 # The place of queries on a shelf: after all rows.
 ASKING = 2**31 - 1
 
@@ -274,33 +279,36 @@ def _bytes(column: pa.Array) -> np.ndarray:
 
 
 def _visits(
-    batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, sizes: np.ndarray, k: int, shelves: Shelves
+    batches: Iterator[pa.RecordBatch], tree: Tree, visits: int, sizes: np.ndarray, k: int, shelves: Shelves, early: bool
 ) -> Iterator[pa.RecordBatch]:
-    """Each query with the bits of its leaves."""
+    """Each query with the bits of its leaves, those searched early on their own."""
     paths = tree.paths()
     for batch in (part for whole in batches for part in _parts(whole, "vec", BLOCK // 4)):
         # Rows of its own id do not count towards a full answer.
         enough = k + np.maximum(SPARE, batch.column("own").to_numpy())
-        seen = np.zeros((batch.num_rows, len(sizes)), bool)
+        seen = np.zeros((2, batch.num_rows, len(sizes)), bool)
         for i, near in enumerate(unit(_matrix(batch.column("vec"))) @ tree.centres.T):
-            seen[i, tree.first_leaves(near, paths, visits, enough[i], sizes)] = True
-        bits = pa.array([x.tobytes() for x in shelves.bits(seen)], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vec"), bits], ["query_id", "query", "seen"])
+            leaves = tree.first_leaves(near, paths, visits, enough[i], sizes)
+            stop = -(-len(leaves) // EARLY) if early else 0
+            seen[0, i, leaves[:stop]] = seen[1, i, leaves[stop:]] = True
+        bits = [pa.array([x.tobytes() for x in shelves.bits(part)], pa.binary()) for part in seen]
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("vec"), *bits], ["query_id", "query", "early", "seen"])
     give_back()
 
 
 def _any_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = None
+    """One row of all bits that are set in each column."""
+    any_of = None
     for batch in batches:
         if batch.num_rows:
-            own = np.bitwise_or.reduce(_bytes(batch.column("seen")), axis=0)
-            seen = own if seen is None else seen | own
-    if seen is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([seen.tobytes()], pa.binary())], ["seen"])
+            own = [np.bitwise_or.reduce(_bytes(c), axis=0) for c in batch.columns]
+            any_of = own if any_of is None else [x | y for x, y in zip(any_of, own)]
+    if any_of is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in any_of], batch.schema.names)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], shelves: Shelves) -> Iterator[pa.RecordBatch]:
-    """Each query once for each of its shelves, with its bits there."""
+    """Each query once for each of its shelves, with its bits there and the score below which nothing is asked."""
     starts = shelves.starts()
     for batch in (part for whole in batches for part in _parts(whole, "query", BLOCK)):
         seen = _bytes(batch.column("seen"))
@@ -312,9 +320,9 @@ def _dealt(batches: Iterator[pa.RecordBatch], shelves: Shelves) -> Iterator[pa.R
                     [
                         pa.array(np.full(len(who), shelf, np.int32)), pa.array(np.full(len(who), ASKING, np.int32)),
                         batch.column("query_id").take(take), batch.column("query").take(take),
-                        pa.array([x.tobytes() for x in own[who]], pa.binary()),
+                        pa.array([x.tobytes() for x in own[who]], pa.binary()), batch.column("floor").take(take),
                     ],
-                    ["shelf", "slot", "id", "vec", "seen"],
+                    ["shelf", "slot", "id", "vec", "seen", "floor"],
                 )
     give_back()
 
@@ -369,7 +377,7 @@ class Shelf:
         for part in _parts(batch, "vec", BLOCK):
             seen = np.unpackbits(_bytes(part.column("seen")), axis=1, count=self.slots).astype(bool)
             ids = part.column("id").to_numpy()
-            best = Best(self, ids, _matrix(part.column("vec")))
+            best = Best(self, ids, _matrix(part.column("vec")), part.column("floor").to_numpy(zero_copy_only=False))
             for i, (a, b, held) in enumerate(self.bundles):
                 best.look(a, b, held, seen)
                 if i & (i + 1) == 0:  # the bar is raised each time that twice the rows are seen
@@ -384,13 +392,14 @@ class Shelf:
 class Best:
     """The k nearest so far to each query of a block."""
 
-    def __init__(self, shelf: Shelf, ids: np.ndarray, queries: np.ndarray):
+    def __init__(self, shelf: Shelf, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray):
         self.shelf, self.queries, n = shelf, queries, len(ids)
         with np.errstate(all="ignore"):
             self.units, self.squares = unit(queries).astype(np.float32), (queries * queries).sum(axis=1)
         self.ids, self.scores = np.zeros((n, shelf.k), np.int64), np.zeros((n, shelf.k))
         self.full = np.zeros((n, shelf.k), bool)
-        self.bar = np.full(n, -2.0, np.float32)  # quick scores below it need no look
+        # Quick scores below it need no look.
+        self.bar = np.where(np.isnan(floor), -2, np.maximum(floor - shelf.margin, -2)).astype(np.float32)
         self.found, self.held = [], 0
         # Rows of a query's own id.
         start, end = (np.searchsorted(shelf.sorted_ids, ids, side=x) for x in ("left", "right"))
@@ -461,8 +470,7 @@ class Best:
         at = who[query[best]], rank[best]
         self.full[at], self.ids[at], self.scores[at] = True, ids[best], score[best]
         done = who[self.full[who, k - 1]]
-        bar = np.maximum(self.scores[done, k - 1] - shelf.margin, -2)
-        self.bar[done] = np.where(np.isnan(bar), -2, bar)
+        self.bar[done] = np.fmax(self.scores[done, k - 1] - shelf.margin, self.bar[done])
 
 
 def _answers(batches: Iterator[pa.RecordBatch], k: int, first: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -536,42 +544,63 @@ class LengthIndex:
         kind = _kind(self.rows, "vec") if _kind(self.rows, "vec") == _kind(asked, "vec") else "array<double>"
         width = self.tree.centres.shape[1] * (4 if kind == "array<float>" else 8)
         shelves = Shelves.of(sizes, max(1, min(SHELF_BYTES // width, max(SHELF_ROWS, -(-self.n_rows // SHELVES)))))
+        early = n_asked * self.n_rows >= EARLY_PAIRS and visits >= EARLY
         visited, _ = materialize(
             asked.withColumn("vec", F.col("vec").cast(kind)).mapInArrow(
-                partial(_visits, tree=self.tree, visits=visits, sizes=sizes, k=k, shelves=shelves),
-                f"query_id bigint, query {kind}, seen binary",
+                partial(_visits, tree=self.tree, visits=visits, sizes=sizes, k=k, shelves=shelves, early=early),
+                f"query_id bigint, query {kind}, early binary, seen binary",
             ),
             "visits",
         )
         # One row per task, as many bits as there are slots.
-        bits = [r["seen"] for r in visited.select("seen").mapInArrow(_any_bits, "seen binary").collect()]
+        bits = visited.select("early", "seen").mapInArrow(_any_bits, "early binary, seen binary").collect()
         if not bits:
             return self.spark.createDataFrame([], schema)
-        seen = np.bitwise_or.reduce(np.stack([np.frombuffer(x, np.uint8) for x in bits]), axis=0)
-        # One row per leaf, bounded by the tree, and per piece: where its rows go.
-        places: dict[int, list[tuple[int, int]]] = {}
-        starts, shelf = shelves.starts(), shelves.shelf()
-        for slot, leaf in enumerate(shelves.leaf.tolist()):
-            bit = slot - shelves.first[shelf[slot]]
-            if seen[starts[shelf[slot]] + bit // 8] >> (7 - bit % 8) & 1:
-                places.setdefault(leaf, []).append((int(shelf[slot]), slot))
-        places = F.broadcast(self.spark.createDataFrame(list(places.items()), "leaf int, places array<struct<shelf: int, slot: int>>"))
-        rows = self.rows.join(places, "leaf").withColumn("at", F.expr("places[cast(pmod(xxhash64(n), size(places)) AS int)]")).select(
-            "at.shelf", "at.slot", F.col("vec_id").alias("id"), F.col("vec").cast(kind), F.lit(None).cast("binary").alias("seen")
-        )
+        rows = {
+            part: self._on_shelves(shelves, np.bitwise_or.reduce([np.frombuffer(r[part], np.uint8) for r in bits]), kind)
+            for part in (("early", "seen") if early else ("seen",))
+        }
+
+        def look(queries: DataFrame, part: str) -> DataFrame:
+            dealt = queries.select("query_id", "query", F.col(part).alias("seen"), "floor").mapInArrow(
+                partial(_dealt, shelves=shelves), f"shelf int, slot int, id bigint, vec {kind}, seen binary, floor double"
+            )
+            # A task may get several shelves by chance; it holds one at a time.
+            by_shelf = rows[part].unionByName(dealt).repartition(2 * len(shelves), "shelf").sortWithinPartitions("shelf", "slot")
+            return by_shelf.mapInArrow(partial(_answers, k=k, first=shelves.first), schema)
+
         rounds = -(-n_asked * len(shelves) // max(COPY_BYTES // width, COPIES * self.n_rows))
         found = []
         for i in range(rounds):
             some = visited.where(F.expr(f"pmod(xxhash64(query_id), {rounds}) = {i}")) if rounds > 1 else visited
-            dealt = some.mapInArrow(partial(_dealt, shelves=shelves), f"shelf int, slot int, id bigint, vec {kind}, seen binary")
-            # A task may get several shelves by chance; it holds one at a time.
-            by_shelf = rows.unionByName(dealt).repartition(2 * len(shelves), "shelf").sortWithinPartitions("shelf", "slot")
-            found.append(by_shelf.mapInArrow(partial(_answers, k=k, first=shelves.first), schema))
+            some = some.withColumn("floor", F.lit(None).cast("double"))
+            parts = []
+            if early:
+                first, _ = materialize(_nearest_of(look(some, "early"), k), "early")
+                _let_go(self.spark)
+                floors = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("floor"))
+                parts, some = [first.drop("rank")], some.drop("floor").join(floors, "query_id", "left")
+            found.append(reduce(DataFrame.unionByName, [*parts, look(some, "seen")]))
             if rounds > 1:
                 found[i], _ = materialize(_nearest_of(found[i], k).drop("rank"), "found")
-                release(self.spark)
+                _let_go(self.spark)
         return reduce(DataFrame.unionByName, found)
 
+    def _on_shelves(self, shelves: Shelves, seen: np.ndarray, kind: str) -> DataFrame:
+        """Rows of the leaves that are asked, with their shelves and slots; ``seen``: bytes of the slots' bits."""
+        # One row per leaf, bounded by the tree, and per piece: where its rows go.
+        places: dict[int, list[tuple[int, int]]] = {}
+        starts, shelf = shelves.starts(), shelves.shelf()
+        asked = np.unpackbits(seen)[8 * starts[shelf] + np.arange(len(shelf)) - shelves.first[shelf]]
+        for slot in np.flatnonzero(asked).tolist():
+            places.setdefault(int(shelves.leaf[slot]), []).append((int(shelf[slot]), slot))
+        where = self.spark.createDataFrame(list(places.items()), "leaf int, places array<struct<shelf: int, slot: int>>")
+        at = F.expr("places[cast(pmod(xxhash64(n), size(places)) AS int)]")
+        return self.rows.join(F.broadcast(where), "leaf").withColumn("at", at).select(
+            "at.shelf", "at.slot", F.col("vec_id").alias("id"), F.col("vec").cast(kind),
+            F.lit(None).cast("binary").alias("seen"), F.lit(None).cast("double").alias("floor"),
+        )
+
 
 class TreeIndex:
     """Index of all usable rows of a table of (id, vector), each length on its own."""
@@ -596,6 +625,13 @@ def _nearest_of(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Drop the shuffle files of what is stored by now: the plan of a join goes only with the second collection."""
+    for _ in range(2):
+        release(spark)
+        time.sleep(0.3)
+
+
 def _kind(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

@@ -125,8 +125,8 @@ def brute(ids, vectors, asked, k=5):
     return out
 
 
-@pytest.mark.parametrize("kind", ["float", "double"])
-def test_nearest_queries_are_not_copied_for_each_leaf(spark, monkeypatch, kind):
+@pytest.mark.parametrize(("kind", "pairs"), [("float", 1), ("double", 1 << 34)])
+def test_nearest_queries_are_not_copied_for_each_leaf(spark, monkeypatch, kind, pairs):
     """Spread directions, so that most leaves are visited: one stored row a query; right answers over many shelves, pieces and rounds."""
     rng = np.random.default_rng(12)
     vectors = rng.standard_normal((3000, 16)).astype(np.float32).astype(float)
@@ -145,11 +145,13 @@ def test_nearest_queries_are_not_copied_for_each_leaf(spark, monkeypatch, kind):
     monkeypatch.setattr(kmeans_tree, "SHELF_ROWS", 128, raising=False)
     monkeypatch.setattr(kmeans_tree, "COPY_BYTES", 96_000, raising=False)
     monkeypatch.setattr(kmeans_tree, "COPIES", 0, raising=False)
+    monkeypatch.setattr(kmeans_tree, "EARLY_PAIRS", pairs, raising=False)
     asked = ids[::20]
     got = {}
     for r in kmeans_tree.TreeIndex(df).search(kmeans_tree.usable(df).where("vec_id % 20 = 0"), recall=1.0).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert stored["visits"] == [len(asked)] and len(stored["found"]) > 1
+    assert sum(stored.get("early", [])) == 5 * len(asked) * (pairs == 1)
     assert got == brute(ids, vectors, asked)
 
 
@@ -170,9 +172,11 @@ def test_nearest_of_a_shelf(monkeypatch):
         return pa.RecordBatch.from_pydict({
             "shelf": pa.array(np.full(len(ids), shelf, np.int32)), "slot": pa.array(np.array(slot, np.int32)), "id": pa.array(ids),
             "vec": pa.array(vectors.tolist(), pa.list_(pa.float64())), "seen": pa.array(seen, pa.binary()),
+            "floor": pa.array([floor.get(i) for i in ids.tolist()], pa.float64()),
         })
 
     asks = np.full(40, kmeans_tree.ASKING)
+    floor = {3: 1.0}
     rows = batch(1, slots, ids, vectors, [None] * 83)
     come = [batch(0, asks[:1], asked[:1], queries[:1], [b"\x80"]), rows.slice(0, 31), rows.slice(31), batch(1, asks, asked, queries, bits)]
     got = {}
@@ -183,7 +187,7 @@ def test_nearest_of_a_shelf(monkeypatch):
         fine = seen[i, slots - 4] & (ids != q) & (np.arange(83) != 35)
         v = vectors[fine]
         score = (v * queries[i]).sum(axis=1) / np.sqrt((v * v).sum(axis=1) * (queries[i] * queries[i]).sum())
-        best = sorted(zip((-score).tolist(), ids[fine].tolist()))[:5]
+        best = [(x, v) for x, v in sorted(zip((-score).tolist(), ids[fine].tolist())) if q != 3 or x < -1 + 1e-9][:5]
         assert i == 35 or sorted(got.get(q, [])) == best
     assert 35 not in got
 

@@ -47,7 +47,7 @@ CALIBRATION = 256
 SPARE = 32
 # Shelves of a table, as far as a shelf keeps at least SHELF_ROWS rows and its vectors take at most SHELF_BYTES.
 SHELVES = 64
-SHELF_ROWS = 512
+SHELF_ROWS = 1024
 SHELF_BYTES = 32 << 20
 # Queries and rows that are compared at once.
 BLOCK = 1024
